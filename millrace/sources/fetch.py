@@ -1,0 +1,107 @@
+"""Bulk fetch by id with retries, as a distributed map; failures become rows."""
+
+from __future__ import annotations
+
+import json
+import time
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from millrace.operators.contracts import PRODUCT, PRODUCT_TEXTS
+
+LOG_SCHEMA = "id bigint, position bigint, ok boolean, attempts int, error_type string, error string, payload string"
+
+
+@dataclass(frozen=True)
+class FetchOptions:
+    """``max_concurrent`` tasks run at most; each sends one request at a time."""
+
+    max_concurrent: int = 10
+    max_retries: int = 3
+    backoff_base: float = 1.0
+    timeout: float = 3.0
+
+    def __post_init__(self):
+        if self.max_concurrent < 1 or self.max_retries < 1:
+            raise ValueError("max_concurrent and max_retries must be at least 1")
+        if self.backoff_base < 0 or self.timeout <= 0:
+            raise ValueError("backoff_base must not be negative and timeout must be positive")
+
+
+def _call(fetcher: Callable, item: int, attempt: int, timeout: float) -> dict:
+    # a thread of its own: a request past its timeout must not hold up the next one
+    pool = ThreadPoolExecutor(max_workers=1)
+    try:
+        return pool.submit(fetcher, item, attempt).result(timeout=timeout)
+    finally:
+        pool.shutdown(wait=False)
+
+
+def _one(fetcher: Callable, item: int, options: FetchOptions) -> tuple:
+    """(ok, attempts, error_type, error, payload) of one id."""
+    for attempt in range(options.max_retries):
+        try:
+            answer = _call(fetcher, item, attempt, options.timeout)
+            return True, attempt + 1, None, None, json.dumps(answer, ensure_ascii=False)
+        except (ConnectionError, TimeoutError) as error:
+            failure = error
+            if attempt + 1 < options.max_retries:
+                time.sleep(options.backoff_base * 2**attempt)
+        except Exception as error:  # an unexpected fault ends this id only
+            return False, attempt + 1, type(error).__name__, str(error), None
+    return False, options.max_retries, type(failure).__name__, str(failure) or "timeout", None
+
+
+def fetch_log(
+    ids: DataFrame, fetcher: Callable[[int, int], dict], options: FetchOptions = FetchOptions()
+) -> DataFrame:
+    """One row per id: outcome, attempts, error and the answer as JSON.
+
+    ``ids`` has ``id`` and ``position``. ``fetcher(id, attempt)`` returns a dict;
+    connection and timeout errors are retried after ``backoff_base * 2^attempt``
+    seconds. A lost task is run again, so an id may be requested twice, but it
+    yields one row.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            outcomes = [_one(fetcher, int(i), options) for i in batch["id"]]
+            result = pd.DataFrame(outcomes, columns=["ok", "attempts", "error_type", "error", "payload"])
+            result.insert(0, "id", batch["id"].to_numpy())
+            result.insert(1, "position", batch["position"].to_numpy())
+            yield result
+
+    spread = ids.select("id", "position").repartition(options.max_concurrent)
+    return spread.mapInPandas(run, LOG_SCHEMA)
+
+
+def fetched(log: DataFrame) -> DataFrame:
+    """Successful answers in input order."""
+    return log.where("ok").orderBy("position").select("position", "id", "payload")
+
+
+def dead_letters(log: DataFrame) -> DataFrame:
+    """Final failures: id, error, attempts."""
+    return log.where(~F.col("ok")).select("id", "error", "attempts")
+
+
+def fetch_summary(log: DataFrame) -> DataFrame:
+    return log.agg(
+        F.count_if("ok").alias("ok"),
+        F.count_if(~F.col("ok")).alias("failed"),
+        F.count_if(F.col("attempts") > 1).alias("retried"),
+    )
+
+
+def products_tagged(answers: DataFrame) -> DataFrame:
+    """Fetched answers as product texts with their errors."""
+    parsed = answers.withColumn("p", F.from_json("payload", PRODUCT_TEXTS))
+    flat = parsed.select("position", "payload", *[F.col(f"p.{f}").alias(f) for f in PRODUCT_TEXTS.names])
+    return PRODUCT.tag(flat, "position")
+
+
