@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,9 +79,9 @@ def read_api_users(spark: SparkSession, path: str) -> DataFrame:
     return explode_results(documents)
 
 
-def explode_results(documents: DataFrame) -> DataFrame:
-    return documents.select(F.posexplode("results").alias("position", "r")).select(
-        F.col("position").cast("long").alias("position"), "r.*"
+def explode_results(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return documents.select(*keep, F.posexplode("results").alias("position", "r")).select(
+        *keep, F.col("position").cast("long").alias("position"), "r.*"
     )
 
 
