@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.workload import logs
+from millrace.workload import churn, logs, sales, users
 
-QUERIES = {**logs.QUERIES}
-ORACLES = {**logs.ORACLES}
+QUERIES = {**logs.QUERIES, **sales.QUERIES, **users.QUERIES, **churn.QUERIES}
+ORACLES = {**logs.ORACLES, **sales.ORACLES, **users.ORACLES, **churn.ORACLES}
