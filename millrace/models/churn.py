@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -39,6 +41,7 @@ class ChurnOptions:
     folds: int = 5
     seed: int = 42
     target_recall: float = TARGET_RECALL
+    parallelism: int = 4
 
 
 def model_rows(customers: DataFrame, options: ChurnOptions = ChurnOptions()) -> DataFrame:
@@ -53,11 +56,14 @@ def model_rows(customers: DataFrame, options: ChurnOptions = ChurnOptions()) ->
 
 
 def split_and_fold(rows: DataFrame, options: ChurnOptions = ChurnOptions()) -> tuple[DataFrame, DataFrame]:
-    """(train with ``fold``, test)."""
-    parts = stratified_split(rows, options.key, options.label, 0.8, options.seed)
+    """(train with ``fold``, test), both read from stored tables.
+
+    Every fit and evaluation starts from these rows, so they are written once.
+    """
+    parts = materialize(stratified_split(rows, options.key, options.label, 0.8, options.seed), "split")
     train = parts.where("split = 'train'").drop("split")
-    test = parts.where("split = 'test'").drop("split")
-    return stratified_folds(train, options.key, options.label, options.folds, options.seed + 1), test
+    folded = stratified_folds(train, options.key, options.label, options.folds, options.seed + 1)
+    return materialize(folded, "train"), parts.where("split = 'test'").drop("split")
 
 
 def forest(options: ChurnOptions, depth: int, leaf: int) -> RandomForestClassifier:
@@ -102,10 +108,17 @@ def grid_search(train: DataFrame, options: ChurnOptions = ChurnOptions()) -> Dat
         prepared = preparation(options.numeric, options.categorical).fit(seen)
         fit_rows = materialize(prepared.transform(seen).select("features", options.label), "fold-fit")
         held_rows = materialize(prepared.transform(held).select("features", options.label), "fold-held")
-        for index, model in base.fitMultiple(fit_rows, grid):
+        fits = base.fitMultiple(fit_rows, grid)
+
+        def next_result(_: int) -> tuple:
+            index, model = next(fits)
             point = grid[index]
             auc = judge.evaluate(model.transform(held_rows))
-            results.append((fold, point[base.maxDepth], point[base.minInstancesPerNode], float(auc)))
+            return fold, point[base.maxDepth], point[base.minInstancesPerNode], float(auc)
+
+        # jobs of a few candidates side by side; Spark schedules their tasks
+        with ThreadPool(options.parallelism) as pool:
+            results += pool.map(inheritable_thread_target(train.sparkSession)(next_result), range(len(grid)))
     scores = train.sparkSession.createDataFrame(results, "fold int, max_depth int, min_leaf int, auc double")
     return scores.groupBy("max_depth", "min_leaf").agg(F.avg("auc").alias("mean_auc"))
 

@@ -179,7 +179,7 @@ def crosstab(df: DataFrame, row: str, column: str, columns: Sequence) -> DataFra
         df.where(F.col(row).isNotNull() & F.col(column).isNotNull())
         .groupBy(row)
         .pivot(column, list(columns))
-        .agg(F.count("*"))
+        .agg(F.count(F.lit(1)))
     )
     return table.select(row, *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(f"{column}_{c}") for c in columns])
 

@@ -96,9 +96,9 @@ def describe_numeric(df: DataFrame, columns: Sequence[str], approx: bool = False
     return stats.join(parts, "column", "left").select(
         "column",
         F.col("c0").alias("count"),
-        F.round("c1", 6).alias("mean"),
-        F.round("c2", 6).alias("std"),
+        F.col("c1").alias("mean"),
+        F.col("c2").alias("std"),
         F.col("c3").alias("min"),
-        *[F.round(F.get("quantiles", F.lit(i)), 6).alias(q) for i, q in enumerate(["q1", "median", "q3"])],
+        *[F.get("quantiles", F.lit(i)).alias(q) for i, q in enumerate(["q1", "median", "q3"])],
         F.col("c4").alias("max"),
     )

@@ -162,8 +162,13 @@ COUNTER_ORACLES = {
     "status_map": v.log_sql(
         """SELECT (SELECT count(*) FROM web_logs) AS total, status, count(*) AS n FROM web_logs GROUP BY 2"""
     ),
-    "result_diff": "SELECT * FROM (VALUES ('same', CAST(0 AS BIGINT)), ('shifted', CAST(1 AS BIGINT))) "
-    "t(comparison, n_different)",
+    "result_diff": v.with_views(
+        """SELECT comparison, count(*) FILTER (abs(a.avg - a.avg - shift) > 1e-6) AS n_different FROM summary a,
+        (VALUES ('same', 0.0, 0.0), ('shifted', 0.001, 1e-9)) t(comparison, signup, other),
+        LATERAL (SELECT CASE WHEN event_type = 'signup' THEN signup ELSE other END AS shift) GROUP BY 1""",
+        amounts=AMOUNTS_SQL,
+        summary="SELECT event_type, avg(amount) AS avg FROM amounts WHERE amount > 0 GROUP BY 1",
+    ),
     "source_profile": """SELECT 'event_id,ts,user_id,event_type,value,props' AS columns,
         CAST(6 AS BIGINT) AS n_columns, count(*) AS n_rows FROM events""",
     "parquet_roundtrip": v.log_sql(

@@ -54,7 +54,8 @@ def profile_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def describe_numeric(spark: SparkSession, sf: str) -> DataFrame:
-    return profiling.describe_numeric(_priced(spark, sf), MEASURES)
+    described = profiling.describe_numeric(_priced(spark, sf), MEASURES)
+    return rounded(rounded(described, "std", "q1", "median", "q3"), "mean", digits=9)
 
 
 def null_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -238,7 +239,7 @@ ORACLES = {
     "describe_numeric": v.sales_sql(
         _each(
             MEASURES,
-            """SELECT '{c}' AS "column", count({c}) AS count, round(avg(CAST({c} AS DOUBLE)), 6) AS mean,
+            """SELECT '{c}' AS "column", count({c}) AS count, round(avg(CAST({c} AS DOUBLE)), 9) AS mean,
             round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS std, CAST(min({c}) AS DOUBLE) AS min,
             round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 6) AS q1,
             round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS median,

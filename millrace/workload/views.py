@@ -290,7 +290,7 @@ BOUNDED_SQL = """
     FROM filled f, quantity_bounds
 """
 AMOUNT_SQL = """
-    CAST(round(CAST(quantity AS DECIMAL(12,2)) * CAST(unit_price AS DECIMAL(14,4))
+    CAST(round(CAST(quantity AS DECIMAL(19,2)) * CAST(unit_price AS DECIMAL(14,4))
                * (1 - CAST(discount AS DECIMAL(5,4))), 2) AS DOUBLE)
 """
 CLEANED_SQL = f"SELECT *, {AMOUNT_SQL} AS amount FROM bounded"
