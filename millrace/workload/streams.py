@@ -134,6 +134,19 @@ ORACLES = {
         round(count(*) FILTER (status >= 500) / count(*), 6) AS error_rate_5xx
         FROM (SELECT *, time_bucket(INTERVAL '{WIDTH}', timestamp) AS w FROM web_logs) WHERE {_CLOSED} GROUP BY 1"""
     ),
+    # a session is out once the watermark has passed its last window by one length
+    "stream_alerts": v.log_sql(
+        f"""SELECT path, min(w) AS start, max(w) + INTERVAL '{WIDTH}' AS "end", count(*) AS window_count,
+        CAST(sum(n) AS BIGINT) AS request_count, CAST(sum(e) AS BIGINT) AS error_count
+        FROM (SELECT *, count(*) FILTER (opens) OVER (PARTITION BY path ORDER BY w) AS session
+            FROM (SELECT *, coalesce(w - lag(w) OVER (PARTITION BY path ORDER BY w) > INTERVAL '{WIDTH}', TRUE) AS opens
+                FROM (SELECT path, time_bucket(INTERVAL '{WIDTH}', timestamp) AS w, count(*) AS n,
+                        count(*) FILTER (status >= 500) AS e FROM web_logs GROUP BY 1, 2)
+                WHERE e / n >= 0.5 AND {_CLOSED}))
+        GROUP BY path, session
+        HAVING max(w) + 2 * INTERVAL '{WIDTH}' - INTERVAL '1 microsecond'
+            <= (SELECT max(timestamp) FROM web_logs) - INTERVAL '10 minutes'"""
+    ),
     "stream_quarantine": v.raw_log_sql(
         """SELECT (SELECT count(*) FROM raw_logs) - bad AS valid, bad AS invalid
         FROM (SELECT count(DISTINCT event_id) AS bad FROM log_errors)"""
