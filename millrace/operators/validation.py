@@ -16,6 +16,7 @@ from millrace.functions.scalars import is_ip, to_number
 from millrace.session import require_columns
 
 ERRORS = "array<struct<loc:string,type:string,msg:string>>"
+PARSED = "_value_"
 
 
 @dataclass(frozen=True)
@@ -44,13 +45,20 @@ class Field:
     required: bool = True
     default: Callable[[], Column] | None = None
 
+    @property
+    def parsed(self) -> str:
+        """Column that holds the parsed value of a tagged row."""
+        return f"{PARSED}{self.path.replace('.', '__')}"
+
+    def parse(self) -> Column:
+        return self.kind.parse(F.col(self.path)).alias(self.parsed)
+
     def value(self) -> Column:
-        parsed = self.kind.parse(F.col(self.path))
-        return parsed if self.default is None else F.coalesce(parsed, self.default())
+        return F.col(self.parsed) if self.default is None else F.coalesce(F.col(self.parsed), self.default())
 
     def error(self) -> Column:
         """The first broken condition of this field as a struct, else NULL."""
-        raw, value = F.col(self.path), self.kind.parse(F.col(self.path))
+        raw, value = F.col(self.path), F.col(self.parsed)
         absent = self._error("missing", "field is required") if self.required else F.lit(None)
         found = F.when(raw.isNull(), absent).when(value.isNull(), self._error(self.kind.type, self.kind.msg))
         for rule in self.rules:
@@ -73,6 +81,7 @@ class Contract:
         return list(dict.fromkeys(f.path.split(".")[0] for f in self.fields))
 
     def errors(self, extra: Column | None = None) -> Column:
+        """All errors of a row whose values are parsed."""
         found = F.array_compact(F.array(*[f.error() for f in self.fields])).cast(ERRORS)
         if not self.forbid_extra or extra is None:
             return found
@@ -84,19 +93,19 @@ class Contract:
         )
         return F.concat(found, F.coalesce(unknown.cast(ERRORS), F.array().cast(ERRORS)))
 
-    def tag(
-        self, rows: DataFrame, position: str | None = None, field_names: Column | None = None
-    ) -> DataFrame:
+    def tag(self, rows: DataFrame, position: str | None = None, field_names: Column | None = None) -> DataFrame:
         """Add ``errors`` to rows of raw texts.
 
         ``field_names`` is the array of names present in a row (of a JSON object);
         without it the columns of the table count, apart from ``position``.
         """
-        require_columns(rows, [n for n in self.names()])
+        require_columns(rows, self.names())
         if field_names is None:
             present = [c for c in rows.columns if c != position]
             field_names = F.array(*map(F.lit, present))
-        return rows.withColumn("errors", self.errors(field_names))
+        # each text is parsed once; errors and typed rows both read the result
+        parsed = rows.select("*", *[f.parse() for f in self.fields])
+        return parsed.withColumn("errors", self.errors(field_names))
 
     def valid(self, tagged: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """Typed, normalised rows without an error."""
@@ -115,7 +124,7 @@ class Contract:
 
     def invalid(self, tagged: DataFrame, position: str, data: Column | None = None) -> DataFrame:
         """Quarantine: position, raw row as JSON, all errors."""
-        raw = [c for c in tagged.columns if c not in (position, "errors")]
+        raw = [c for c in tagged.columns if c not in (position, "errors") and not c.startswith(PARSED)]
         record = data if data is not None else F.to_json(F.struct(*raw))
         return tagged.where(F.size("errors") > 0).select(
             F.col(position).cast("long").alias("row_no"), record.alias("data"), "errors"

@@ -215,9 +215,9 @@ def validate_extra(spark: SparkSession, sf: str) -> DataFrame:
     raw = v.raw_logs(spark, sf)
     with_extra = F.struct(*WEB_LOG.names(), F.when(F.col("event_id") % 31 == 0, 1).alias("debug"))
     texts = raw.withColumn("document", F.to_json(with_extra))
-    errors = WEB_LOG.errors(F.json_object_keys("document"))
-    extra = F.filter(errors, lambda e: e["type"] == "extra_forbidden")
-    return texts.select("event_id", F.explode(extra).alias("e")).select("event_id", "e.loc", "e.type")
+    tagged = WEB_LOG.tag(texts, "event_id", F.json_object_keys("document"))
+    found = tagged.select("event_id", F.explode("errors").alias("e")).select("event_id", "e.loc", "e.type")
+    return found.where(F.col("type") == "extra_forbidden")
 
 
 def log_quarantine(spark: SparkSession, sf: str) -> DataFrame:

@@ -14,95 +14,95 @@ from millrace.workload.logs import rounded
 MEASURES = ["quantity", "unit_price", "discount"]
 
 
-def _typed(spark: SparkSession, sf: str, broken: bool = True) -> DataFrame:
-    raw = v.sales_raw(spark, sf, broken)
+def _typed_texts(spark: SparkSession, sf: str) -> DataFrame:
     kinds = {"unit_price": "double", "quantity": "bigint", "discount": "double"}
-    return cleaning.coerce(raw, kinds, ["order_date"])
+    return cleaning.coerce(v.sales_texts(spark, sf), kinds, ["order_date"])
 
 
-def _priced(spark: SparkSession, sf: str) -> DataFrame:
-    return cleaning.null_where(_typed(spark, sf, broken=False), "unit_price", F.col("unit_price") <= 0)
+def _priced(sales: DataFrame) -> DataFrame:
+    return cleaning.null_where(sales, "unit_price", F.col("unit_price") <= 0)
 
 
-def _filled(spark: SparkSession, sf: str) -> DataFrame:
-    return cleaning.fill_group_median(_priced(spark, sf), "unit_price", "category")
+def _filled(sales: DataFrame) -> DataFrame:
+    return cleaning.fill_group_median(_priced(sales), "unit_price", "category")
 
 
 def _cleaned(spark: SparkSession, sf: str) -> DataFrame:
-    return plan.clean_sales(v.sales_raw(spark, sf))
+    return plan.clean_sales(v.sales_table(spark, sf))
 
 
 def coerce_types(spark: SparkSession, sf: str) -> DataFrame:
-    return _typed(spark, sf)
+    return _typed_texts(spark, sf)
 
 
 def sales_amount(spark: SparkSession, sf: str) -> DataFrame:
-    typed = _priced(spark, sf).where(F.col("unit_price").isNotNull())
+    typed = _priced(v.sales_raw(spark, sf)).where(F.col("unit_price").isNotNull())
     return plan.with_amount(typed).select("order_id", "amount")
 
 
 def high_price_flag(spark: SparkSession, sf: str) -> DataFrame:
     """Sales above the price limit, by category."""
     flag = scalars.high_price_flag(F.col("unit_price"), 50_000)
-    return _priced(spark, sf).groupBy("category", flag.cast("long").alias("high_price_flag")).agg(
+    return _priced(v.sales_raw(spark, sf)).groupBy("category", flag.cast("long").alias("high_price_flag")).agg(
         F.count("*").alias("n")
     )
 
 
 def profile_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return profiling.profile_columns(_priced(spark, sf))
+    return profiling.profile_columns(_priced(v.sales_raw(spark, sf)))
 
 
 def describe_numeric(spark: SparkSession, sf: str) -> DataFrame:
-    described = profiling.describe_numeric(_priced(spark, sf), MEASURES)
+    described = profiling.describe_numeric(_priced(v.sales_table(spark, sf)), MEASURES)
     return rounded(rounded(described, "std", "q1", "median", "q3"), "mean", digits=9)
 
 
 def null_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return profiling.null_counts(_priced(spark, sf))
+    return profiling.null_counts(_priced(v.sales_raw(spark, sf)))
 
 
 def coercion_nulls(spark: SparkSession, sf: str) -> DataFrame:
-    return profiling.type_changes(v.sales_raw(spark, sf, broken=True), _typed(spark, sf))
+    return profiling.type_changes(v.sales_texts(spark, sf), _typed_texts(spark, sf))
 
 
 def invalid_to_null(spark: SparkSession, sf: str) -> DataFrame:
     """Prices that break the rule, and missing prices once they are taken out."""
     broken = F.col("unit_price") <= 0
-    before = _typed(spark, sf, broken=False)
+    before = v.sales_raw(spark, sf)
     invalid = cleaning.count_where(before, broken)
     missing = cleaning.null_where(before, "unit_price", broken).agg(F.count_if(F.col("unit_price").isNull()).alias("c"))
     return invalid.withColumn("missing_after", missing.scalar())
 
 
 def impute_group_median(spark: SparkSession, sf: str) -> DataFrame:
-    return _filled(spark, sf).select("order_id", "category", "unit_price")
+    return _filled(v.sales_table(spark, sf)).select("order_id", "category", "unit_price")
 
 
 def impute_mode(spark: SparkSession, sf: str) -> DataFrame:
-    filled = cleaning.fill_mode(_priced(spark, sf), "region")
+    filled = cleaning.fill_mode(_priced(v.sales_raw(spark, sf)), "region")
     return filled.groupBy("region").agg(F.count("*").alias("n"))
 
 
 def iqr_bounds(spark: SparkSession, sf: str) -> DataFrame:
-    bounds = cleaning.iqr_bounds(_filled(spark, sf), ["unit_price", "quantity"])
+    bounds = cleaning.iqr_bounds(_filled(v.sales_table(spark, sf)), ["unit_price", "quantity"])
     return rounded(bounds.select("column", "lower", "upper"), "lower", "upper")
 
 
 def winsorize(spark: SparkSession, sf: str) -> DataFrame:
-    clipped = cleaning.winsorize(_filled(spark, sf), ["unit_price", "quantity"])
+    clipped = cleaning.winsorize(_filled(v.sales_table(spark, sf)), ["unit_price", "quantity"])
     return rounded(clipped.select("order_id", "unit_price", "quantity"), "unit_price", digits=4)
 
 
 def winsorize_report(spark: SparkSession, sf: str) -> DataFrame:
-    report = cleaning.winsorize_report(_filled(spark, sf), ["unit_price", "quantity"])
+    report = cleaning.winsorize_report(_filled(v.sales_table(spark, sf)), ["unit_price", "quantity"])
     numbers = [c for c in report.columns if c not in ("column", "outliers")]
     return rounded(report, *numbers, digits=4)
 
 
 def missing_changes(spark: SparkSession, sf: str) -> DataFrame:
-    before = _priced(spark, sf)
-    after = cleaning.fill_mode(_filled(spark, sf), "region")
+    sales = v.sales_table(spark, sf)
+    before = _priced(sales)
+    after = cleaning.fill_mode(_filled(sales), "region")
     return profiling.missing_changes(before, after)
 
 
@@ -127,7 +127,7 @@ def sales_pivot(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sales_report(spark: SparkSession, sf: str) -> DataFrame:
-    return plan.sales_report(v.sales_raw(spark, sf), 10)
+    return plan.sales_report(v.sales_table(spark, sf), 10)
 
 
 def category_names(spark: SparkSession) -> DataFrame:

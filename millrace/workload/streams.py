@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.operators.contracts import WEB_LOG
 from millrace.plans import detection
 from millrace.plans.sales_report import clean_sales, report_rows
-from millrace.session import materialize, scratch_path
+from millrace.session import scratch_path
 from millrace.streaming import logs as stream
 from millrace.workload import views as v
 from millrace.workload.logs import rounded
@@ -65,7 +65,7 @@ def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
 def stream_report(spark: SparkSession, sf: str) -> DataFrame:
     """A recurring sales report: each run of the stream renews the report table."""
     folder = scratch_path(spark, "report")
-    sales = materialize(v.sales_raw(spark, sf), "sales")
+    sales = v.sales_table(spark, sf)
     arriving = stream.read_stream(spark, sales.inputFiles()[0].rsplit("/", 1)[0], sales.schema, "*.parquet")
 
     def renew(batch: DataFrame, batch_id: int) -> None:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.contracts import API_RESPONSE_TEXTS
+from millrace.session import materialize
 from millrace.sources.tables import explode_results
 
 # Parameters of the detection queries.
@@ -210,8 +211,8 @@ def detection_sql(body: str) -> str:
 # --- sales -----------------------------------------------------------------
 
 
-def sales_raw(spark: SparkSession, sf: str, broken: bool = False) -> DataFrame:
-    """Sales as texts; ``broken`` adds texts that are no number or date."""
+def sales_raw(spark: SparkSession, sf: str) -> DataFrame:
+    """Sales with missing and negative prices, missing regions and inflated quantities."""
     region = (
         table(spark, sf, "customer")
         .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -224,49 +225,66 @@ def sales_raw(spark: SparkSession, sf: str, broken: bool = False) -> DataFrame:
         .join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(region, F.col("o_custkey") == F.col("c_custkey"))
     )
-    o = "l_orderkey"
-    price = F.col("l_extendedprice").cast("decimal(14,2)")
-    quantity = (F.col("l_quantity") * F.when(_every(o, 101), 100).otherwise(1)).cast("bigint").cast("string")
-    priced = F.when(_every(o, 199), -price).otherwise(price).cast("string")
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
-    if broken:
-        quantity = F.when(_every(o, 223), "invalid").otherwise(quantity)
-        priced = F.when(_every(o, 227), "1d").otherwise(priced)
-        day = F.when(_every(o, 211), "invalid").otherwise(day)
+    o, price = "l_orderkey", F.col("l_extendedprice")
     return joined.select(
         F.concat_ws("-", o, "l_linenumber").alias("order_id"),
-        day.alias("order_date"),
+        F.col("o_orderdate").cast("date").alias("order_date"),
         F.when(~_every(o, 17), F.col("r_name")).alias("region"),
         F.col("p_type").alias("category"),
-        quantity.alias("quantity"),
-        F.when(~_every(o, 25), priced).alias("unit_price"),
-        F.col("l_discount").cast("decimal(5,2)").cast("string").alias("discount"),
+        (F.col("l_quantity") * F.when(_every(o, 101), 100).otherwise(1)).cast("bigint").alias("quantity"),
+        F.when(~_every(o, 25), F.when(_every(o, 199), -price).otherwise(price)).alias("unit_price"),
+        F.col("l_discount").alias("discount"),
     )
 
 
-def _sales_sql(broken: bool) -> str:
-    quantity = "CAST(CAST(l_quantity * CASE WHEN l_orderkey % 101 = 0 THEN 100 ELSE 1 END AS BIGINT) AS VARCHAR)"
-    price = (
-        "CAST(CAST(CASE WHEN l_orderkey % 199 = 0 THEN -l_extendedprice ELSE l_extendedprice END"
-        " AS DECIMAL(14,2)) AS VARCHAR)"
+def sales_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """The same sales as texts, some of which are no number or date."""
+    key = F.split("order_id", "-")[0].cast("bigint")
+
+    def broken(n: int, text: str, otherwise: Column) -> Column:
+        return F.when(key % n == 0, text).otherwise(otherwise)
+
+    return sales_raw(spark, sf).select(
+        "order_id",
+        broken(211, "invalid", F.date_format("order_date", "yyyy-MM-dd")).alias("order_date"),
+        "region",
+        "category",
+        broken(223, "invalid", F.col("quantity").cast("string")).alias("quantity"),
+        F.when(
+            F.col("unit_price").isNotNull(),
+            broken(227, "1d", F.col("unit_price").cast("decimal(14,2)").cast("string")),
+        ).alias("unit_price"),
+        F.col("discount").cast("decimal(5,2)").cast("string").alias("discount"),
     )
-    day = "strftime(o_orderdate, '%Y-%m-%d')"
-    if broken:
-        quantity = f"CASE WHEN l_orderkey % 223 = 0 THEN 'invalid' ELSE {quantity} END"
-        price = f"CASE WHEN l_orderkey % 227 = 0 THEN '1d' ELSE {price} END"
-        day = f"CASE WHEN l_orderkey % 211 = 0 THEN 'invalid' ELSE {day} END"
-    return f"""
+
+
+def sales_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The joined sales, stored once: cleaning reads them several times."""
+    return materialize(sales_raw(spark, sf), "sales")
+
+
+SALES_SQL = """
     SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS order_id,
-        {day} AS order_date,
+        CAST(o_orderdate AS DATE) AS order_date,
         CASE WHEN l_orderkey % 17 = 0 THEN NULL ELSE r_name END AS region,
         p_type AS category,
-        {quantity} AS quantity,
-        CASE WHEN l_orderkey % 25 = 0 THEN NULL ELSE {price} END AS unit_price,
-        CAST(CAST(l_discount AS DECIMAL(5,2)) AS VARCHAR) AS discount
+        CAST(l_quantity * CASE WHEN l_orderkey % 101 = 0 THEN 100 ELSE 1 END AS BIGINT) AS quantity,
+        CASE WHEN l_orderkey % 25 = 0 THEN NULL WHEN l_orderkey % 199 = 0 THEN -l_extendedprice
+             ELSE l_extendedprice END AS unit_price,
+        l_discount AS discount
     FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
     JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
     JOIN region ON n_regionkey = r_regionkey
-    """
+"""
+SALES_TEXTS_SQL = """
+    SELECT order_id, CASE WHEN k % 211 = 0 THEN 'invalid' ELSE strftime(order_date, '%Y-%m-%d') END AS order_date,
+        region, category,
+        CASE WHEN k % 223 = 0 THEN 'invalid' ELSE CAST(quantity AS VARCHAR) END AS quantity,
+        CASE WHEN unit_price IS NULL THEN NULL WHEN k % 227 = 0 THEN '1d'
+             ELSE CAST(CAST(unit_price AS DECIMAL(14,2)) AS VARCHAR) END AS unit_price,
+        CAST(CAST(discount AS DECIMAL(5,2)) AS VARCHAR) AS discount
+    FROM (SELECT *, CAST(split_part(order_id, '-', 1) AS BIGINT) AS k FROM sales_typed)
+"""
 
 
 TYPED_SQL = """
@@ -299,7 +317,8 @@ CLEANED_SQL = f"SELECT *, {AMOUNT_SQL} AS amount FROM bounded"
 def sales_sql(body: str, broken: bool = False) -> str:
     return with_views(
         body,
-        sales_raw=_sales_sql(broken),
+        sales_typed=SALES_SQL,
+        sales_raw=SALES_TEXTS_SQL if broken else "SELECT * FROM sales_typed",
         typed=TYPED_SQL,
         priced=PRICED_SQL,
         filled=FILLED_SQL,
