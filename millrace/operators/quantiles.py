@@ -28,12 +28,15 @@ def quantiles(
     how: str = "linear",
     approx: bool = False,
     accuracy: int = SKETCH_ACCURACY,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Quantiles of ``value`` per group: columns ``by``, ``n`` and ``quantiles``.
 
     ``how`` is ``linear`` (interpolate between neighbours) or ``nearest`` (the
     value at rank ``round((n - 1) * p)``). Missing values and missing keys are
     left out. ``approx=True`` answers from the sketch alone, in one pass.
+    ``few_groups`` says that the caller knows the groups to be few, as when they are
+    columns; the brackets are then broadcast without being counted first.
     """
     if how not in ("linear", "nearest"):
         raise ValueError("how must be 'linear' or 'nearest'")
@@ -46,7 +49,7 @@ def quantiles(
         sketch = F.percentile_approx("_v", F.array(*map(F.lit, probs)), accuracy)
         return kept.groupBy(*keys).agg(F.count("*").alias("n"), sketch.alias("quantiles"))
 
-    tagged = _with_brackets(kept, keys, probs, accuracy)
+    tagged = _with_brackets(kept, keys, probs, accuracy, few_groups)
     inside = reduce(
         or_, [F.col("_v").between(F.col(f"_lo{i}"), F.col(f"_hi{i}")) for i in range(len(probs))]
     )
@@ -69,7 +72,9 @@ def quantiles(
     )
 
 
-def _with_brackets(kept: DataFrame, keys: list[str], probs: Sequence[float], accuracy: int) -> DataFrame:
+def _with_brackets(
+    kept: DataFrame, keys: list[str], probs: Sequence[float], accuracy: int, few_groups: bool
+) -> DataFrame:
     """Add ``_lo``/``_hi`` columns between which the wanted ranks are certain to lie."""
     # The sketch is off by at most n/accuracy ranks. Four times that is also more
     # than one whole rank once n > accuracy; smaller groups are kept entire.
@@ -85,6 +90,8 @@ def _with_brackets(kept: DataFrame, keys: list[str], probs: Sequence[float], acc
         low, high = F.get("_b", F.lit(i)), F.get("_b", F.lit(i + len(probs)))
         columns.append(F.when(whole, F.lit(float("-inf"))).otherwise(low).alias(f"_lo{i}"))
         columns.append(F.when(whole, F.lit(float("inf"))).otherwise(high).alias(f"_hi{i}"))
+    if keys and few_groups:
+        return kept.join(F.broadcast(sketch.select(*keys, *columns)), keys)
     if keys:
         return attach(kept, sketch.select(*keys, *columns), keys, "inner")
     one_row = sketch.select(F.struct(*columns).alias("_s")).scalar()
@@ -135,4 +142,5 @@ def column_quantiles(
 ) -> DataFrame:
     """Quantiles of several numeric columns in one plan: ``column``, ``n``, ``quantiles``."""
     doubles = rows.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    return quantiles(doubles.unpivot([], list(columns), "column", "value"), "value", probs, ["column"], **options)
+    long = doubles.unpivot([], list(columns), "column", "value")
+    return quantiles(long, "value", probs, ["column"], few_groups=True, **options)
