@@ -60,8 +60,7 @@ def chi_square_tail(x: float, dof: float) -> float:
             if term < total * 1e-16:
                 break
         return max(0.0, 1.0 - front * total)
-    value, c = z + 1.0 - a, z + 1.0 - a
-    d = 1.0 / value
+    c, d = math.inf, 1.0 / (z + 1.0 - a)
     h = d
     for n in range(1, _STEPS):
         an = -n * (n - a)
