@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ranking import running_totals
+from millrace.session import materialize
 
 
 def score_points(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """Positives and negatives per distinct score."""
-    return scored.groupBy(F.col(score).cast("double").alias("threshold")).agg(
+    """Positives and negatives per distinct score, stored: the rows are scored once."""
+    points = scored.groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
+    return materialize(points, "points")
 
 
 def pr_curve(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
@@ -20,9 +22,9 @@ def pr_curve(scored: DataFrame, score: str = "score", label: str = "label") -> D
 
     One row per distinct score.
     """
-    points = running_totals(score_points(scored, score, label), "threshold", ["pos", "neg"])
-    positives = scored.agg(F.count_if(F.col(label) == 1).alias("p")).scalar()
-    return points.select(
+    stored = score_points(scored, score, label)
+    positives = stored.agg(F.sum("pos").alias("p")).scalar()
+    return running_totals(stored, "threshold", ["pos", "neg"]).select(
         "threshold",
         (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
         F.coalesce(F.try_divide(F.col("cum_pos"), positives), F.lit(1.0)).alias("recall"),

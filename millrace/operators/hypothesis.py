@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.pvalues import chi_square_tail, t_two_sided
@@ -49,7 +49,7 @@ def chi_square_statistics(df: DataFrame, row: str, column: str) -> DataFrame:
     """Statistic and degrees of freedom; Yates' correction for a 2 x 2 table.
 
     The rows are read once, into one count per seen (row level, column level); the
-    rest works on those cells. An absent cell has the count 0 and adds its expected
+    windows run over those cells. An absent cell has the count 0 and adds its expected
     count, so all absent ones together add ``n`` minus the expected counts seen.
     """
     cells = (
@@ -57,34 +57,33 @@ def chi_square_statistics(df: DataFrame, row: str, column: str) -> DataFrame:
         .groupBy(F.col(row).alias("r"), F.col(column).alias("c"))
         .agg(F.count("*").alias("o"))
     )
-    rows = cells.groupBy("r").agg(F.sum("o").alias("r_total"))
-    columns = cells.groupBy("c").agg(F.sum("o").alias("c_total"))
-
-    def margin(totals: DataFrame, name: str):
-        sizes = F.struct(F.count("*").alias("levels"), F.sum(1.0 / F.col(name)).alias("inverse"))
-        return totals.agg(sizes.alias("m")).scalar()
-
-    full = (
-        cells.join(rows, "r")
-        .join(columns, "c")
-        .withColumn("n", cells.agg(F.sum("o").alias("n")).scalar())
-        .withColumn("mr", margin(rows, "r_total"))
-        .withColumn("mc", margin(columns, "c_total"))
-        .withColumn("e", F.col("r_total") * F.col("c_total") / F.col("n"))
-        .withColumn("gap", F.abs(F.col("o") - F.col("e")))
+    by_row, by_column, whole = Window.partitionBy("r"), Window.partitionBy("c"), Window.partitionBy()
+    full = cells.select(
+        "r",
+        "c",
+        "o",
+        F.sum("o").over(by_row).alias("r_total"),
+        F.sum("o").over(by_column).alias("c_total"),
+        F.count("*").over(by_row).alias("r_cells"),
+        F.count("*").over(by_column).alias("c_cells"),
+        F.sum("o").over(whole).alias("n"),
     )
+    full = full.withColumn("e", F.col("r_total") * F.col("c_total") / F.col("n"))
+    full = full.withColumn("gap", F.abs(F.col("o") - F.col("e")))
     sums = full.agg(
         F.sum(F.col("gap") * F.col("gap") / F.col("e")).alias("seen"),
         F.sum("e").alias("expected"),
         F.max("gap").alias("gap"),
-        F.first("n").alias("n"),
-        F.first("mr").alias("mr"),
-        F.first("mc").alias("mc"),
+        F.max("n").alias("n"),
+        F.count_distinct("r").alias("r_levels"),
+        F.count_distinct("c").alias("c_levels"),
+        F.sum(1.0 / (F.col("r_total") * F.col("r_cells"))).alias("r_inverse"),
+        F.sum(1.0 / (F.col("c_total") * F.col("c_cells"))).alias("c_inverse"),
     )
-    dof = (F.col("mr.levels") - 1) * (F.col("mc.levels") - 1)
+    dof = (F.col("r_levels") - 1) * (F.col("c_levels") - 1)
     # the four gaps of a 2 x 2 table are equal; sum(1/e) = n * sum(1/r) * sum(1/c)
     shrunk = F.col("gap") - F.least(F.lit(0.5), F.col("gap"))
-    yates = shrunk * shrunk * F.col("n") * F.col("mr.inverse") * F.col("mc.inverse")
+    yates = shrunk * shrunk * F.col("n") * F.col("r_inverse") * F.col("c_inverse")
     plain = F.col("seen") + F.col("n") - F.col("expected")
     return sums.select(F.when(dof == 1, yates).otherwise(plain).alias("chi2_statistic"), dof.alias("dof"))
 

@@ -2,8 +2,9 @@
 
 ``percentile`` keeps every distinct value of a group in one buffer, so a group
 that holds a third of a large table ends in one task. Here a bounded sketch first
-brackets each wanted rank; rows outside the brackets then collapse to one counted
-row per gap, map-side, and only the few values inside them are sorted.
+brackets each wanted rank. Rows outside the brackets then collapse, map-side, to one
+counted row per gap; the values inside are counted in chunks of the bracket, and only
+the chunk that holds the rank is sorted.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from millrace.session import attach
 
 SKETCH_ACCURACY = 10_000
+CHUNKS = 1024
 
 
 def quantiles(
@@ -28,15 +30,12 @@ def quantiles(
     how: str = "linear",
     approx: bool = False,
     accuracy: int = SKETCH_ACCURACY,
-    few_groups: bool = False,
 ) -> DataFrame:
     """Quantiles of ``value`` per group: columns ``by``, ``n`` and ``quantiles``.
 
     ``how`` is ``linear`` (interpolate between neighbours) or ``nearest`` (the
     value at rank ``round((n - 1) * p)``). Missing values and missing keys are
     left out. ``approx=True`` answers from the sketch alone, in one pass.
-    ``few_groups`` says that the caller knows the groups to be few, as when they are
-    columns; the brackets are then broadcast without being counted first.
     """
     if how not in ("linear", "nearest"):
         raise ValueError("how must be 'linear' or 'nearest'")
@@ -49,33 +48,29 @@ def quantiles(
         sketch = F.percentile_approx("_v", F.array(*map(F.lit, probs)), accuracy)
         return kept.groupBy(*keys).agg(F.count("*").alias("n"), sketch.alias("quantiles"))
 
-    tagged = _with_brackets(kept, keys, probs, accuracy, few_groups)
-    inside = reduce(
-        or_, [F.col("_v").between(F.col(f"_lo{i}"), F.col(f"_hi{i}")) for i in range(len(probs))]
-    )
-    above = [F.when(F.col("_v") > F.col(f"_hi{i}"), 1).otherwise(0) for i in range(len(probs))]
-    counted = (
-        tagged.select(*keys, reduce(add, above).alias("_gap"), F.when(inside, F.col("_v")).alias("_mid"))
-        .groupBy(*keys, "_gap", "_mid")
-        .agg(F.count("*").alias("_c"))
-    )
-    group = Window.partitionBy(*keys)
-    running = group.orderBy("_gap", F.col("_mid").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    ranked = counted.withColumn("n", F.sum("_c").over(group)).withColumn("_end", F.sum("_c").over(running))
-    picked = ranked.groupBy(*keys).agg(
-        F.max("n").alias("n"), *[c for i, p in enumerate(probs) for c in _neighbours(i, p, how)]
-    )
-    return picked.select(
-        *keys, "n", F.array(*[_interpolate(i, p, how) for i, p in enumerate(probs)]).alias("quantiles")
+    counted = _count_in_brackets(_with_brackets(kept, keys, probs, accuracy), keys, len(probs))
+    ranks = [rank for i, p in enumerate(probs) for rank in _ranks(i, p, how)]
+    wanted = _locate(counted, keys, ranks)
+    place = [*keys, "_gap", "_chunk"]
+    inside = Window.partitionBy(*place, "_slot").orderBy("_mid")
+    running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counted.join(wanted, place).withColumn("_end", F.sum("_c").over(running))
+    hit = (F.col("_local") >= F.col("_end") - F.col("_c")) & (F.col("_local") < F.col("_end"))
+    picked = ranked.where(hit).groupBy(*keys).agg(
+        F.max("n").alias("n"),
+        *[F.max(F.when(F.col("_slot") == slot, F.col("_mid"))).alias(f"_s{slot}") for slot in range(len(ranks))],
     )
+    width = len(ranks) // len(probs)
+    values = [_interpolate(i * width, p, how) for i, p in enumerate(probs)]
+    return picked.select(*keys, "n", F.array(*values).alias("quantiles"))
 
 
-def _with_brackets(
-    kept: DataFrame, keys: list[str], probs: Sequence[float], accuracy: int, few_groups: bool
-) -> DataFrame:
-    """Add ``_lo``/``_hi`` columns between which the wanted ranks are certain to lie."""
+def _with_brackets(kept: DataFrame, keys: list[str], probs: Sequence[float], accuracy: int) -> DataFrame:
+    """Add ``_lo``/``_hi`` columns between which the wanted ranks are certain to lie.
+
+    The brackets are evaluated here, once: two branches of the plan use them, and a
+    sketch merged in another order could give each branch a different one.
+    """
     # The sketch is off by at most n/accuracy ranks. Four times that is also more
     # than one whole rank once n > accuracy; smaller groups are kept entire.
     margin = 4 / accuracy
@@ -90,42 +85,80 @@ def _with_brackets(
         low, high = F.get("_b", F.lit(i)), F.get("_b", F.lit(i + len(probs)))
         columns.append(F.when(whole, F.lit(float("-inf"))).otherwise(low).alias(f"_lo{i}"))
         columns.append(F.when(whole, F.lit(float("inf"))).otherwise(high).alias(f"_hi{i}"))
-    if keys and few_groups:
-        return kept.join(F.broadcast(sketch.select(*keys, *columns)), keys)
     if keys:
         return attach(kept, sketch.select(*keys, *columns), keys, "inner")
-    one_row = sketch.select(F.struct(*columns).alias("_s")).scalar()
-    names = [f"{side}{i}" for i in range(len(probs)) for side in ("_lo", "_hi")]
-    return kept.withColumn("_s", one_row).select("_v", *[F.col(f"_s.{name}") for name in names])
+    one_row = sketch.select(*columns).first().asDict()
+    return kept.select("_v", *[F.lit(bound).cast("double").alias(name) for name, bound in one_row.items()])
+
+
+def _count_in_brackets(tagged: DataFrame, keys: list[str], brackets: int) -> DataFrame:
+    """Rows per (gap, chunk, value); ``_mid`` is NULL for the rows outside all brackets.
+
+    Gap ``g`` reaches from the end of bracket ``g - 1`` to the end of bracket ``g``,
+    so (gap, chunk, value) is the order of the values.
+    """
+    v = F.col("_v")
+    bounds = [(F.col(f"_lo{i}"), F.col(f"_hi{i}")) for i in range(brackets)]
+    inside = reduce(or_, [v.between(low, high) for low, high in bounds])
+    gap = reduce(add, [F.when(v > high, 1).otherwise(0) for _, high in bounds])
+    placed = tagged.withColumn("_gap", gap).withColumn("_mid", F.when(inside, v))
+    chunk = F.coalesce(
+        *[
+            F.when(
+                (F.col("_gap") == i) & (low > float("-inf")) & (high > low),
+                F.floor((v - low) / (high - low) * CHUNKS),
+            )
+            for i, (low, high) in enumerate(bounds)
+        ],
+        F.lit(0),
+    )
+    chunk = F.when(F.col("_mid").isNull(), -1).otherwise(chunk)
+    return placed.groupBy(*keys, "_gap", chunk.cast("int").alias("_chunk"), "_mid").agg(F.count("*").alias("_c"))
+
+
+def _ranks(i: int, p: float, how: str) -> list[Column]:
+    """0-based ranks whose values quantile ``i`` needs, in terms of ``n``."""
+    if how == "nearest":
+        return [F.floor(_position(p) + 0.5)]
+    return [F.floor(_position(p)), F.ceil(_position(p))]
 
 
 def _position(p: float) -> Column:
     return F.lit(float(p)) * (F.col("n") - 1)
 
 
-def _value_at(rank: Column) -> Column:
-    start = F.col("_end") - F.col("_c")
-    return F.max(F.when((start <= rank) & (rank < F.col("_end")), F.col("_mid")))
-
+def _locate(counted: DataFrame, keys: list[str], ranks: list[Column]) -> DataFrame:
+    """The chunk that holds each rank, and the rank inside it.
 
-def _neighbours(i: int, p: float, how: str) -> list[Column]:
-    if how == "nearest":
-        return [_value_at(F.floor(_position(p) + 0.5)).alias(f"_a{i}")]
-    return [
-        _value_at(F.floor(_position(p))).alias(f"_a{i}"),
-        _value_at(F.ceil(_position(p))).alias(f"_b{i}"),
-    ]
+    A group has at most one row per chunk here, however many rows it counts.
+    """
+    totals = counted.groupBy(*keys, "_gap", "_chunk").agg(F.sum("_c").alias("_t"))
+    group = Window.partitionBy(*keys)
+    running = group.orderBy("_gap", "_chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = totals.withColumn("n", F.sum("_t").over(group)).withColumn("_start", F.sum("_t").over(running) - F.col("_t"))
+    slots = F.array(*[F.struct(F.lit(s).alias("slot"), r.cast("long").alias("rank")) for s, r in enumerate(ranks)])
+    local = F.col("_want.rank") - F.col("_start")
+    found = placed.withColumn("_want", F.explode(slots)).where((local >= 0) & (local < F.col("_t")))
+    # a rank among the collapsed rows would mean that a bracket missed it
+    lost = F.raise_error(F.lit("quantile rank fell outside its bracket")).cast("long")
+    return found.select(
+        *keys,
+        "_gap",
+        "_chunk",
+        "n",
+        F.col("_want.slot").alias("_slot"),
+        F.when(F.col("_chunk") >= 0, local).otherwise(lost).alias("_local"),
+    )
 
 
-def _interpolate(i: int, p: float, how: str) -> Column:
-    below = F.col(f"_a{i}")
+def _interpolate(slot: int, p: float, how: str) -> Column:
+    below = F.col(f"_s{slot}")
     if how == "nearest":
         result = below
     else:
         part = _position(p) - F.floor(_position(p))
-        result = below + (F.col(f"_b{i}") - below) * part
-    lost = F.raise_error(F.lit("quantile rank fell outside its bracket")).cast("double")
-    return F.when(F.col("n").isNotNull(), F.coalesce(result, lost))
+        result = below + (F.col(f"_s{slot + 1}") - below) * part
+    return result
 
 
 def quantile_columns(
@@ -137,10 +170,7 @@ def quantile_columns(
     return result.select(*by, "n", *picks)
 
 
-def column_quantiles(
-    rows: DataFrame, columns: Sequence[str], probs: Sequence[float], **options
-) -> DataFrame:
+def column_quantiles(rows: DataFrame, columns: Sequence[str], probs: Sequence[float], **options) -> DataFrame:
     """Quantiles of several numeric columns in one plan: ``column``, ``n``, ``quantiles``."""
     doubles = rows.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    long = doubles.unpivot([], list(columns), "column", "value")
-    return quantiles(long, "value", probs, ["column"], few_groups=True, **options)
+    return quantiles(doubles.unpivot([], list(columns), "column", "value"), "value", probs, ["column"], **options)

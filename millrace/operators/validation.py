@@ -107,6 +107,17 @@ class Contract:
         parsed = rows.select("*", *[f.parse() for f in self.fields])
         return parsed.withColumn("errors", self.errors(field_names))
 
+    def settle(self, tagged: DataFrame, position: str) -> DataFrame:
+        """Tagged rows in the form to store: parsed values, errors, raw JSON of bad rows.
+
+        :meth:`valid`, :meth:`invalid` and :func:`split_counts` read it like tagged
+        rows, without parsing any text again.
+        """
+        raw = [c for c in tagged.columns if c not in (position, "errors") and not c.startswith(PARSED)]
+        bad = F.size("errors") > 0
+        parsed = [f.parsed for f in self.fields]
+        return tagged.select(position, *parsed, "errors", F.when(bad, F.to_json(F.struct(*raw))).alias("data"))
+
     def valid(self, tagged: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """Typed, normalised rows without an error."""
         flat = [f for f in self.fields if "." not in f.path]

@@ -56,13 +56,15 @@ def attach(
     """Equi-join a small per-key table to many rows.
 
     The lookup is evaluated first, up to ``limit`` rows. When it fits, those very
-    rows are broadcast and the many rows are never shuffled; when it does not, the
-    join is left to a shuffle. Deciding before the join matters: AQE would only
-    switch after the map side of the big shuffle had been written.
+    rows are broadcast and the many rows are never shuffled; when it does not, it is
+    stored and the join is left to a shuffle. Deciding before the join matters: AQE
+    would only switch after the map side of the big shuffle had been written.
     """
     head = lookup.limit(limit + 1).collect()
     if len(head) <= limit:
         lookup = F.broadcast(rows.sparkSession.createDataFrame(head, lookup.schema))
+    else:
+        lookup = materialize(lookup, "lookup")
     return rows.join(lookup, list(keys), how)
 
 
