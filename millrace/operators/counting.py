@@ -104,13 +104,17 @@ def top_categories(sales: DataFrame, top_n: int = 10) -> DataFrame:
     """The categories with the highest sales, ranked."""
     if top_n < 1:
         raise ValueError("top_n must be at least 1")
-    best = (
+    totals = (
         sales.where(F.col("category").isNotNull())
         .groupBy("category")
         .agg(exact_sum(F.col("amount")).alias("amount"))
-        .orderBy(F.desc("amount"), "category")
-        .limit(top_n)
     )
+    return rank_categories(totals, top_n)
+
+
+def rank_categories(totals: DataFrame, top_n: int) -> DataFrame:
+    """The highest of one total per category, with their ranks."""
+    best = totals.orderBy(F.desc("amount"), "category").limit(top_n)
     # the window sees the top_n result rows only
     position = F.row_number().over(Window.orderBy(F.desc("amount"), "category"))
     return best.select(position.cast("long").alias("rank"), "category", F.col("amount").cast("double").alias("amount"))

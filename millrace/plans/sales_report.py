@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.scalars import discounted_amount
+from millrace.functions.scalars import discounted_amount, exact_sum
 from millrace.operators import cleaning
-from millrace.operators.counting import sales_kpi, top_categories
-from millrace.session import require_columns, require_rows
+from millrace.operators.counting import rank_categories
+from millrace.session import materialize, require_columns, require_rows
 
 REQUIRED = ("category", "quantity", "unit_price", "discount")
 
@@ -48,19 +48,32 @@ def clean_sales_fully(sales: DataFrame, approx: bool = False) -> DataFrame:
 
 
 def report_rows(cleaned: DataFrame, top_n: int = 10) -> DataFrame:
-    """The report as one table: a KPI row (rank 0) and the ranked categories."""
+    """The report as one table: a KPI row (rank 0) and the ranked categories.
+
+    The sales are read once, into totals per category that are stored; head and body
+    of the report both follow from them.
+    """
     require_columns(cleaned, ["category", "amount"])
-    head = sales_kpi(cleaned).select(
+    if top_n < 1:
+        raise ValueError("top_n must be at least 1")
+    totals = cleaned.groupBy("category").agg(
+        exact_sum(F.col("amount")).alias("amount"), F.count("amount").alias("n"), F.count("*").alias("rows")
+    )
+    totals = materialize(totals, "category-totals")
+    sums = totals.agg(
+        F.sum("amount").cast("double").alias("amount"), F.sum("n").alias("n"), F.sum("rows").alias("rows")
+    )
+    nothing = F.lit(None).cast("long"), F.lit(None).cast("double")
+    head = sums.select(
         F.lit(0).cast("long").alias("rank"),
         F.lit("total").alias("category"),
-        F.col("total_sales").alias("amount"),
-        "orders",
-        "mean_order",
+        "amount",
+        F.col("rows").alias("orders"),
+        F.round(F.try_divide("amount", F.col("n").cast("double")), 1).alias("mean_order"),
+    )
+    body = rank_categories(totals.where(F.col("category").isNotNull()), top_n).select(
+        "*", nothing[0].alias("orders"), nothing[1].alias("mean_order")
     )
-    body = top_categories(cleaned, top_n).select(
-        "rank", "category", F.round("amount", 2).alias("amount"),
-        F.lit(None).cast("long").alias("orders"), F.lit(None).cast("double").alias("mean_order"),
-    )
     return head.unionByName(body)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions import scalars
 from millrace.operators import cleaning, counting, lookup, profiling
 from millrace.plans import sales_report as plan
+from millrace.session import materialize
 from millrace.workload import views as v
 from millrace.workload.logs import rounded
 
@@ -111,7 +112,7 @@ def clean_sales(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def category_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return counting.category_summary(_cleaned(spark, sf))
+    return counting.category_summary(materialize(_cleaned(spark, sf), "cleaned"))
 
 
 def top_categories(spark: SparkSession, sf: str) -> DataFrame:
