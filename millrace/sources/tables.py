@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from pathlib import PurePosixPath
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.scalars import blank_to_null, to_number
 from millrace.operators.contracts import API_RESPONSE_TEXTS, WEB_LOG_TEXTS, texts
 from millrace.operators.lookup import same_rows
-from millrace.session import require_columns, require_rows
+from millrace.session import attach, require_columns, require_rows
 
 SALES_TEXTS = texts("order_id", "order_date", "region", "category", "quantity", "unit_price", "discount")
 EVENT_TYPES = {"event_id": "bigint", "user_id": "bigint", "event_type": "string", "ts": "timestamp_ntz", "amount": "double"}
@@ -22,6 +22,7 @@ CHURN_TYPES = {
     "payment_method": "string", "num_services": "int", "churn": "int",
 }
 NUMBERS = ("int", "bigint", "double")
+MAX_SPLITS = 1_000_000
 
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
@@ -85,6 +86,24 @@ def explode_results(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame
     )
 
 
+def number_rows(df: DataFrame, name: str = "row_no") -> DataFrame:
+    """Add the 0-based position of each row of a file scan, in file order.
+
+    Rows are counted per input split; a row's position is the number of rows in the
+    splits before its own plus its place inside it. One row per split is broadcast.
+    """
+    marked = df.withColumn("_mark", F.monotonically_increasing_id())
+    split, place = F.shiftright("_mark", 33), F.col("_mark").bitwiseAND((1 << 33) - 1)
+    before = Window.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        marked.groupBy(split.alias("_split"))
+        .agg(F.count("*").alias("_rows"))
+        .select("_split", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    )
+    joined = attach(marked.withColumn("_split", split), offsets, ["_split"], "inner", limit=MAX_SPLITS)
+    return joined.select(*df.columns, (F.col("_offset") + place).alias(name))
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).csv(path, header=True)
 

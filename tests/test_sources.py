@@ -125,3 +125,19 @@ def test_json_documents_are_numbered_from_zero(spark, tmp_path):
     (tmp_path / "users.json").write_text(json.dumps({"status": "ok", "count": 2, "results": users}, indent=2))
     rows = tables.read_api_users(spark, str(tmp_path / "users.json")).collect()
     assert [(r["position"], r["id"], r["profile"]["score"]) for r in rows] == [(0, "5", "1.5"), (1, "6", "1.5")]
+
+
+def test_rows_of_a_split_file_are_numbered_in_order(spark, tmp_path):
+    path = tmp_path / "logs.csv"
+    lines = [f"10.0.0.1,2025-03-05T14:00:00,GET,/p{i},200,{i},agent" for i in range(5000)]
+    path.write_text("ip,timestamp,method,path,status,bytes,user_agent\n" + "\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        numbered = tables.number_rows(tables.read_web_logs(spark, str(path)))
+        assert numbered.rdd.getNumPartitions() > 3
+        assert numbered.where(F.col("row_no") != F.col("bytes").cast("long")).count() == 0
+        assert numbered.agg(F.count_distinct("row_no"), F.max("row_no")).first()[:] == (5000, 4999)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
