@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -114,6 +116,11 @@ def minute_text(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
 
 
+def moment(value: datetime) -> Column:
+    """A zone-less point in time, whatever the zones of driver and session are."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def half_open(value: Column, start: Column, end: Column) -> Column:
     return (value >= start) & (value < end)
 

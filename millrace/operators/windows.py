@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.scalars import half_open
+from millrace.functions.scalars import half_open, moment
 from millrace.operators.quantiles import quantile_columns
 from millrace.session import require_rows
 
@@ -61,7 +61,7 @@ def inject_incident(
     """Rows of one path in [start, end) fail with 503 and occur ``multiplier`` times."""
     if multiplier < 1:
         raise ValueError("multiplier must be at least 1")
-    hit = half_open(F.col("timestamp"), F.lit(start), F.lit(end)) & (F.col("path") == path)
+    hit = half_open(F.col("timestamp"), moment(start), moment(end)) & (F.col("path") == path)
     if check:
         require_rows(logs.where(hit), "the set of log rows to rewrite")
     hit = F.coalesce(hit, F.lit(False))
@@ -75,7 +75,7 @@ def inject_incident(
 
 def baseline_error_rate(features: DataFrame, baseline_end: datetime) -> DataFrame:
     """Server errors over requests before the cut-off."""
-    return features.where(F.col("timestamp") < F.lit(baseline_end)).agg(
+    return features.where(F.col("timestamp") < moment(baseline_end)).agg(
         F.try_divide(F.sum("error_5xx_count"), F.sum("request_count")).alias("baseline_error_rate")
     )
 
@@ -86,7 +86,7 @@ def score_threshold(
     """Linear quantile of the scores before the cut-off."""
     if not 0 < quantile < 1:
         raise ValueError("quantile must lie between 0 and 1")
-    baseline = scored.where(F.col("timestamp") < F.lit(baseline_end))
+    baseline = scored.where(F.col("timestamp") < moment(baseline_end))
     return quantile_columns(baseline, "anomaly_score", {"threshold": quantile}, approx=approx).select("threshold")
 
 
@@ -104,7 +104,7 @@ def detection_metrics(detected: DataFrame, start: datetime | None, end: datetime
     Without an interval there is no truth: all measures are 0.
     """
     flagged = F.col("is_anomaly")
-    actual = F.lit(False) if start is None else half_open(F.col("timestamp"), F.lit(start), F.lit(end))
+    actual = F.lit(False) if start is None else half_open(F.col("timestamp"), moment(start), moment(end))
     counts = detected.agg(
         F.count_if(actual).alias("actual_windows"),
         F.count_if(flagged).alias("predicted_windows"),
