@@ -103,24 +103,28 @@ def shingles(words: np.ndarray, size: int) -> np.ndarray:
     h = np.full(n, np.uint64(size))
     with np.errstate(over="ignore"):
         for k in range(size):
-            h = mix(h * np.uint64(0x9E3779B97F4A7C15) + words[k : k + n])
-    return np.unique(h)
+            h *= np.uint64(0x9E3779B97F4A7C15)
+            h += words[k : k + n]
+        return np.unique(mix(h))
 
 
 def permutations(count: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Odd factors and offsets of ``count`` multiply-shift hash functions."""
+    """Odd factors and offsets of ``count`` universal (multiply-add, 32-bit) hash functions."""
     draw = np.random.default_rng(seed)
-    a = draw.integers(0, 2**63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    return a, draw.integers(0, 2**63, count, dtype=np.uint64)
+    a = draw.integers(0, 2**31, count, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    return a, draw.integers(0, 2**32, count, dtype=np.uint32)
 
 
-def minhash(items: np.ndarray, a: np.ndarray, b: np.ndarray, chunk: int = 2048) -> np.ndarray:
-    """Minimum of each permutation over the items, as 32-bit numbers; no items: all ones."""
-    best = np.full(len(a), np.uint64(2**64 - 1))
+def minhash(items: np.ndarray, a: np.ndarray, b: np.ndarray, chunk: int = 4096) -> np.ndarray:
+    """Minimum of each permutation over 64-bit items, as 32-bit numbers; no items: all ones."""
+    best = np.full(len(a), np.uint32(2**32 - 1))
+    x = (items >> np.uint64(32)).astype(np.uint32)
     with np.errstate(over="ignore"):
-        for i in range(0, len(items), chunk):
-            best = np.minimum(best, (a[:, None] * items[None, i : i + chunk] + b[:, None]).min(axis=1))
-    return (best >> np.uint64(32)).astype(np.uint32)
+        for i in range(0, len(x), chunk):
+            h = a[:, None] * x[None, i : i + chunk]
+            h += b[:, None]
+            np.minimum(best, h.min(axis=1), out=best)
+    return best
 
 
 def binaries(values: list[bytes]) -> pa.Array:

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from millrace.llm import licenses, rollups, warc
+from millrace.llm import exact_dedup, fingerprints, licenses, rollups, warc
 
 QUERIES = {
     "op1_licenses": licenses.op1_licenses,
+    "op4_fingerprints": fingerprints.op4_fingerprints,
+    "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op9_rollups": rollups.op9_rollups,
     "op10_warc": warc.op10_warc,
 }
 ORACLES = {
     "op1_licenses": licenses.ORACLE_SQL,
+    "op6_exact_dedup": exact_dedup.ORACLE_SQL,
     "op9_rollups": rollups.ORACLE_SQL,
     "op10_warc": warc.ORACLE_SQL,
 }
