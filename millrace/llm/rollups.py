@@ -112,7 +112,7 @@ def op9_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     toxic = labels.where("toxic = 1").select("doc_id").distinct()
-    poor = documents.join(labels.where("quality = 0 and toxic = 0").select("doc_id").distinct(), "doc_id", "left_semi")
+    poor = labels.where("quality = 0 and toxic = 0").select("doc_id").distinct()
     loads = [counted(documents, version, pattern, "insert") for version, pattern in VERSIONS.items()]
     gone = toxic.select(
         "doc_id",
@@ -126,7 +126,8 @@ def op9_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     batches = {
         "000-load": loads[0].unionByName(loads[1]),
         "001-withdraw": gone,
-        "002-recount": counted(poor, "words-2", "[A-Za-z0-9]+", "revise"),
+        # counted before the join, so that it shuffles no text
+        "002-recount": counted(documents, "words-2", "[A-Za-z0-9]+", "revise").join(poor, "doc_id", "left_semi"),
     }
     for _ in range(2):
         for batch_id, changes in batches.items():
