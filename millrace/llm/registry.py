@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from millrace.llm import exact_dedup, fingerprints, licenses, rollups, sentencepiece, toxicity, warc
+from millrace.llm import exact_dedup, fingerprints, licenses, mixing, rollups, sentencepiece, toxicity, warc
 
 QUERIES = {
     "op1_licenses": licenses.op1_licenses,
     "op3_sentencepiece": sentencepiece.op3_sentencepiece,
     "op4_fingerprints": fingerprints.op4_fingerprints,
+    "op5_mixing": mixing.op5_mixing,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_rollups": rollups.op9_rollups,
