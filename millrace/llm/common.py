@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from millrace.session import materialize
 
@@ -29,6 +30,28 @@ def utf8(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
 
 
+def mark(column: str = "text") -> Column:
+    """64-bit hash of a row's text, which tells rows of one doc_id apart."""
+    return F.xxhash64(F.coalesce(F.col(column), F.lit("")))
+
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
+def keep_rows(documents: DataFrame, keys: DataFrame) -> DataFrame:
+    """For each distinct (doc_id, mark) of ``keys`` one row of the documents, with their columns."""
+    a, b, n = (free_name(documents, x) for x in ("__keep_id", "__keep_mark", "__keep_no"))
+    wanted = keys.select(F.col("doc_id").alias(a), F.col("mark").alias(b)).distinct()
+    marked = documents.join(wanted, F.col("doc_id").eqNullSafe(F.col(a)) & (mark() == F.col(b)))
+    first = Window.partitionBy(a, b).orderBy(F.lit(0))
+    return marked.withColumn(n, F.row_number().over(first)).where(F.col(n) == 1).drop(a, b, n)
+
+
 def parallelism(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import parallelism, slices, stored, table, utf8
+from millrace.llm.common import keep_rows, mark, parallelism, slices, stored, table, utf8
 
 BLANKS = b" \t\n\x0b\x0c\r"
 TABLE_BYTES = 48 << 20  # contents that one table may hold before it is emptied or split
@@ -120,7 +120,7 @@ def _rank(n_chars: int, doc_id: int | None, row: int) -> tuple:
     return (-n_chars, doc_id is None, doc_id or 0, row)
 
 
-_LOCAL = "doc_id bigint, row bigint, n_chars bigint, text_sha256 string, key bigint, hash bigint, size bigint, content binary"
+_LOCAL = "doc_id bigint, mark bigint, row bigint, n_chars bigint, text_sha256 string, key bigint, hash bigint, size bigint, content binary"
 
 
 def local_groups(documents: DataFrame, limit: int = TABLE_BYTES) -> DataFrame:
@@ -131,7 +131,7 @@ def local_groups(documents: DataFrame, limit: int = TABLE_BYTES) -> DataFrame:
         row = base
         found = ContentTable()
         names = [x.split()[0] for x in _LOCAL.split(", ")]
-        kinds = [*[pa.int64()] * 3, pa.string(), *[pa.int64()] * 3, pa.binary()]
+        kinds = [*[pa.int64()] * 4, pa.string(), *[pa.int64()] * 3, pa.binary()]
 
         def made(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows), kinds)], names=names)
@@ -140,7 +140,7 @@ def local_groups(documents: DataFrame, limit: int = TABLE_BYTES) -> DataFrame:
             rows, held = [], 0
             for x in found.entries:
                 n_chars, no_id, doc_id, best = x.best
-                rows.append((None if no_id else doc_id, best, -n_chars, None, x.keys[0], x.hash - (1 << 63), x.size, x.content))
+                rows.append((None if no_id else doc_id, None, best, -n_chars, None, x.keys[0], x.hash - (1 << 63), x.size, x.content))
                 held += len(x.content)
                 if held > 8 << 20:
                     yield made(rows)
@@ -150,7 +150,7 @@ def local_groups(documents: DataFrame, limit: int = TABLE_BYTES) -> DataFrame:
 
         for batch in slices(batches, "body"):
             rows = []
-            for doc_id, n_chars, body in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_chars", "body"))):
+            for doc_id, text_mark, n_chars, body in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "mark", "n_chars", "body"))):
                 content = body.translate(None, BLANKS)
                 digest = hashlib.sha256(content)
                 hash = int.from_bytes(digest.digest()[:8], "big")
@@ -161,7 +161,7 @@ def local_groups(documents: DataFrame, limit: int = TABLE_BYTES) -> DataFrame:
                     found.insert(entry)
                 else:
                     entry.absorb(best, 1, [])
-                rows.append((doc_id, row, n_chars, digest.hexdigest(), entry.keys[0], None, None, None))
+                rows.append((doc_id, text_mark, row, n_chars, digest.hexdigest(), entry.keys[0], None, None, None))
                 row += 1
             yield made(rows)
             if found.held > limit:
@@ -170,9 +170,13 @@ def local_groups(documents: DataFrame, limit: int = TABLE_BYTES) -> DataFrame:
         yield from standing()
 
     text = F.coalesce("text", F.lit(""))
-    return documents.select("doc_id", F.char_length(text).cast("bigint").alias("n_chars"), utf8().alias("body")).mapInArrow(
-        run, _LOCAL
+    keyed = documents.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        mark().alias("mark"),
+        F.char_length(text).cast("bigint").alias("n_chars"),
+        utf8().alias("body"),
     )
+    return keyed.mapInArrow(run, _LOCAL)
 
 
 _CLASS = "key bigint, keep_id bigint, keep_row bigint, group_size bigint"
@@ -207,17 +211,22 @@ def classes(texts: DataFrame, limit: int = TABLE_BYTES) -> DataFrame:
 
 
 def grouped(documents: DataFrame, limit: int = TABLE_BYTES) -> DataFrame:
-    """Every row with its group: doc_id, keep_id, group_size, kept, text_sha256, n_chars."""
+    """Every row with its group: doc_id, mark, keep_id, group_size, kept, text_sha256."""
     local = stored(local_groups(documents, limit), "exact")
     texts = local.where(F.col("content").isNotNull()).drop("text_sha256")
-    rows = local.where(F.col("content").isNull()).select("doc_id", "row", "n_chars", "text_sha256", "key")
+    rows = local.where(F.col("content").isNull()).select("doc_id", "mark", "row", "text_sha256", "key")
     return rows.join(classes(texts, limit), "key").select(
-        "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256", "n_chars"
+        "doc_id", "mark", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256"
     )
 
 
+def deduplicated(documents: DataFrame, limit: int = TABLE_BYTES) -> DataFrame:
+    """The documents with one row of each group of equal texts."""
+    return keep_rows(documents, grouped(documents, limit).where("kept"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grouped(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("n_chars")
+    return grouped(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("mark")
 
 
 ORACLE_SQL = r"""

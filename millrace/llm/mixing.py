@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import slices, stored, table, utf8
+from millrace.llm.common import free_name, mark, slices, stored, table, utf8
 from millrace.llm.toxicity import words_of
 
 DOMAINS = ("clean", "junk", "toxic")
@@ -188,7 +188,7 @@ def fit_rates(members: DataFrame, weights: dict[str, float] = WEIGHTS, headroom:
     supply = totals(members.withColumn("rate", F.lit(1.0)))
     fitted = (share > 0) & (supply > 0)
     if not fitted.any():
-        return members.withColumn("rate", F.lit(1.0)), {"targets": supply, "reached": supply, "steps": 0}
+        return members.withColumn("rate", F.lit(1.0)), {"targets": supply, "reached": supply, "steps": 0, "errors": [], "step": 0.0}
     total = headroom * np.min(supply[fitted] / share[fitted])
     targets = np.where(fitted, share * total, 0.0)
     scale = np.where(fitted, targets, 1.0)
@@ -201,7 +201,31 @@ def fit_rates(members: DataFrame, weights: dict[str, float] = WEIGHTS, headroom:
             break
         errors.append(error)
         reached = totals(members.withColumn("rate", rates_of(names, errors, step)))
-    return members.withColumn("rate", rates_of(names, errors, step)), {"targets": targets, "reached": reached, "steps": len(errors)}
+    fit = {"targets": targets, "reached": reached, "steps": len(errors), "errors": errors, "step": step}
+    return members.withColumn("rate", rates_of(names, errors, step)), fit
+
+
+def resampled(documents: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHTS, headroom: float = HEADROOM) -> DataFrame:
+    """The documents kept with probability min(1, rate), by a hash of doc_id and text, with their own columns.
+
+    No document is repeated, so that a stage before this one that removed copies stays
+    true. Rates are replayed beside the texts: nothing is joined or shuffled.
+    """
+    classifier = train(documents, labels)
+    fit = fit_rates(stored(posteriors(documents, classifier), "posteriors"), weights, headroom)[1]
+    shared = documents.sparkSession.sparkContext.broadcast((classifier, fit["errors"], fit["step"]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (tells, w), errors, step = shared.value
+        for batch in slices(batches, body):
+            p = softmax(np.stack([features(t, tells) for t in batch.column(body).to_pylist()]) @ w)
+            keep = batch.column(draw).to_numpy() < replayed(p, errors, step)
+            yield batch.select(own).filter(pa.array(keep))
+
+    own, body, draw = documents.columns, free_name(documents, "__body"), free_name(documents, "__draw")
+    uniform = F.pmod(F.xxhash64("doc_id", mark()), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields)
+    return documents.select("*", utf8().alias(body), uniform.alias(draw)).mapInArrow(run, schema)
 
 
 def mixed(documents: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHTS, headroom: float = HEADROOM) -> tuple[DataFrame, dict]:

@@ -33,17 +33,16 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import (
     WordHashes,
     hashed_words,
+    keep_rows,
+    mark,
     minhash,
-    mix,
-    parallelism,
     permutations,
-    ragged,
     shingles,
     slices,
     stored,
@@ -95,11 +94,11 @@ def stays(left: np.ndarray, right: np.ndarray, bounds: list[tuple[int, int]]) ->
     return out
 
 
-_SHINGLED = "doc_id bigint, row bigint, n_shingles bigint, digest binary, signature binary, bands array<bigint>, body binary"
+_SHINGLED = "doc_id bigint, mark bigint, row bigint, n_shingles bigint, digest binary, signature binary, body binary"
 
 
 def shingled(documents: DataFrame, size: int) -> DataFrame:
-    """Set size, digest of the set, signature, bands and the packed text of every row."""
+    """Set size, digest of the set, signature and the packed text of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -107,37 +106,40 @@ def shingled(documents: DataFrame, size: int) -> DataFrame:
         known, pack = WordHashes(), zstandard.ZstdCompressor(level=3)
         a, b = permutations(PLACES, SEED)
         row = TaskContext.get().partitionId() << 40
-        number = np.arange(PLACES // ROWS, dtype=np.uint64)
         for batch in slices(batches, "body"):
-            counts, digests, signatures, bands, bodies = [], [], [], [], []
+            counts, digests, signatures, bodies = [], [], [], []
             for body in batch.column("body").to_pylist():
                 items = word_set(body, size, known)
                 mins = minhash(items, a, b)
                 counts.append(len(items))
                 digests.append(hashlib.blake2b(items.tobytes(), digest_size=16).digest())
                 signatures.append((mins >> np.uint32(16)).astype(np.uint16).tobytes())
-                key = np.full(PLACES // ROWS, np.uint64(SEED)) + number
-                with np.errstate(over="ignore"):
-                    for column in mins.reshape(-1, ROWS).T.astype(np.uint64):
-                        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + column)
-                bands.append(key.view(np.int64))
                 bodies.append(pack.compress(body))
             n = len(counts)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("mark"),
                     pa.array(np.arange(row, row + n)),
                     pa.array(counts, type=pa.int64()),
                     pa.array(digests, type=pa.binary()),
                     pa.array(signatures, type=pa.binary()),
-                    ragged(np.concatenate(bands), np.full(n, PLACES // ROWS), pa.int64()),
                     pa.array(bodies, type=pa.binary()),
                 ],
                 names=[x.split()[0] for x in _SHINGLED.split(", ")],
             )
             row += n
 
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), utf8().alias("body")).mapInArrow(run, _SHINGLED)
+    keyed = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), mark().alias("mark"), utf8().alias("body"))
+    return keyed.mapInArrow(run, _SHINGLED)
+
+
+def band_keys(signature: Column) -> Column:
+    """One 64-bit key per band of ``ROWS`` places (two bytes each)."""
+    return F.transform(
+        F.sequence(F.lit(0), F.lit(PLACES // ROWS - 1)),
+        lambda i: F.xxhash64(i, F.substring(signature, i * (2 * ROWS) + 1, F.lit(2 * ROWS))),
+    )
 
 
 def plausible(pairs: DataFrame, signatures: DataFrame, similarity: float) -> DataFrame:
@@ -160,6 +162,9 @@ def plausible(pairs: DataFrame, signatures: DataFrame, similarity: float) -> Dat
 
 def linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs with 100 * common >= percent * union on full sets."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
+    # one pass over all texts; the two joins then shuffle those of candidates only
+    texts = stored(texts.select("row", "body").join(wanted, "row", "left_semi"), "texts")
     joined = pairs.join(texts.select(F.col("row").alias("a"), F.col("body").alias("left")), "a").join(
         texts.select(F.col("row").alias("b"), F.col("body").alias("right")), "b"
     )
@@ -213,14 +218,14 @@ def across(members: DataFrame, similarity: float) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """Per row: doc_id, row, n_shingles, component_id and first (the one row of its component that stays)."""
+    """Per row: doc_id, mark, n_shingles, component_id and first (the one row of its component that stays)."""
     similarity = percent / 100
     rows = stored(shingled(documents, size), "shingled")
     filled = rows.where("n_shingles > 0")
     classes = filled.groupBy("digest").agg(F.min("row").alias("node"))
-    nodes = stored(filled.join(classes, F.col("row") == F.col("node"), "left_semi").select("row", "signature", "bands"), "nodes")
+    nodes = stored(filled.join(classes, F.col("row") == F.col("node"), "left_semi").select("row", "signature"), "nodes")
 
-    bands = nodes.select("row", F.explode("bands").alias("band"))
+    bands = nodes.select("row", F.explode(band_keys(F.col("signature"))).alias("band"))
     shared = bands.groupBy("band").agg(F.min("row").alias("leader"), F.count("*").alias("n")).where("n > 1")
     held = stored(bands.join(shared, "band"), "held")  # rows of bands that several rows share
     star = held.where("row <> leader").select(F.col("row").alias("a"), F.col("leader").alias("b")).distinct()
@@ -237,19 +242,24 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
         links = links.union(stored(linked(fresh, rows, size, percent), "links"))
         labels = components(links)
 
-    placed = rows.select("doc_id", "row", "n_shingles", "digest")
-    by_class = placed.where("n_shingles > 0").join(classes, "digest").select("doc_id", "row", "n_shingles", "node")
-    alone = placed.where("n_shingles = 0").select("doc_id", "row", "n_shingles", F.col("row").alias("node"))
+    placed = rows.select("doc_id", "mark", "row", "n_shingles", "digest")
+    by_class = placed.where("n_shingles > 0").join(classes, "digest").select("doc_id", "mark", "row", "n_shingles", "node")
+    alone = placed.where("n_shingles = 0").select("doc_id", "mark", "row", "n_shingles", F.col("row").alias("node"))
     joined = by_class.unionByName(alone).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     joined = stored(joined, "membership")
     # the smallest id, null last, and of repeated rows the first
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     first = joined.groupBy("label").agg(F.min(order).alias("f"))
     return joined.join(first, "label").select(
-        "doc_id", "row", "n_shingles", F.col("f.doc_id").alias("component_id"), (F.col("row") == F.col("f.row")).alias("first")
+        "doc_id", "mark", "n_shingles", F.col("f.doc_id").alias("component_id"), (F.col("row") == F.col("f.row")).alias("first")
     )
 
 
+def deduplicated(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The documents with one row of each component."""
+    return keep_rows(documents, near_duplicates(documents, size, percent).where("first"))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), size=4, percent=80)
     return found.select(

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WordIds, ragged, slices, table, utf8
+from millrace.llm.common import WordIds, free_name, ragged, slices, table, utf8
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁".encode()
@@ -317,8 +317,8 @@ def encoded(documents: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
     """The documents' columns with ``piece_ids`` and ``round_trip``: whether decoding gives the text back."""
     # plain arrays, so that executors need no importable copy of this package to read them
     shared = documents.sparkSession.sparkContext.broadcast(vars(Codec(read_model(model_path))))
-    body = "__body"
-    own = [f for f in documents.schema.fields if f.name not in ("piece_ids", "round_trip", body)]
+    body = free_name(documents, "__body")
+    own = [f for f in documents.schema.fields if f.name.lower() not in ("piece_ids", "round_trip")]
     frame = documents.select(*(F.col(f"`{f.name}`") for f in own), utf8().alias(body))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own) + ", piece_ids array<int>, round_trip boolean"
 

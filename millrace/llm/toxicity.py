@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WordIds, mix, slices, table, utf8
+from millrace.llm.common import WordIds, free_name, mix, slices, table, utf8
 
 WINDOW, STRIDE = 24, 12
 TRAIN_DOCUMENTS, TRAIN_CHARS = 2500, 10_000_000
@@ -373,11 +373,13 @@ def fitted(documents: DataFrame, labels: DataFrame) -> dict[str, np.ndarray]:
     return train(*training_rows(documents, labels))
 
 
-def scored(documents: DataFrame, parameters: dict[str, np.ndarray]) -> DataFrame:
-    """The documents' own columns and ``toxicity_score``; every window of every text is scored."""
+def scored(documents: DataFrame, parameters: dict[str, np.ndarray], name: str = "toxicity_score") -> DataFrame:
+    """The documents' own columns and the score as ``name``, which must be new; every window of every text is scored."""
+    if name.lower() in (c.lower() for c in documents.columns):
+        raise ValueError(f"the documents have a column {name}")
     shared = documents.sparkSession.sparkContext.broadcast(parameters)
-    body, name = "__body", "toxicity_score"
-    own = [f for f in documents.schema.fields if f.name not in (body, name)]
+    body = free_name(documents, "__body")
+    own = documents.schema.fields
     frame = documents.select(*(F.col(f"`{f.name}`") for f in own), utf8().alias(body))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own) + f", {name} double"
 
@@ -390,6 +392,12 @@ def scored(documents: DataFrame, parameters: dict[str, np.ndarray]) -> DataFrame
     return frame.mapInArrow(run, schema)
 
 
+def accepted(documents: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """The documents whose score stays below the threshold, with their own columns."""
+    name = free_name(documents, "toxicity_score")
+    return scored(documents, fitted(documents, labels), name).where(F.col(name) < threshold).drop(name)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     parameters = fitted(documents, table(spark, sf_dir, "labels"))
