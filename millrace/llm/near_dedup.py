@@ -5,9 +5,12 @@ sets form a class; one row stands for it. Standing rows get a signature of ``PLA
 minima, in ``PLACES / ROWS`` bands. Rows with a band in common are candidates:
 
 * each is first paired with the smallest row of the band (a star, never all pairs);
-* verified links give components; only in bands that still hold rows of several components are the
-  pairs across components compared, block by block inside tasks, so that no link between
-  rows of one band is lost although no bucket's pairs are written out.
+* verified links give components; only in bands that still hold rows of several components are
+  pairs across components compared, block by block inside tasks that hold these rows'
+  signatures and texts. A task writes one link per row and foreign component, which is all that
+  joining them takes: no link between components is lost and no bucket's pairs are written out.
+
+Joins that carry signatures or texts are always sorted merges, whatever the size.
 
 A candidate pair is verified by reading the signatures ``BATCH`` places at a time. With a
 uniform prior the posterior of the similarity after m of n agreements is Beta(m + 1,
@@ -52,9 +55,9 @@ from millrace.llm.common import (
 from millrace.llm.components import components
 
 ROWS, PLACES, BATCH = 6, 240, 24
-MISS = 1e-8
+MISS = 1e-6
 SEED = 91
-BLOCK = 1024  # rows of a mixed band that meet another block's in one task
+BLOCK = 2048  # rows of a mixed band that meet another block's in one task
 
 
 def word_set(body: bytes, size: int, known: WordHashes) -> np.ndarray:
@@ -142,12 +145,16 @@ def band_keys(signature: Column) -> Column:
     )
 
 
+def beside(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """Shuffled join of two sides that grow with the input; hot keys are split at run time."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def plausible(pairs: DataFrame, signatures: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose signatures pass the Bayesian bounds."""
     bounds = least_agreements(similarity)
-    joined = pairs.join(signatures.select(F.col("row").alias("a"), F.col("signature").alias("left")), "a").join(
-        signatures.select(F.col("row").alias("b"), F.col("signature").alias("right")), "b"
-    )
+    joined = beside(pairs, signatures.select(F.col("row").alias("a"), F.col("signature").alias("left")), "a")
+    joined = beside(joined, signatures.select(F.col("row").alias("b"), F.col("signature").alias("right")), "b")
 
     @F.pandas_udf("boolean")
     def passes(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -162,12 +169,8 @@ def plausible(pairs: DataFrame, signatures: DataFrame, similarity: float) -> Dat
 
 def linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs with 100 * common >= percent * union on full sets."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-    # one pass over all texts; the two joins then shuffle those of candidates only
-    texts = stored(texts.select("row", "body").join(wanted, "row", "left_semi"), "texts")
-    joined = pairs.join(texts.select(F.col("row").alias("a"), F.col("body").alias("left")), "a").join(
-        texts.select(F.col("row").alias("b"), F.col("body").alias("right")), "b"
-    )
+    joined = beside(pairs, texts.select(F.col("row").alias("a"), F.col("body").alias("left")), "a")
+    joined = beside(joined, texts.select(F.col("row").alias("b"), F.col("body").alias("right")), "b")
 
     @F.pandas_udf("boolean")
     def similar(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -186,35 +189,63 @@ def linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
     return joined.where(similar("left", "right")).select("a", "b")
 
 
-def across(members: DataFrame, similarity: float) -> DataFrame:
-    """Plausible pairs between different labels of one mixed band, compared inside tasks.
+def first_common(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Number of the first band that each pair of signatures shares."""
+    return (left == right).reshape(len(left), -1, ROWS).all(axis=2).argmax(axis=1)
+
 
-    ``members`` has band, n (rows of the band), row, label and signature. A band of over ``BLOCK`` rows is cut
-    into blocks by a hash, and every two blocks meet in a task of their own.
+def across(members: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) between different labels of one mixed band, found and checked inside tasks.
+
+    ``members`` has band, number (of the band in the signature), n (rows of the band), row,
+    label, signature and body. A band of over ``BLOCK`` rows is cut into blocks by a hash, and every two
+    blocks meet in a task of their own. A pair that shares several bands is checked in the first.
     """
-    bounds = least_agreements(similarity)
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    placed = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
+    bounds = least_agreements(percent / 100)
+    placed = members.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn(
+        "block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int")
+    )
     met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn(
         "low", F.least("block", "other")
     ).withColumn("high", F.greatest("block", "other"))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
+        import zstandard
+
+        unpack, known, sets = zstandard.ZstdDecompressor(), WordHashes(), {}
         group = group.drop_duplicates("row")
-        rows, labels = group["row"].to_numpy(), group["label"].to_numpy()
+        rows, labels, bodies = group["row"].tolist(), group["label"].to_numpy(), group["body"].tolist()
+        number = group["number"].iloc[0]
         signatures = np.frombuffer(b"".join(group["signature"]), dtype=np.uint16).reshape(-1, PLACES)
+
+        def items(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = word_set(unpack.decompress(bodies[i]), size, known)
+            return sets[i]
+
         found = []
         for i in range(len(rows) - 1):
             others = np.flatnonzero(labels[i + 1 :] != labels[i]) + i + 1
-            if len(others):
-                left = np.broadcast_to(signatures[i], (len(others), PLACES))
-                keep = others[stays(left, signatures[others], bounds)]
-                found += [(min(rows[i], rows[j]), max(rows[i], rows[j])) for j in keep]
-        return pd.DataFrame(found, columns=["b", "a"], dtype="int64")[["a", "b"]]
-
-    return met.select("band", "low", "high", "row", "label", "signature").groupBy("band", "low", "high").applyInPandas(
-        compare, "a bigint, b bigint"
-    )
+            left = np.broadcast_to(signatures[i], (len(others), PLACES))
+            others = others[stays(left, signatures[others], bounds)]
+            if not len(others):
+                continue
+            left = np.broadcast_to(signatures[i], (len(others), PLACES))
+            others = others[first_common(left, signatures[others]) == number]
+            # most alike first: the first link to a label settles it
+            agreed = (signatures[others] == signatures[i]).sum(axis=1)
+            settled = set()
+            for j in others[np.argsort(-agreed, kind="stable")].tolist():
+                if labels[j] in settled:
+                    continue
+                common = len(np.intersect1d(items(i), items(j), assume_unique=True))
+                if 100 * common >= percent * (len(items(i)) + len(items(j)) - common):
+                    settled.add(labels[j])
+                    found.append((max(rows[i], rows[j]), min(rows[i], rows[j])))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    needed = met.select("band", "low", "high", "number", "row", "label", "signature", "body")
+    return needed.groupBy("band", "low", "high").applyInPandas(compare, "a bigint, b bigint")
 
 
 def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -223,34 +254,36 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
     rows = stored(shingled(documents, size), "shingled")
     filled = rows.where("n_shingles > 0")
     classes = filled.groupBy("digest").agg(F.min("row").alias("node"))
-    nodes = stored(filled.join(classes, F.col("row") == F.col("node"), "left_semi").select("row", "signature"), "nodes")
+    nodes = stored(
+        beside(filled.select("row", "signature"), classes.select(F.col("node").alias("row")), "row", "left_semi"), "nodes"
+    )
 
-    bands = nodes.select("row", F.explode(band_keys(F.col("signature"))).alias("band"))
+    bands = nodes.select("row", F.posexplode(band_keys(F.col("signature"))).alias("number", "band"))
     shared = bands.groupBy("band").agg(F.min("row").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    held = stored(bands.join(shared, "band"), "held")  # rows of bands that several rows share
+    held = stored(beside(bands, shared, "band"), "held")  # rows of bands that several rows share
+    texts = stored(beside(rows.select("row", "body"), held.select("row").distinct(), "row", "left_semi"), "texts")
     star = held.where("row <> leader").select(F.col("row").alias("a"), F.col("leader").alias("b")).distinct()
-    checked = stored(plausible(star, nodes, similarity), "plausible")
-    links = stored(linked(checked, rows, size, percent), "links")
+    links = stored(linked(plausible(star, nodes, similarity), texts, size, percent), "links")
 
     labels = components(links)
-    labelled = held.join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
-    mixed = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    members = labelled.where("n > 2").join(mixed.select("band"), "band").join(nodes.select("row", "signature"), "row")
-    more = across(members.select("band", "n", "row", "label", "signature"), similarity).distinct()
-    fresh = stored(more.join(star, ["a", "b"], "left_anti"), "across")
+    labelled = beside(held, labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
+    # of two rows the star has checked the only pair
+    mixed = labelled.where("n > 2").groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    members = beside(labelled.select("band", "number", "n", "row", "label"), mixed.where("low <> high").select("band"), "band")
+    members = beside(beside(members, nodes, "row"), texts, "row")
+    fresh = stored(across(members, size, percent).distinct(), "across")
     if not fresh.isEmpty():
-        links = links.union(stored(linked(fresh, rows, size, percent), "links"))
-        labels = components(links)
+        labels = components(links.union(fresh))
 
     placed = rows.select("doc_id", "mark", "row", "n_shingles", "digest")
-    by_class = placed.where("n_shingles > 0").join(classes, "digest").select("doc_id", "mark", "row", "n_shingles", "node")
+    by_class = beside(placed.where("n_shingles > 0"), classes, "digest").select("doc_id", "mark", "row", "n_shingles", "node")
     alone = placed.where("n_shingles = 0").select("doc_id", "mark", "row", "n_shingles", F.col("row").alias("node"))
-    joined = by_class.unionByName(alone).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    joined = beside(by_class.unionByName(alone), labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     joined = stored(joined, "membership")
     # the smallest id, null last, and of repeated rows the first
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     first = joined.groupBy("label").agg(F.min(order).alias("f"))
-    return joined.join(first, "label").select(
+    return beside(joined, first, "label").select(
         "doc_id", "mark", "n_shingles", F.col("f.doc_id").alias("component_id"), (F.col("row") == F.col("f.row")).alias("first")
     )
 
