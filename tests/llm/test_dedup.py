@@ -141,14 +141,21 @@ def test_bayesian_bounds():
     assert not near_dedup.stays(left, apart, bounds).any()
 
 
-def test_across_blocks_find_every_mixed_pair(spark, monkeypatch):
+def test_across_blocks_join_every_label(spark, monkeypatch):
+    import zstandard
+
     monkeypatch.setattr(near_dedup, "BLOCK", 4)
-    draw = np.random.default_rng(1)
-    one = draw.integers(0, 60_000, near_dedup.PLACES).astype(np.uint16)
-    rows = [(7, 11, k, k % 3, bytearray(one.tobytes())) for k in range(11)]
-    members = spark.createDataFrame(rows, "band bigint, n bigint, row bigint, label bigint, signature binary")
-    got = {(r.a, r.b) for r in near_dedup.across(members, 0.8).collect()}
-    assert got == {(a, b) for a in range(11) for b in range(a) if a % 3 != b % 3}
+    one = np.random.default_rng(1).integers(0, 60_000, near_dedup.PLACES).astype(np.uint16)
+    body = bytearray(zstandard.ZstdCompressor().compress(b"a b c d e f"))
+    rows = [(7, 0, 11, k, k % 3, bytearray(one.tobytes()), body) for k in range(11)]
+    # the signature of another text, and one whose band has the number 0 no more
+    rows += [(8, 5, 2, k, k, bytearray(one.tobytes()), body) for k in (20, 21)]
+    members = spark.createDataFrame(
+        rows, "band bigint, number int, n bigint, row bigint, label bigint, signature binary, body binary"
+    )
+    got = {(r.a, r.b) for r in near_dedup.across(members, 4, 80).collect()}
+    assert all(a > b and a % 3 != b % 3 and a < 11 for a, b in got)
+    assert {frozenset((a % 3, b % 3)) for a, b in got} == {frozenset(x) for x in ((0, 1), (0, 2), (1, 2))}
 
 
 def test_components_of_long_path(spark):
