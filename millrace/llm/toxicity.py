@@ -6,10 +6,10 @@ beside the mean of hashed character n-gram vectors. Two gated recurrent layers r
 document's logit is the largest of all its windows, ``STRIDE`` words apart, to the end of
 the text; a fitted slope and offset turn it into a score.
 
-Trained in numpy on at most ``TRAIN_DOCUMENTS`` labelled rows per class and ``TRAIN_CHARS``
+Trained in numpy on at most ``TRAIN_DOCUMENTS`` labelled rows of each class and ``TRAIN_CHARS``
 characters a class, in order of a hash of doc_id, from rows outside the held-out fifth. As labels hold for
-documents and not for windows, each pass trains on the window that now scores highest in
-its document. Every fifth of these rows is kept from the training and fits the slope and offset.
+documents and not for windows, training goes on with the window that scores highest in
+its document, looked up anew every other pass. Every fifth of these rows is kept from the training and fits the slope and offset.
 Labels, lang, source and doc_id are no inputs of a score.
 
 Null text is empty; a text without words is one window of padding and gets the score of
@@ -31,11 +31,11 @@ from pyspark.sql import functions as F
 from millrace.llm.common import WordIds, free_name, mix, slices, table, utf8
 
 WINDOW, STRIDE = 24, 12
-TRAIN_DOCUMENTS, TRAIN_CHARS = 2500, 10_000_000
+TRAIN_DOCUMENTS, TRAIN_CHARS = {0: 4000, 1: 2500}, 10_000_000
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 6, 6
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 14, 1 << 16
 NGRAMS = (3, 4, 5, 6)
-PASSES, BATCH, RATE, SEED = 8, 128, 0.01, 7
+PASSES, LEAST_STEPS, BATCH, RATE, SEED = 8, 400, 128, 0.01, 7
 CHUNK = 4096  # windows that run through the network together
 
 _BREAKS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256)).lower()
@@ -122,7 +122,7 @@ class Network:
             "wh": normal(2, HIDDEN, 3 * HIDDEN, scale=HIDDEN**-0.5),
             "att": normal(2, HIDDEN, scale=0.3),
             "out": normal(2, HIDDEN, scale=0.5),
-            "b": np.zeros(1, dtype=np.float32),
+            "b": np.full(1, -3.0, dtype=np.float32),  # nothing read yet is no evidence
         }
 
     def embed(self, inputs: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
@@ -258,9 +258,9 @@ def train(texts: list[bytes], labels: list[int], seed: int = SEED, passes: int =
         share = float(target.mean()) if len(target) else 0.0
         return {"constant": np.array([share], dtype=np.float64)}
     known = WordIds()
-    split = [words_of(x) for x in texts]
-    sizes = np.array([len(x) for x in split], dtype=np.int64)
-    ids = np.fromiter((known[w] for x in split for w in x), dtype=np.int64, count=int(sizes.sum()))
+    parts = [np.array([known[w] for w in words_of(x)], dtype=np.int32) for x in texts]
+    sizes = np.array([len(x) for x in parts], dtype=np.int64)
+    ids = np.concatenate(parts)
     inputs = inputs_of(list(known) or [b"\x00"])
     pad = len(inputs[0])
     windows, owner = window_table(sizes, ids, pad)
@@ -276,18 +276,24 @@ def train(texts: list[bytes], labels: list[int], seed: int = SEED, passes: int =
     signal = np.append(np.maximum(vectors[:pad, 0], 0) + vectors[:pad, WORD_DIM], 0)
     rank = signal[windows].max(axis=1)
     step = 0
+    passes = max(passes, min(5 * passes, -(-LEAST_STEPS * BATCH // (3 * len(target)))))
     for turn in range(passes):
-        if turn:
+        if turn in (1, 2) or turn > 2 and turn % 2 == 0:
             rank = network.logits(network.project(network.embed(inputs)), windows, pad)
         order = np.lexsort((-rank, owner))
         tops = order[np.unique(owner[order], return_index=True)[1]]
         tops = tops[learned[tops]]
         others = rng.permutation(np.flatnonzero((target[owner] == 0) & learned))[: 2 * len(tops)]
-        chosen, want = np.concatenate([tops, others]), np.concatenate([target[owner[tops]], np.zeros(len(others), dtype=np.int64)])
+        chosen = np.concatenate([tops, others])
+        shown, want = windows[chosen], (target[owner[chosen]] == 1).astype(np.int64)
+        # some clean windows are cut to a few words or none, so that short and empty texts are known as clean
+        short = len(tops) + np.arange(0, len(others), 4)
+        shown[short] = np.where(np.arange(WINDOW) < rng.integers(0, WINDOW, len(short))[:, None], shown[short], pad)
+        shown[short[::8]] = pad
         shuffled = rng.permutation(len(chosen))
         for i in range(0, len(shuffled), BATCH):
             part = shuffled[i : i + BATCH]
-            used, local = np.unique(windows[chosen[part]], return_inverse=True)
+            used, local = np.unique(shown[part], return_inverse=True)
             real = used[used < pad]
             g = network.gradients(picked(inputs, real), local.reshape(-1, WINDOW), want[part])
             step += 1
@@ -355,7 +361,7 @@ def training_rows(documents: DataFrame, labels: DataFrame) -> tuple[list[bytes],
     per_doc = sized.groupBy("doc_id", "toxic").agg(F.max("size").alias("size"))
     chosen: list[tuple[int, int]] = []
     for label in (0, 1):
-        order = per_doc.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCUMENTS)
+        order = per_doc.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCUMENTS[label])
         held = 0
         for row in order.collect():
             if held + row["size"] <= TRAIN_CHARS:

@@ -115,7 +115,7 @@ def page_rows(n):
 def test_audit_finds_just_the_damage(spark):
     pages = spark.createDataFrame(page_rows(100), PAGES)
     rows = page_rows(100)
-    rows[17] = (*rows[17][:2], "other", *rows[17][3:])
+    rows[17] = (*rows[17][:2], "other" * 9, *rows[17][3:])
     rows[55] = (*rows[55][:2], rows[55][2][:5], *rows[55][3:])
     left = warc.tree(pages, span=40, fanout=4)
     assert len(left) == 4

@@ -138,7 +138,7 @@ def test_codec_agrees_with_the_library(codec, library, texts):
     for text, end, n in zip(samples, ends, counts):
         mine, theirs = ids[end - n : end], library.encode(text)
         if mine.tolist() != theirs:
-            assert codec.scores[mine].sum() == pytest.approx(codec.scores[theirs].sum(), abs=1e-6)
+            assert codec.scores[mine].sum() == pytest.approx(codec.scores[theirs].sum(), rel=1e-6)  # the library adds in 32 bits
     assert codec.decode(ids, counts) == [t.encode() for t in samples]
 
 
