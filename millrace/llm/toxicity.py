@@ -6,8 +6,8 @@ beside the mean of hashed character n-gram vectors. Two gated recurrent layers r
 document's logit is the largest of all its windows, ``STRIDE`` words apart, to the end of
 the text; a fitted slope and offset turn it into a score.
 
-Trained in numpy on at most ``TRAIN_DOCUMENTS`` labelled rows of each class and ``TRAIN_CHARS``
-characters a class, in order of a hash of doc_id, from rows outside the held-out fifth. As labels hold for
+Trained in numpy on at most ``TRAIN_DOCUMENTS`` labelled rows of each class with texts of up to
+``TRAIN_LONGEST`` bytes, together ``TRAIN_CHARS`` bytes a class (a bound on the driver's memory; scoring has none), in order of a hash of doc_id, from rows outside the held-out fifth. As labels hold for
 documents and not for windows, training goes on with the window that scores highest in
 its document, looked up anew every other pass. Every fifth of these rows is kept from the training and fits the slope and offset.
 Labels, lang, source and doc_id are no inputs of a score.
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import WordIds, free_name, mix, slices, table, utf8
 
 WINDOW, STRIDE = 24, 12
-TRAIN_DOCUMENTS, TRAIN_CHARS = {0: 4000, 1: 2500}, 10_000_000
+TRAIN_DOCUMENTS, TRAIN_CHARS, TRAIN_LONGEST = {0: 3000, 1: 2000}, 5_000_000, 6_000
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 6, 6
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 14, 1 << 16
 NGRAMS = (3, 4, 5, 6)
@@ -45,8 +45,13 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(_BREAKS).split()
 
 
-def inputs_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def inputs_of(words: list[bytes], step: int = 20_000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word buckets, and character n-gram buckets with the count of each word, of distinct words."""
+    parts = [_inputs(words[i : i + step]) for i in range(0, len(words), step)]
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def _inputs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     data = np.frombuffer(b"\x02" + b"\x03\x02".join(words) + b"\x03", dtype=np.uint8).astype(np.uint64)
     lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 2
     ends = np.cumsum(lengths)
@@ -62,11 +67,11 @@ def inputs_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             rolling = rolling * np.uint64(0x100000001B3) + shifted + np.uint64(1)
             if n in NGRAMS:
                 fits = np.flatnonzero(room >= n)
-                grams.append((mix(rolling[fits]) % np.uint64(CHAR_BUCKETS)).astype(np.int64))
+                grams.append((mix(rolling[fits]) % np.uint64(CHAR_BUCKETS)).astype(np.int32))
                 owners.append(owner[fits])
     grams, owners = np.concatenate(grams), np.concatenate(owners)
     order = np.argsort(owners, kind="stable")
-    return (mix(whole) % np.uint64(WORD_BUCKETS)).astype(np.int64), grams[order], np.bincount(owners, minlength=len(words))
+    return (mix(whole) % np.uint64(WORD_BUCKETS)).astype(np.int32), grams[order], np.bincount(owners, minlength=len(words))
 
 
 def sums_by(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -92,7 +97,7 @@ def window_table(sizes: np.ndarray, ids: np.ndarray, pad: int) -> tuple[np.ndarr
     start = (np.arange(counts.sum()) - first[owner]) * STRIDE
     at = start[:, None] + np.arange(WINDOW)
     inside = at < sizes[owner][:, None]
-    flat = np.append(ids, pad)
+    flat = np.append(ids, pad).astype(np.int32)
     where = np.where(inside, at + (np.cumsum(sizes) - sizes)[owner][:, None], len(ids))
     return flat[where], owner
 
@@ -129,7 +134,7 @@ class Network:
         """Vectors of distinct words; a last row of zeros is the padding."""
         word, grams, counts = inputs
         parts = []
-        step = 1 << 16
+        step = 1 << 14
         ends = np.cumsum(counts)
         for i in range(0, len(word), step):
             j = min(i + step, len(word))
@@ -229,23 +234,19 @@ def evidence(
     inputs, sizes: np.ndarray, ids: np.ndarray, target: np.ndarray, aside: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
     """Log odds of each word and n-gram bucket by the documents of either class that hold it."""
-    doc = np.repeat(np.arange(len(sizes)), sizes)
-    use = ~aside[doc]
-    pairs = np.unique(doc[use] * np.int64(len(inputs[0]) + 1) + ids[use])
-    doc, ids = pairs // (len(inputs[0]) + 1), pairs % (len(inputs[0]) + 1)
+    held = [np.zeros((2, WORD_BUCKETS), np.int32), np.zeros((2, CHAR_BUCKETS), np.int32)]
+    starts, ends = np.cumsum(inputs[2]) - inputs[2], np.cumsum(sizes)
+    for end, size, mark, skip in zip(ends, sizes, target, aside):
+        if not skip and size:
+            own = np.unique(ids[end - size : end])
+            counts = inputs[2][own]
+            at = np.repeat(starts[own] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+            held[0][mark, np.unique(inputs[0][own])] += 1
+            held[1][mark, np.unique(inputs[1][at])] += 1
+    positive, negative = target[~aside].sum(), (1 - target[~aside]).sum()
     out = []
-    for kind, buckets in ((0, WORD_BUCKETS), (1, CHAR_BUCKETS)):
-        if kind == 0:
-            keys, owner = inputs[0][ids], doc
-        else:
-            starts, own = np.cumsum(inputs[2]) - inputs[2], inputs[2][ids]
-            at = np.repeat(starts[ids] - (np.cumsum(own) - own), own) + np.arange(own.sum())
-            keys, owner = inputs[1][at], np.repeat(doc, own)
-        held = np.unique(owner * np.int64(buckets) + keys)
-        owner, keys = held // buckets, held % buckets
-        one = np.bincount(keys[target[owner] == 1], minlength=buckets)
-        zero = np.bincount(keys[target[owner] == 0], minlength=buckets)
-        odds = np.log((one + 0.5) / (target.sum() + 1)) - np.log((zero + 0.5) / ((1 - target).sum() + 1))
+    for zero, one in held:
+        odds = np.log((one + 0.5) / (positive + 1)) - np.log((zero + 0.5) / (negative + 1))
         out.append(np.where(one + zero > 1, np.clip(odds / 4, -1, 1), 0).astype(np.float32))  # seen once says little
     return out[0], out[1]
 
@@ -361,7 +362,8 @@ def training_rows(documents: DataFrame, labels: DataFrame) -> tuple[list[bytes],
     per_doc = sized.groupBy("doc_id", "toxic").agg(F.max("size").alias("size"))
     chosen: list[tuple[int, int]] = []
     for label in (0, 1):
-        order = per_doc.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCUMENTS[label])
+        fitting = per_doc.where((F.col("toxic") == label) & (F.col("size") <= TRAIN_LONGEST))
+        order = fitting.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCUMENTS[label])
         held = 0
         for row in order.collect():
             if held + row["size"] <= TRAIN_CHARS:
