@@ -24,6 +24,8 @@ HIGH_PRICE = 100_000
 SIGNIFICANCE_LEVEL = 0.05
 
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_DAY = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?$"
+WHOLE_KINDS = ("tinyint", "smallint", "int", "bigint")
 _OCTET = r"(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _FOUR_OCTETS = rf"{_OCTET}(\.{_OCTET}){{3}}"
 _HEX = "[0-9A-Fa-f]{1,4}"
@@ -34,23 +36,36 @@ _IPV6 = "|".join(
 )
 
 
+def strip(text: Column) -> Column:
+    """Text without white space of any kind at its ends."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def blank_to_null(text: Column) -> Column:
     """Texts that stand for a missing value become NULL."""
-    return F.when(~F.trim(text).isin(*MISSING_TEXTS), text)
+    return F.when(~strip(text).isin(*MISSING_TEXTS), text)
 
 
 def to_number(text: Column, kind: str = "double") -> Column:
     """Number of a text, NULL when it is not a plain decimal number.
 
-    The guard keeps out forms such as ``1d`` that a Spark cast would accept.
+    The guard keeps out forms such as ``1d`` that a Spark cast would accept. For a whole
+    kind, ``3.0`` and ``1e3`` are whole numbers; ``2.5`` is none.
     """
-    text = text.cast("string")
-    return F.when(text.rlike(_NUMBER), F.trim(text).try_cast(kind))
+    text = strip(text.cast("string"))
+    number = F.when(text.rlike(_NUMBER), text)
+    if kind not in WHOLE_KINDS:
+        return number.try_cast(kind)
+    plain = number.try_cast(kind)
+    exact = number.try_cast("double")
+    return F.when(number.rlike(r"^[+-]?\d+$"), plain).when(exact == F.rint(exact), exact.try_cast(kind))
 
 
 def to_day(text: Column) -> Column:
-    """Date of an ISO text, NULL when it is none."""
-    return F.try_to_timestamp(F.substring(F.trim(text.cast("string")), 1, 10), F.lit("yyyy-MM-dd")).cast("date")
+    """Date of an ISO date or time, NULL when the whole text is none."""
+    text = strip(text.cast("string"))
+    day = F.try_to_timestamp(F.substring(text, 1, 10), F.lit("yyyy-MM-dd")).cast("date")
+    return F.when(text.rlike(_DAY) & text.try_cast("timestamp_ntz").isNotNull(), day)
 
 
 def clip(value: Column, low: Column, high: Column) -> Column:
@@ -82,6 +97,15 @@ def exact_mean(money: Column, scale: int = 2) -> Column:
     return F.try_divide(exact_sum(money, scale).cast("double"), F.count(money).cast("double"))
 
 
+def steady_mean(value: Column) -> Column:
+    """Mean of the values as they are, NULL for no values.
+
+    Summed in decimals of 12 places, which holds a double of this size whole for practical
+    purposes and makes the sum independent of the order in which tasks end.
+    """
+    return F.try_divide(F.sum(value.cast("decimal(28,12)")).cast("double"), F.count(value).cast("double"))
+
+
 def high_price_flag(unit_price: Column, limit: float = HIGH_PRICE) -> Column:
     return F.when(unit_price > limit, 1).otherwise(0)
 

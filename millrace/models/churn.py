@@ -101,7 +101,7 @@ def grid_search(train: DataFrame, options: ChurnOptions = ChurnOptions()) -> Dat
         .addGrid(base.minInstancesPerNode, list(options.leaves))
         .build()
     )
-    judge = BinaryClassificationEvaluator(labelCol=options.label, rawPredictionCol="probability")
+    judge = BinaryClassificationEvaluator(labelCol=options.label, rawPredictionCol="probability", numBins=0)
     results = []
     for fold in range(options.folds):
         seen, held = train.where(F.col("fold") != fold), train.where(F.col("fold") == fold)

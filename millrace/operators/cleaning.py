@@ -17,13 +17,14 @@ INTEGER_TYPES = ("tinyint", "smallint", "int", "bigint")
 def coerce(df: DataFrame, numbers: dict[str, str] | None = None, days: Sequence[str] = ()) -> DataFrame:
     """Texts to numbers of the given types and to dates; what does not parse is missing.
 
-    A column that is no text has been typed by its reader and is only cast.
+    A column that is no text has been typed by its reader and is only cast; whole
+    numbers stay whole where a double is asked for.
     """
     types = dict(df.dtypes)
     changed = {
         c: to_number(F.col(c), kind) if types[c] == "string" else F.col(c).try_cast(kind)
         for c, kind in (numbers or {}).items()
-        if types[c] != kind
+        if types[c] != kind and not (kind == "double" and types[c] in INTEGER_TYPES)
     }
     changed |= {c: to_day(F.col(c)) if types[c] == "string" else F.col(c).try_cast("date") for c in days}
     return df.withColumns(changed) if changed else df

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.scalars import exact_mean, exact_sum
+from millrace.functions.scalars import exact_mean, exact_sum, steady_mean
 from millrace.operators.quantiles import quantile_columns
-from millrace.session import attach
+from millrace.session import attach, require_columns, require_rows
 
 
 def count_by(df: DataFrame, key: str | Column, name: str = "key") -> DataFrame:
@@ -68,14 +68,14 @@ def event_summary(events: DataFrame) -> DataFrame:
     return (
         events.where(F.col("amount") > 0)
         .groupBy("event_type")
-        .agg(F.count("*").alias("cnt"), exact_mean(F.col("amount")).alias("avg"))
+        .agg(F.count("*").alias("cnt"), steady_mean(F.col("amount")).alias("avg"))
         .orderBy(F.desc("cnt"), "event_type")
     )
 
 
 EVENT_SUMMARY_SQL = """
     SELECT event_type, COUNT(*) AS cnt,
-           CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS avg
+           CAST(SUM(CAST(amount AS DECIMAL(28,12))) AS DOUBLE) / COUNT(*) AS avg
     FROM {events} WHERE amount > 0
     GROUP BY event_type ORDER BY cnt DESC, event_type
 """
@@ -91,7 +91,7 @@ def category_summary(sales: DataFrame, approx: bool = False) -> DataFrame:
     keyed = sales.where(F.col("category").isNotNull())
     totals = keyed.groupBy("category").agg(
         F.count("unit_price").alias("n"),
-        F.round(exact_mean(F.col("unit_price"), 4), 1).alias("mean_price"),
+        F.round(steady_mean(F.col("unit_price")), 1).alias("mean_price"),
         F.round(exact_sum(F.col("amount")), 1).cast("double").alias("total_amount"),
     )
     medians = quantile_columns(keyed, "unit_price", {"median": 0.5}, ["category"], approx=approx)
@@ -104,6 +104,8 @@ def top_categories(sales: DataFrame, top_n: int = 10) -> DataFrame:
     """The categories with the highest sales, ranked."""
     if top_n < 1:
         raise ValueError("top_n must be at least 1")
+    require_columns(sales, ["category", "amount"])
+    require_rows(sales, "the sales table")
     totals = (
         sales.where(F.col("category").isNotNull())
         .groupBy("category")
@@ -147,7 +149,7 @@ def group_means(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     return (
         df.groupBy(key)
         .agg(
-            *[F.round(exact_mean(F.col(c), 4), 2).alias(f"avg_{c}") for c in columns],
+            *[F.round(steady_mean(F.col(c)), 2).alias(f"avg_{c}") for c in columns],
             F.count("*").alias("count"),
         )
         .orderBy(key)
@@ -158,7 +160,7 @@ def group_difference(df: DataFrame, key: str, columns: Sequence[str], high=1, lo
     """Difference of the rounded means of two groups."""
 
     def mean_of(c: str, group) -> Column:
-        return F.round(exact_mean(F.when(F.col(key) == group, F.col(c)), 4), 2)
+        return F.round(steady_mean(F.when(F.col(key) == group, F.col(c))), 2)
 
     return df.agg(*[F.round(mean_of(c, high) - mean_of(c, low), 2).alias(f"diff_{c}") for c in columns])
 

@@ -74,5 +74,15 @@ def result_difference(
 
 
 def same_rows(left: DataFrame, right: DataFrame) -> bool:
-    """True when both tables hold the same rows, however often each occurs."""
-    return left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
+    """True when both tables hold the same rows, however often each occurs.
+
+    Compares the row count and two order-free sums of 64-bit hashes over all columns, one
+    pass per side and no shuffle of rows; a difference is missed with a chance of 2^-64.
+    """
+
+    def digest(df: DataFrame) -> tuple:
+        every = [F.col(f"`{c}`") for c in sorted(df.columns)]
+        sums = [F.sum(F.xxhash64(F.lit(seed), *every).cast("decimal(20,0)")) for seed in (1, 2)]
+        return tuple(df.agg(F.count("*"), *sums).first())
+
+    return sorted(left.dtypes) == sorted(right.dtypes) and digest(left) == digest(right)

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.scalars import is_ip, to_number
+from millrace.functions.scalars import is_ip, strip, to_number
 from millrace.session import require_columns
 
 ERRORS = "array<struct<loc:string,type:string,msg:string>>"
@@ -185,12 +185,19 @@ def _parse_date(text: Column) -> Column:
 
 
 def _parse_datetime(text: Column) -> Column:
-    iso = text.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?$")
-    return F.when(iso, text.try_cast("timestamp_ntz"))
+    """Zone-less time; one with ``Z`` or an offset is taken to UTC."""
+    plain = text.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?$")
+    zone = F.regexp_extract(text, r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?([Zz]|[+-]\d{2}(?::?\d{2})?)$", 1)
+    local = F.substr(text, F.lit(1), F.length(text) - F.length(zone)).try_cast("timestamp_ntz")
+    digits = F.regexp_replace(zone, r"\D", "")
+    minutes = F.substring(digits, 1, 2).try_cast("int") * 60 + F.coalesce(F.substring(digits, 3, 2).try_cast("int"), F.lit(0))
+    offset = F.when(F.upper(zone) == "Z", 0).otherwise(F.when(zone.startswith("-"), -minutes).otherwise(minutes))
+    zoned = F.when(F.abs(offset) < 24 * 60, local - F.make_dt_interval(F.lit(0), F.lit(0), offset))
+    return F.when(plain, text.try_cast("timestamp_ntz")).when(zone != "", zoned)
 
 
 TEXT = Kind("string_type", "not a text", lambda c: c)
-STRIPPED = Kind("string_type", "not a text", F.trim)
+STRIPPED = Kind("string_type", "not a text", strip)
 INT = Kind("int_parsing", "not a whole number", _parse_int)
 FLOAT = Kind("float_parsing", "not a number", to_number)
 BOOL = Kind("bool_parsing", "not a truth value", _parse_bool)
@@ -198,13 +205,13 @@ DATE = Kind("date_parsing", "not an ISO date", _parse_date)
 DATETIME = Kind("datetime_parsing", "not an ISO time", _parse_datetime)
 RECORD = Kind("model_type", "not a record", lambda c: c)
 LIST = Kind("list_type", "not a list", lambda c: c)
-LOWERED = Kind("string_type", "not a text", lambda c: F.lower(F.trim(c)))
+LOWERED = Kind("string_type", "not a text", lambda c: F.lower(strip(c)))
 IP = Kind("ip_any_address", "not an IPv4 or IPv6 address", lambda c: F.when(is_ip(c), c))
 
 
 def _email(text: Column) -> Column:
     """Trimmed lower-case address, NULL without a local part or a dot behind the first @."""
-    address = F.lower(F.trim(text))
+    address = F.lower(strip(text))
     at = F.instr(address, "@")
     domain = F.substr(address, at + 1)
     return F.when((at > 1) & F.contains(domain, F.lit(".")), address)

@@ -22,7 +22,7 @@ def with_amount(sales: DataFrame) -> DataFrame:
 
 def normalize_types(sales: DataFrame) -> DataFrame:
     """Price, quantity and date of raw sales; what does not parse is missing."""
-    return cleaning.coerce(sales, {"unit_price": "double", "quantity": "bigint"}, ["order_date"])
+    return cleaning.coerce(sales, {"unit_price": "double", "quantity": "double"}, ["order_date"])
 
 
 def clean_sales(sales: DataFrame, approx: bool = False) -> DataFrame:
@@ -32,7 +32,7 @@ def clean_sales(sales: DataFrame, approx: bool = False) -> DataFrame:
     """
     require_columns(sales, REQUIRED)
     require_rows(sales, "the sales table")
-    typed = cleaning.coerce(sales, {"unit_price": "double", "quantity": "bigint", "discount": "double"})
+    typed = cleaning.coerce(sales, {"unit_price": "double", "quantity": "double", "discount": "double"})
     priced = cleaning.null_where(typed, "unit_price", F.col("unit_price") <= 0)
     filled = cleaning.fill_group_median(priced, "unit_price", "category", approx)
     bounded = cleaning.winsorize(filled, ["quantity"], approx=approx)

@@ -1,4 +1,4 @@
-"""Session set-up, shared scratch tables and size-checked broadcasts."""
+"""Session set-up and shared scratch tables."""
 
 from __future__ import annotations
 
@@ -7,12 +7,6 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A lookup may be broadcast up to this many (narrow) rows; beyond it, a shuffle
-# join is planned and AQE splits the skewed partitions.
-BROADCAST_ROWS = 20_000
-
 
 def build_session(master: str, shuffle_partitions: int, memory: str = "8g") -> SparkSession:
     """Session for tests and benchmarks; on a cluster use the one you are given."""
@@ -29,14 +23,17 @@ def build_session(master: str, shuffle_partitions: int, memory: str = "8g") -> S
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """Fresh folder below the shared ``spark.checkpoint.dir``."""
+    """Fresh folder below ``spark.checkpoint.dir``, which all executors must share.
+
+    Only a local session without that setting gets a temporary folder.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
         base = tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/millrace/{label}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark, base)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -46,26 +43,25 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def attach(
-    rows: DataFrame,
-    lookup: DataFrame,
-    keys: Sequence[str],
-    how: str = "left",
-    limit: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Equi-join a small per-key table to many rows.
+def attach(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Equi-join a per-key table to many rows.
 
-    The lookup is evaluated first, up to ``limit`` rows. When it fits, those very
-    rows are broadcast and the many rows are never shuffled; when it does not, it is
-    stored and the join is left to a shuffle. Deciding before the join matters: AQE
-    would only switch after the map side of the big shuffle had been written.
+    The lookup is stored first, so it is computed once and Spark knows its size in bytes
+    when it chooses between a broadcast and a shuffle. Nothing passes through the driver.
     """
-    head = lookup.limit(limit + 1).collect()
-    if len(head) <= limit:
-        lookup = F.broadcast(rows.sparkSession.createDataFrame(head, lookup.schema))
-    else:
-        lookup = materialize(lookup, "lookup")
-    return rows.join(lookup, list(keys), how)
+    return rows.join(materialize(lookup, "lookup"), list(keys), how)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has stored; results that read it are gone with it."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark, base))
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _own_folder(spark: SparkSession, base: str) -> str:
+    return f"{base.rstrip('/')}/millrace/{spark.sparkContext.applicationId}"
 
 
 def require_columns(df: DataFrame, needed: Sequence[str]) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 from pathlib import PurePosixPath
 
@@ -22,7 +23,6 @@ CHURN_TYPES = {
     "payment_method": "string", "num_services": "int", "churn": "int",
 }
 NUMBERS = ("int", "bigint", "double")
-MAX_SPLITS = 1_000_000
 
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
@@ -30,22 +30,32 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
     line = spark.read.text(path).limit(1).first()
     if line is None:
         raise ValueError(f"{path} is empty")
-    return [name.strip().strip('"') for name in line[0].lstrip("﻿").split(",")]
+    return [name.strip() for name in next(csv.reader([line[0].lstrip("\ufeff")]))]
 
 
-def read_csv_texts(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header, every column text; files are split, nothing is inferred."""
+def read_csv_texts(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, line_breaks: bool = False
+) -> DataFrame:
+    """CSV with a header, every column text; files are split, nothing is inferred.
+
+    A quote inside a quoted field is doubled. ``line_breaks`` allows line breaks inside
+    quoted fields; a file is then read by one task, so it is off by default.
+    """
     schema = schema or texts(*header_of(spark, path))
-    return spark.read.schema(schema).csv(path, header=True, enforceSchema=False)
+    return spark.read.schema(schema).csv(
+        path, header=True, enforceSchema=False, quote='"', escape='"', multiLine=line_breaks
+    )
 
 
-def read_csv_typed(spark: SparkSession, path: str, types: dict[str, str]) -> DataFrame:
+def read_csv_typed(
+    spark: SparkSession, path: str, types: dict[str, str], line_breaks: bool = False
+) -> DataFrame:
     """CSV with a header as typed columns; texts for a missing value become NULL."""
     names = header_of(spark, path)
     missing = sorted(set(types) - set(names))
     if missing:
         raise ValueError("required columns are missing: " + ", ".join(missing))
-    raw = read_csv_texts(spark, path, texts(*names))
+    raw = read_csv_texts(spark, path, texts(*names), line_breaks)
     columns = []
     for name, kind in types.items():
         value = blank_to_null(F.col(name))
@@ -89,23 +99,29 @@ def explode_results(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame
 def number_rows(df: DataFrame, name: str = "row_no") -> DataFrame:
     """Add the 0-based position of each row of a file scan, in file order.
 
-    Rows are counted per input split; a row's position is the number of rows in the
-    splits before its own plus its place inside it. One row per split is broadcast.
+    Files are ordered by path. Rows are counted per file and block; a row's position is
+    the number of rows in the blocks before its own plus its place inside it. The table of
+    blocks is stored and joined; its running sum is over one row per block.
     """
-    marked = df.withColumn("_mark", F.monotonically_increasing_id())
-    split, place = F.shiftright("_mark", 33), F.col("_mark").bitwiseAND((1 << 33) - 1)
-    before = Window.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    block = ["_file", "_block"]
+    marked = df.select(
+        "*",
+        F.input_file_name().alias("_file"),
+        F.input_file_block_start().alias("_block"),
+        F.monotonically_increasing_id().alias("_mark"),
+    )
+    before = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        marked.groupBy(split.alias("_split"))
-        .agg(F.count("*").alias("_rows"))
-        .select("_split", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+        marked.groupBy(*block)
+        .agg(F.count("*").alias("_rows"), F.min("_mark").alias("_first"))
+        .select(*block, "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
-    joined = attach(marked.withColumn("_split", split), offsets, ["_split"], "inner", limit=MAX_SPLITS)
-    return joined.select(*df.columns, (F.col("_offset") + place).alias(name))
+    joined = attach(marked, offsets, block, "inner")
+    return joined.select(*df.columns, (F.col("_offset") + F.col("_mark") - F.col("_first")).alias(name))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).csv(path, header=True)
+    df.write.mode(mode).csv(path, header=True, quote='"', escape='"')
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -14,7 +14,10 @@ from millrace.session import scratch_path
 
 
 def read_stream(spark: SparkSession, folder: str, schema: T.StructType, files: str = "*", per_trigger: int = 100):
-    """Parquet files as a stream, a bounded number of files per micro-batch."""
+    """Parquet files of a folder as a stream, at most ``per_trigger`` files per micro-batch.
+
+    The number of files per batch changes no result, only how often results are stored.
+    """
     return (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", per_trigger)
@@ -23,6 +26,16 @@ def read_stream(spark: SparkSession, folder: str, schema: T.StructType, files: s
     )
 
 
+def stream_table(spark: SparkSession, path: str, per_trigger: int = 100) -> DataFrame:
+    """A stored table as a stream, whether it is a folder of files or a single file."""
+    schema = spark.read.parquet(path).schema
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if system.getFileStatus(place).isDirectory():
+        return read_stream(spark, path, schema, per_trigger=per_trigger)
+    return read_stream(spark, str(place.getParent()), schema, place.getName(), per_trigger)
+
+
 def running_counts(logs: DataFrame, key: str) -> DataFrame:
     """Count per key since the start of the stream."""
     return logs.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n"))
@@ -123,6 +136,8 @@ def run_to_table(stream: DataFrame, label: str, mode: str = "append") -> DataFra
     spark = stream.sparkSession
     folder = scratch_path(spark, label)
     schema = stream.schema
+    # without any input no batch runs: the table is then there, and empty
+    spark.createDataFrame([], schema).write.parquet(f"{folder}/rows" if mode == "complete" else f"{folder}/rows/batch=-1")
 
     def store(batch: DataFrame, batch_id: int) -> None:
         target = f"{folder}/rows" if mode == "complete" else f"{folder}/rows/batch={batch_id}"
@@ -130,3 +145,12 @@ def run_to_table(stream: DataFrame, label: str, mode: str = "append") -> DataFra
 
     each_batch(stream, store, f"{folder}/checkpoint", mode).awaitTermination()
     return spark.read.schema(schema).parquet(f"{folder}/rows").select(*schema.names)
+
+
+def append_to_table(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Add all available rows to a stored table; each batch has a partition, so a replayed one replaces itself."""
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    each_batch(stream, store, checkpoint).awaitTermination()

@@ -191,7 +191,7 @@ QUERIES = {
 
 # --- SQL twins -------------------------------------------------------------
 
-_MEAN = "round(CAST(sum(CAST({c} AS DECIMAL(18,4))) AS DOUBLE) / count({c}), 2)"
+_MEAN = "round(avg({c}), 2)"
 _DIFF = "round({a} - {b}, 2)".format(
     a=_MEAN.replace("{c}", "CASE WHEN churn = 1 THEN {{c}} END").replace("{{c}}", "{c}"),
     b=_MEAN.replace("{c}", "CASE WHEN churn = 0 THEN {{c}} END").replace("{{c}}", "{c}"),

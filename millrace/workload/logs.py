@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +21,8 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
-def rounded_sql(columns: str, source: str, *numbers: str, digits: int = 6) -> str:
-    picks = [f"round({c}, {digits}) AS {c}" if c in numbers else c for c in columns.split()]
+def rounded_sql(columns: Sequence[str], source: str, *numbers: str, digits: int = 6) -> str:
+    picks = [f"round({c}, {digits}) AS {c}" if c in numbers else c for c in columns]
     return f"SELECT {', '.join(picks)} FROM {source}"
 
 
@@ -114,7 +116,7 @@ AMOUNTS_SQL = """
 """
 EVENT_SUMMARY = v.with_views(
     """SELECT event_type, count(*) AS cnt,
-        round(CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / count(*), 6) AS avg
+        round(avg(amount), 6) AS avg
     FROM amounts WHERE amount > 0 GROUP BY 1""",
     amounts=AMOUNTS_SQL,
 )
@@ -163,11 +165,15 @@ COUNTER_ORACLES = {
         """SELECT (SELECT count(*) FROM web_logs) AS total, status, count(*) AS n FROM web_logs GROUP BY 2"""
     ),
     "result_diff": v.with_views(
-        """SELECT comparison, count(*) FILTER (abs(a.avg - a.avg - shift) > 1e-6) AS n_different FROM summary a,
-        (VALUES ('same', 0.0, 0.0), ('shifted', 0.001, 1e-9)) t(comparison, signup, other),
-        LATERAL (SELECT CASE WHEN event_type = 'signup' THEN signup ELSE other END AS shift) GROUP BY 1""",
+        """SELECT comparison, count(*) FILTER (a.event_type IS NULL OR b.event_type IS NULL OR a.cnt <> b.cnt
+            OR abs(a.avg - b.avg - CASE WHEN b.event_type = 'signup' THEN signup ELSE other END) > 1e-6) AS n_different
+        FROM (SELECT * FROM left_summary, (VALUES ('same', 0.0, 0.0), ('shifted', 0.001, 1e-9)) t(comparison, signup, other)) a
+        FULL JOIN right_summary b ON a.event_type = b.event_type GROUP BY 1""",
         amounts=AMOUNTS_SQL,
-        summary="SELECT event_type, avg(amount) AS avg FROM amounts WHERE amount > 0 GROUP BY 1",
+        left_summary="SELECT event_type, count(*) AS cnt, avg(amount) AS avg FROM amounts WHERE amount > 0 GROUP BY 1",
+        # the other result is worked out another way, from the events themselves
+        right_summary="""SELECT event_type, count(*) AS cnt, sum(value) / count(*) AS avg FROM events
+            WHERE event_type IN ('purchase', 'signup') AND value > 0 GROUP BY 1""",
     ),
     "source_profile": """SELECT 'event_id,ts,user_id,event_type,value,props' AS columns,
         CAST(6 AS BIGINT) AS n_columns, count(*) AS n_rows FROM events""",
@@ -363,9 +369,7 @@ def mask_ip(spark: SparkSession, sf: str) -> DataFrame:
     return raw.groupBy(scalars.mask_ip(F.col("ip")).alias("ip_masked")).agg(F.count("*").alias("n"))
 
 
-FEATURE_COLUMNS = (
-    "timestamp request_count error_5xx_count error_rate_5xx unique_ips avg_bytes p95_bytes path_count"
-)
+FEATURE_COLUMNS = ("timestamp", *windows.FEATURES)
 IMPACT_SQL = f"""
     SELECT incident_start, max(timestamp) + INTERVAL '{v.WIDTH}' AS incident_end, count(*) AS window_count,
         CASE WHEN max(error_rate_5xx) >= 0.30 THEN 'CRITICAL' WHEN max(error_rate_5xx) >= 0.15 THEN 'HIGH'

@@ -16,7 +16,7 @@ MEASURES = ["quantity", "unit_price", "discount"]
 
 
 def _typed_texts(spark: SparkSession, sf: str) -> DataFrame:
-    kinds = {"unit_price": "double", "quantity": "bigint", "discount": "double"}
+    kinds = {"unit_price": "double", "quantity": "double", "discount": "double"}
     return cleaning.coerce(v.sales_texts(spark, sf), kinds, ["order_date"])
 
 
@@ -37,7 +37,7 @@ def coerce_types(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sales_amount(spark: SparkSession, sf: str) -> DataFrame:
-    typed = _priced(v.sales_raw(spark, sf)).where(F.col("unit_price").isNotNull())
+    typed = _priced(v.sales_raw(spark, sf))  # no price, no amount: the row stays
     return plan.with_amount(typed).select("order_id", "amount")
 
 
@@ -200,7 +200,7 @@ def _each(columns, template: str) -> str:
 
 _NULLS = "SELECT '{c}' AS \"column\", count(*) FILTER ({c} IS NULL) AS nulls FROM "
 _MODE = "(SELECT region FROM priced WHERE region IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, region LIMIT 1)"
-_MEAN_PRICE = "CAST(sum(CAST(unit_price AS DECIMAL(18,4))) AS DOUBLE) / count(unit_price)"
+_MEAN_PRICE = "avg(unit_price)"
 _SUM_AMOUNT = "sum(CAST(amount AS DECIMAL(18,2)))"
 _TOP = f"""SELECT category, {_SUM_AMOUNT} AS amount FROM cleaned WHERE category IS NOT NULL GROUP BY 1"""
 _NUMBERED = "SELECT row_number() OVER (ORDER BY amount DESC, category) AS rank, category, CAST(amount AS DOUBLE) AS amount"
@@ -226,7 +226,7 @@ _LOOKUP = """
 
 ORACLES = {
     "coerce_types": v.sales_sql("SELECT * FROM typed", broken=True),
-    "sales_amount": v.sales_sql(f"SELECT order_id, {v.AMOUNT_SQL} AS amount FROM priced WHERE unit_price IS NOT NULL"),
+    "sales_amount": v.sales_sql(f"SELECT order_id, {v.AMOUNT_SQL} AS amount FROM priced"),
     "high_price_flag": v.sales_sql(
         """SELECT category, CAST(CASE WHEN unit_price > 50000 THEN 1 ELSE 0 END AS BIGINT) AS high_price_flag,
         count(*) AS n FROM priced GROUP BY 1, 2"""
@@ -253,7 +253,7 @@ ORACLES = {
             f"SELECT '{c}' AS \"column\", 'string' AS type_before, '{t}' AS type_after, "
             f"(SELECT count(*) FILTER ({c} IS NULL) FROM typed) - "
             f"(SELECT count(*) FILTER ({c} IS NULL) FROM sales_raw) AS nulls_added"
-            for c, t in SALES_COLUMNS.items()
+            for c, t in {**SALES_COLUMNS, "quantity": "double"}.items()
         ),
         broken=True,
     ),

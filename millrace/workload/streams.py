@@ -17,8 +17,7 @@ WIDTH = "1 hour"
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
-    schema = v.table(spark, sf, "events").schema
-    return stream.read_stream(spark, sf, schema, files="events.parquet")
+    return stream.stream_table(spark, f"{sf}/events.parquet")
 
 
 def _logs(spark: SparkSession, sf: str) -> DataFrame:
@@ -31,12 +30,32 @@ def stream_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_windows(spark: SparkSession, sf: str) -> DataFrame:
-    """Closed windows with their exact features."""
+    """Closed windows: exact features as they are, sketched ones as whether they are near the exact ones."""
     closed = stream.run_to_table(stream.window_features(_logs(spark, sf), WIDTH), "windows")
-    exact = closed.select(
-        F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "request_count", "error_5xx_count", "error_rate_5xx"
+    start = F.window("timestamp", WIDTH)["start"].alias("timestamp")
+    exact = (
+        v.web_logs(spark, sf)
+        .withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+        .groupBy(start)
+        .agg(
+            F.count_distinct("ip").alias("ips"),
+            F.count_distinct("path").alias("paths"),
+            F.percentile("bytes", F.lit(0.95)).alias("p95"),
+            F.stddev_pop("bytes").alias("spread"),
+        )
     )
-    return rounded(exact, "error_rate_5xx")
+    both = closed.join(exact, "timestamp")
+    near = both.select(
+        F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
+        "request_count",
+        "error_5xx_count",
+        "error_rate_5xx",
+        "avg_bytes",
+        (F.abs(F.col("unique_ips") - F.col("ips")) <= F.greatest(F.lit(1.0), 0.2 * F.col("ips"))).alias("ips_near"),
+        (F.abs(F.col("path_count") - F.col("paths")) <= F.greatest(F.lit(1.0), 0.2 * F.col("paths"))).alias("paths_near"),
+        (F.abs(F.col("p95_bytes") - F.col("p95")) <= F.coalesce(F.col("spread"), F.lit(0.0)) + 1).alias("p95_near"),
+    )
+    return rounded(near, "error_rate_5xx", "avg_bytes")
 
 
 def stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
@@ -62,17 +81,13 @@ def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     return stored.withColumn("invalid", rejected.scalar())
 
 
-def stream_report(spark: SparkSession, sf: str) -> DataFrame:
-    """A recurring sales report: each run of the stream renews the report table."""
+def stream_report(spark: SparkSession, sf: str, per_trigger: int = 100) -> DataFrame:
+    """A recurring sales report: a run adds what has arrived to the stored sales and reports on all of them."""
     folder = scratch_path(spark, "report")
     sales = v.sales_table(spark, sf)
-    arriving = stream.read_stream(spark, sales.inputFiles()[0].rsplit("/", 1)[0], sales.schema, "*.parquet")
-
-    def renew(batch: DataFrame, batch_id: int) -> None:
-        report_rows(clean_sales(batch)).write.mode("overwrite").parquet(f"{folder}/rows")
-
-    stream.each_batch(arriving, renew, f"{folder}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{folder}/rows")
+    arriving = stream.read_stream(spark, sales.inputFiles()[0].rsplit("/", 1)[0], sales.schema, "*.parquet", per_trigger)
+    stream.append_to_table(arriving, f"{folder}/sales", f"{folder}/checkpoint")
+    return report_rows(clean_sales(spark.read.schema(sales.schema).parquet(f"{folder}/sales").select(*sales.columns)))
 
 
 # --- the detection job -----------------------------------------------------
@@ -131,7 +146,8 @@ ORACLES = {
     "stream_counts": v.log_sql("SELECT status AS key, count(*) AS n FROM web_logs GROUP BY 1"),
     "stream_windows": v.log_sql(
         f"""SELECT w AS timestamp, count(*) AS request_count, count(*) FILTER (status >= 500) AS error_5xx_count,
-        round(count(*) FILTER (status >= 500) / count(*), 6) AS error_rate_5xx
+        round(count(*) FILTER (status >= 500) / count(*), 6) AS error_rate_5xx,
+        round(avg(bytes), 6) AS avg_bytes, true AS ips_near, true AS paths_near, true AS p95_near
         FROM (SELECT *, time_bucket(INTERVAL '{WIDTH}', timestamp) AS w FROM web_logs) WHERE {_CLOSED} GROUP BY 1"""
     ),
     # a session is out once the watermark has passed its last window by one length

@@ -1,4 +1,4 @@
-"""Registered queries on nested API users and on fetched products."""
+"""Registered queries on nested API users and on part categories."""
 
 from __future__ import annotations
 
@@ -9,7 +9,6 @@ from millrace.operators import validation
 from millrace.operators.contracts import API_USER
 from millrace.plans import product_load
 from millrace.session import materialize, scratch_path
-from millrace.sources import fetch
 from millrace.workload import views as v
 
 
@@ -56,58 +55,21 @@ def valid_users(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-# --- fetched products ------------------------------------------------------
-
-FETCH = fetch.FetchOptions(max_concurrent=8, max_retries=3, backoff_base=0.0)
-
-# The categories a product answer cycles through.
-ANSWER_CATEGORIES = (" FOOD ", "TECH", "Home")
-
-
-def answer(item: int, attempt: int) -> dict:
-    """Deterministic stand-in for a product service."""
-    if item % 55 == 0:
-        raise ConnectionError("connection refused for good")
-    if item % 13 == 0 and attempt == 0:
-        raise ConnectionError("connection reset once")
-    price = -5.0 if item % 17 == 0 else float((item + 1) * 10)
-    return {"id": item, "name": f"Product {item}", "category": ANSWER_CATEGORIES[item % 3], "price": price}
-
-
-def _log(spark: SparkSession, sf: str) -> DataFrame:
-    ids = v.table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_partkey").alias("position"))
-    return fetch.fetch_log(ids, answer, FETCH)
-
-
-def fetch_log(spark: SparkSession, sf: str) -> DataFrame:
-    return _log(spark, sf).select("id", "ok", F.col("attempts").cast("long").alias("attempts"), "error")
-
-
-def fetch_ok(spark: SparkSession, sf: str) -> DataFrame:
-    return fetch.fetched(_log(spark, sf)).select("position", "id")
-
-
-def dead_letters(spark: SparkSession, sf: str) -> DataFrame:
-    return fetch.dead_letters(_log(spark, sf)).withColumn("attempts", F.col("attempts").cast("long"))
-
-
-def fetch_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return fetch.fetch_summary(_log(spark, sf))
-
-
-def _products(spark: SparkSession, sf: str) -> DataFrame:
-    log = materialize(_log(spark, sf), "fetch")
-    return fetch.products_tagged(log.where("ok").select("position", "payload"))
+# --- stored users and categories -----------------------------------------
 
 
 def normalize_category(spark: SparkSession, sf: str) -> DataFrame:
-    products = fetch.PRODUCT.valid(_products(spark, sf))
-    return products.groupBy("category").agg(F.count("*").alias("n"), F.sum("price").alias("price"))
+    """Part types as categories, given with stray white space and capitals."""
+    raw = v.table(spark, sf, "part").select(F.concat(F.lit("\t "), "p_type", F.lit("\n")).alias("category"), "p_size")
+    return raw.groupBy(validation.LOWERED.parse(F.col("category")).alias("category")).agg(
+        F.count("*").alias("n"), F.sum("p_size").cast("long").alias("size")
+    )
 
 
 def etl_summary(spark: SparkSession, sf: str) -> DataFrame:
-    ids = v.table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_partkey").alias("position"))
-    return product_load.load_products(ids, answer, scratch_path(spark, "products"), FETCH)
+    """Users validated, the valid ones stored twice, and everything counted."""
+    tagged = materialize(_tagged(spark, sf), "tagged")
+    return product_load.store_valid(tagged, API_USER, scratch_path(spark, "users"), "row_no")
 
 
 QUERIES = {
@@ -117,18 +79,10 @@ QUERIES = {
     "validation_split": validation_split,
     "validation_errors": validation_errors,
     "valid_users": valid_users,
-    "fetch_log": fetch_log,
-    "fetch_ok": fetch_ok,
-    "dead_letters": dead_letters,
-    "fetch_summary": fetch_summary,
     "normalize_category": normalize_category,
     "etl_summary": etl_summary,
 }
 
-_FETCH = """SELECT p_partkey AS id, p_partkey % 55 <> 0 AS ok,
-    CAST(CASE WHEN p_partkey % 55 = 0 THEN 3 WHEN p_partkey % 13 = 0 THEN 2 ELSE 1 END AS BIGINT) AS attempts,
-    CASE WHEN p_partkey % 55 = 0 THEN 'connection refused for good' END AS error FROM part"""
-
 ORACLES = {
     "json_records": v.user_sql(
         """SELECT row_no, CAST(id AS VARCHAR) AS id, username, email,
@@ -156,14 +110,10 @@ ORACLES = {
         CAST(CASE WHEN has_tags THEN 1 ELSE 0 END AS BIGINT) AS n_tags
         FROM users WHERE row_no NOT IN (SELECT row_no FROM user_errors)"""
     ),
-    "fetch_log": _FETCH,
-    "fetch_ok": f"SELECT id AS position, id FROM ({_FETCH}) WHERE ok ORDER BY 1",
-    "dead_letters": f"SELECT id, error, attempts FROM ({_FETCH}) WHERE NOT ok",
-    "fetch_summary": f"""SELECT count(*) FILTER (ok) AS ok, count(*) FILTER (NOT ok) AS failed,
-        count(*) FILTER (attempts > 1) AS retried FROM ({_FETCH})""",
-    "normalize_category": f"""SELECT CASE id % 3 WHEN 0 THEN 'food' WHEN 1 THEN 'tech' ELSE 'home' END AS category,
-        count(*) AS n, CAST(sum((id + 1) * 10) AS DOUBLE) AS price FROM ({_FETCH}) WHERE ok AND id % 17 <> 0 GROUP BY 1""",
-    "etl_summary": f"""SELECT count(*) AS total, count(*) FILTER (id % 17 <> 0) AS valid,
-        count(*) FILTER (id % 17 = 0) AS invalid, count(*) FILTER (id % 17 <> 0) AS rows_saved
-        FROM ({_FETCH}) WHERE ok""",
+    "normalize_category": """SELECT lower(trim(p_type)) AS category, count(*) AS n, CAST(sum(p_size) AS BIGINT) AS size
+        FROM part GROUP BY 1""",
+    "etl_summary": v.user_sql(
+        """SELECT total, total - invalid AS valid, invalid, total - invalid AS rows_saved, total - invalid AS csv_rows_saved
+        FROM (SELECT count(*) AS total FROM users), (SELECT count(DISTINCT row_no) AS invalid FROM user_errors)"""
+    ),
 }

@@ -246,10 +246,19 @@ def sales_texts(spark: SparkSession, sf: str) -> DataFrame:
 
     return sales_raw(spark, sf).select(
         "order_id",
-        broken(211, "invalid", F.date_format("order_date", "yyyy-MM-dd")).alias("order_date"),
+        F.when(key % 211 == 0, "invalid")
+        .when(key % 229 == 0, F.date_format("order_date", "yyyy-MM-dd'garbage'"))
+        .when(key % 233 == 0, F.date_format("order_date", "'\t'yyyy-MM-dd HH:mm:ss"))
+        .otherwise(F.date_format("order_date", "yyyy-MM-dd"))
+        .alias("order_date"),
         "region",
         "category",
-        broken(223, "invalid", F.col("quantity").cast("string")).alias("quantity"),
+        F.when(key % 223 == 0, "invalid")
+        .when(key % 239 == 0, F.concat(F.col("quantity").cast("string"), F.lit(".0\t")))
+        .when(key % 241 == 0, "2.5")
+        .when(key % 251 == 0, "1e3")
+        .otherwise(F.col("quantity").cast("string"))
+        .alias("quantity"),
         F.when(
             F.col("unit_price").isNotNull(),
             broken(227, "1d", F.col("unit_price").cast("decimal(14,2)").cast("string")),
@@ -277,9 +286,12 @@ SALES_SQL = """
     JOIN region ON n_regionkey = r_regionkey
 """
 SALES_TEXTS_SQL = """
-    SELECT order_id, CASE WHEN k % 211 = 0 THEN 'invalid' ELSE strftime(order_date, '%Y-%m-%d') END AS order_date,
+    SELECT order_id, CASE WHEN k % 211 = 0 THEN 'invalid' WHEN k % 229 = 0 THEN strftime(order_date, '%Y-%m-%dgarbage')
+            WHEN k % 233 = 0 THEN strftime(order_date, '%Y-%m-%d %H:%M:%S') ELSE strftime(order_date, '%Y-%m-%d') END
+            AS order_date,
         region, category,
-        CASE WHEN k % 223 = 0 THEN 'invalid' ELSE CAST(quantity AS VARCHAR) END AS quantity,
+        CASE WHEN k % 223 = 0 THEN 'invalid' WHEN k % 239 = 0 THEN CAST(quantity AS VARCHAR) || '.0'
+            WHEN k % 241 = 0 THEN '2.5' WHEN k % 251 = 0 THEN '1e3' ELSE CAST(quantity AS VARCHAR) END AS quantity,
         CASE WHEN unit_price IS NULL THEN NULL WHEN k % 227 = 0 THEN '1d'
              ELSE CAST(CAST(unit_price AS DECIMAL(14,2)) AS VARCHAR) END AS unit_price,
         CAST(CAST(discount AS DECIMAL(5,2)) AS VARCHAR) AS discount
@@ -288,8 +300,8 @@ SALES_TEXTS_SQL = """
 
 
 TYPED_SQL = """
-    SELECT order_id, TRY_CAST(order_date AS DATE) AS order_date, region, category,
-        TRY_CAST(quantity AS BIGINT) AS quantity, TRY_CAST(unit_price AS DOUBLE) AS unit_price,
+    SELECT order_id, TRY_CAST(TRY_CAST(order_date AS TIMESTAMP) AS DATE) AS order_date, region, category,
+        {quantity} AS quantity, TRY_CAST(unit_price AS DOUBLE) AS unit_price,
         TRY_CAST(discount AS DOUBLE) AS discount
     FROM sales_raw
 """
@@ -319,7 +331,7 @@ def sales_sql(body: str, broken: bool = False) -> str:
         body,
         sales_typed=SALES_SQL,
         sales_raw=SALES_TEXTS_SQL if broken else "SELECT * FROM sales_typed",
-        typed=TYPED_SQL,
+        typed=TYPED_SQL.format(quantity="TRY_CAST(quantity AS DOUBLE)" if broken else "quantity"),
         priced=PRICED_SQL,
         filled=FILLED_SQL,
         quantity_bounds=BOUNDS_SQL.format(column="quantity", source="filled"),

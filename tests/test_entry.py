@@ -4,7 +4,7 @@ import __spark_entry__ as driver
 
 CHEAP = (
     "event_summary", "log_counters", "result_diff", "validate_text", "validation_errors", "window_features",
-    "incidents", "incident_causes", "clean_sales", "sales_pivot", "lookup_join", "chi_square", "pr_curve", "fetch_log",
+    "incidents", "incident_causes", "clean_sales", "sales_pivot", "lookup_join", "chi_square", "pr_curve", "etl_summary",
 )
 
 

@@ -57,14 +57,17 @@ def test_nearest_of_one_to_ten(spark):
     assert quantiles(spark.range(1, 11), "id", [0.95], how="nearest").first()["quantiles"] == [10.0]
 
 
-def test_many_groups_fall_back_to_a_shuffle_join(spark, monkeypatch):
-    monkeypatch.setattr("millrace.session.BROADCAST_ROWS", 3)
-    rows = spark.range(5000).select((F.col("id") % 50).alias("g"), F.col("id").alias("v"))
+def test_attached_lookup_is_stored_and_not_tied_to_a_size(spark):
     from millrace.session import attach
 
+    rows = spark.range(5000).select((F.col("id") % 50).alias("g"), F.col("id").alias("v"))
     lookup = rows.groupBy("g").agg(F.count("*").alias("n"))
-    joined = attach(rows, lookup, ["g"], limit=3)
-    assert joined.where("n = 100").count() == 5000
+    assert attach(rows, lookup, ["g"]).where("n = 100").count() == 5000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert attach(rows, lookup, ["g"]).where("n = 100").count() == 5000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_missing_values_and_keys_are_left_out(spark):

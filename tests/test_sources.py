@@ -89,7 +89,7 @@ def test_csv_and_json_sinks(spark, tmp_path):
     rows = spark.createDataFrame([(1, "A, \"quoted\""), (2, "B")], "id long, name string")
     tables.write_csv(rows, str(tmp_path / "c"))
     tables.write_json(rows, str(tmp_path / "j"))
-    assertDataFrameEqual(spark.read.schema(rows.schema).csv(str(tmp_path / "c"), header=True), rows)
+    assertDataFrameEqual(spark.read.schema(rows.schema).csv(str(tmp_path / "c"), header=True, escape='"'), rows)
     assertDataFrameEqual(spark.read.schema(rows.schema).json(str(tmp_path / "j")), rows)
 
 
@@ -141,3 +141,22 @@ def test_rows_of_a_split_file_are_numbered_in_order(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_csv_with_quotes_commas_and_line_breaks(spark, tmp_path):
+    rows = [("1", 'say "hi", ok', "a,b"), ("2", "two\nlines", '"'), ("3", None, "x")]
+    frame = spark.createDataFrame(rows, 'id string, "t" string, u string'.replace('"', "`"))
+    tables.write_csv(frame, f"{tmp_path}/out")
+    back = tables.read_csv_texts(spark, f"{tmp_path}/out", frame.schema, line_breaks=True)
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+    (tmp_path / "own.csv").write_text('id,"a, ""b"""\n1,"say ""hi"", ok"\n')
+    assert tables.header_of(spark, f"{tmp_path}/own.csv") == ["id", 'a, "b"']
+    assert tables.read_csv_texts(spark, f"{tmp_path}/own.csv").first()[1] == 'say "hi", ok'
+
+
+def test_rows_are_numbered_in_file_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k\n" + "".join(f"a{i}\n" for i in range(3)))
+    (tmp_path / "b.csv").write_text("k\n" + "".join(f"b{i}\n" for i in range(30)))
+    got = tables.number_rows(tables.read_csv_texts(spark, str(tmp_path))).orderBy("row_no").collect()
+    assert [r["k"] for r in got] == [f"a{i}" for i in range(3)] + [f"b{i}" for i in range(30)]
+    assert [r["row_no"] for r in got] == list(range(33))

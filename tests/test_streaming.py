@@ -60,3 +60,30 @@ def test_alert_sessions(spark, tmp_path):
     alerts = stream.alert_sessions(stream.read_stream(spark, folder, frame.schema, "*.parquet"), "path", 0.5)
     found = stream.run_to_table(alerts, "t").orderBy("start").collect()
     assert [(str(r["start"]), r["window_count"]) for r in found] == [("2025-01-01 00:00:00", 3), ("2025-01-01 00:40:00", 1)]
+
+
+def test_report_covers_all_batches(spark, sf):
+    from millrace.workload import sales, streams
+
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")  # many files, so many batches
+    try:
+        whole = sorted(map(tuple, sales.sales_report(spark, sf).collect()))
+        assert sorted(map(tuple, streams.stream_report(spark, sf, per_trigger=1).collect())) == whole
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_streams_read_files_and_folders_alike(spark, sf, tmp_path):
+    from millrace.workload import streams
+
+    spark.read.parquet(f"{sf}/events.parquet").repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    for query in (streams.stream_counts, streams.stream_windows, streams.stream_quarantine):
+        assert sorted(map(tuple, query(spark, str(tmp_path)).collect())) == sorted(map(tuple, query(spark, sf).collect()))
+
+
+def test_a_stream_without_input_gives_an_empty_table(spark, tmp_path):
+    from millrace.streaming import logs as stream
+
+    (tmp_path / "none").mkdir()
+    arriving = stream.read_stream(spark, str(tmp_path / "none"), spark.range(0).schema)
+    assert stream.run_to_table(arriving, "none").count() == 0

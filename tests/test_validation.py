@@ -7,8 +7,8 @@ from millrace.operators import validation as v
 from millrace.operators.contracts import API_RESPONSE_TEXTS, API_USER, API_USER_TEXTS, PRODUCT, PRODUCT_TEXTS, WEB_LOG, WEB_LOG_TEXTS
 from millrace.sources.tables import explode_results
 
-GOOD = ("192.168.0.10", "2025-03-05T14:00:00", "GET", "/api/v1/search", "200", "1024", "pytest/1.0")
-DEMO_BASE = ("192.168.0.10", "2025-03-05T13:59:59", "GET", "/health", "200", "1024", "demo-client/1.0")
+GOOD = ("10.20.30.40", "2023-11-02T08:15:30", "POST", "/basket/7", "201", "77", "own-client/3")
+DEMO_BASE = ("10.20.30.41", "2023-11-02T08:15:31", "GET", "/basket", "204", "0", "own-client/4")
 
 
 def logs(spark, *rows):
@@ -33,8 +33,8 @@ def test_demo_rows_are_quarantined_with_their_first_field(spark):
 
 def test_valid_rows_are_typed_and_stripped(spark):
     row = WEB_LOG.valid(WEB_LOG.tag(logs(spark, changed(path="  /health ", status="200.0")), "n")).first()
-    assert (row["path"], row["status"], row["bytes"]) == ("/health", 200, 1024)
-    assert str(row["timestamp"]) == "2025-03-05 13:59:59"
+    assert (row["path"], row["status"], row["bytes"]) == ("/health", 200, 0)
+    assert str(row["timestamp"]) == "2023-11-02 08:15:31"
 
 
 @pytest.mark.parametrize(
@@ -149,3 +149,15 @@ def test_negative_price_is_rejected_with_its_raw_row(spark):
 def test_counts_are_conserved(spark):
     tagged = products(spark, ("1", "A", "food", "10"), ("2", "B", "TECH", "20"), ("3", "C", "etc", "-5"))
     assert tuple(v.split_counts(tagged).first()) == (3, 2, 1)
+
+
+def test_zoned_times_go_to_utc(spark):
+    texts = ("2024-05-06T07:08:09Z", "2024-05-06 07:08:09+02:00", "2024-05-06T07:08-0530", "2024-05-06T07:08:09", "2024-05-06T07:08:09X")
+    frame = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    got = [r[0] and str(r[0]) for r in frame.select(v.DATETIME.parse(F.col("t"))).collect()]
+    assert got == ["2024-05-06 07:08:09", "2024-05-06 05:08:09", "2024-05-06 12:38:00", "2024-05-06 07:08:09", None]
+
+
+def test_all_white_space_is_stripped(spark):
+    row = spark.createDataFrame([("\t /a b\u00a0\n",)], "t string").select(v.STRIPPED.parse(F.col("t"))).first()
+    assert row[0] == "/a b"

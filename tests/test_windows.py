@@ -13,7 +13,13 @@ from millrace.session import scratch_path
 
 START = datetime(2025, 3, 5, 14, 0)
 LOGS = "timestamp timestamp_ntz, path string, status long, ip string, bytes long"
-OPTIONS = detection.DetectionOptions()
+SCENARIO = {
+    "incident_start": START,
+    "incident_end": START + timedelta(minutes=30),
+    "incident_path": "/api/v1/search",
+    "traffic_multiplier": 5,
+}
+OPTIONS = detection.DetectionOptions(**SCENARIO)
 
 
 def minute(n):
@@ -162,7 +168,7 @@ def test_incident_at(spark):
 )
 def test_options(wrong):
     with pytest.raises(ValueError):
-        detection.DetectionOptions(**wrong)
+        detection.DetectionOptions(**{**SCENARIO, **wrong})
 
 
 def raw_logs(spark, n=200_000, seed=0):
