@@ -140,21 +140,34 @@ def _rows(spark: SparkSession, sf: str) -> DataFrame:
     return materialize(churn.model_rows(v.customers(spark, sf), OPTIONS), "customers")
 
 
+def _summed(scores: DataFrame) -> DataFrame:
+    """Rows and customers per class, and whether every score is a probability."""
+    inside = F.coalesce(F.col("score").between(0, 1), F.lit(False))
+    return scores.groupBy(F.col("label").cast("bigint").alias("label")).agg(
+        F.count("*").alias("n"), F.count_distinct(OPTIONS.key).alias("customers"), F.bool_and(inside).alias("in_range")
+    )
+
+
 def churn_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Test customers scored by the forest fitted on the training customers."""
     train, test = churn.split_and_fold(_rows(spark, sf), OPTIONS)
     model = churn.fit_churn(train, DEPTH, LEAF, OPTIONS)
-    return rounded(churn.with_score(model.transform(test), OPTIONS), "score")
+    return _summed(churn.with_score(model.transform(test), OPTIONS))
 
 
 def churn_grid(spark: SparkSession, sf: str) -> DataFrame:
     train, _ = churn.split_and_fold(_rows(spark, sf), OPTIONS)
-    return rounded(churn.grid_search(train, OPTIONS), "mean_auc")
+    found = churn.grid_search(train, OPTIONS)
+    return found.select(
+        F.col("max_depth").cast("bigint").alias("max_depth"),
+        F.col("min_leaf").cast("bigint").alias("min_leaf"),
+        F.col("mean_auc").between(0.3, 1).alias("in_range"),
+    )
 
 
 def churn_oof(spark: SparkSession, sf: str) -> DataFrame:
     train, _ = churn.split_and_fold(_rows(spark, sf), OPTIONS)
-    return rounded(churn.out_of_fold(train, DEPTH, LEAF, OPTIONS), "score")
+    return _summed(churn.out_of_fold(train, DEPTH, LEAF, OPTIONS))
 
 
 def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -234,7 +247,44 @@ def _parts(cut: str) -> str:
     )
 
 
+_CLASS_SIZES = "SELECT churn AS label, count(*) AS n, CAST(floor(count(*) * 0.8) AS BIGINT) AS train FROM customers GROUP BY 1"
+_GRID = " UNION ALL ".join(
+    f"SELECT CAST({d} AS BIGINT) AS max_depth, CAST({leaf} AS BIGINT) AS min_leaf, true AS in_range"
+    for d in OPTIONS.depths
+    for leaf in OPTIONS.leaves
+)
+# Simpson's rule over the density of Student's t from 0 to |t|
+_T_TAIL = """
+    SELECT n_a, n_b, round(t, 6) AS t_statistic, round(dof, 6) AS dof, round(1 - 2 * area, 6) AS p_value,
+        CASE WHEN 1 - 2 * area < 0.05 THEN 'significant' ELSE 'not significant' END AS verdict
+    FROM (SELECT n_a, n_b, t, dof, sum(w * exp(lgamma((dof + 1) / 2) - lgamma(dof / 2)) / sqrt(dof * pi())
+            * power(1 + power(abs(t) * i / 4000, 2) / dof, -(dof + 1) / 2)) * abs(t) / 4000 / 3 AS area
+        FROM welch, (SELECT i, CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END AS w FROM range(4001) r(i))
+        GROUP BY n_a, n_b, t, dof)
+"""
+_WELCH = """
+    SELECT n_a, n_b, (m_a - m_b) / sqrt(s_a + s_b) AS t,
+        power(s_a + s_b, 2) / (s_a * s_a / (n_a - 1) + s_b * s_b / (n_b - 1)) AS dof
+    FROM (SELECT count(a) AS n_a, count(b) AS n_b, avg(a) AS m_a, avg(b) AS m_b, var_samp(a) / count(a) AS s_a,
+            var_samp(b) / count(b) AS s_b
+        FROM (SELECT CASE WHEN churn = 1 THEN monthly_charges END AS a, CASE WHEN churn = 0 THEN monthly_charges END AS b
+              FROM customers))
+"""
+
 ORACLES = {
+    "welch_p": v.customer_sql(_T_TAIL, welch=_WELCH),
+    "churn_scores": v.customer_sql(
+        "SELECT CAST(label AS BIGINT) AS label, n - train AS n, n - train AS customers, true AS in_range FROM sizes",
+        sizes=_CLASS_SIZES,
+    ),
+    "churn_oof": v.customer_sql(
+        "SELECT CAST(label AS BIGINT) AS label, train AS n, train AS customers, true AS in_range FROM sizes",
+        sizes=_CLASS_SIZES,
+    ),
+    "churn_grid": _GRID,
+    "model_roundtrip": v.customer_sql(
+        "SELECT CAST(sum(n - train) AS BIGINT) AS n_rows, 0.0::DOUBLE AS max_change FROM sizes", sizes=_CLASS_SIZES
+    ),
     "class_ratio": v.customer_sql(
         """SELECT churn, count(*) AS count,
         round(CAST(100 * count(*) AS DOUBLE) / (SELECT count(*) FROM customers), 2) AS ratio_pct

@@ -210,7 +210,7 @@ def test_whole_job_finds_the_injected_incident(spark):
     hit = inc.incident_at(result.incidents, START).first()
     assert (hit["severity"], hit["top_error_path"], hit["top_status"]) == ("CRITICAL", "/api/v1/search", "503")
     folder = scratch_path(spark, "detection-test")
-    detection.save(result, folder)
+    detection.save(result, folder, OPTIONS)
     assert spark.read.json(f"{folder}/invalid_logs").count() == 3
     assert spark.read.json(f"{folder}/incidents").count() == result.incidents.count()
     head = detection.report_head(result).first()
