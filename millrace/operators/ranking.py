@@ -62,26 +62,33 @@ def hash_parts(
 
     Each cut maps the size of a stratum to how many of its rows lie before the cut;
     ``name`` becomes the number of cuts a row lies behind. Sizes are exact, yet no
-    row is shuffled: 4 096 hash ranges are counted, only the range that contains a
-    cut is ranked, and the (hash, key) found there is a threshold for all rows.
+    row is shuffled: 4 096 hash ranges are counted, the range that contains a cut is
+    counted again in 4 096 parts, only that part (a stratum's 2^-24) is ranked, and the
+    (hash, key) found there is a threshold for all rows.
     ``key`` must be unique.
     """
     hashed = rows.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key)))
-    ranges = hashed.groupBy(stratum, F.shiftright("_h", 52).alias("_r")).agg(F.count("*").alias("_c"))
-    group = Window.partitionBy(stratum)
-    running = group.orderBy("_r").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sized = ranges.withColumn("_n", F.sum("_c").over(group)).withColumn("_end", F.sum("_c").over(running))
+    sizes = hashed.groupBy(stratum).agg(F.count("*").alias("_n"))
     wanted = F.array(
         *[F.struct(F.lit(i).alias("i"), c(F.col("_n")).cast("long").alias("at")) for i, c in enumerate(cuts)]
     )
-    holding = (
-        sized.withColumn("_cut", F.explode(wanted))
-        .where((F.col("_cut.at") > F.col("_end") - F.col("_c")) & (F.col("_cut.at") <= F.col("_end")))
-        .select(stratum, "_r", "_cut.i", (F.col("_cut.at") - F.col("_end") + F.col("_c")).alias("_local"))
-    )
-    candidates = attach(
-        hashed.select(stratum, key, "_h", F.shiftright("_h", 52).alias("_r")), holding, [stratum, "_r"], "inner"
-    )
+    # one row per cut: the place of its row inside the hash range found so far
+    open_cuts = sizes.select(stratum, F.explode(wanted).alias("_cut")).select(stratum, "_cut.i", F.col("_cut.at").alias("_local"))
+    within = [stratum]
+    members = hashed.select(stratum, key, "_h")
+    for shift in (52, 40):
+        members = members.withColumn(f"_r{shift}", F.shiftright("_h", shift))
+        ranges = members.groupBy(*within, f"_r{shift}").agg(F.count("*").alias("_c"))
+        running = Window.partitionBy(*within).orderBy(f"_r{shift}").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        sized = ranges.withColumn("_end", F.sum("_c").over(running))
+        held = attach(sized, open_cuts, within, "inner").where(
+            (F.col("_local") > F.col("_end") - F.col("_c")) & (F.col("_local") <= F.col("_end"))
+        )
+        within = [*within, f"_r{shift}"]
+        open_cuts = held.select(*within, "i", (F.col("_local") - F.col("_end") + F.col("_c")).alias("_local"))
+        # only rows of a range that holds a cut go on
+        members = attach(members, open_cuts.select(*within).distinct(), within, "left_semi")
+    candidates = attach(members, open_cuts, within, "inner")
     ordered = Window.partitionBy(stratum, "i").orderBy("_h", key)
     found = (
         candidates.withColumn("_k", F.row_number().over(ordered))

@@ -28,8 +28,12 @@ def _filled(sales: DataFrame) -> DataFrame:
     return cleaning.fill_group_median(_priced(sales), "unit_price", "category")
 
 
-def _cleaned(spark: SparkSession, sf: str) -> DataFrame:
-    return plan.clean_sales(v.sales_table(spark, sf))
+# what the amount of a sale follows from
+COST = ("category", "quantity", "unit_price", "discount")
+
+
+def _cleaned(spark: SparkSession, sf: str, *more: str) -> DataFrame:
+    return plan.clean_sales(v.sales_table(spark, sf, *COST, *more))
 
 
 def coerce_types(spark: SparkSession, sf: str) -> DataFrame:
@@ -54,7 +58,7 @@ def profile_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def describe_numeric(spark: SparkSession, sf: str) -> DataFrame:
-    described = profiling.describe_numeric(_priced(v.sales_table(spark, sf)), MEASURES)
+    described = profiling.describe_numeric(_priced(v.sales_table(spark, sf, *MEASURES)), MEASURES)
     return rounded(rounded(described, "std", "q1", "median", "q3"), "mean", digits=9)
 
 
@@ -76,7 +80,7 @@ def invalid_to_null(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def impute_group_median(spark: SparkSession, sf: str) -> DataFrame:
-    return _filled(v.sales_table(spark, sf)).select("order_id", "category", "unit_price")
+    return _filled(v.sales_table(spark, sf, "order_id", "category", "unit_price"))
 
 
 def impute_mode(spark: SparkSession, sf: str) -> DataFrame:
@@ -85,17 +89,17 @@ def impute_mode(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def iqr_bounds(spark: SparkSession, sf: str) -> DataFrame:
-    bounds = cleaning.iqr_bounds(_filled(v.sales_table(spark, sf)), ["unit_price", "quantity"])
+    bounds = cleaning.iqr_bounds(_filled(v.sales_table(spark, sf, "category", "unit_price", "quantity")), ["unit_price", "quantity"])
     return rounded(bounds.select("column", "lower", "upper"), "lower", "upper")
 
 
 def winsorize(spark: SparkSession, sf: str) -> DataFrame:
-    clipped = cleaning.winsorize(_filled(v.sales_table(spark, sf)), ["unit_price", "quantity"])
+    clipped = cleaning.winsorize(_filled(v.sales_table(spark, sf, "order_id", "category", "unit_price", "quantity")), ["unit_price", "quantity"])
     return rounded(clipped.select("order_id", "unit_price", "quantity"), "unit_price", digits=4)
 
 
 def winsorize_report(spark: SparkSession, sf: str) -> DataFrame:
-    report = cleaning.winsorize_report(_filled(v.sales_table(spark, sf)), ["unit_price", "quantity"])
+    report = cleaning.winsorize_report(_filled(v.sales_table(spark, sf, "category", "unit_price", "quantity")), ["unit_price", "quantity"])
     numbers = [c for c in report.columns if c not in ("column", "outliers")]
     return rounded(report, *numbers, digits=4)
 
@@ -108,7 +112,7 @@ def missing_changes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clean_sales(spark: SparkSession, sf: str) -> DataFrame:
-    return _cleaned(spark, sf).select("order_id", "category", "quantity", "unit_price", "discount", "amount")
+    return _cleaned(spark, sf, "order_id").select("order_id", *COST, "amount")
 
 
 def category_summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -124,11 +128,11 @@ def sales_kpi(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sales_pivot(spark: SparkSession, sf: str) -> DataFrame:
-    return counting.pivot_sum(_cleaned(spark, sf), "category", "region", "amount", v.REGIONS)
+    return counting.pivot_sum(_cleaned(spark, sf, "region"), "category", "region", "amount", v.REGIONS)
 
 
 def sales_report(spark: SparkSession, sf: str) -> DataFrame:
-    return plan.sales_report(v.sales_table(spark, sf), 10)
+    return plan.sales_report(v.sales_table(spark, sf, *COST), 10)
 
 
 def category_names(spark: SparkSession) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.operators.contracts import WEB_LOG
 from millrace.plans import detection
 from millrace.plans.sales_report import clean_sales, report_rows
-from millrace.session import scratch_path
+from millrace.session import materialize, scratch_path
 from millrace.streaming import logs as stream
 from millrace.workload import views as v
 from millrace.workload.logs import rounded
@@ -112,8 +112,10 @@ def detected_incidents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def anomaly_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows of the injected logs, and whether each has a score above 0 and up to 1."""
     scored = _run(spark, sf).detected
-    return rounded(scored.select("timestamp", "anomaly_score", "is_anomaly"), "anomaly_score")
+    inside = (F.col("anomaly_score") > 0) & (F.col("anomaly_score") <= 1)
+    return scored.select("timestamp", F.coalesce(inside & F.col("is_anomaly").isNotNull(), F.lit(False)).alias("in_range"))
 
 
 def forest_metrics(spark: SparkSession, sf: str) -> DataFrame:
@@ -123,6 +125,7 @@ def forest_metrics(spark: SparkSession, sf: str) -> DataFrame:
 def detection_saved(spark: SparkSession, sf: str) -> DataFrame:
     """The job with all its outputs stored and read back; the report head."""
     result = _run(spark, sf)
+    result.incidents = materialize(result.incidents, "incidents")  # saved and reported from one evaluation
     detection.save(result, scratch_path(spark, "detection"), OPTIONS)
     return detection.report_head(result)
 
@@ -143,6 +146,10 @@ QUERIES = {
 # every row, a window is out once the watermark has passed its end.
 _CLOSED = f"""w + INTERVAL '{WIDTH}' <= (SELECT max(timestamp) FROM web_logs) - INTERVAL '10 minutes'"""
 ORACLES = {
+    "anomaly_scores": v.raw_log_sql(
+        f"""SELECT DISTINCT time_bucket(INTERVAL '{v.WIDTH}', CAST(timestamp AS TIMESTAMP)) AS timestamp, true AS in_range
+        FROM raw_logs WHERE event_id NOT IN (SELECT event_id FROM log_errors)"""
+    ),
     "stream_counts": v.log_sql("SELECT status AS key, count(*) AS n FROM web_logs GROUP BY 1"),
     "stream_windows": v.log_sql(
         f"""SELECT w AS timestamp, count(*) AS request_count, count(*) FILTER (status >= 500) AS error_5xx_count,

@@ -267,9 +267,10 @@ def sales_texts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def sales_table(spark: SparkSession, sf: str) -> DataFrame:
-    """The joined sales, stored once: cleaning reads them several times."""
-    return materialize(sales_raw(spark, sf), "sales")
+def sales_table(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """The joined sales, or the named columns of them, stored once: cleaning reads them several times."""
+    rows = sales_raw(spark, sf)
+    return materialize(rows.select(*columns) if columns else rows, "sales")
 
 
 SALES_SQL = """
