@@ -93,16 +93,18 @@ def ngram_keys(words: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def chunk_keys(body: bytes, sizes: np.ndarray) -> tuple[list[list[np.ndarray]], np.ndarray]:
-    """N-gram hashes of each document of a chunk, and of all of them together."""
+def chunk_keys(body: bytes, sizes: np.ndarray) -> tuple[list[list[int]], np.ndarray]:
+    """Number of n-grams of each order in each document of a chunk, and all their hashes end to end."""
     import zstandard
 
     text = zstandard.ZstdDecompressor().decompress(body) if len(sizes) else b""
-    known, docs, at = WordHashes(), [], 0
+    known, counts, keys, at = WordHashes(), [], [], 0
     for size in sizes.tolist():
-        docs.append(ngram_keys(hashed_words(text[at : at + size].lower().split(), known)))
+        found = ngram_keys(hashed_words(text[at : at + size].lower().split(), known))
+        counts.append([len(k) for k in found])
+        keys += found
         at += size
-    return docs, np.concatenate([k for doc in docs for k in doc]) if docs else np.zeros(0, np.uint64)
+    return counts, np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
 def cuts(keys: np.ndarray, ranges: int) -> np.ndarray:
@@ -184,17 +186,17 @@ def counted(asked: DataFrame, ranges: int) -> DataFrame:
     return dealt.mapInArrow(run, "chunk bigint, range int, totals binary")
 
 
-def document_scores(docs: list[list[np.ndarray]], place: np.ndarray, totals: np.ndarray, words: int) -> list[tuple[int, float]]:
+def document_scores(docs: list[list[int]], place: np.ndarray, totals: np.ndarray, words: int) -> list[tuple[int, float]]:
     """Words and summed log score of each document of a chunk."""
     out, at = [], 0
     for doc in docs:
         others = []
-        for keys in doc:
-            here = place[at : at + len(keys)]
-            at += len(keys)
+        for count in doc:
+            here = place[at : at + count]
+            at += count
             _, inverse, own = np.unique(here, return_inverse=True, return_counts=True)
-            others.append((totals[here] - own[inverse].astype(np.float64)) if len(here) else np.zeros(0))
-        n = len(doc[0])
+            others.append((totals[here].astype(np.float64) - own[inverse]) if count else np.zeros(0))
+        n = doc[0]
         rest = max(words - n, 1)
         with np.errstate(divide="ignore", invalid="ignore"):
             score = np.where(others[0] > 0, others[0] / rest, ALPHA / rest)
@@ -224,8 +226,10 @@ def scores(documents: DataFrame) -> DataFrame:
         def made() -> pa.RecordBatch:
             doc_ids, sizes, body = head
             docs, keys = chunk_keys(body, np.array(sizes, dtype=np.int64))
-            place = np.unique(keys, return_inverse=True)[1]
-            totals = np.concatenate(parts).astype(np.float64) if parts else np.zeros(0)
+            totals = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+            parts.clear()
+            place = np.unique(keys, return_inverse=True)[1].astype(np.int32)
+            del keys
             found = document_scores(docs, place, totals, words)
             columns = [
                 pa.array(doc_ids, type=pa.int64()), pa.array([n for n, _ in found], type=pa.int64()),
