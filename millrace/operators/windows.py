@@ -35,11 +35,18 @@ def window_features(logs: DataFrame, width: str = "5 minutes", approx: bool = Fa
     share of the rows is spread over many tasks.
     """
     rows = logs.select(window_start(width).alias("start"), "status", "ip", "bytes", "path")
-    counts = rows.groupBy("start").agg(
-        F.count("*").alias("request_count"),
-        F.count_if(F.col("status") >= 500).alias("error_5xx_count"),
+    # one row per client and path of a window first: the distinct counts then expand these, not the logs
+    cells = rows.groupBy("start", "ip", "path").agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("status") >= 500).alias("errors"),
+        F.sum("bytes").alias("bytes"),
+        F.count("bytes").alias("sized"),
+    )
+    counts = cells.groupBy("start").agg(
+        F.sum("n").alias("request_count"),
+        F.sum("errors").alias("error_5xx_count"),
         F.count_distinct("ip").alias("unique_ips"),
-        (F.sum("bytes") / F.count("bytes")).alias("avg_bytes"),
+        F.try_divide(F.sum("bytes"), F.sum("sized")).alias("avg_bytes"),
         F.count_distinct("path").alias("path_count"),
     )
     tail = quantile_columns(rows, "bytes", {"p95_bytes": 0.95}, ["start"], how="nearest", approx=approx)
