@@ -20,6 +20,7 @@ from millrace.models.scoring import pick_threshold, pr_curve, roc_auc
 from millrace.operators.ranking import stratified_folds, stratified_split
 from millrace.session import materialize, require_columns
 
+# The columns of the customer table that the model reads.
 NUMERIC = ("senior", "tenure_months", "monthly_charges", "total_charges", "num_services")
 CATEGORICAL = ("gender", "contract", "payment_method")
 

@@ -11,7 +11,14 @@ from millrace.functions.scalars import SIGNIFICANCE_LEVEL, significance
 
 
 def welch_statistics(df: DataFrame, value: str, group: str, first=1, second=0) -> DataFrame:
-    """t statistic and Welch-Satterthwaite degrees of freedom, from one aggregate."""
+    """t statistic and Welch-Satterthwaite degrees of freedom; a group without values fails the job."""
+    empty = F.raise_error(F.lit("both groups need at least one value")).cast("long")
+    both = (F.col("n_a") > 0) & (F.col("n_b") > 0)
+    return _welch(df, value, group, first, second).withColumn("n_a", F.when(both, F.col("n_a")).otherwise(empty))
+
+
+def _welch(df: DataFrame, value: str, group: str, first, second) -> DataFrame:
+    """One row from one aggregate; NULL statistics where a group is empty."""
     parts = []
     for tag, level in (("a", first), ("b", second)):
         member = F.when(F.col(group) == level, F.col(value).cast("double"))
@@ -33,13 +40,10 @@ def welch_statistics(df: DataFrame, value: str, group: str, first=1, second=0) -
 
 
 def welch_t(df: DataFrame, value: str, group: str, first=1, second=0) -> dict:
-    """Statistic, degrees of freedom and two-sided p-value."""
-    sizes = df.agg(
-        *[F.count(F.when(F.col(group) == level, F.col(value))).alias(tag) for tag, level in (("a", first), ("b", second))]
-    ).first()
-    if not sizes["a"] or not sizes["b"]:
+    """Statistic, degrees of freedom and two-sided p-value, from one aggregate."""
+    row = _welch(df, value, group, first, second).first().asDict()
+    if not row["n_a"] or not row["n_b"]:
         raise ValueError("both groups need at least one value")
-    row = welch_statistics(df, value, group, first, second).first().asDict()
     row["p_value"] = t_two_sided(row["t_statistic"], row["dof"])
     row["significant"] = row["p_value"] < SIGNIFICANCE_LEVEL
     return row

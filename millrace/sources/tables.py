@@ -15,6 +15,7 @@ from millrace.operators.contracts import API_RESPONSE_TEXTS, WEB_LOG_TEXTS, text
 from millrace.operators.lookup import same_rows
 from millrace.session import attach, require_columns, require_rows
 
+# The columns of the input files and their types.
 SALES_TEXTS = texts("order_id", "order_date", "region", "category", "quantity", "unit_price", "discount")
 EVENT_TYPES = {"event_id": "bigint", "user_id": "bigint", "event_type": "string", "ts": "timestamp_ntz", "amount": "double"}
 CHURN_TYPES = {
