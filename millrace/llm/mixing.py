@@ -14,6 +14,10 @@ task replays the steps so far from that short list, so no rate is stored or sent
 the weights times a total that is the largest for which no domain has to be repeated,
 times ``HEADROOM``.
 
+Dropping rows to reach weights (``resampled``) is fitted otherwise: the total comes from the clean
+text, and only documents led by a domain above its target may fall below rate 1. A scarce
+domain is kept whole and never scales the others down; so is all text if the labels tell nothing.
+
 The classifier (multinomial logistic over byte and byte-pair counts, telling word beginnings, word length and repetition) is fitted on the
 driver from at most ``TRAIN_DOCUMENTS`` labelled rows per domain and ``TRAIN_CHARS`` characters, in order of a
 hash of doc_id; everything else covers every row. Tokens are words between ASCII blanks.
@@ -39,6 +43,7 @@ from millrace.llm.common import free_name, mark, slices, stored, table, utf8
 from millrace.llm.toxicity import words_of
 
 DOMAINS = ("clean", "junk", "toxic")
+NAMES = [f"p_{d}" for d in DOMAINS]
 WEIGHTS = {"clean": 0.94, "junk": 0.05, "toxic": 0.01}
 TRAIN_DOCUMENTS, TRAIN_CHARS = 1500, 6_000_000
 PAIRS = 1024
@@ -114,6 +119,11 @@ def labelled_domains(labels: DataFrame) -> DataFrame:
 
 
 def train(documents: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    return train_counted(documents, labels)[0]
+
+
+def train_counted(documents: DataFrame, labels: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """The classifier, and of how many texts of each domain its weights have learned."""
     marked = labelled_domains(labels)
     sized = documents.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).alias("size")).join(marked, "doc_id")
     per_doc = sized.groupBy("doc_id", "domain").agg(F.max("size").alias("size"))
@@ -127,7 +137,7 @@ def train(documents: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarr
                 held += row["size"]
                 chosen.append((row["doc_id"], k))
     if len(chosen) < 2:
-        return fit_classifier([], [])
+        return fit_classifier([], []), np.zeros(len(DOMAINS), dtype=np.int64)
     keys = documents.sparkSession.createDataFrame(chosen, "doc_id bigint, domain int")
     rows = documents.select("doc_id", utf8().alias("body")).join(F.broadcast(keys), "doc_id")
     rows = rows.groupBy("doc_id", "domain").agg(F.max("body").alias("body")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
@@ -137,7 +147,7 @@ def train(documents: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarr
     whole = np.array([counts.get(k, 0) for k in range(len(DOMAINS))], dtype=np.float64)
     shift = np.log((whole + 0.5) / whole.sum()) - np.log((taken + 0.5) / taken.sum())
     w[-1] += shift
-    return tells, w
+    return (tells, w), taken
 
 
 def posteriors(documents: DataFrame, classifier: tuple[np.ndarray, np.ndarray]) -> DataFrame:
@@ -157,44 +167,47 @@ def posteriors(documents: DataFrame, classifier: tuple[np.ndarray, np.ndarray])
     return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), utf8().alias("body")).mapInArrow(run, schema)
 
 
-def replayed(p: np.ndarray, errors: list[np.ndarray], step: float, ahead: bool = False) -> np.ndarray:
+def replayed(
+    p: np.ndarray, errors: list[np.ndarray], step: float, ahead: bool = False, thinned: np.ndarray | None = None
+) -> np.ndarray:
     """Rates after the steps whose relative domain errors are given, from 1.
 
     The steps are accelerated: errors belong to the point ahead of the rates, where momentum carries them.
+    With ``thinned`` (one flag per domain) rates lie between 0 and 1 for documents led by such a domain and are 1 for others.
     """
+    low, high = 0.0, np.inf
+    if thinned is not None:
+        low, high = np.where(thinned[p.argmax(axis=1)], 0.0, 1.0), 1.0
     rate = forward = np.ones(len(p))
     for i, e in enumerate(errors):
-        new = np.maximum(0.0, forward - step * (p @ e + RIDGE * (forward - 1)))
+        new = np.clip(forward - step * (p @ e + RIDGE * (forward - 1)), low, high)
         forward, rate = new + (i / (i + 3)) * (new - rate), new
     return forward if ahead else rate
 
 
-def rates_of(columns: list[str], errors: list[np.ndarray], step: float, ahead: bool = False):
+def rates_of(columns: list[str], errors: list[np.ndarray], step: float, ahead: bool = False, thinned: np.ndarray | None = None):
     @F.pandas_udf("double")
     def rate(*p: pd.Series) -> pd.Series:
-        return pd.Series(replayed(np.stack([x.to_numpy() for x in p], axis=1), errors, step, ahead))
+        return pd.Series(replayed(np.stack([x.to_numpy() for x in p], axis=1), errors, step, ahead, thinned))
 
     return rate(*columns)
 
 
-def fit_rates(members: DataFrame, weights: dict[str, float] = WEIGHTS, headroom: float = HEADROOM) -> tuple[DataFrame, dict]:
-    """Members with ``rate``; and the fit: targets, reached totals, steps taken."""
-    names = [f"p_{d}" for d in DOMAINS]
+def shares_of(weights: dict[str, float]) -> np.ndarray:
     share = np.array([weights[d] for d in DOMAINS], dtype=np.float64)
     if (share < 0).any() or not share.sum():
         raise ValueError("weights must not be negative, nor all zero")
-    share = share / share.sum()
+    return share / share.sum()
 
-    def totals(rows: DataFrame) -> np.ndarray:
-        sums = rows.agg(*(F.sum(F.col("rate") * F.col("n_tokens") * F.col(n)).alias(n) for n in names)).first()
-        return np.array([x or 0.0 for x in sums])
 
-    supply = totals(members.withColumn("rate", F.lit(1.0)))
-    fitted = (share > 0) & (supply > 0)
-    if not fitted.any():
-        return members.withColumn("rate", F.lit(1.0)), {"targets": supply, "reached": supply, "steps": 0, "errors": [], "step": 0.0}
-    total = headroom * np.min(supply[fitted] / share[fitted])
-    targets = np.where(fitted, share * total, 0.0)
+def totals(rows: DataFrame) -> np.ndarray:
+    """Expected tokens of each domain at the rates of the rows."""
+    sums = rows.agg(*(F.sum(F.col("rate") * F.col("n_tokens") * F.col(n)).alias(n) for n in NAMES)).first()
+    return np.array([x or 0.0 for x in sums])
+
+
+def descended(members: DataFrame, supply: np.ndarray, targets: np.ndarray, fitted: np.ndarray, thinned: np.ndarray | None = None) -> dict:
+    """The fit of the rates to the targets of the fitted domains: targets, reached totals, steps taken."""
     scale = np.where(fitted, targets, 1.0)
     step = 1.0 / (np.max(supply[fitted] / targets[fitted]) + RIDGE)
     errors: list[np.ndarray] = []
@@ -204,27 +217,60 @@ def fit_rates(members: DataFrame, weights: dict[str, float] = WEIGHTS, headroom:
         if np.abs(error).max() < TOLERANCE:
             break
         errors.append(error)
-        reached = totals(members.withColumn("rate", rates_of(names, errors, step, ahead=True)))
-    reached = totals(members.withColumn("rate", rates_of(names, errors, step)))
-    fit = {"targets": targets, "reached": reached, "steps": len(errors), "errors": errors, "step": step}
-    return members.withColumn("rate", rates_of(names, errors, step)), fit
+        reached = totals(members.withColumn("rate", rates_of(NAMES, errors, step, True, thinned)))
+    reached = totals(members.withColumn("rate", rates_of(NAMES, errors, step, False, thinned)))
+    return {"targets": targets, "reached": reached, "steps": len(errors), "errors": errors, "step": step}
+
+
+def fit_rates(members: DataFrame, weights: dict[str, float] = WEIGHTS, headroom: float = HEADROOM) -> tuple[DataFrame, dict]:
+    """Members with ``rate``; and the fit: targets, reached totals, steps taken."""
+    share = shares_of(weights)
+    supply = totals(members.withColumn("rate", F.lit(1.0)))
+    fitted = (share > 0) & (supply > 0)
+    if not fitted.any():
+        return members.withColumn("rate", F.lit(1.0)), {"targets": supply, "reached": supply, "steps": 0, "errors": [], "step": 0.0}
+    total = headroom * np.min(supply[fitted] / share[fitted])
+    fit = descended(members, supply, np.where(fitted, share * total, 0.0), fitted)
+    return members.withColumn("rate", rates_of(NAMES, fit["errors"], fit["step"])), fit
+
+
+def fit_thinning(members: DataFrame, weights: dict[str, float], known: np.ndarray) -> dict:
+    """The fit whose rates lie between 0 and 1 and are 1 for all but documents led by a domain above its target.
+
+    Targets are the weights over that of clean text, times the clean supply. ``known`` flags
+    the domains that the classifier has seen: without clean text among them nothing is thinned, and no unseen
+    domain is. A domain of weight 0 has no target and is left as it is.
+    """
+    share = shares_of(weights)
+    supply = totals(members.withColumn("rate", F.lit(1.0)))
+    targets, thinned = supply, np.zeros(len(DOMAINS), dtype=bool)
+    if share[0] > 0 and supply[0] > 0 and known[0]:
+        wanted = share / share[0] * supply[0]
+        thinned = known & (wanted > 0) & (supply > wanted)
+        thinned[0] = False
+        targets = np.where(thinned, wanted, supply)
+    if not thinned.any():
+        return {"targets": supply, "reached": supply, "steps": 0, "errors": [], "step": 0.0, "thinned": thinned}
+    return descended(members, supply, targets, thinned, thinned) | {"thinned": thinned}
 
 
-def resampled(documents: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHTS, headroom: float = HEADROOM) -> DataFrame:
-    """The documents kept with probability min(1, rate), by a hash of doc_id and text, with their own columns.
+def resampled(documents: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHTS) -> DataFrame:
+    """The documents kept with the probability of ``fit_thinning``, by a hash of doc_id and text, with their own columns.
 
     No document is repeated, so that a stage before this one that removed copies stays
     true. Rates are replayed beside the texts: nothing is joined or shuffled.
     """
-    classifier = train(documents, labels)
-    fit = fit_rates(stored(posteriors(documents, classifier), "posteriors"), weights, headroom)[1]
-    shared = documents.sparkSession.sparkContext.broadcast((classifier, fit["errors"], fit["step"]))
+    classifier, seen = train_counted(documents, labels)
+    fit = fit_thinning(stored(posteriors(documents, classifier), "posteriors"), weights, seen > 0)
+    if not fit["errors"]:
+        return documents
+    shared = documents.sparkSession.sparkContext.broadcast((classifier, fit["errors"], fit["step"], fit["thinned"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (tells, w), errors, step = shared.value
+        (tells, w), errors, step, thinned = shared.value
         for batch in slices(batches, body):
             p = softmax(np.stack([features(t, tells) for t in batch.column(body).to_pylist()]) @ w)
-            keep = batch.column(draw).to_numpy() < replayed(p, errors, step)
+            keep = batch.column(draw).to_numpy() < replayed(p, errors, step, thinned=thinned)
             yield batch.select(own).filter(pa.array(keep))
 
     own, body, draw = documents.columns, free_name(documents, "__body"), free_name(documents, "__draw")

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from millrace.llm import fingerprints, lm_scores, mixing, sentencepiece, toxicity
 
 from .conftest import awkward
@@ -291,6 +292,39 @@ def test_mixing_rows(spark, documents, nothing):
     assert mixing.resampled(nothing, labels).count() == 0
 
 
+def thinning_corpus(n, junk):
+    """Rows of which ``junk`` are repeated signs, and labels for all of them; junk is placed evenly."""
+    draw = np.random.default_rng(5)
+    every = n // junk if junk else n + 1
+    rows, labels = [], []
+    for k in range(n):
+        poor = k % every == every - 1 and k // every < junk
+        words = ["$$$###"] * 40 if poor else [str(w) for w in draw.choice(["kara", "lote", "minos", "suna", "rate", "loki"], 40)]
+        rows.append((k, " ".join([f"n{k}", *words])))
+        labels.append((k, int(not poor), 0))
+    return rows, labels
+
+
+@pytest.mark.parametrize("junk", [0, 1, 20, 200])
+def test_clean_rows_stay_however_scarce_junk_is(spark, junk):
+    rows, labels = thinning_corpus(1000, junk)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    marks = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    kept = {r.doc_id for r in mixing.resampled(docs, marks, corpus_pipeline.MIX).collect()}
+    clean = {i for i, good, _ in labels if good}
+    assert clean <= kept
+    # 5 to 95 of the clean text, never more than there is
+    assert len(kept - clean) == junk if junk <= 20 else 20 <= len(kept - clean) <= 70
+
+
+def test_labels_that_tell_nothing_drop_nothing(spark):
+    rows, labels = thinning_corpus(300, 60)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    marks = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    for useless in ("false", "quality = 0", "quality = 1", "doc_id = 0"):
+        assert mixing.resampled(docs, marks.where(useless), corpus_pipeline.MIX).count() == 300
+
+
 def test_classifier_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.01"
     documents, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
