@@ -150,6 +150,11 @@ def minhash(items: np.ndarray, a: np.ndarray, b: np.ndarray, chunk: int = 4096)
     return best
 
 
+def shortened(mins: np.ndarray) -> np.ndarray:
+    """Lower 16 bits of minima. The upper ones are nearly all zero for long texts and tell nothing."""
+    return (mins & np.uint32(0xFFFF)).astype(np.uint16)
+
+
 def binaries(values: list[bytes]) -> pa.Array:
     return pa.array(values, type=pa.binary())
 

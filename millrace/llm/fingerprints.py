@@ -3,7 +3,7 @@
 A text's words are the runs of characters other than ASCII blanks, with A-Z lower-cased;
 its items are hashes of five-word shingles (of fewer words, the whole). ``PERMUTATIONS``
 universal hash functions give one minimum each, computed in blocks by numpy; the
-fingerprint is the upper 16 bits of each minimum in hexadecimal. Likeness of two
+fingerprint is the lower 16 bits of each minimum in hexadecimal. Likeness of two
 fingerprints is the share of equal places, an estimate of the Jaccard similarity.
 
 A null text is empty; texts without words have one fingerprint of their own. Documents
@@ -23,7 +23,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WordHashes, hashed_words, minhash, parallelism, permutations, shingles, slices, table, utf8
+from millrace.llm.common import (
+    WordHashes,
+    hashed_words,
+    minhash,
+    parallelism,
+    permutations,
+    shingles,
+    shortened,
+    slices,
+    table,
+    utf8,
+)
 
 PERMUTATIONS = 128
 SHINGLE = 5
@@ -43,7 +54,7 @@ class Fingerprinter:
         return shingles(hashed_words(text.lower().split(), self.known), self.size)
 
     def __call__(self, text: bytes) -> np.ndarray:
-        return (minhash(self.items(text), self.a, self.b) >> np.uint32(16)).astype(">u2")
+        return shortened(minhash(self.items(text), self.a, self.b)).astype(">u2")
 
 
 def likeness(left: np.ndarray, right: np.ndarray) -> float:

@@ -47,6 +47,7 @@ from millrace.llm.common import (
     minhash,
     permutations,
     shingles,
+    shortened,
     slices,
     stored,
     table,
@@ -116,7 +117,7 @@ def shingled(documents: DataFrame, size: int) -> DataFrame:
                 mins = minhash(items, a, b)
                 counts.append(len(items))
                 digests.append(hashlib.blake2b(items.tobytes(), digest_size=16).digest())
-                signatures.append((mins >> np.uint32(16)).astype(np.uint16).tobytes())
+                signatures.append(shortened(mins).tobytes())
                 bodies.append(pack.compress(body))
             n = len(counts)
             yield pa.RecordBatch.from_arrays(

@@ -130,6 +130,13 @@ def test_chained_and_crowded_near_copies(spark):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
 
 
+def test_long_unrelated_texts_share_no_band(spark):
+    rows = [(k, " ".join(f"{k}x{n}" for n in range(100_000))) for k in range(2)]
+    found = near_dedup.shingled(spark.createDataFrame(rows, "doc_id bigint, text string"), 4)
+    left, right = (set(r.keys) for r in found.select(near_dedup.band_keys(found.signature).alias("keys")).collect())
+    assert not left & right
+
+
 def test_bayesian_bounds():
     bounds = near_dedup.least_agreements(0.8)
     assert [n for n, _ in bounds] == list(range(24, 241, 24)) and all(0 < m < 0.8 * n for n, m in bounds)

@@ -54,6 +54,16 @@ def test_likeness_estimates_jaccard():
     assert abs(fingerprints.likeness(sign(a), sign(b)) - len(x & y) / len(x | y)) < 0.15
 
 
+def test_long_unrelated_texts_are_unlike():
+    sign = fingerprints.Fingerprinter()
+    a = b" ".join(b"a%d" % k for k in range(100_000))
+    b = b" ".join(b"b%d" % k for k in range(100_000))
+    assert fingerprints.likeness(sign(a), sign(b)) < 0.05
+    half = a[: len(a) // 2] + b[len(b) // 2 :]
+    x, y = set(sign.items(a).tolist()), set(sign.items(half).tolist())
+    assert abs(fingerprints.likeness(sign(a), sign(half)) - len(x & y) / len(x | y)) < 0.15
+
+
 def test_similar_pairs_are_verified(documents):
     keyed = documents.where("doc_id is not null").dropDuplicates(["doc_id"])
     pairs = fingerprints.similar_pairs(keyed, fingerprints.fingerprints(keyed)).collect()
