@@ -6,6 +6,12 @@ universal hash functions give one minimum each, computed in blocks by numpy; the
 fingerprint is the lower 16 bits of each minimum in hexadecimal. Likeness of two
 fingerprints is the share of equal places, an estimate of the Jaccard similarity.
 
+Near duplicates have a Jaccard similarity of ``SIMILARITY`` or more on full shingle sets. Their
+candidates share a band of the signature; ``near_dedup.search`` pairs each band as a star, then compares exactly
+what bands still hold of different components. The chance that a pair at the
+threshold shares no band is ``(1 - t^BAND_ROWS)^(PERMUTATIONS // BAND_ROWS)``, 5e-5. A
+component is named by its smallest doc_id (a null one only without others); ``n_links`` counts a row's verified links.
+
 A null text is empty; texts without words have one fingerprint of their own. Documents
 are ordered by (doc_id, text), null ids first, so ties and repeated rows have a defined
 next document. A single document is its own next. An empty table gives an empty result.
@@ -20,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,9 +39,11 @@ from millrace.llm.common import (
     shingles,
     shortened,
     slices,
+    stored,
     table,
     utf8,
 )
+from millrace.llm.near_dedup import beside, firsts, membership, search
 
 PERMUTATIONS = 128
 SHINGLE = 5
@@ -54,7 +63,10 @@ class Fingerprinter:
         return shingles(hashed_words(text.lower().split(), self.known), self.size)
 
     def __call__(self, text: bytes) -> np.ndarray:
-        return shortened(minhash(self.items(text), self.a, self.b)).astype(">u2")
+        return self.signature(self.items(text))
+
+    def signature(self, items: np.ndarray) -> np.ndarray:
+        return shortened(minhash(items, self.a, self.b)).astype(">u2")
 
 
 def likeness(left: np.ndarray, right: np.ndarray) -> float:
@@ -102,41 +114,79 @@ def with_blocks(documents: DataFrame) -> tuple[DataFrame, int]:
     return own.unionByName(moved.select("block", F.lit(1).alias("place"), "doc_id", "text")), wanted
 
 
-def fingerprints(documents: DataFrame) -> DataFrame:
-    """Fingerprint of every document, of its edited text, and both likenesses. One shuffle of the texts."""
+_PRINTS = (
+    "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string,"
+    " near_edited double, near_next double"
+)
+_SEARCHED = ", row bigint, n_shingles bigint, digest binary, signature binary, body binary"
+_KINDS = {"bigint": pa.int64(), "string": pa.string(), "double": pa.float64(), "binary": pa.binary()}
+
+
+def fingerprints(documents: DataFrame, searched: bool = False) -> DataFrame:
+    """Fingerprint of every document, of its edited text, and both likenesses. One shuffle of the texts.
+
+    With ``searched`` also what ``near_dedup.search`` reads; store it, as row numbers belong to one evaluation.
+    """
     rows, wanted = with_blocks(documents)
     dealt = rows.repartition(wanted, "block").sortWithinPartitions("block", "place", "doc_id", "text")
-    schema = (
-        "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string,"
-        " near_edited double, near_next double"
-    )
+    schema = _PRINTS + (_SEARCHED if searched else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sign = Fingerprinter()
-        names = [x.split()[0] for x in schema.split(", ")]
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-        waiting = None  # (block, doc_id, text, signature) of the row whose successor comes next
+        import zstandard
+
+        sign, pack = Fingerprinter(), zstandard.ZstdCompressor(level=3)
+        names, kinds = zip(*(x.split() for x in schema.split(", ")))
+        row = TaskContext.get().partitionId() << 40
+        waiting = None  # (block, doc_id, text, signature, what the search reads) of the row whose successor comes next
         for batch in slices(batches, "body"):
             out = []
             for block, place, doc_id, body in zip(*(batch.column(c).to_pylist() for c in ("block", "place", "doc_id", "body"))):
-                text, signature = body.decode("utf-8"), sign(body)
+                items = sign.items(body)
+                text, signature = body.decode("utf-8"), sign.signature(items)
                 if waiting is not None and waiting[0] == block:
                     changed = edited(waiting[2], text).encode("utf-8")
                     other = sign(changed)
                     out.append(
                         (
                             waiting[1], len(waiting[2]), hashlib.sha256(changed).hexdigest(), waiting[3].tobytes().hex(),
-                            other.tobytes().hex(), likeness(waiting[3], other), likeness(waiting[3], signature),
+                            other.tobytes().hex(), likeness(waiting[3], other), likeness(waiting[3], signature), *waiting[4],
                         )
                     )
-                waiting = (block, doc_id, text, signature) if place == 0 else None
+                extra = ()
+                if searched and place == 0:
+                    digest = hashlib.blake2b(items.tobytes(), digest_size=16).digest()
+                    extra = (row, len(items), digest, signature.tobytes(), pack.compress(body))
+                    row += 1
+                waiting = (block, doc_id, text, signature, extra) if place == 0 else None
             if out:
-                columns = [pa.array(c, type=kind) for c, kind in zip(zip(*out), kinds)]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                columns = [pa.array(c, type=_KINDS[kind]) for c, kind in zip(zip(*out), kinds)]
+                yield pa.RecordBatch.from_arrays(columns, names=list(names))
 
     return dealt.select("block", "place", "doc_id", utf8().alias("body")).mapInArrow(run, schema)
 
 
+def linked_fingerprints(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``fingerprints`` with component_id and n_links of the verified near duplicates.
+
+    ``n_links`` counts the links that the search has verified and needs to hold a component together, not
+    all pairs of it: rows of equal sets have one to the first of them, and it one to each. 0: no near duplicate.
+    """
+    percent = round(100 * similarity)
+    rows = stored(fingerprints(documents, searched=True), "fingerprints")
+    classes, links, labels = search(rows, SHINGLE, percent, PERMUTATIONS, BAND_ROWS)
+    joined = membership(rows.select("doc_id", "row", "n_shingles", "digest"), classes, labels)
+    ends = links.select(F.col("a").alias("row")).union(links.select(F.col("b").alias("row"))).groupBy("row").agg(F.count("*").alias("n"))
+    equal = F.when(F.col("row") == F.col("node"), F.col("members") - 1).otherwise(1)
+    placed = beside(joined, firsts(joined), "label").select(
+        "row", F.col("f.doc_id").alias("component_id"), equal.alias("equal")
+    )
+    counted = beside(placed, ends, "row", "left").select(
+        "row", "component_id", (F.col("equal") + F.coalesce("n", F.lit(0))).alias("n_links")
+    )
+    names = [x.split()[0] for x in _PRINTS.split(", ")]
+    return beside(rows.select("row", *names), counted, "row").drop("row")
+
+
 def band_keys(fingerprint: Column, rows: int = BAND_ROWS, count: int = PERMUTATIONS) -> Column:
     """One 64-bit key per band of ``rows`` places."""
     bands = count // rows
@@ -147,7 +197,9 @@ def band_keys(fingerprint: Column, rows: int = BAND_ROWS, count: int = PERMUTATI
 
 
 def similar_pairs(documents: DataFrame, prints: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Verified near duplicates: (doc_id, other_id, jaccard) from each document to its bands' leaders.
+    """Verified near duplicates: (doc_id, other_id, jaccard) from each document to its bands' leaders only.
+
+    Whole components are in ``linked_fingerprints``.
 
     Equal fingerprints form a class led by the smallest id; leaders with a band in common
     are paired with the smallest id in that band, so no bucket emits all its pairs. Every
@@ -180,4 +232,4 @@ def similar_pairs(documents: DataFrame, prints: DataFrame, similarity: float = S
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return linked_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))

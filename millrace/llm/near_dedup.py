@@ -138,11 +138,11 @@ def shingled(documents: DataFrame, size: int) -> DataFrame:
     return keyed.mapInArrow(run, _SHINGLED)
 
 
-def band_keys(signature: Column) -> Column:
-    """One 64-bit key per band of ``ROWS`` places (two bytes each)."""
+def band_keys(signature: Column, places: int = PLACES, rows: int = ROWS) -> Column:
+    """One 64-bit key per band of ``rows`` places (two bytes each)."""
     return F.transform(
-        F.sequence(F.lit(0), F.lit(PLACES // ROWS - 1)),
-        lambda i: F.xxhash64(i, F.substring(signature, i * (2 * ROWS) + 1, F.lit(2 * ROWS))),
+        F.sequence(F.lit(0), F.lit(places // rows - 1)),
+        lambda i: F.xxhash64(i, F.substring(signature, i * (2 * rows) + 1, F.lit(2 * rows))),
     )
 
 
@@ -151,9 +151,9 @@ def beside(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> Da
     return left.join(right.hint("merge"), on, how)
 
 
-def plausible(pairs: DataFrame, signatures: DataFrame, similarity: float) -> DataFrame:
+def plausible(pairs: DataFrame, signatures: DataFrame, similarity: float, places: int = PLACES) -> DataFrame:
     """The pairs (a, b) whose signatures pass the Bayesian bounds."""
-    bounds = least_agreements(similarity)
+    bounds = least_agreements(similarity, places=places)
     joined = beside(pairs, signatures.select(F.col("row").alias("a"), F.col("signature").alias("left")), "a")
     joined = beside(joined, signatures.select(F.col("row").alias("b"), F.col("signature").alias("right")), "b")
 
@@ -161,7 +161,7 @@ def plausible(pairs: DataFrame, signatures: DataFrame, similarity: float) -> Dat
     def passes(left: pd.Series, right: pd.Series) -> pd.Series:
         out = []
         for i in range(0, len(left), 4096):
-            x, y = (np.frombuffer(b"".join(s.iloc[i : i + 4096]), dtype=np.uint16).reshape(-1, PLACES) for s in (left, right))
+            x, y = (np.frombuffer(b"".join(s.iloc[i : i + 4096]), dtype=np.uint16).reshape(-1, places) for s in (left, right))
             out.append(stays(x, y, bounds))
         return pd.Series(np.concatenate(out) if out else np.zeros(0, dtype=bool))
 
@@ -190,19 +190,20 @@ def linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
     return joined.where(similar("left", "right")).select("a", "b")
 
 
-def first_common(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+def first_common(left: np.ndarray, right: np.ndarray, rows: int = ROWS) -> np.ndarray:
     """Number of the first band that each pair of signatures shares."""
-    return (left == right).reshape(len(left), -1, ROWS).all(axis=2).argmax(axis=1)
+    whole = left.shape[1] // rows * rows
+    return (left == right)[:, :whole].reshape(len(left), -1, rows).all(axis=2).argmax(axis=1)
 
 
-def across(members: DataFrame, size: int, percent: int) -> DataFrame:
+def across(members: DataFrame, size: int, percent: int, places: int = PLACES, per_band: int = ROWS) -> DataFrame:
     """Links (a, b) between different labels of one mixed band, found and checked inside tasks.
 
     ``members`` has band, number (of the band in the signature), n (rows of the band), row,
     label, signature and body. A band of over ``BLOCK`` rows is cut into blocks by a hash, and every two
     blocks meet in a task of their own. A pair that shares several bands is checked in the first.
     """
-    bounds = least_agreements(percent / 100)
+    bounds = least_agreements(percent / 100, places=places)
     placed = members.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn(
         "block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int")
     )
@@ -217,7 +218,7 @@ def across(members: DataFrame, size: int, percent: int) -> DataFrame:
         group = group.drop_duplicates("row")
         rows, labels, bodies = group["row"].tolist(), group["label"].to_numpy(), group["body"].tolist()
         number = group["number"].iloc[0]
-        signatures = np.frombuffer(b"".join(group["signature"]), dtype=np.uint16).reshape(-1, PLACES)
+        signatures = np.frombuffer(b"".join(group["signature"]), dtype=np.uint16).reshape(-1, places)
 
         def items(i: int) -> np.ndarray:
             if i not in sets:
@@ -227,12 +228,12 @@ def across(members: DataFrame, size: int, percent: int) -> DataFrame:
         found = []
         for i in range(len(rows) - 1):
             others = np.flatnonzero(labels[i + 1 :] != labels[i]) + i + 1
-            left = np.broadcast_to(signatures[i], (len(others), PLACES))
+            left = np.broadcast_to(signatures[i], (len(others), places))
             others = others[stays(left, signatures[others], bounds)]
             if not len(others):
                 continue
-            left = np.broadcast_to(signatures[i], (len(others), PLACES))
-            others = others[first_common(left, signatures[others]) == number]
+            left = np.broadcast_to(signatures[i], (len(others), places))
+            others = others[first_common(left, signatures[others], per_band) == number]
             # most alike first: the first link to a label settles it
             agreed = (signatures[others] == signatures[i]).sum(axis=1)
             settled = set()
@@ -249,22 +250,26 @@ def across(members: DataFrame, size: int, percent: int) -> DataFrame:
     return needed.groupBy("band", "low", "high").applyInPandas(compare, "a bigint, b bigint")
 
 
-def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """Per row: doc_id, mark, n_shingles, component_id and first (the one row of its component that stays)."""
+def search(
+    rows: DataFrame, size: int, percent: int, places: int = PLACES, per_band: int = ROWS
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Classes of equal sets (digest, node, members), links between nodes (a, b) and their components (node, label).
+
+    ``rows`` is stored and has row, n_shingles, digest, signature and body as ``shingled`` gives them.
+    """
     similarity = percent / 100
-    rows = stored(shingled(documents, size), "shingled")
     filled = rows.where("n_shingles > 0")
-    classes = filled.groupBy("digest").agg(F.min("row").alias("node"))
+    classes = filled.groupBy("digest").agg(F.min("row").alias("node"), F.count("*").alias("members"))
     nodes = stored(
         beside(filled.select("row", "signature"), classes.select(F.col("node").alias("row")), "row", "left_semi"), "nodes"
     )
 
-    bands = nodes.select("row", F.posexplode(band_keys(F.col("signature"))).alias("number", "band"))
+    bands = nodes.select("row", F.posexplode(band_keys(F.col("signature"), places, per_band)).alias("number", "band"))
     shared = bands.groupBy("band").agg(F.min("row").alias("leader"), F.count("*").alias("n")).where("n > 1")
     held = stored(beside(bands, shared, "band"), "held")  # rows of bands that several rows share
     texts = stored(beside(rows.select("row", "body"), held.select("row").distinct(), "row", "left_semi"), "texts")
     star = held.where("row <> leader").select(F.col("row").alias("a"), F.col("leader").alias("b")).distinct()
-    links = stored(linked(plausible(star, nodes, similarity), texts, size, percent), "links")
+    links = stored(linked(plausible(star, nodes, similarity, places), texts, size, percent), "links")
 
     labels = components(links)
     labelled = beside(held, labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
@@ -272,19 +277,34 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
     mixed = labelled.where("n > 2").groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     members = beside(labelled.select("band", "number", "n", "row", "label"), mixed.where("low <> high").select("band"), "band")
     members = beside(beside(members, nodes, "row"), texts, "row")
-    fresh = stored(across(members, size, percent).distinct(), "across")
+    fresh = stored(across(members, size, percent, places, per_band).distinct(), "across")
     if not fresh.isEmpty():
-        labels = components(links.union(fresh))
+        links = links.union(fresh)
+        labels = components(links)
+    return classes, links, labels
+
 
-    placed = rows.select("doc_id", "mark", "row", "n_shingles", "digest")
-    by_class = beside(placed.where("n_shingles > 0"), classes, "digest").select("doc_id", "mark", "row", "n_shingles", "node")
-    alone = placed.where("n_shingles = 0").select("doc_id", "mark", "row", "n_shingles", F.col("row").alias("node"))
+def membership(placed: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """``placed`` (with row, n_shingles, digest) with node, members and label; rows without shingles are alone."""
+    own = [c for c in placed.columns if c != "digest"]
+    by_class = beside(placed.where("n_shingles > 0"), classes, "digest").select(*own, "node", "members")
+    alone = placed.where("n_shingles = 0").select(*own, F.col("row").alias("node"), F.lit(1).cast("bigint").alias("members"))
     joined = beside(by_class.unionByName(alone), labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    joined = stored(joined, "membership")
-    # the smallest id, null last, and of repeated rows the first
+    return stored(joined, "membership")
+
+
+def firsts(joined: DataFrame) -> DataFrame:
+    """Per label ``f``: the smallest id, null last, and of repeated rows the first."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
-    first = joined.groupBy("label").agg(F.min(order).alias("f"))
-    return beside(joined, first, "label").select(
+    return joined.groupBy("label").agg(F.min(order).alias("f"))
+
+
+def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """Per row: doc_id, mark, n_shingles, component_id and first (the one row of its component that stays)."""
+    rows = stored(shingled(documents, size), "shingled")
+    classes, _, labels = search(rows, size, percent)
+    joined = membership(rows.select("doc_id", "mark", "row", "n_shingles", "digest"), classes, labels)
+    return beside(joined, firsts(joined), "label").select(
         "doc_id", "mark", "n_shingles", F.col("f.doc_id").alias("component_id"), (F.col("row") == F.col("f.row")).alias("first")
     )
 

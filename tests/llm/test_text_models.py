@@ -10,6 +10,7 @@ import corpus_pipeline
 from millrace.llm import fingerprints, lm_scores, mixing, sentencepiece, toxicity
 
 from .conftest import awkward
+from .test_dedup import components_by_hand
 
 
 def by_id(rows):
@@ -71,6 +72,33 @@ def test_similar_pairs_are_verified(documents):
     assert all(r.jaccard >= 0.8 for r in pairs)
 
 
+def test_query_links_what_the_leaders_miss(spark, documents, nothing):
+    """Copies that drift step by step: links that do not touch a band's leader join components, too."""
+    draw = np.random.default_rng(3)
+    words = [f"w{k}" for k in draw.integers(0, 10**6, 100)]
+    rows = []
+    for k in range(60):
+        text = list(words)
+        if k % 20 == 19:
+            words[int(draw.integers(0, 100))] = f"n{k}"
+        text[int(draw.integers(0, 100))] = f"v{k}"
+        rows.append((k, " ".join(text)))
+    rows = [rows[k] for k in draw.permutation(60)]
+    got = fingerprints.linked_fingerprints(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    want, _ = components_by_hand(sorted(rows), fingerprints.SHINGLE, 80)
+    assert Counter((r.doc_id, r.component_id) for r in got) == Counter((i, c) for i, _, c in want)
+    sizes = Counter(r.component_id for r in got)
+    assert all((r.n_links > 0) == (sizes[r.component_id] > 1) for r in got)
+    awkward_rows = fingerprints.linked_fingerprints(documents).collect()
+    want, _ = components_by_hand([(i, t) for i, t, *_ in awkward()], fingerprints.SHINGLE, 80)
+    assert Counter((r.doc_id, r.component_id) for r in awkward_rows) == Counter((i, c) for (i, _, c), n in want.items() for _ in range(n))
+    assert fingerprints.linked_fingerprints(nothing).count() == 0
+
+
+def test_query_has_components(spark):
+    assert {"component_id", "n_links"} <= set(fingerprints.op4_fingerprints(spark, "/root/testdata/sf0.001").columns)
+
+
 # --- language model ------------------------------------------------------------
 
 
