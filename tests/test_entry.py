@@ -24,3 +24,8 @@ def test_query_equals_its_sql_twin(spark, sf, name):
 
     assert compare(spark, name, sf).startswith("ok"), name
 
+
+def test_bench_holds_the_longest_queries():
+    import bench
+
+    assert {"churn_grid", "churn_oof"} <= set(bench.HEADLINE) <= set(driver.queries())
