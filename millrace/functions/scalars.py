@@ -73,26 +73,33 @@ def clip(value: Column, low: Column, high: Column) -> Column:
     return F.when(value.isNotNull(), F.greatest(low, F.least(high, value)))
 
 
-def discounted_amount(quantity: Column, unit_price: Column, discount: Column) -> Column:
-    """``quantity * unit_price * (1 - discount)`` in decimals, halves round up."""
-    return discounted_decimal(quantity, unit_price, discount).cast("double")
-
+def _held(value: Column, kind: str) -> Column:
+    """Whether a decimal type holds the value with every digit."""
+    return value.try_cast(kind).cast("double") == value.cast("double")
 
-def discounted_decimal(quantity: Column, unit_price: Column, discount: Column) -> Column:
-    product = (
-        quantity.cast("decimal(12,2)")
-        * unit_price.cast("decimal(14,4)")
-        * (F.lit(1).cast("decimal(1,0)") - discount.cast("decimal(5,4)"))
-    )
-    return F.round(product, 2).cast("decimal(18,2)")
 
+def discounted_amount(quantity: Column, unit_price: Column, discount: Column) -> Column:
+    """``quantity * unit_price * (1 - discount)``, rounded once to two decimals, halves up.
 
-def exact_sum(money: Column, scale: int = 2) -> Column:
+    Multiplied in decimals when they hold all three inputs with every digit, as doubles otherwise.
+    """
+    kinds = {"quantity": "decimal(20,6)", "unit_price": "decimal(22,10)", "discount": "decimal(12,10)"}
+    inputs = dict(zip(kinds, (quantity, unit_price, discount)))
+    whole = F.lit(True)
+    for name, kind in kinds.items():
+        whole = whole & _held(inputs[name], kind)
+    q, p, d = (value.try_cast(kinds[name]) for name, value in inputs.items())
+    exact = F.round(F.try_multiply(F.try_multiply(q, p), F.lit(1).cast("decimal(1,0)") - d), 2).cast("double")
+    plain = F.round(quantity.cast("double") * unit_price.cast("double") * (1.0 - discount.cast("double")), 2)
+    return F.coalesce(F.when(whole, exact), plain)
+
+
+def exact_sum(money: Column, scale: int = 10) -> Column:
     """Sum in decimals: the same result in whatever order partial sums meet."""
-    return F.sum(money.cast(f"decimal(18,{scale})"))
+    return F.sum(money.cast(f"decimal(28,{scale})"))
 
 
-def exact_mean(money: Column, scale: int = 2) -> Column:
+def exact_mean(money: Column, scale: int = 10) -> Column:
     """Mean as exact sum over count, NULL for no values."""
     return F.try_divide(exact_sum(money, scale).cast("double"), F.count(money).cast("double"))
 
@@ -100,10 +107,12 @@ def exact_mean(money: Column, scale: int = 2) -> Column:
 def steady_mean(value: Column) -> Column:
     """Mean of the values as they are, NULL for no values.
 
-    Summed in decimals of 12 places, which holds a double of this size whole for practical
-    purposes and makes the sum independent of the order in which tasks end.
+    Summed in decimals of 12 places, which makes the sum independent of the order in which tasks end; values
+    that these do not hold with every digit, very small or very large ones, are summed as doubles.
     """
-    return F.try_divide(F.sum(value.cast("decimal(28,12)")).cast("double"), F.count(value).cast("double"))
+    kind = "decimal(28,12)"
+    steady = F.when(F.bool_and(_held(value, kind)), F.try_sum(value.try_cast(kind)).cast("double"))
+    return F.try_divide(F.coalesce(steady, F.sum(value.cast("double"))), F.count(value).cast("double"))
 
 
 def high_price_flag(unit_price: Column, limit: float = HIGH_PRICE) -> Column:

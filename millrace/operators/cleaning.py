@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.scalars import clip, to_day, to_number
 from millrace.operators.quantiles import column_quantiles, quantile_columns
-from millrace.session import attach
+from millrace.session import materialize
 
 INTEGER_TYPES = ("tinyint", "smallint", "int", "bigint")
 
@@ -43,12 +43,18 @@ def _or_fail(value: Column, message: str, kind: str) -> Column:
     return F.coalesce(value, F.raise_error(F.lit(message)).cast(kind))
 
 
-def fill_group_median(df: DataFrame, value: str, key: str, approx: bool = False) -> DataFrame:
-    """Missing values get the median of their group; a group without any value fails."""
-    medians = quantile_columns(df, value, {"_median": 0.5}, [key], approx=approx)
+def fill_group_median(
+    df: DataFrame, value: str, key: str, approx: bool = False, medians: DataFrame | None = None
+) -> DataFrame:
+    """Missing values get the median of their group; a group without any value fails.
+
+    ``medians`` (key, ``_median``), if given, is stored and saves their search.
+    """
+    if medians is None:
+        medians = materialize(quantile_columns(df, value, {"_median": 0.5}, [key], approx=approx), "medians")
     filled = F.coalesce(F.col(value).cast("double"), F.col("_median"))
     return (
-        attach(df, medians.select(key, "_median"), [key])
+        df.join(medians.select(key, "_median"), [key], "left")
         .withColumn(value, _or_fail(filled, f"{value} is still missing after the group median", "double"))
         .select(*df.columns)
     )
@@ -73,17 +79,21 @@ def fill_mode(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, _or_fail(filled, f"{column} has no most frequent value", kind))
 
 
-def iqr_bounds(df: DataFrame, columns: Sequence[str], k: float = 1.5, approx: bool = False) -> DataFrame:
+def iqr_bounds(
+    df: DataFrame, columns: Sequence[str], k: float = 1.5, approx: bool = False, quartiles: DataFrame | None = None
+) -> DataFrame:
     """``q1 - k*iqr`` and ``q3 + k*iqr`` per column, and the bounds to clip to.
 
-    Integer columns are clipped to whole numbers inside the bounds.
+    Integer columns are clipped to whole numbers inside the bounds. ``quartiles`` (column, q1, q3), if given,
+    saves their search.
     """
     types = dict(df.dtypes)
-    q1, q3 = F.get("quantiles", F.lit(0)), F.get("quantiles", F.lit(1))
     whole = F.col("column").isin(*[c for c in columns if types[c] in INTEGER_TYPES])
+    if quartiles is None:
+        q1, q3 = F.get("quantiles", F.lit(0)), F.get("quantiles", F.lit(1))
+        quartiles = column_quantiles(df, columns, [0.25, 0.75], approx=approx).select("column", q1.alias("q1"), q3.alias("q3"))
     return (
-        column_quantiles(df, columns, [0.25, 0.75], approx=approx)
-        .select("column", q1.alias("q1"), q3.alias("q3"), (q3 - q1).alias("iqr"))
+        quartiles.select("column", "q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr"))
         .select("column", (F.col("q1") - k * F.col("iqr")).alias("lower"), (F.col("q3") + k * F.col("iqr")).alias("upper"))
         .select(
             "*",
@@ -104,11 +114,11 @@ def _bounds_row(bounds: DataFrame, columns: Sequence[str]) -> Column:
 
 
 def winsorize(
-    df: DataFrame, columns: Sequence[str], k: float = 1.5, approx: bool = False
+    df: DataFrame, columns: Sequence[str], k: float = 1.5, approx: bool = False, quartiles: DataFrame | None = None
 ) -> DataFrame:
     """Clip the columns to their IQR bounds; types and missing values stay."""
     types = dict(df.dtypes)
-    bounded = df.withColumn("_b", _bounds_row(iqr_bounds(df, columns, k, approx), columns))
+    bounded = df.withColumn("_b", _bounds_row(iqr_bounds(df, columns, k, approx, quartiles), columns))
     clipped = {
         c: clip(F.col(c), F.col(f"_b.{c}__clip_low").cast(types[c]), F.col(f"_b.{c}__clip_high").cast(types[c]))
         for c in columns

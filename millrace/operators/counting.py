@@ -74,8 +74,9 @@ def event_summary(events: DataFrame) -> DataFrame:
 
 
 EVENT_SUMMARY_SQL = """
-    SELECT event_type, COUNT(*) AS cnt,
-           CAST(SUM(CAST(amount AS DECIMAL(28,12))) AS DOUBLE) / COUNT(*) AS avg
+    SELECT event_type, COUNT(*) AS cnt, COALESCE(
+           CASE WHEN BOOL_AND(CAST(TRY_CAST(amount AS DECIMAL(28,12)) AS DOUBLE) = amount)
+                THEN CAST(TRY_SUM(TRY_CAST(amount AS DECIMAL(28,12))) AS DOUBLE) END, SUM(amount)) / COUNT(*) AS avg
     FROM {events} WHERE amount > 0
     GROUP BY event_type ORDER BY cnt DESC, event_type
 """
@@ -86,17 +87,22 @@ def event_summary_sql(spark: SparkSession, events: DataFrame) -> DataFrame:
     return spark.sql(EVENT_SUMMARY_SQL, events=events)
 
 
-def category_summary(sales: DataFrame, approx: bool = False) -> DataFrame:
-    """Per category: count, mean and median price, total amount, to one decimal."""
+def category_summary(sales: DataFrame, approx: bool = False, medians: DataFrame | None = None) -> DataFrame:
+    """Per category: count, mean and median price, total amount, to one decimal.
+
+    ``medians`` (category, ``_median``) saves their search when cleaning has found them: prices filled in with the
+    median of their category leave it where it was.
+    """
     keyed = sales.where(F.col("category").isNotNull())
     totals = keyed.groupBy("category").agg(
         F.count("unit_price").alias("n"),
         F.round(steady_mean(F.col("unit_price")), 1).alias("mean_price"),
         F.round(exact_sum(F.col("amount")), 1).cast("double").alias("total_amount"),
     )
-    medians = quantile_columns(keyed, "unit_price", {"median": 0.5}, ["category"], approx=approx)
+    if medians is None:
+        medians = quantile_columns(keyed, "unit_price", {"_median": 0.5}, ["category"], approx=approx)
     return totals.join(
-        medians.select("category", F.round("median", 1).alias("median_price")), "category", "left"
+        medians.select("category", F.round("_median", 1).alias("median_price")), "category", "left"
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.pvalues import chi_square_tail, t_two_sided
 from millrace.functions.scalars import SIGNIFICANCE_LEVEL, significance
+from millrace.session import materialize
 
 
 def welch_statistics(df: DataFrame, value: str, group: str, first=1, second=0) -> DataFrame:
@@ -52,8 +53,8 @@ def welch_t(df: DataFrame, value: str, group: str, first=1, second=0) -> dict:
 def chi_square_statistics(df: DataFrame, row: str, column: str) -> DataFrame:
     """Statistic and degrees of freedom; Yates' correction for a 2 x 2 table.
 
-    The rows are read once, into one count per seen (row level, column level); the
-    windows run over those cells. An absent cell has the count 0 and adds its expected
+    The rows are read once, into one stored count per seen (row level, column level); the
+    windows run over the cells of one level each. An absent cell has the count 0 and adds its expected
     count, so all absent ones together add ``n`` minus the expected counts seen.
     """
     cells = (
@@ -61,7 +62,8 @@ def chi_square_statistics(df: DataFrame, row: str, column: str) -> DataFrame:
         .groupBy(F.col(row).alias("r"), F.col(column).alias("c"))
         .agg(F.count("*").alias("o"))
     )
-    by_row, by_column, whole = Window.partitionBy("r"), Window.partitionBy("c"), Window.partitionBy()
+    cells = materialize(cells, "cells")
+    by_row, by_column = Window.partitionBy("r"), Window.partitionBy("c")
     full = cells.select(
         "r",
         "c",
@@ -70,7 +72,7 @@ def chi_square_statistics(df: DataFrame, row: str, column: str) -> DataFrame:
         F.sum("o").over(by_column).alias("c_total"),
         F.count("*").over(by_row).alias("r_cells"),
         F.count("*").over(by_column).alias("c_cells"),
-        F.sum("o").over(whole).alias("n"),
+        cells.agg(F.sum("o").alias("n")).scalar().alias("n"),
     )
     full = full.withColumn("e", F.col("r_total") * F.col("c_total") / F.col("n"))
     full = full.withColumn("gap", F.abs(F.col("o") - F.col("e")))

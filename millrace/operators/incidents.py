@@ -4,28 +4,57 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import mask_ip, minute_text, severity
-from millrace.operators.windows import window_start
-from millrace.session import attach
+from millrace.operators.windows import window_cells
+from millrace.session import attach, materialize
+
+RANGE = 4096  # windows of a range whose islands one task finds
 
 
 def incident_windows(detected: DataFrame, width: str = "5 minutes") -> DataFrame:
     """Anomalous windows with ``incident_start``, the first window of their incident.
 
-    A gap of more than one window length starts a new incident. The windows sorted
-    here are the flagged ones; their number is limited by the calendar, not by the
-    number of log rows.
+    A gap of more than one window length starts a new incident. Gaps are found inside ranges
+    of ``RANGE`` windows, each a task of its own. An island that the last window of the range before reaches
+    continues that range's last island; such links are followed by pointer doubling, so an incident may
+    span any number of ranges and no step meets all windows.
     """
     flagged = detected.where("is_anomaly")
-    in_time = Window.orderBy("timestamp")
     length = F.expr(f"INTERVAL {width}")
-    previous = F.lag("timestamp").over(in_time)
+    span = RANGE * _micros(length)
+    ranged = flagged.withColumn("_range", F.floor(_micros_of(F.col("timestamp")) / span))
+    in_range = Window.partitionBy("_range").orderBy("timestamp")
+    previous = F.lag("timestamp").over(in_range)
     opens = previous.isNull() | (F.col("timestamp") > previous + length)
-    marked = flagged.withColumn("_opens", F.when(opens, F.col("timestamp")))
-    return marked.withColumn("incident_start", F.max("_opens").over(in_time)).drop("_opens")
+    marked = ranged.withColumn("_opens", F.when(opens, F.col("timestamp"))).withColumn("_island", F.max("_opens").over(in_range))
+    marked = materialize(marked.drop("_opens"), "flagged")
+    firsts = marked.groupBy("_range").agg(F.min("timestamp").alias("_island"))
+    lasts = marked.groupBy((F.col("_range") + 1).alias("_range")).agg(
+        F.max("timestamp").alias("_last"), F.max("_island").alias("_before")
+    )
+    reached = firsts.join(lasts, "_range").where(F.col("_island") <= F.col("_last") + length)
+    links = materialize(reached.select("_island", "_before"), "links")
+    while True:
+        onward = links.select(F.col("_island").alias("_before"), F.col("_before").alias("_further"))
+        if links.join(onward, "_before", "left_semi").isEmpty():
+            break
+        further = links.join(onward, "_before", "left")
+        links = materialize(further.select("_island", F.coalesce("_further", "_before").alias("_before")), "links")
+    joined = marked.join(links, "_island", "left")
+    return joined.select(*detected.columns, F.coalesce("_before", "_island").alias("incident_start"))
+
+
+def _micros_of(ts: Column) -> Column:
+    return F.unix_micros(ts.cast("timestamp"))
+
+
+def _micros(length: Column) -> Column:
+    """Microseconds of an interval."""
+    zero = F.lit("1970-01-01 00:00:00").cast("timestamp")
+    return _micros_of(zero + length) - _micros_of(zero)
 
 
 def incident_impact(windows: DataFrame, baseline, width: str = "5 minutes") -> DataFrame:
@@ -57,41 +86,34 @@ def incident_impact(windows: DataFrame, baseline, width: str = "5 minutes") -> D
 
 
 def incident_causes(logs: DataFrame, windows: DataFrame, width: str = "5 minutes") -> DataFrame:
-    """Per incident: top error path, most frequent error status, top client (masked).
+    return causes_of_cells(window_cells(logs, width), windows)
+
+
+def causes_of_cells(cells: DataFrame, windows: DataFrame) -> DataFrame:
+    """Per incident: top error path, most frequent error status, top client (masked), from ``window_cells``.
 
     An incident is a union of whole windows, so the interval join is an equi-join on
-    the window start. Candidates are counted per (incident, kind, value) before the
+    the window start. Candidates are counted per (incident, facet, value) before the
     best is taken; ties go to the smaller value. ``-`` stands for no candidate.
     """
     spans = windows.select(F.col("timestamp").alias("start"), "incident_start")
-    related = attach(
-        logs.select(window_start(width).alias("start"), "status", "path", "ip"), spans, ["start"], "inner"
-    )
-    error = F.col("status") >= 500
-    candidates = F.array(
-        F.struct(F.lit("path").alias("kind"), F.when(error, F.col("path")).alias("value")),
-        F.struct(F.lit("status").alias("kind"), F.when(error, F.col("status").cast("string")).alias("value")),
-        F.struct(F.lit("ip").alias("kind"), F.col("ip").alias("value")),
-    )
-    counted = (
-        related.select("incident_start", F.inline(candidates))
-        .where(F.col("value").isNotNull())
-        .groupBy("incident_start", "kind", "value")
-        .agg(F.count("*").alias("n"))
-    )
+    named = cells.where((F.col("facet") != "bytes") & F.col("text").isNotNull())
+    votes = F.when(F.col("facet") == "ip", F.col("n")).otherwise(F.col("errors"))
+    related = attach(named.select("start", "facet", "text", votes.alias("votes")), spans, ["start"], "inner")
+    counted = related.where("votes > 0").groupBy("incident_start", "facet", "text").agg(F.sum("votes").alias("n"))
     # least of (-n, value): most frequent first, then the smaller value
     best = {
-        kind: F.min(
+        facet: F.min(
             F.when(
-                F.col("kind") == kind,
+                F.col("facet") == facet,
                 F.struct(
                     (-F.col("n")).alias("n"),
-                    (F.col("value").cast("long") if kind == "status" else F.lit(0).cast("long")).alias("o"),
-                    F.col("value"),
+                    (F.col("text").cast("long") if facet == "status" else F.lit(0).cast("long")).alias("o"),
+                    F.col("text").alias("value"),
                 ),
             )
         )
-        for kind in ("path", "status", "ip")
+        for facet in ("path", "status", "ip")
     }
     picked = counted.groupBy("incident_start").agg(*[e.alias(k) for k, e in best.items()])
     found = windows.select("incident_start").distinct().join(picked, "incident_start", "left")
@@ -105,12 +127,12 @@ def incident_causes(logs: DataFrame, windows: DataFrame, width: str = "5 minutes
 
 
 def incidents(
-    logs: DataFrame, detected: DataFrame, baseline, width: str = "5 minutes"
+    logs: DataFrame | None, detected: DataFrame, baseline, width: str = "5 minutes", cells: DataFrame | None = None
 ) -> DataFrame:
-    """Impact and causes of every incident, times as text."""
-    windows = incident_windows(detected, width)
+    """Impact and causes of every incident, times as text; from the logs or their stored ``window_cells``."""
+    windows = materialize(incident_windows(detected, width), "incident-windows")
     impact = incident_impact(windows, baseline, width)
-    causes = incident_causes(logs, windows, width)
+    causes = causes_of_cells(window_cells(logs, width) if cells is None else cells, windows)
     return impact.join(causes, "incident_start", "left").select(
         minute_text(F.col("incident_start")).alias("start"),
         minute_text(F.col("incident_end")).alias("end"),
@@ -119,6 +141,38 @@ def incidents(
     )
 
 
+def covering(points: DataFrame, intervals: DataFrame, ts: str = "timestamp", start: str = "start", end: str = "end") -> DataFrame:
+    """Points with the intervals [start, end) that hold them: an equi-join for any boundaries, any number of points.
+
+    An interval's level is the least power of two that is at least its length; it lies in at most a few buckets
+    of that length. A point asks in one bucket of each level that occurs, of which there are at most 64. The
+    exact bounds are checked after the join. Points in no interval keep nulls; one in several has a row for each.
+    Empty and null intervals hold nothing.
+    """
+    low, high = _micros_of(F.col(start)), _micros_of(F.col(end))
+    sound = intervals.where(F.col(start) < F.col(end))
+    levels = sound.withColumn("_level", F.ceil(F.log2((high - low).cast("double"))).cast("int"))
+    levels = materialize(levels, "intervals")
+    size = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("_level"))
+    buckets = F.sequence(F.floor(low / size), F.floor((high - 1) / size))
+    dealt = levels.withColumn("_bucket", F.explode(buckets))
+    present = [r["_level"] for r in levels.select("_level").distinct().collect()]  # at most 64
+    key = materialize_id(points, "_point")
+    at = _micros_of(F.col(ts))
+    probes = F.array(
+        *(F.struct(F.lit(n).alias("_level"), F.floor(at / F.lit(1 << n)).alias("_bucket")) for n in present)
+    ) if present else F.array().cast("array<struct<_level:int,_bucket:bigint>>")
+    asked = key.select("_point", ts, F.inline(probes))
+    inside = (F.col(ts) >= F.col(start)) & (F.col(ts) < F.col(end))
+    found = asked.join(dealt, ["_level", "_bucket"]).where(inside).drop("_level", "_bucket", ts)
+    return key.join(found, "_point", "left").drop("_point")
+
+
+def materialize_id(df: DataFrame, name: str) -> DataFrame:
+    """The rows stored with a number each, so that every branch of a plan sees the same numbers."""
+    return materialize(df.withColumn(name, F.monotonically_increasing_id()), "numbered")
+
+
 def incident_at(found: DataFrame, moment: datetime) -> DataFrame:
     """The incident whose [start, end) holds a moment."""
     text = moment.strftime("%Y-%m-%d %H:%M:%S")

@@ -10,16 +10,18 @@ the chunk that holds the rank is sorted.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.session import attach
+from millrace.session import attach, materialize
 
 SKETCH_ACCURACY = 10_000
 CHUNKS = 1024
+CHUNK_WIDTH = 4096
 
 
 def quantiles(
@@ -161,6 +163,71 @@ def _interpolate(slot: int, p: float, how: str) -> Column:
     return result
 
 
+@dataclass(frozen=True)
+class Request:
+    """Quantiles of one column, per group of ``by`` or (without) of all rows."""
+
+    name: str
+    value: str
+    probs: tuple[float, ...]
+    by: tuple[str, ...] = ()
+
+
+# what stands in a key column that a request does not group by; never compared across requests
+_BLANK = {"string": "", "date": "1970-01-01", "timestamp": "1970-01-01 00:00:00", "timestamp_ntz": "1970-01-01 00:00:00", "boolean": "false"}
+
+
+def quantile_requests(rows: DataFrame, requests: Sequence[Request], approx: bool = False, **options) -> dict[str, DataFrame]:
+    """Answers of several requests from one sketch and one count of the rows: ``by``, ``n``, a column per probability.
+
+    Every row gives one value to each request, and all of them share a bracket table and its passes. The columns
+    are named ``q0``, ``q1``, ... in the order of the request's probabilities. The answers are stored.
+    """
+    types = dict(rows.dtypes)
+    keys = sorted({k for r in requests for k in r.by})
+    probs = sorted({p for r in requests for p in r.probs})
+
+    def asked(request: Request) -> Column:
+        present = F.lit(True)
+        for k in request.by:
+            present = present & F.col(k).isNotNull()
+        fields = [
+            (F.col(k) if k in request.by else F.lit(_BLANK.get(types[k], "0")).cast(types[k])).alias(k) for k in keys
+        ]
+        return F.struct(F.lit(request.name).alias("_q"), *fields, F.when(present, F.col(request.value).cast("double")).alias("_w"))
+
+    long = rows.select(F.inline(F.array(*map(asked, requests)))).where(F.col("_w").isNotNull())
+    found = materialize(quantiles(long, "_w", probs, ["_q", *keys], approx=approx, **options), "quantiles")
+
+    def answer(request: Request) -> DataFrame:
+        picks = [F.get("quantiles", F.lit(probs.index(p))).alias(f"q{i}") for i, p in enumerate(request.probs)]
+        return found.where(F.col("_q") == request.name).select(*request.by, "n", *picks)
+
+    return {r.name: answer(r) for r in requests}
+
+
+def nearest_rank(counted: DataFrame, value: str, n: str, prob: float, by: Sequence[str]) -> DataFrame:
+    """Value at rank ``round((total - 1) * prob)`` per group, from counted distinct values: ``by``, ``value``.
+
+    Two levels: counts per chunk of ``CHUNK_WIDTH`` whole values place the rank in a chunk, and only that chunk's
+    values are put in order. A task holds a group's chunks or one chunk's values, however many rows they count.
+    """
+    keys = list(by)
+    rows = counted.select(*keys, F.col(value).alias("value"), F.col(n).alias("_c")).withColumn(
+        "_chunk", F.floor(F.col("value") / CHUNK_WIDTH)
+    )
+    group = Window.partitionBy(*keys)
+    running = group.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    chunks = rows.groupBy(*keys, "_chunk").agg(F.sum("_c").alias("_t"))
+    rank = F.floor((F.sum("_t").over(group) - 1) * F.lit(float(prob)) + 0.5)
+    placed = chunks.withColumn("_local", rank - (F.sum("_t").over(running) - F.col("_t")))
+    wanted = placed.where((F.col("_local") >= 0) & (F.col("_local") < F.col("_t"))).select(*keys, "_chunk", "_local")
+    inside = Window.partitionBy(*keys, "_chunk").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ended = rows.join(wanted, [*keys, "_chunk"]).withColumn("_end", F.sum("_c").over(inside))
+    hit = (F.col("_local") >= F.col("_end") - F.col("_c")) & (F.col("_local") < F.col("_end"))
+    return ended.where(hit).select(*keys, "value")
+
+
 def quantile_columns(
     rows: DataFrame, value: str, named: dict[str, float], by: Sequence[str] = (), **options
 ) -> DataFrame:

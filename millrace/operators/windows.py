@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import half_open, moment
-from millrace.operators.quantiles import quantile_columns
-from millrace.session import require_rows
+from millrace.operators.quantiles import nearest_rank, quantile_columns
+from millrace.session import materialize, require_rows
 
 # The feature columns of the anomaly score, in order.
 FEATURES = (
@@ -27,30 +27,43 @@ def window_start(width: str, ts: str = "timestamp") -> Column:
     return F.window(ts, width)["start"]
 
 
-def window_features(logs: DataFrame, width: str = "5 minutes", approx: bool = False) -> DataFrame:
-    """One row per non-empty tumbling window: ``timestamp`` (its start) and the features.
+def window_cells(logs: DataFrame, width: str = "5 minutes") -> DataFrame:
+    """Log rows counted by (window, facet, value): all that features and causes need, in one scan.
 
-    The distinct counts are grouped by (window, value) before they are counted and
-    the percentile by (window, value) inside its bracket, so a window with a large
-    share of the rows is spread over many tasks.
+    Facets are ``ip``, ``path`` and ``status`` (their value in ``text``) and ``bytes`` (in ``size``).
+    Counting is map-side first, so a window with a large share of the rows is spread over many
+    tasks. Works on a stream as well, where it is the one stateful step.
     """
-    rows = logs.select(window_start(width).alias("start"), "status", "ip", "bytes", "path")
-    # one row per client and path of a window first: the distinct counts then expand these, not the logs
-    cells = rows.groupBy("start", "ip", "path").agg(
-        F.count("*").alias("n"),
-        F.count_if(F.col("status") >= 500).alias("errors"),
-        F.sum("bytes").alias("bytes"),
-        F.count("bytes").alias("sized"),
+    size_type = logs.schema["bytes"].dataType
+    texts = [("ip", F.col("ip")), ("path", F.col("path")), ("status", F.col("status").cast("string"))]
+    facets = [
+        F.struct(F.lit(name).alias("facet"), text.alias("text"), F.lit(None).cast(size_type).alias("size"))
+        for name, text in texts
+    ]
+    facets.append(F.struct(F.lit("bytes").alias("facet"), F.lit(None).cast("string").alias("text"), F.col("bytes").alias("size")))
+    long = logs.select("timestamp", (F.col("status") >= 500).alias("failed"), F.inline(F.array(*facets)))
+    counted = long.groupBy(F.window("timestamp", width).alias("w"), "facet", "text", "size").agg(
+        F.count("*").alias("n"), F.count_if("failed").alias("errors")
     )
+    return counted.select(F.col("w.start").alias("start"), "facet", "text", "size", "n", "errors")
+
+
+def features_of_cells(cells: DataFrame) -> DataFrame:
+    """One row per window of ``window_cells``: ``timestamp`` (its start) and the features, all exact.
+
+    Store the cells first: they are read twice, for the counts and for the percentile.
+    """
+    facet = F.col("facet")
+    sized = F.when(F.col("size").isNotNull(), F.col("n"))
     counts = cells.groupBy("start").agg(
-        F.sum("n").alias("request_count"),
-        F.sum("errors").alias("error_5xx_count"),
-        F.count_distinct("ip").alias("unique_ips"),
-        F.try_divide(F.sum("bytes"), F.sum("sized")).alias("avg_bytes"),
-        F.count_distinct("path").alias("path_count"),
+        F.sum(F.when(facet == "bytes", F.col("n"))).alias("request_count"),
+        F.sum(F.when(facet == "bytes", F.col("errors"))).alias("error_5xx_count"),
+        F.count_if((facet == "ip") & F.col("text").isNotNull()).alias("unique_ips"),
+        F.try_divide(F.sum(F.col("size") * F.col("n")), F.sum(sized)).alias("avg_bytes"),
+        F.count_if((facet == "path") & F.col("text").isNotNull()).alias("path_count"),
     )
-    tail = quantile_columns(rows, "bytes", {"p95_bytes": 0.95}, ["start"], how="nearest", approx=approx)
-    return counts.join(tail.select("start", "p95_bytes"), "start", "left").select(
+    tail = nearest_rank(cells.where((facet == "bytes") & F.col("size").isNotNull()), "size", "n", 0.95, ["start"])
+    return counts.join(tail.select("start", F.col("value").cast("double").alias("p95_bytes")), "start", "left").select(
         F.col("start").alias("timestamp"),
         "request_count",
         "error_5xx_count",
@@ -62,6 +75,11 @@ def window_features(logs: DataFrame, width: str = "5 minutes", approx: bool = Fa
     )
 
 
+def window_features(logs: DataFrame, width: str = "5 minutes") -> DataFrame:
+    """One row per non-empty tumbling window: ``timestamp`` (its start) and the features."""
+    return features_of_cells(materialize(window_cells(logs, width), "cells"))
+
+
 def inject_incident(
     logs: DataFrame, path: str, start: datetime, end: datetime, multiplier: int, check: bool = True
 ) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.scalars import discounted_amount, exact_sum
 from millrace.operators import cleaning
 from millrace.operators.counting import rank_categories
+from millrace.operators.quantiles import Request, quantile_requests
 from millrace.session import materialize, require_columns, require_rows
 
 REQUIRED = ("category", "quantity", "unit_price", "discount")
@@ -30,13 +31,27 @@ def clean_sales(sales: DataFrame, approx: bool = False) -> DataFrame:
 
     No row is dropped; a value still missing at the end fails the job.
     """
+    return cleaned_with_medians(sales, approx)[0]
+
+
+def cleaned_with_medians(sales: DataFrame, approx: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The cleaned sales, and the median price of each category (``_median``), stored.
+
+    Medians and quartiles of the sales come from one search. ``sales`` is read by it and by the result: store what
+    is dear to compute.
+    """
     require_columns(sales, REQUIRED)
     require_rows(sales, "the sales table")
     typed = cleaning.coerce(sales, {"unit_price": "double", "quantity": "double", "discount": "double"})
     priced = cleaning.null_where(typed, "unit_price", F.col("unit_price") <= 0)
-    filled = cleaning.fill_group_median(priced, "unit_price", "category", approx)
-    bounded = cleaning.winsorize(filled, ["quantity"], approx=approx)
-    return with_amount(cleaning.require_complete(bounded, REQUIRED))
+    answers = quantile_requests(
+        priced, [Request("price", "unit_price", (0.5,), ("category",)), Request("quantity", "quantity", (0.25, 0.75))], approx
+    )
+    medians = answers["price"].withColumnRenamed("q0", "_median")
+    quartiles = answers["quantity"].select(F.lit("quantity").alias("column"), F.col("q0").alias("q1"), F.col("q1").alias("q3"))
+    filled = cleaning.fill_group_median(priced, "unit_price", "category", approx, medians)
+    bounded = cleaning.winsorize(filled, ["quantity"], approx=approx, quartiles=quartiles)
+    return with_amount(cleaning.require_complete(bounded, REQUIRED)), medians
 
 
 def clean_sales_fully(sales: DataFrame, approx: bool = False) -> DataFrame:

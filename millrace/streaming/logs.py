@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators.validation import Contract
+from millrace.operators import windows
+from millrace.operators.validation import Contract, split_counts
 from millrace.session import scratch_path
 
+BATCH = "batch"  # partition of the tables that batches write
+
 
 def read_stream(spark: SparkSession, folder: str, schema: T.StructType, files: str = "*", per_trigger: int = 100):
     """Parquet files of a folder as a stream, at most ``per_trigger`` files per micro-batch.
@@ -41,41 +44,29 @@ def running_counts(logs: DataFrame, key: str) -> DataFrame:
     return logs.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n"))
 
 
+def window_cells(logs: DataFrame, width: str = "5 minutes", delay: str = "10 minutes") -> DataFrame:
+    """Counts per (window, facet, value) over a stream, emitted once the watermark has passed the window.
+
+    The state holds one row per distinct value of a window, spread over all state partitions: a busy
+    window is no single row of state, and nothing is sketched.
+    """
+    return windows.window_cells(logs.withWatermark("timestamp", delay), width)
+
+
 def window_features(logs: DataFrame, width: str = "5 minutes", delay: str = "10 minutes") -> DataFrame:
-    """Window features over a stream; a window is emitted once the watermark passes it.
+    """Exact features of all windows that close over the available input.
 
-    Streams allow no exact distinct count, so the client and path counts and the
-    percentile come from sketches, which also bounds the state of a window.
+    The cells of a window are emitted together, when it closes; the batch operator turns closed windows into
+    features, with exact distinct counts and the exact percentile, as in a batch run.
     """
-    return (
-        logs.withWatermark("timestamp", delay)
-        .groupBy(F.window("timestamp", width).alias("w"))
-        .agg(
-            F.count("*").alias("request_count"),
-            F.count_if(F.col("status") >= 500).alias("error_5xx_count"),
-            F.approx_count_distinct("ip").alias("unique_ips"),
-            F.avg("bytes").alias("avg_bytes"),
-            F.percentile_approx("bytes", 0.95, 10_000).cast("double").alias("p95_bytes"),
-            F.approx_count_distinct("path").alias("path_count"),
-        )
-        .select(
-            F.col("w.start").alias("timestamp"),
-            "request_count",
-            "error_5xx_count",
-            (F.col("error_5xx_count") / F.col("request_count")).alias("error_rate_5xx"),
-            "unique_ips",
-            "avg_bytes",
-            "p95_bytes",
-            "path_count",
-        )
-    )
+    return windows.features_of_cells(run_to_table(window_cells(logs, width, delay), "cells"))
 
 
 def alert_sessions(
     logs: DataFrame, key: str, min_rate: float, width: str = "5 minutes", delay: str = "10 minutes"
 ) -> DataFrame:
     """Per key, runs of windows whose 5xx rate reaches ``min_rate``, as sessions."""
-    windows = (
+    failing = (
         logs.withWatermark("timestamp", delay)
         .groupBy(F.window("timestamp", width).alias("w"), F.col(key))
         .agg(F.count("*").alias("requests"), F.count_if(F.col("status") >= 500).alias("errors"))
@@ -83,7 +74,7 @@ def alert_sessions(
         .select(F.window_time("w").alias("t"), "w", key, "requests", "errors")
     )
     return (
-        windows.groupBy(F.session_window("t", width).alias("s"), F.col(key))
+        failing.groupBy(F.session_window("t", width).alias("s"), F.col(key))
         .agg(
             F.count("*").alias("window_count"),
             F.sum("requests").alias("request_count"),
@@ -96,25 +87,45 @@ def alert_sessions(
 
 
 def quarantine(
-    raw: DataFrame, contract: Contract, position: str, valid_path: str, invalid_path: str, checkpoint: str
+    raw: DataFrame, contract: Contract, position: str, valid_path: str, invalid_path: str, manifest_path: str, checkpoint: str
 ) -> StreamingQuery:
-    """Valid and invalid rows of each micro-batch to two tables.
+    """Valid and invalid rows of each micro-batch to two tables that change together.
 
-    Each batch writes its own partition in overwrite mode, so a replayed batch
-    replaces itself and no row is stored twice.
+    Each batch overwrites its own partition in both tables and then writes its line of the manifest.
+    ``committed`` reads only batches with such a line: one that died between the two writes is not seen, and
+    when it is replayed it replaces what it left behind.
     """
 
     def split(batch: DataFrame, batch_id: int) -> None:
         tagged = contract.tag(batch, position).persist()
         try:
-            contract.valid(tagged, [position]).write.mode("overwrite").parquet(f"{valid_path}/batch={batch_id}")
-            contract.invalid(tagged, position).write.mode("overwrite").parquet(f"{invalid_path}/batch={batch_id}")
+            parts = {valid_path: contract.valid(tagged, [position]), invalid_path: contract.invalid(tagged, position)}
+            for path, rows in parts.items():
+                rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+            counts = split_counts(tagged).withColumn("batch_no", F.lit(batch_id).cast("bigint"))
+            counts.coalesce(1).write.mode("overwrite").parquet(f"{manifest_path}/{BATCH}={batch_id}")
         finally:
             tagged.unpersist()
 
     return each_batch(raw, split, checkpoint)
 
 
+def manifest(spark: SparkSession, path: str) -> DataFrame:
+    """One row per committed batch: ``batch_no``, ``total``, ``valid``, ``invalid``."""
+    return spark.read.schema("batch_no bigint, total bigint, valid bigint, invalid bigint").parquet(path).select(
+        "batch_no", "total", "valid", "invalid"
+    )
+
+
+def committed(spark: SparkSession, path: str, manifest_path: str, schema: T.StructType | str) -> DataFrame:
+    """Rows of a table written by batches, of committed batches only: other partitions are not even listed for reading."""
+    known = manifest(spark, manifest_path).select(F.col("batch_no").alias(BATCH))
+    stored = spark.read.schema(schema).parquet(path)
+    if BATCH not in stored.columns:  # no batch has ever been written
+        return stored.limit(0)
+    return stored.join(F.broadcast(known), BATCH, "left_semi").drop(BATCH)
+
+
 def each_batch(
     stream: DataFrame, action: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
 ) -> StreamingQuery:

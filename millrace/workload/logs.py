@@ -294,14 +294,18 @@ def inject_incident(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _scored(spark: SparkSession, sf: str) -> DataFrame:
+def _cells(spark: SparkSession, sf: str) -> DataFrame:
+    return materialize(windows.window_cells(injected(spark, sf), v.WIDTH), "cells")
+
+
+def _scored(spark: SparkSession, sf: str, cells: DataFrame | None = None) -> DataFrame:
     """Window features written once, with the error rate as their score."""
-    features = materialize(windows.window_features(injected(spark, sf), v.WIDTH), "features")
+    features = materialize(windows.features_of_cells(_cells(spark, sf) if cells is None else cells), "features")
     return features.withColumn("anomaly_score", F.col("error_rate_5xx"))
 
 
-def _detected(spark: SparkSession, sf: str) -> DataFrame:
-    return windows.flag_anomalies(_scored(spark, sf), v.BASELINE_END, v.QUANTILE)
+def _detected(spark: SparkSession, sf: str, cells: DataFrame | None = None) -> DataFrame:
+    return windows.flag_anomalies(_scored(spark, sf, cells), v.BASELINE_END, v.QUANTILE)
 
 
 def baseline_error_rate(spark: SparkSession, sf: str) -> DataFrame:
@@ -322,9 +326,10 @@ def timeline_series(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _incidents(spark: SparkSession, sf: str) -> DataFrame:
-    detected = _detected(spark, sf)
+    cells = _cells(spark, sf)
+    detected = _detected(spark, sf, cells)
     baseline = windows.baseline_error_rate(detected, v.BASELINE_END).scalar()
-    return incidents.incidents(injected(spark, sf), detected, baseline, v.WIDTH)
+    return incidents.incidents(None, detected, baseline, v.WIDTH, cells)
 
 
 RATES = ("max_error_rate", "max_anomaly_score", "excess_errors")
@@ -338,8 +343,9 @@ def incident_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def incident_causes(spark: SparkSession, sf: str) -> DataFrame:
-    marked = incidents.incident_windows(_detected(spark, sf), v.WIDTH)
-    return incidents.incident_causes(injected(spark, sf), marked, v.WIDTH)
+    cells = _cells(spark, sf)
+    marked = incidents.incident_windows(_detected(spark, sf, cells), v.WIDTH)
+    return incidents.causes_of_cells(cells, materialize(marked, "incident-windows"))
 
 
 def incident_at(spark: SparkSession, sf: str) -> DataFrame:
@@ -348,6 +354,20 @@ def incident_at(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(found, *RATES)
 
 
+def incident_of_logs(spark: SparkSession, sf: str) -> DataFrame:
+    """Every log row with the incident in progress at its time, if any; incidents here begin and end off window bounds."""
+    marked = incidents.incident_windows(_detected(spark, sf), v.WIDTH)
+    found = incidents.incident_impact(marked, 0.0, v.WIDTH)
+    shifted = found.select(
+        (F.col("incident_start") + F.expr("INTERVAL '7' MINUTE")).alias("start"),
+        (F.col("incident_end") + F.expr("INTERVAL '43' MINUTE")).alias("end"),
+        "severity",
+    )
+    return incidents.covering(v.web_logs(spark, sf).select("event_id", "timestamp"), shifted).select(
+        "event_id", F.col("start").alias("incident_start"), "severity"
+    )
+
+
 def incident_kpi(spark: SparkSession, sf: str) -> DataFrame:
     counts = validation.split_counts(WEB_LOG.tag(v.raw_logs(spark, sf), "event_id"))
     detected = _detected(spark, sf)
@@ -418,6 +438,7 @@ WINDOW_QUERIES = {
     "incidents": incident_table,
     "incident_causes": incident_causes,
     "incident_at": incident_at,
+    "incident_of_logs": incident_of_logs,
     "incident_kpi": incident_kpi,
     "severity": severity,
     "mask_ip": mask_ip,
@@ -433,6 +454,15 @@ def _feature_sql(width: str) -> str:
 
 
 ACTUAL = f"timestamp >= TIMESTAMP '{v.BASELINE_END}' AND timestamp < TIMESTAMP '{v.INCIDENT_END}'"
+METRICS_SQL = f"""
+    SELECT actual_windows, predicted_windows, true_positive_windows,
+        round(p, 6) AS precision, round(r, 6) AS recall,
+        round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) AS f1
+    FROM (SELECT *, CASE WHEN predicted_windows > 0 THEN true_positive_windows / predicted_windows ELSE 0 END AS p,
+            CASE WHEN actual_windows > 0 THEN true_positive_windows / actual_windows ELSE 0 END AS r
+        FROM (SELECT count(*) FILTER ({ACTUAL}) AS actual_windows, count(*) FILTER (is_anomaly) AS predicted_windows,
+                count(*) FILTER ({ACTUAL} AND is_anomaly) AS true_positive_windows FROM detected))
+"""
 WINDOW_ORACLES = {
     "window_features": _feature_sql("1 hour"),
     "window_features_5min": _feature_sql("5 minutes"),
@@ -448,15 +478,7 @@ WINDOW_ORACLES = {
         f"""SELECT round(quantile_cont(error_rate_5xx, {v.QUANTILE}), 6) AS threshold
         FROM features WHERE timestamp < TIMESTAMP '{v.BASELINE_END}'"""
     ),
-    "detection_metrics": v.detection_sql(
-        f"""SELECT actual_windows, predicted_windows, true_positive_windows,
-            round(p, 6) AS precision, round(r, 6) AS recall,
-            round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) AS f1
-        FROM (SELECT *, CASE WHEN predicted_windows > 0 THEN true_positive_windows / predicted_windows ELSE 0 END AS p,
-                CASE WHEN actual_windows > 0 THEN true_positive_windows / actual_windows ELSE 0 END AS r
-            FROM (SELECT count(*) FILTER ({ACTUAL}) AS actual_windows, count(*) FILTER (is_anomaly) AS predicted_windows,
-                    count(*) FILTER ({ACTUAL} AND is_anomaly) AS true_positive_windows FROM detected))"""
-    ),
+    "detection_metrics": v.detection_sql(METRICS_SQL),
     "timeline_series": v.detection_sql(
         """SELECT timestamp, request_count, round(error_rate_5xx, 6) AS error_rate_5xx,
             CASE WHEN is_anomaly THEN request_count END AS anomaly_marker,
@@ -471,6 +493,11 @@ WINDOW_ORACLES = {
         FROM impact JOIN causes USING (incident_start)
         WHERE incident_start <= TIMESTAMP '2024-01-22 13:30:00' AND incident_end > TIMESTAMP '2024-01-22 13:30:00'"""
     ),
+    "incident_of_logs": _cause_sql(
+        """SELECT event_id, s AS incident_start, severity FROM web_logs LEFT JOIN (
+            SELECT incident_start + INTERVAL 7 MINUTE AS s, incident_end + INTERVAL 43 MINUTE AS e, severity FROM impact)
+        ON timestamp >= s AND timestamp < e"""
+    ),
     "incident_kpi": v.with_views(
         """SELECT (SELECT count(*) FROM raw_logs) - bad AS valid_logs, bad AS invalid_logs,
             (SELECT count(*) FROM incident_windows) AS anomaly_windows,

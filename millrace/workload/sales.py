@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from millrace.functions import scalars
 from millrace.operators import cleaning, counting, lookup, profiling
 from millrace.plans import sales_report as plan
-from millrace.session import materialize
 from millrace.workload import views as v
 from millrace.workload.logs import rounded
 
@@ -45,6 +44,17 @@ def sales_amount(spark: SparkSession, sf: str) -> DataFrame:
     return plan.with_amount(typed).select("order_id", "amount")
 
 
+def fine_amount(spark: SparkSession, sf: str) -> DataFrame:
+    """Amounts of sales priced to five decimals, with discounts to five decimals."""
+    fine = v.table(spark, sf, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_id"),
+        F.col("l_quantity").cast("bigint").alias("quantity"),
+        (F.round(F.col("l_extendedprice") * 100).cast("bigint") / F.lit(100_000)).alias("unit_price"),
+        ((F.col("l_orderkey") % 99_991) / F.lit(100_000)).alias("discount"),
+    )
+    return plan.with_amount(fine).select("order_id", "amount")
+
+
 def high_price_flag(spark: SparkSession, sf: str) -> DataFrame:
     """Sales above the price limit, by category."""
     flag = scalars.high_price_flag(F.col("unit_price"), 50_000)
@@ -116,7 +126,8 @@ def clean_sales(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def category_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return counting.category_summary(materialize(_cleaned(spark, sf), "cleaned"))
+    cleaned, medians = plan.cleaned_with_medians(v.sales_table(spark, sf, *COST))
+    return counting.category_summary(cleaned, medians=medians)
 
 
 def top_categories(spark: SparkSession, sf: str) -> DataFrame:
@@ -162,6 +173,7 @@ def lookup_join_counts(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "coerce_types": coerce_types,
     "sales_amount": sales_amount,
+    "fine_amount": fine_amount,
     "high_price_flag": high_price_flag,
     "profile_columns": profile_columns,
     "describe_numeric": describe_numeric,
@@ -231,6 +243,11 @@ _LOOKUP = """
 ORACLES = {
     "coerce_types": v.sales_sql("SELECT * FROM typed", broken=True),
     "sales_amount": v.sales_sql(f"SELECT order_id, {v.AMOUNT_SQL} AS amount FROM priced"),
+    # whole hundred-thousandths multiplied: nothing is rounded before the product
+    "fine_amount": """SELECT l_orderkey || '-' || l_linenumber AS order_id,
+        CAST(round(CAST(CAST(l_quantity AS BIGINT) * CAST(round(l_extendedprice * 100) AS BIGINT)
+            AS DECIMAL(20,0)) * CAST(100000 - l_orderkey % 99991 AS DECIMAL(6,0)) * CAST(0.0000000001 AS DECIMAL(10,10)), 2) AS DOUBLE) AS amount
+        FROM lineitem""",
     "high_price_flag": v.sales_sql(
         """SELECT category, CAST(CASE WHEN unit_price > 50000 THEN 1 ELSE 0 END AS BIGINT) AS high_price_flag,
         count(*) AS n FROM priced GROUP BY 1, 2"""

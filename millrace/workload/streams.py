@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.models.forest import forest_sql
 from millrace.operators.contracts import WEB_LOG
+from millrace.operators.windows import FEATURES
 from millrace.plans import detection
 from millrace.plans.sales_report import clean_sales, report_rows
 from millrace.session import materialize, scratch_path
 from millrace.streaming import logs as stream
 from millrace.workload import views as v
-from millrace.workload.logs import rounded
+from millrace.workload.logs import CAUSES_SQL, FEATURE_COLUMNS, IMPACT_SQL, METRICS_SQL, RELATED_SQL, rounded, rounded_sql
 
 WIDTH = "1 hour"
 
@@ -30,32 +32,9 @@ def stream_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_windows(spark: SparkSession, sf: str) -> DataFrame:
-    """Closed windows: exact features as they are, sketched ones as whether they are near the exact ones."""
-    closed = stream.run_to_table(stream.window_features(_logs(spark, sf), WIDTH), "windows")
-    start = F.window("timestamp", WIDTH)["start"].alias("timestamp")
-    exact = (
-        v.web_logs(spark, sf)
-        .withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-        .groupBy(start)
-        .agg(
-            F.count_distinct("ip").alias("ips"),
-            F.count_distinct("path").alias("paths"),
-            F.percentile("bytes", F.lit(0.95)).alias("p95"),
-            F.stddev_pop("bytes").alias("spread"),
-        )
-    )
-    both = closed.join(exact, "timestamp")
-    near = both.select(
-        F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
-        "request_count",
-        "error_5xx_count",
-        "error_rate_5xx",
-        "avg_bytes",
-        (F.abs(F.col("unique_ips") - F.col("ips")) <= F.greatest(F.lit(1.0), 0.2 * F.col("ips"))).alias("ips_near"),
-        (F.abs(F.col("path_count") - F.col("paths")) <= F.greatest(F.lit(1.0), 0.2 * F.col("paths"))).alias("paths_near"),
-        (F.abs(F.col("p95_bytes") - F.col("p95")) <= F.coalesce(F.col("spread"), F.lit(0.0)) + 1).alias("p95_near"),
-    )
-    return rounded(near, "error_rate_5xx", "avg_bytes")
+    """All features of the windows that the stream has closed, exact as in a batch run."""
+    closed = stream.window_features(_logs(spark, sf), WIDTH)
+    return rounded(closed.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")), "error_rate_5xx", "avg_bytes")
 
 
 def stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
@@ -74,10 +53,10 @@ def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     """Rows in both outputs of the streaming validation."""
     folder = scratch_path(spark, "quarantine")
     raw = v.raw_from_logs(v.logs_from_events(_events(spark, sf)))
-    valid_path, invalid_path = f"{folder}/valid", f"{folder}/invalid"
-    stream.quarantine(raw, WEB_LOG, "event_id", valid_path, invalid_path, f"{folder}/checkpoint").awaitTermination()
-    stored = spark.read.schema("event_id bigint").parquet(valid_path).agg(F.count("*").alias("valid"))
-    rejected = spark.read.schema("row_no bigint").parquet(invalid_path).agg(F.count("*").alias("c"))
+    paths = [f"{folder}/{part}" for part in ("valid", "invalid", "manifest")]
+    stream.quarantine(raw, WEB_LOG, "event_id", *paths, f"{folder}/checkpoint").awaitTermination()
+    stored = stream.committed(spark, paths[0], paths[2], "event_id bigint, batch bigint").agg(F.count("*").alias("valid"))
+    rejected = stream.committed(spark, paths[1], paths[2], "row_no bigint, batch bigint").agg(F.count("*").alias("c"))
     return stored.withColumn("invalid", rejected.scalar())
 
 
@@ -112,10 +91,8 @@ def detected_incidents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def anomaly_scores(spark: SparkSession, sf: str) -> DataFrame:
-    """Windows of the injected logs, and whether each has a score above 0 and up to 1."""
-    scored = _run(spark, sf).detected
-    inside = (F.col("anomaly_score") > 0) & (F.col("anomaly_score") <= 1)
-    return scored.select("timestamp", F.coalesce(inside & F.col("is_anomaly").isNotNull(), F.lit(False)).alias("in_range"))
+    """Windows of the injected logs with the score of the forest and its flag."""
+    return rounded(_run(spark, sf).detected.select("timestamp", "anomaly_score", "is_anomaly"), "anomaly_score")
 
 
 def forest_metrics(spark: SparkSession, sf: str) -> DataFrame:
@@ -146,6 +123,38 @@ QUERIES = {
 
 # What one run over the whole files emits follows from the rows alone: counters hold
 # every row, a window is out once the watermark has passed its end.
+VALID_LOGS_SQL = """
+    SELECT event_id, ip, CAST(timestamp AS TIMESTAMP) AS timestamp, method, trim(path) AS path,
+        CAST(CAST(status AS DOUBLE) AS BIGINT) AS status, CAST(bytes AS BIGINT) AS bytes, trim(user_agent) AS user_agent
+    FROM raw_logs WHERE event_id NOT IN (SELECT event_id FROM log_errors)
+"""
+
+
+def _detected_sql(body: str, causes: bool = False) -> str:
+    """Validation, rewrite, features, the forest grown in SQL, flags and incidents."""
+    before = f"timestamp < TIMESTAMP '{v.BASELINE_END}'"
+    views = {
+        "clean_logs": v.WEB_LOGS_SQL,
+        "raw_logs": v.RAW_LOGS_SQL.replace("FROM web_logs", "FROM clean_logs"),
+        "log_errors": v.LOG_ERRORS_SQL,
+        "web_logs": VALID_LOGS_SQL,
+        "injected": v.INJECTED_SQL,
+        "features": v.FEATURES_SQL.format(width=v.WIDTH, logs="injected"),
+    }
+    more = {
+        "detected": f"""SELECT *, anomaly_score >= (SELECT quantile_cont(anomaly_score, {OPTIONS.anomaly_quantile})
+            FROM scored WHERE {before}) AS is_anomaly FROM scored""",
+        "incident_windows": v.INCIDENT_WINDOWS_SQL,
+        "impact": IMPACT_SQL,
+    }
+    if causes:
+        more |= {"related": RELATED_SQL, "causes": CAUSES_SQL}
+    grown = forest_sql("features", before, FEATURES, "timestamp", OPTIONS.trees, seed=OPTIONS.seed)
+    named = ",\n".join(f"{name} AS ({text})" for name, text in views.items())
+    rest = ",\n".join(f"{name} AS ({text})" for name, text in more.items())
+    return f"WITH {named},\n{grown},\n{rest}\n{body}"
+
+
 _CLOSED = f"""w + INTERVAL '{WIDTH}' <= (SELECT max(timestamp) FROM web_logs) - INTERVAL '10 minutes'"""
 ORACLES = {
     # the threshold is a quantile of baseline scores, so one window at least reaches it
@@ -153,16 +162,22 @@ ORACLES = {
         """SELECT (SELECT count(*) FROM raw_logs) - bad AS valid_logs, bad AS invalid_logs, true AS consistent
         FROM (SELECT count(DISTINCT event_id) AS bad FROM log_errors)"""
     ),
-    "anomaly_scores": v.raw_log_sql(
-        f"""SELECT DISTINCT time_bucket(INTERVAL '{v.WIDTH}', CAST(timestamp AS TIMESTAMP)) AS timestamp, true AS in_range
-        FROM raw_logs WHERE event_id NOT IN (SELECT event_id FROM log_errors)"""
+    "anomaly_scores": _detected_sql("SELECT timestamp, round(anomaly_score, 6) AS anomaly_score, is_anomaly FROM detected"),
+    "forest_metrics": _detected_sql(METRICS_SQL),
+    "detected_incidents": _detected_sql(
+        """SELECT strftime(incident_start, '%Y-%m-%d %H:%M:%S') AS start,
+            strftime(incident_end, '%Y-%m-%d %H:%M:%S') AS "end",
+            impact.* EXCLUDE (incident_start, incident_end), causes.* EXCLUDE (incident_start)
+        FROM impact JOIN causes USING (incident_start)""",
+        causes=True,
     ),
     "stream_counts": v.log_sql("SELECT status AS key, count(*) AS n FROM web_logs GROUP BY 1"),
-    "stream_windows": v.log_sql(
-        f"""SELECT w AS timestamp, count(*) AS request_count, count(*) FILTER (status >= 500) AS error_5xx_count,
-        round(count(*) FILTER (status >= 500) / count(*), 6) AS error_rate_5xx,
-        round(avg(bytes), 6) AS avg_bytes, true AS ips_near, true AS paths_near, true AS p95_near
-        FROM (SELECT *, time_bucket(INTERVAL '{WIDTH}', timestamp) AS w FROM web_logs) WHERE {_CLOSED} GROUP BY 1"""
+    "stream_windows": v.with_views(
+        f"""SELECT {rounded_sql(FEATURE_COLUMNS, "closed", "error_rate_5xx", "avg_bytes")[7:]}""",
+        web_logs=v.WEB_LOGS_SQL,
+        closed=v.FEATURES_SQL.format(
+            width=WIDTH, logs=f"(SELECT * FROM (SELECT *, time_bucket(INTERVAL '{WIDTH}', timestamp) AS w FROM web_logs) WHERE {_CLOSED})"
+        ),
     ),
     # a session is out once the watermark has passed its last window by one length
     "stream_alerts": v.log_sql(
