@@ -61,13 +61,12 @@ def neighbourhood(word: Column, symbols: int = SYMBOLS) -> Column:
 
 
 def near_pairs(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
-    """Ordered pairs (word, near_word, near_n) at distance one, from distinct (word, n).
+    """Ordered pairs (word, near_word, near_n) at distance one, from stored, distinct (word, n, reduced).
 
     Reduced words travel as 64-bit hashes; what the join brings together is verified.
     """
-    forms = words.select("word", "n", reduced(F.col("word"), symbols).alias("r"))
-    asked = forms.select("word", F.explode(neighbourhood(F.col("r"), symbols)).alias("k")).select("word", F.xxhash64("k").alias("k"))
-    known = forms.select(F.col("word").alias("near_word"), F.col("n").alias("near_n"), F.xxhash64("r").alias("k"))
+    asked = words.select("word", F.explode(neighbourhood(F.col("reduced"), symbols)).alias("k")).select("word", F.xxhash64("k").alias("k"))
+    known = words.select(F.col("word").alias("near_word"), F.col("n").alias("near_n"), F.xxhash64("reduced").alias("k"))
     return (
         asked.join(known, "k")
         .where(F.levenshtein("word", "near_word", 1) == 1)
@@ -80,7 +79,9 @@ def variants(words: DataFrame, ratio: int = RATIO, symbols: int = SYMBOLS) -> Da
     if ratio < 2 or symbols < 2:
         raise ValueError("ratio and symbols must be at least 2")
     counted = words.where(F.col("word").isNotNull() & (F.col("n") > 0)).groupBy("word")
-    vocabulary = stored(counted.agg(F.sum("n").cast("bigint").alias("n")), "vocabulary")
+    totals = counted.agg(F.sum("n").cast("bigint").alias("n"))
+    # stored with the reduced words, which the neighbourhoods read many times
+    vocabulary = stored(totals.withColumn("reduced", reduced(F.col("word"), symbols)), "vocabulary")
     best = near_pairs(vocabulary, symbols).groupBy("word").agg(
         F.count("*").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("m"), "near_word")).alias("b")
     )
