@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.models.preparation import preparation
-from millrace.models.scoring import pick_threshold, pr_curve, roc_auc
+from millrace.models.scoring import pick_threshold, pr_curve, roc_auc, roc_auc_by
+from millrace.models.trees import NodeTable, cut_scores, node_table
 from millrace.operators.ranking import stratified_folds, stratified_split
 from millrace.session import materialize, require_columns
 
@@ -64,7 +64,7 @@ def split_and_fold(rows: DataFrame, options: ChurnOptions = ChurnOptions()) -> t
     parts = materialize(stratified_split(rows, options.key, options.label, 0.8, options.seed), "split")
     train = parts.where("split = 'train'").drop("split")
     folded = stratified_folds(train, options.key, options.label, options.folds, options.seed + 1)
-    return materialize(folded, "train"), parts.where("split = 'test'").drop("split")
+    return materialize(folded, "train", ["fold"]), parts.where("split = 'test'").drop("split")
 
 
 def forest(options: ChurnOptions, depth: int, leaf: int) -> RandomForestClassifier:
@@ -74,6 +74,7 @@ def forest(options: ChurnOptions, depth: int, leaf: int) -> RandomForestClassifi
         numTrees=options.trees,
         maxDepth=depth,
         minInstancesPerNode=leaf,
+        maxMemoryInMB=1024,  # whole levels of all trees are split in one pass
         featureSubsetStrategy="sqrt",
         seed=options.seed,
     )
@@ -88,40 +89,66 @@ def with_score(predicted: DataFrame, options: ChurnOptions) -> DataFrame:
     )
 
 
-def grid_search(train: DataFrame, options: ChurnOptions = ChurnOptions()) -> DataFrame:
-    """Mean ROC-AUC over the folds for each depth and leaf size.
+def side_by_side(spark: SparkSession, work: Callable, items: Sequence, parallelism: int) -> list:
+    """Jobs of a few candidates at a time; Spark schedules their tasks."""
+    with ThreadPool(parallelism) as pool:
+        return pool.map(inheritable_thread_target(spark)(work), items)
 
-    Preprocessing is learned once per fold from its training part and shared by all
-    candidates, which gives the result of a search over the whole pipeline with a
-    ninth of the preprocessing work.
+
+def prepared_folds(train: DataFrame, options: ChurnOptions) -> tuple[dict[int, DataFrame], DataFrame]:
+    """Per fold the rows to fit on; and all rows with the features that their own fold's preprocessing gives.
+
+    ``train`` is stored by fold, so what is prepared for a fold's held-out rows reads that fold only.
     """
-    base = forest(options, options.depths[0], options.leaves[0])
-    grid = (
-        ParamGridBuilder()
-        .addGrid(base.maxDepth, list(options.depths))
-        .addGrid(base.minInstancesPerNode, list(options.leaves))
-        .build()
-    )
-    judge = BinaryClassificationEvaluator(labelCol=options.label, rawPredictionCol="probability", numBins=0)
-    results = []
-    for fold in range(options.folds):
+
+    def one(fold: int) -> tuple[int, DataFrame, DataFrame]:
         seen, held = train.where(F.col("fold") != fold), train.where(F.col("fold") == fold)
         prepared = preparation(options.numeric, options.categorical).fit(seen)
         fit_rows = materialize(prepared.transform(seen).select("features", options.label), "fold-fit")
-        held_rows = materialize(prepared.transform(held).select("features", options.label), "fold-held")
-        fits = base.fitMultiple(fit_rows, grid)
+        return fold, fit_rows, prepared.transform(held).select(options.key, options.label, "features", "fold")
+
+    parts = side_by_side(train.sparkSession, one, range(options.folds), options.parallelism)
+    held = reduce(DataFrame.unionByName, [p[2] for p in parts])
+    return {fold: rows for fold, rows, _ in parts}, materialize(
+        held.withColumn("features", vector_to_array("features")), "held"
+    )
 
-        def next_result(_: int) -> tuple:
-            index, model = next(fits)
-            point = grid[index]
-            auc = judge.evaluate(model.transform(held_rows))
-            return fold, point[base.maxDepth], point[base.minInstancesPerNode], float(auc)
 
-        # jobs of a few candidates side by side; Spark schedules their tasks
-        with ThreadPool(options.parallelism) as pool:
-            results += pool.map(inheritable_thread_target(train.sparkSession)(next_result), range(len(grid)))
-    scores = train.sparkSession.createDataFrame(results, "fold int, max_depth int, min_leaf int, auc double")
-    return scores.groupBy("max_depth", "min_leaf").agg(F.avg("auc").alias("mean_auc"))
+def nested_scores(
+    train: DataFrame, depths: Sequence[int], leaves: Sequence[int], options: ChurnOptions = ChurnOptions()
+) -> DataFrame:
+    """Each training row scored by the forests that did not see its fold: key, label, fold, max_depth, min_leaf, score.
+
+    One forest per (fold, leaf size) is grown to the largest depth and cut at the others, see ``trees``. All
+    rows are scored in one pass, each by the forests of its fold.
+    """
+    fit_rows, held = prepared_folds(train, options)
+    points = [(fold, leaf) for fold in range(options.folds) for leaf in leaves]
+
+    def grown(point: tuple[int, int]) -> NodeTable:
+        return node_table(forest(options, max(depths), point[1]).fit(fit_rows[point[0]]))
+
+    tables = dict(zip(points, side_by_side(train.sparkSession, grown, points, options.parallelism)))
+    forests = {fold: [tables[fold, leaf] for leaf in leaves] for fold in range(options.folds)}
+    names = F.array(*(F.struct(F.lit(d).alias("max_depth"), F.lit(n).alias("min_leaf")) for n in leaves for d in depths))
+    scored = held.select(
+        options.key, F.col(options.label).alias("label"), "fold", cut_scores(held, "features", "fold", forests, depths).alias("s")
+    )
+    pairs = F.zip_with(names, F.col("s"), lambda n, s: F.struct(n["max_depth"].alias("max_depth"), n["min_leaf"].alias("min_leaf"), s.alias("score")))
+    return scored.select(options.key, "label", "fold", F.inline(pairs))
+
+
+def grid_search(train: DataFrame, options: ChurnOptions = ChurnOptions()) -> DataFrame:
+    """Mean ROC-AUC over the folds for each depth and leaf size.
+
+    Preprocessing is learned once per fold from its training part and shared by all
+    candidates, and a forest per fold and leaf size serves all depths.
+    """
+    scores = nested_scores(train, options.depths, options.leaves, options)
+    found = roc_auc_by(scores, ["fold", "max_depth", "min_leaf"])
+    return found.groupBy("max_depth", "min_leaf").agg(
+        F.avg("roc_auc").alias("mean_auc"), F.count("*").alias("folds"), F.sum("n").alias("n_scored")
+    )
 
 
 def best_point(search: DataFrame) -> tuple[int, int, float]:
@@ -139,15 +166,8 @@ def fit_churn(train: DataFrame, depth: int, leaf: int, options: ChurnOptions = C
 
 
 def out_of_fold(train: DataFrame, depth: int, leaf: int, options: ChurnOptions = ChurnOptions()) -> DataFrame:
-    """Each training row scored by the model that did not see its fold."""
-    parts = []
-    for fold in range(options.folds):
-        model = fit_churn(train.where(F.col("fold") != fold), depth, leaf, options)
-        parts.append(with_score(model.transform(train.where(F.col("fold") == fold)), options))
-    scores = parts[0]
-    for part in parts[1:]:
-        scores = scores.unionByName(part)
-    return scores
+    """Each training row scored by the model that did not see its fold: key, label, score."""
+    return nested_scores(train, [depth], [leaf], options).select(options.key, "label", "score")
 
 
 def choose_threshold(oof: DataFrame, options: ChurnOptions = ChurnOptions()) -> DataFrame:

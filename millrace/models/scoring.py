@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.ranking import running_totals
 from millrace.session import materialize
 
+SCORE_RANGES = 4096
+
 
 def score_points(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """Positives and negatives per distinct score, stored: the rows are scored once."""
@@ -54,6 +58,32 @@ def roc_auc(scored: DataFrame, score: str = "score", label: str = "label") -> Da
     return sums.select(F.try_divide(F.col("twice").cast("double"), 2 * pairs).alias("roc_auc"))
 
 
+def roc_auc_by(scored: DataFrame, by: Sequence[str], score: str = "score", label: str = "label") -> DataFrame:
+    """As :func:`roc_auc` per group, for scores in [0, 1]: ``by``, ``roc_auc``, ``n``.
+
+    A group's positives are counted per range of scores, and distinct scores put in order inside a range only.
+    """
+    keys = list(by)
+    counted = scored.groupBy(*keys, F.col(score).alias("_s")).agg(
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
+    )
+    points = materialize(counted.withColumn("_range", F.floor(F.col("_s") * SCORE_RANGES)), "points")
+    group = Window.partitionBy(*keys)
+    before = group.orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = points.groupBy(*keys, "_range").agg(F.sum("pos").alias("p"))
+    above = ranges.select(*keys, "_range", F.coalesce(F.sum("p").over(before), F.lit(0)).alias("_above"))
+    inside = Window.partitionBy(*keys, "_range").orderBy(F.desc("_s")).rowsBetween(Window.unboundedPreceding, -1)
+    placed = points.join(above, [*keys, "_range"]).withColumn(
+        "_higher", F.col("_above") + F.coalesce(F.sum("pos").over(inside), F.lit(0))
+    )
+    twice = F.col("neg").cast("decimal(19,0)") * (2 * F.col("_higher") + F.col("pos")).cast("decimal(19,0)")
+    sums = placed.groupBy(*keys).agg(F.sum(twice).alias("twice"), F.sum("pos").alias("p"), F.sum("neg").alias("q"))
+    pairs = F.col("p").cast("double") * F.col("q").cast("double")
+    return sums.select(
+        *keys, F.try_divide(F.col("twice").cast("double"), 2 * pairs).alias("roc_auc"), (F.col("p") + F.col("q")).alias("n")
+    )
+
+
 def classification_report(
     scored: DataFrame, threshold, score: str = "score", label: str = "label"
 ) -> DataFrame:

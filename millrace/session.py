@@ -8,6 +8,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+# temporary folders of local sessions without spark.checkpoint.dir, by application
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def build_session(master: str, shuffle_partitions: int, memory: str = "8g") -> SparkSession:
     """Session for tests and benchmarks; on a cluster use the one you are given."""
     return (
@@ -25,22 +29,31 @@ def build_session(master: str, shuffle_partitions: int, memory: str = "8g") -> S
 def scratch_path(spark: SparkSession, label: str) -> str:
     """Fresh folder below ``spark.checkpoint.dir``, which all executors must share.
 
-    Only a local session without that setting gets a temporary folder.
+    Only a local session without that setting gets a temporary folder, which stays with this module: the
+    setting cannot be changed in a running session.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        base = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        application = spark.sparkContext.applicationId
+        if application not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="millrace-")
+        base = _LOCAL_FOLDERS[application]
     return f"{_own_folder(spark, base)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and read it back: one evaluation, no lineage to replay."""
+def materialize(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` once and read it back: one evaluation, no lineage to replay.
+
+    With ``partition_by`` (columns of few values) filters on these columns read only their part.
+    """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if not partition_by:
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def attach(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -54,7 +67,7 @@ def attach(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "
 
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what this application has stored; results that read it are gone with it."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_FOLDERS.pop(spark.sparkContext.applicationId, None)
     if base:
         place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark, base))
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

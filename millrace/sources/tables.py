@@ -14,6 +14,7 @@ from millrace.functions.scalars import blank_to_null, to_number
 from millrace.operators.contracts import API_RESPONSE_TEXTS, WEB_LOG_TEXTS, texts
 from millrace.operators.lookup import same_rows
 from millrace.session import attach, require_columns, require_rows
+from millrace.sources.split_text import csv_records, json_records
 
 # The columns of the input files and their types.
 SALES_TEXTS = texts("order_id", "order_date", "region", "category", "quantity", "unit_price", "discount")
@@ -40,12 +41,19 @@ def read_csv_texts(
     """CSV with a header, every column text; files are split, nothing is inferred.
 
     A quote inside a quoted field is doubled. ``line_breaks`` allows line breaks inside
-    quoted fields; a file is then read by one task, so it is off by default.
+    quoted fields; files are split then too, but read twice, see ``split_text``.
     """
     schema = schema or texts(*header_of(spark, path))
-    return spark.read.schema(schema).csv(
-        path, header=True, enforceSchema=False, quote='"', escape='"', multiLine=line_breaks
-    )
+    if line_breaks:
+        return parsed_records(csv_records(spark, path), schema)
+    return spark.read.schema(schema).csv(path, header=True, enforceSchema=False, quote='"', escape='"')
+
+
+def parsed_records(records: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns of CSV records; the header and blank records are left out."""
+    body = records.where(((F.col("block") > 0) | (F.col("number") > 0)) & (F.col("text") != ""))
+    options = {"quote": '"', "escape": '"', "maxCharsPerColumn": "-1"}
+    return body.select(F.from_csv("text", schema.toDDL(), options).alias("r")).select("r.*")
 
 
 def read_csv_typed(
@@ -86,9 +94,11 @@ def read_churn(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_api_users(spark: SparkSession, path: str) -> DataFrame:
-    """Records of JSON response documents with their 0-based ``position``."""
-    documents = spark.read.schema(API_RESPONSE_TEXTS).json(path, multiLine=True)
-    return explode_results(documents)
+    """Records of JSON response documents with their 0-based ``position``; a document is read by as many tasks as
+    it has blocks."""
+    record = API_RESPONSE_TEXTS["results"].dataType.elementType
+    parsed = json_records(spark, path).select("position", F.from_json("text", record).alias("r"))
+    return parsed.select("position", "r.*")
 
 
 def explode_results(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

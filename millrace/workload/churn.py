@@ -161,7 +161,9 @@ def churn_grid(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(
         F.col("max_depth").cast("bigint").alias("max_depth"),
         F.col("min_leaf").cast("bigint").alias("min_leaf"),
-        F.col("mean_auc").between(0.3, 1).alias("in_range"),
+        "folds",
+        "n_scored",
+        F.col("mean_auc").between(0.5, 1).alias("in_range"),
     )
 
 
@@ -248,10 +250,14 @@ def _parts(cut: str) -> str:
 
 
 _CLASS_SIZES = "SELECT churn AS label, count(*) AS n, CAST(floor(count(*) * 0.8) AS BIGINT) AS train FROM customers GROUP BY 1"
-_GRID = " UNION ALL ".join(
-    f"SELECT CAST({d} AS BIGINT) AS max_depth, CAST({leaf} AS BIGINT) AS min_leaf, true AS in_range"
-    for d in OPTIONS.depths
-    for leaf in OPTIONS.leaves
+_GRID = v.customer_sql(
+    " UNION ALL ".join(
+        f"SELECT CAST({d} AS BIGINT) AS max_depth, CAST({leaf} AS BIGINT) AS min_leaf, CAST({OPTIONS.folds} AS BIGINT) AS folds,"
+        " CAST(sum(train) AS BIGINT) AS n_scored, true AS in_range FROM sizes"
+        for d in OPTIONS.depths
+        for leaf in OPTIONS.leaves
+    ),
+    sizes=_CLASS_SIZES,
 )
 # Simpson's rule over the density of Student's t from 0 to |t|
 _T_TAIL = """

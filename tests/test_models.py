@@ -3,13 +3,15 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import functions as F
 
 from millrace.functions.pvalues import chi_square_tail, regularized_beta, t_two_sided
-from millrace.models import churn, preparation, scoring
+from millrace.models import churn, preparation, scoring, trees
 from millrace.operators import hypothesis
 from millrace.session import scratch_path
 
@@ -189,3 +191,52 @@ def test_labels_are_checked(customers):
         churn.model_rows(customers.withColumn("churn", F.lit(2)), OPTIONS)
     with pytest.raises(ValueError, match="missing"):
         churn.model_rows(customers.drop("gender"), OPTIONS)
+
+
+def fitted_rows(spark, n=400):
+    draw = np.random.default_rng(4)
+    a, b, c = draw.normal(size=n), draw.integers(0, 2, n).astype(float), draw.integers(0, 6, n).astype(float)
+    label = (a + b - 0.3 * c + draw.normal(size=n) > 0).astype(int)
+    rows = spark.createDataFrame(pd.DataFrame({"key": np.arange(n), "a": a, "b": b, "c": c, "churn": label, "fold": np.arange(n) % 2}))
+    # b carries the metadata of a feature with two values, as one-hot columns do
+    indexed = StringIndexer(inputCol="b", outputCol="bi", stringOrderType="alphabetAsc").fit(rows).transform(rows)
+    return VectorAssembler(inputCols=["a", "bi", "c"], outputCol="features").transform(indexed).cache()
+
+
+def test_node_table_scores_as_the_forest_does(spark):
+    rows = fitted_rows(spark)
+    model = churn.forest(churn.ChurnOptions(trees=12), 5, 3).fit(rows)
+    table = trees.node_table(model)
+    dense = rows.withColumn("p", vector_to_array("features"))
+    both = dense.select(
+        "key", trees.cut_scores(dense, "p", "fold", {0: [table], 1: [table, table]}, [5, 0]).alias("s"), "fold"
+    ).join(model.transform(rows).select("key", vector_to_array("probability")[1].alias("wanted")), "key").collect()
+    assert len(both) == 400 and all(abs(r["s"][0] - r["wanted"]) < 1e-12 for r in both)
+    # cut at the root every tree answers with its share of class 1; a fold may have several forests
+    roots = table.share[table.roots].mean()
+    assert all(abs(r["s"][1] - roots) < 1e-12 and len(r["s"]) == 2 + 2 * r["fold"] for r in both)
+
+
+def test_a_cut_tree_equals_one_grown_to_that_depth_where_nothing_is_drawn(spark):
+    rows = fitted_rows(spark)
+
+    def tree(depth):
+        return RandomForestClassifier(
+            labelCol="churn", numTrees=1, maxDepth=depth, featureSubsetStrategy="all", bootstrap=False, minInstancesPerNode=3, seed=1
+        ).fit(rows)
+
+    points = np.array([r["features"].toArray() for r in rows.collect()])
+    deep, shallow = trees.node_table(tree(7)), trees.node_table(tree(3))
+    assert np.allclose(deep.scores(points, [3])[:, 0], shallow.scores(points, [3, 7])[:, 1])
+
+
+def test_auc_by_group_equals_the_evaluator(spark):
+    data, rows = scores(spark)
+    grouped = rows.withColumn("g", (F.col("score") * 1000 % 3).cast("int")).union(
+        spark.createDataFrame([(1, 0.5, 9), (1, 0.5, 9)], "label long, score double, g int")
+    )
+    found = {r["g"]: (r["roc_auc"], r["n"]) for r in scoring.roc_auc_by(grouped, ["g"]).collect()}
+    for g in range(3):
+        part = grouped.where(F.col("g") == g)
+        assert found[g] == (pytest.approx(scoring.roc_auc(part).first()[0], abs=1e-12), part.count())
+    assert found[9] == (None, 2)

@@ -1,4 +1,5 @@
 import json
+import random
 import time
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.testing import assertDataFrameEqual
 
 from millrace.operators.contracts import WEB_LOG_TEXTS
 from millrace.plans.product_load import load_products
-from millrace.sources import fetch, tables
+from millrace.sources import fetch, split_text, tables
 
 QUICK = fetch.FetchOptions(max_concurrent=2, backoff_base=0.0)
 
@@ -160,3 +161,69 @@ def test_rows_are_numbered_in_file_order(spark, tmp_path):
     got = tables.number_rows(tables.read_csv_texts(spark, str(tmp_path))).orderBy("row_no").collect()
     assert [r["k"] for r in got] == [f"a{i}" for i in range(3)] + [f"b{i}" for i in range(30)]
     assert [r["row_no"] for r in got] == list(range(33))
+
+
+@pytest.fixture
+def small_blocks(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_split_csv_with_line_breaks_equals_the_whole_file_reader(spark, tmp_path, small_blocks):
+    draw = random.Random(5)
+    pieces = ["a", "b,c", '""', "\n", "\n\n", "é漢", " x ", "\r\n", "long " * 40, ",", "1"]
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    want = []
+    for name, count in (("a.csv", 400), ("b.csv", 1), ("c.csv", 0), ("d.csv", 60)):
+        lines = ["k,t,u\n"]
+        for i in range(count):
+            text = "".join(draw.choice(pieces) for _ in range(draw.randint(0, 8)))
+            if i == 30:
+                text = 'line of a very long field ""\n' * 700  # a record over many blocks, most with quotes of their own
+            end = "\r\n" if name == "d.csv" else "\n"
+            lines.append(f'{name}{i},"{text}",{i}{end}')
+            want.append((f"{name}{i}", text.replace('""', '"'), str(i)))
+        (folder / name).write_text("".join(lines), newline="")
+    rows = tables.read_csv_texts(spark, str(folder), line_breaks=True)
+    got = sorted((r["k"], r["t"] or "", r["u"]) for r in rows.collect())
+    assert got == sorted(want)
+    # the file is read by many tasks, and records keep their order
+    assert split_text._parts(spark, f"{folder}/a.csv", "\n").rdd.getNumPartitions() > 10
+    ordered = split_text.csv_records(spark, f"{folder}/a.csv").orderBy("block", "number").collect()
+    assert [r["text"].split(",")[0] for r in ordered] == ["k"] + [f"a.csv{i}" for i in range(400)]
+
+
+def test_csv_whose_quotes_never_close(spark, tmp_path, small_blocks):
+    (tmp_path / "open.csv").write_text('k,t\n1,"a"\n2,"never closed\n' + "more\n" * 2000)
+    records = split_text.csv_records(spark, f"{tmp_path}/open.csv").orderBy("block", "number").collect()
+    assert [r["text"][:6] for r in records] == ["k,t", '1,"a"', '2,"nev'] and records[2]["text"].count("more") == 2000
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+def test_split_json_document_equals_the_whole_file_reader(spark, tmp_path, small_blocks, indent):
+    draw = random.Random(6)
+    texts = ['}{ "', "\\", 'say \\"hi\\"', "[]{}", "é漢\n", "}" * 50, "long " * 400, "", '\\\\"}']
+    folder = tmp_path / "json"
+    folder.mkdir()
+    want = {}
+    for name, count in (("a", 300), ("b", 1), ("c", 0)):
+        users = [
+            {"id": i, "username": draw.choice(texts), "profile": {"country": draw.choice(texts), "score": 1.5}, "tags": [draw.choice(texts), "x"]}
+            for i in range(count)
+        ]
+        document = {"status": "} ok {", "count": count, "results": users, "more": {"a": [1, 2], "b": "]"}}
+        (folder / f"{name}.json").write_text(json.dumps(document, indent=indent, ensure_ascii=False) + ("\n" if indent else ""))
+        want |= {(name, i): u for i, u in enumerate(users)}
+    records = split_text.json_records(spark, str(folder)).collect()
+    assert {(r["file"].rsplit("/", 1)[1][0], r["position"]): json.loads(r["text"]) for r in records} == want
+    assert len(records) == 301
+    if indent:
+        assert split_text._parts(spark, f"{folder}/a.json", "}").rdd.getNumPartitions() > 10
+        rows = tables.read_api_users(spark, f"{folder}/a.json").orderBy("position").collect()
+        assert [(r["position"], r["id"], r["username"], r["tags"][0]) for r in rows] == [
+            (i, str(i), want["a", i]["username"], want["a", i]["tags"][0]) for i in range(300)
+        ]
