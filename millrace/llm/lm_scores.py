@@ -79,32 +79,53 @@ def packed(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), utf8().alias("body")).mapInArrow(run, schema)
 
 
-def ngram_keys(words: np.ndarray) -> list[np.ndarray]:
-    """Hash of the n-gram that ends at each word, for n from 1 to ORDER; shorter ones where the text begins."""
-    out = []
-    with np.errstate(over="ignore"):
-        for n in range(1, ORDER + 1):
-            m = max(len(words) - n + 1, 0)
-            h = np.full(m, np.uint64(n))
-            for k in range(n):
-                h *= np.uint64(0x9E3779B97F4A7C15)
-                h += words[k : k + m]
-            out.append(mix(h) >> np.uint64(64 - KEY_BITS))
-    return out
-
-
-def chunk_keys(body: bytes, sizes: np.ndarray) -> tuple[list[list[int]], np.ndarray]:
-    """Number of n-grams of each order in each document of a chunk, and all their hashes end to end."""
+def chunk_words(body: bytes, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of a chunk end to end, and the number of words of each document."""
     import zstandard
 
     text = zstandard.ZstdDecompressor().decompress(body) if len(sizes) else b""
-    known, counts, keys, at = WordHashes(), [], [], 0
+    known, found, at = WordHashes(), [], 0
     for size in sizes.tolist():
-        found = ngram_keys(hashed_words(text[at : at + size].lower().split(), known))
-        counts.append([len(k) for k in found])
-        keys += found
+        found.append(hashed_words(text[at : at + size].lower().split(), known))
         at += size
-    return counts, np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+    lengths = np.array([len(f) for f in found], dtype=np.int64)
+    return (np.concatenate(found) if found else np.zeros(0, np.uint64)), lengths
+
+
+def ngram_keys(words: np.ndarray, lengths: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the n-grams of each document of a chunk, end to end; none crosses documents."""
+    m = max(len(words) - n + 1, 0)
+    h = np.full(m, np.uint64(n))
+    with np.errstate(over="ignore"):
+        for k in range(n):
+            h *= np.uint64(0x9E3779B97F4A7C15)
+            h += words[k : k + m]
+        if n > 1:
+            inside = np.ones(len(words), dtype=bool)
+            for begin in (np.cumsum(lengths) - lengths)[lengths > 0].tolist():
+                inside[begin : begin + n - 1] = False
+            h = h[inside[n - 1 :]]
+        return mix(h) >> np.uint64(64 - KEY_BITS)
+
+
+def distinct_counted(words: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct n-gram hashes of all orders with their counts; one order is held at a time."""
+    keys, counts = [], []
+    for n in range(1, ORDER + 1):
+        found = ngram_keys(words, lengths, n)
+        found.sort()
+        begins = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])) if len(found) else np.zeros(0, np.int64)
+        keys.append(found[begins])
+        counts.append(np.diff(begins, append=len(found)).astype(np.uint32))
+    whole, times = np.concatenate(keys), np.concatenate(counts)
+    del keys, counts
+    order = np.argsort(whole, kind="stable")  # merges sorted runs
+    whole, times = whole[order], times[order]
+    del order
+    begins = np.flatnonzero(np.concatenate([[True], whole[1:] != whole[:-1]])) if len(whole) else np.zeros(0, np.int64)
+    if len(begins) < len(whole):  # orders that met in a hash
+        whole, times = whole[begins], np.add.reduceat(times, begins)
+    return whole, times
 
 
 def cuts(keys: np.ndarray, ranges: int) -> np.ndarray:
@@ -135,7 +156,7 @@ def requests(chunks: DataFrame, ranges: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, sizes, body in zip(*(batch.column(c).to_pylist() for c in ("chunk", "sizes", "body"))):
-                keys, counts = np.unique(chunk_keys(body, np.array(sizes, dtype=np.int64))[1], return_counts=True)
+                keys, counts = distinct_counted(*chunk_words(body, np.array(sizes, dtype=np.int64)))
                 edges = cuts(keys, ranges)
                 rows = [(r, a, b) for r, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]
                 if not rows:
@@ -145,7 +166,7 @@ def requests(chunks: DataFrame, ranges: int) -> DataFrame:
                     pa.array([r for r, _, _ in rows], type=pa.int32()),
                     pa.array([chunk] * len(rows), type=pa.int64()),
                     pa.array([squeezed(g) for g in gaps], type=pa.binary()),
-                    pa.array([squeezed(counts[a:b].astype(np.uint32)) for _, a, b in rows], type=pa.binary()),
+                    pa.array([squeezed(counts[a:b]) for _, a, b in rows], type=pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["range", "chunk", "keys", "counts"])
 
@@ -186,24 +207,38 @@ def counted(asked: DataFrame, ranges: int) -> DataFrame:
     return dealt.mapInArrow(run, "chunk bigint, range int, totals binary")
 
 
-def document_scores(docs: list[list[int]], place: np.ndarray, totals: np.ndarray, words: int) -> list[tuple[int, float]]:
-    """Words and summed log score of each document of a chunk."""
-    out, at = [], 0
-    for doc in docs:
-        others = []
-        for count in doc:
-            here = place[at : at + count]
+def others_of(words: np.ndarray, lengths: np.ndarray, keys: np.ndarray, totals: np.ndarray, n: int) -> np.ndarray:
+    """For each n-gram of a chunk, how often the other documents hold it; documents end to end."""
+    found = ngram_keys(words, lengths, n)
+    own, place = np.unique(found, return_inverse=True)
+    del found
+    place = np.searchsorted(keys, own).astype(np.int32)[place]
+    out = totals[place].astype(np.float64)
+    at = 0
+    for count in np.maximum(lengths - n + 1, 0).tolist():
+        if count:
+            _, inverse, held = np.unique(place[at : at + count], return_inverse=True, return_counts=True)
+            out[at : at + count] -= held[inverse]
             at += count
-            _, inverse, own = np.unique(here, return_inverse=True, return_counts=True)
-            others.append((totals[here].astype(np.float64) - own[inverse]) if count else np.zeros(0))
-        n = doc[0]
+    return out
+
+
+def document_scores(others: list[np.ndarray], lengths: np.ndarray, words: int) -> list[tuple[int, float]]:
+    """Words and summed log score of each document of a chunk."""
+    out, at = [], [0] * ORDER
+    for n in lengths.tolist():
+        here = []
+        for k in range(ORDER):
+            count = max(n - k, 0)
+            here.append(others[k][at[k] : at[k] + count])
+            at[k] += count
         rest = max(words - n, 1)
         with np.errstate(divide="ignore", invalid="ignore"):
-            score = np.where(others[0] > 0, others[0] / rest, ALPHA / rest)
+            score = np.where(here[0] > 0, here[0] / rest, ALPHA / rest)
             for k in range(1, ORDER):
-                found = others[k]
+                found = here[k]
                 if len(found):
-                    context = others[k - 1][: len(found)]
+                    context = here[k - 1][: len(found)]
                     score[k:] = np.where(found > 0, found / context, ALPHA * score[k:])
         out.append((n, float(np.log(score).sum())))
     return out
@@ -225,12 +260,13 @@ def scores(documents: DataFrame) -> DataFrame:
 
         def made() -> pa.RecordBatch:
             doc_ids, sizes, body = head
-            docs, keys = chunk_keys(body, np.array(sizes, dtype=np.int64))
-            totals = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+            hashes, lengths = chunk_words(body, np.array(sizes, dtype=np.int64))
+            keys = distinct_counted(hashes, lengths)[0]
+            totals = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
             parts.clear()
-            place = np.unique(keys, return_inverse=True)[1].astype(np.int32)
-            del keys
-            found = document_scores(docs, place, totals, words)
+            others = [others_of(hashes, lengths, keys, totals, n) for n in range(1, ORDER + 1)]
+            del hashes, keys, totals
+            found = document_scores(others, lengths, words)
             columns = [
                 pa.array(doc_ids, type=pa.int64()), pa.array([n for n, _ in found], type=pa.int64()),
                 pa.array([s for _, s in found], type=pa.float64()),
