@@ -2,33 +2,41 @@
 
 A store is a folder with three kinds of data, all below one path in shared storage:
 
-* ``ledger/batch=ID``: the signed entries of a batch, one per document, tokenizer version
-  and sign; what a document counts for now is the sum of its entries;
-* ``rollup/batch=ID``: those entries added up by source, lang and version;
-* ``commits/ID``: a marker written last. Only marked batches count.
-
-Committing a batch id again changes nothing, and a batch that died before its marker is
-written anew over its remains. Totals are sums over the marked batches' rollups, so they
+* ``ledger/batch=ID/attempt=...``: the signed entries of a batch; what a document counts for now is the sum of its entries.
+  Entries lie in ``BUCKETS`` partitions by a hash of doc_id, and a commit reads those that its batch touches;
+* ``rollup/batch=ID/attempt=...``: those entries added up by source, lang and version;
+* ``commits/ID``: a marker written last, which names the attempt that counts. Only marked batches count.
+
+Committing a batch id again changes nothing; a batch that died before its marker left an attempt that nothing
+names. The marker is created only if there is none, so of two commits of one id at a time one wins and the other
+changes nothing. Totals are sums over the marked batches' rollups, so they
 cost a read of small rows however large the corpus has become.
 
 Changes have (doc_id, op, source, lang, version, tokens). ``insert`` adds a count,
 ``revise`` first takes back what the ledger holds for the document and version, then
 adds; ``delete`` takes it back. Taking back works on the ledger, so a delete needs no
-count of its own, and one of an unknown document does nothing. Within a batch a document
-and version has one change; of repeated ones the largest (op, tokens, source, lang) row
-counts. An insert of a document the ledger holds is a revision. A null key, source,
+count of its own, and one of an unknown document does nothing. An insert of a document the ledger holds is a
+revision. Rows of one batch that repeat a doc_id and version are documents of their own and count each; later
+batches revise or delete them together. If a batch both inserts and revises a document, its revisions count; if
+it inserts and deletes one, the inserts do. Inserted rows without a doc_id are always new documents; a revision or
+deletion without one means all of them. A null source,
 lang or version is a value of its own; null tokens count 0. Empty batches commit and
 change nothing. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import table
+from millrace.llm.common import stored, table
 from millrace.session import scratch_path
 
+BUCKETS = 64
+
 KEYS = ("source", "lang", "version")
 LEDGER = "doc_id bigint, source string, lang string, version string, tokens bigint, documents bigint"
 ROLLUP = "source string, lang string, version string, tokens bigint, documents bigint"
@@ -48,15 +56,26 @@ class RollupStore:
         place = jvm.org.apache.hadoop.fs.Path(path)
         return place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), place
 
-    def committed(self) -> list[str]:
+    def committed(self) -> dict[str, str]:
+        """Marked batches and the attempt that counts; one short line each."""
         fs, place = self._fs(f"{self.path}/commits")
-        return sorted(x.getPath().getName() for x in fs.listStatus(place)) if fs.exists(place) else []
+        if not fs.exists(place):
+            return {}
+        found = {}
+        for status in fs.listStatus(place):
+            stream = fs.open(status.getPath())
+            try:
+                found[status.getPath().getName()] = stream.readUTF()
+            finally:
+                stream.close()
+        return dict(sorted(found.items()))
 
     def _read(self, kind: str, schema: str) -> DataFrame:
-        paths = [f"{self.path}/{kind}/batch={b}" for b in self.committed()]
+        paths = [f"{self.path}/{kind}/batch={batch}/attempt={attempt}" for batch, attempt in self.committed().items()]
         if not paths:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+        rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/{kind}").parquet(*paths)
+        return rows.select(*(c.split()[0] for c in schema.split(", ")))
 
     def totals(self) -> DataFrame:
         """Tokens and documents by source, lang and version; groups that count nothing are left out."""
@@ -65,11 +84,12 @@ class RollupStore:
         )
         return added.where((F.col("documents") != 0) | (F.col("tokens") != 0))
 
-    def standing(self) -> DataFrame:
-        """What each document counts for now."""
-        summed = self._read("ledger", LEDGER).groupBy("doc_id", *KEYS).agg(
-            F.sum("tokens").alias("tokens"), F.sum("documents").alias("documents")
-        )
+    def standing(self, buckets: list[int] | None = None) -> DataFrame:
+        """What each document counts for now, of all buckets or the given ones."""
+        entries = self._read("ledger", LEDGER + ", bucket int")
+        if buckets is not None:
+            entries = entries.where(F.col("bucket").isin(*buckets))
+        summed = entries.groupBy("doc_id", *KEYS).agg(F.sum("tokens").alias("tokens"), F.sum("documents").alias("documents"))
         return summed.where((F.col("documents") != 0) | (F.col("tokens") != 0))
 
     def commit(self, batch_id: str, changes: DataFrame) -> bool:
@@ -78,28 +98,47 @@ class RollupStore:
             raise ValueError("a batch id is one path segment")
         if batch_id in self.committed():
             return False
-        chosen = changes.groupBy("doc_id", "version").agg(
-            F.max(F.struct("op", F.coalesce("tokens", F.lit(0)).cast("bigint").alias("tokens"), "source", "lang")).alias("c")
+        rows = changes.select("doc_id", "op", *KEYS, F.coalesce("tokens", F.lit(0)).cast("bigint").alias("tokens"))
+        rows = stored(rows.where(F.col("op").isin("insert", "revise", "delete")), "changes")
+        per_document = rows.groupBy("doc_id", "version").agg(
+            F.bool_or(F.col("op") == "revise").alias("revised"), F.bool_and(F.col("op") == "insert").alias("only_inserts")
         )
-        new = chosen.where(F.col("c.op").isin("insert", "revise")).select(
-            "doc_id", "c.source", "c.lang", "version", "c.tokens", F.lit(1).cast("bigint").alias("documents")
-        )
-        old = self.standing().alias("s").join(
-            chosen.alias("n"),
-            F.col("s.doc_id").eqNullSafe(F.col("n.doc_id")) & F.col("s.version").eqNullSafe(F.col("n.version")),
-            "left_semi",
+        known = stored(per_document.withColumn("bucket", bucket_of(F.col("doc_id"))), "touched")
+        same = lambda a, b: F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & F.col(f"{a}.version").eqNullSafe(F.col(f"{b}.version"))
+        added = rows.alias("r").where("op <> 'delete'").join(known.where("revised").alias("k"), same("r", "k"), "left")
+        new = added.where((F.col("r.op") == "revise") | F.col("k.revised").isNull()).select(
+            "r.doc_id", *(f"r.{k}" for k in KEYS), "r.tokens", F.lit(1).cast("bigint").alias("documents")
         )
+        taken = known.where(F.col("doc_id").isNotNull() | ~F.col("only_inserts"))
+        buckets = sorted(r["bucket"] for r in taken.select("bucket").distinct().collect())  # at most BUCKETS
+        old = self.standing(buckets).alias("s").join(taken.alias("n"), same("s", "n"), "left_semi")
         undone = old.select("doc_id", *KEYS, (-F.col("tokens")).alias("tokens"), (-F.col("documents")).alias("documents"))
-        ledger = f"{self.path}/ledger/batch={batch_id}"
-        new.unionByName(undone).write.mode("overwrite").parquet(ledger)
+        attempt = uuid.uuid4().hex
+        ledger = f"{self.path}/ledger/batch={batch_id}/attempt={attempt}"
+        entries = new.unionByName(undone).withColumn("bucket", bucket_of(F.col("doc_id")))
+        entries.write.partitionBy("bucket").parquet(ledger)
         self.spark.read.schema(LEDGER).parquet(ledger).groupBy(*KEYS).agg(
             F.sum("tokens").alias("tokens"), F.sum("documents").alias("documents")
-        ).write.mode("overwrite").parquet(f"{self.path}/rollup/batch={batch_id}")
+        ).write.parquet(f"{self.path}/rollup/batch={batch_id}/attempt={attempt}")
+        return self._mark(batch_id, attempt)
+
+    def _mark(self, batch_id: str, attempt: str) -> bool:
         fs, place = self._fs(f"{self.path}/commits/{batch_id}")
-        fs.create(place, True).close()
+        try:
+            stream = fs.create(place, False)
+        except Py4JJavaError:
+            if fs.exists(place):  # another commit of this id was faster
+                return False
+            raise
+        stream.writeUTF(attempt)
+        stream.close()
         return True
 
 
+def bucket_of(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(BUCKETS)).cast("int")
+
+
 def counted(documents: DataFrame, version: str, pattern: str, op: str) -> DataFrame:
     """Changes that state the token count of each whole text under one version."""
     tokens = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(pattern)).cast("bigint")

@@ -1,13 +1,17 @@
 """Merkle fixity audit of web archives: two replicas, compared from the roots down.
 
 Pages become WARC records. An archive holds the records of ``span`` consecutive page
-ids, ordered by (page_id, url, digest); rows without an id are spread over archives of
-their own by a hash of the url. Leaves are SHA-256 sums of whole records; a node hashes
-its (at most ``fanout``) children's digests and lengths in offset order. The audit
-compares root digests and descends only below nodes that differ.
+ids, ordered by (page_id, url, digest), with their offsets; rows without an id are spread over archives of
+their own by a hash of url and html. Leaves are SHA-256 sums of whole records. A record's slot is the place of its id
+in the archive's span (a hash for rows without an id), and a node covers a range of slots: it hashes
+the digests and lengths of its (at most ``fanout``) child ranges in order, the lowest nodes those of their records. As ranges
+belong to ids and not to positions, a record that is lost or added changes the nodes above it and no others.
 
-Nulls: a null url or html is empty. Repeated rows are records of their own. An empty
-table has no archive and no finding. Extra columns are ignored.
+The audit compares root digests and descends only below nodes that differ. Under the lowest nodes that differ,
+records that both replicas hold cancel out; what is left is aligned by (page_id, url).
+
+Nulls: a null url or html is empty. Repeated rows are records of their own; the records of one id share a
+node. An empty table has no archive and no finding. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,31 +43,36 @@ def record(page_id: Column, url: Column, html: Column) -> Column:
 
 
 def leaves(pages: DataFrame, span: int = SPAN) -> DataFrame:
-    """One row per record: archive, place, offset range and digest. Shuffles no page text."""
-    orphan = F.concat(F.lit("x"), F.pmod(F.xxhash64("url"), F.lit(4096)).cast("string"))
+    """One row per record: archive, slot, place, offset range and digest. Shuffles no page text."""
+    spread = F.xxhash64(F.coalesce("url", F.lit("")), F.coalesce("html", F.lit("")))
+    orphan = F.concat(F.lit("x"), F.pmod(spread, F.lit(4096)).cast("string"))
+    hashed = F.pmod(F.shiftrightunsigned(spread, 12), F.lit(span))
     records = pages.select(
         "page_id",
         F.coalesce(F.expr(f"cast(floor(page_id / {span}) as bigint)").cast("string"), orphan).alias("archive"),
+        F.coalesce(F.pmod("page_id", F.lit(span)), hashed).cast("bigint").alias("slot"),
         F.coalesce("url", F.lit("")).alias("url"),
         record(F.col("page_id"), F.col("url"), F.col("html")).alias("record"),
     ).select(
-        "page_id", "archive", "url", F.octet_length("record").cast("bigint").alias("length"), F.sha2("record", 256).alias("digest")
+        "page_id", "archive", "slot", "url", F.octet_length("record").cast("bigint").alias("length"), F.sha2("record", 256).alias("digest")
     )
-    order = Window.partitionBy("archive").orderBy("page_id", "url", "digest")
+    order = Window.partitionBy("archive").orderBy("page_id", "slot", "url", "digest")
     return records.select(
         "archive",
+        "slot",
         (F.row_number().over(order) - 1).cast("bigint").alias("node"),
         (F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("length")).alias("offset"),
         "length",
         "digest",
         "page_id",
+        "url",
     )
 
 
-def parents(nodes: DataFrame, fanout: int = FANOUT) -> DataFrame:
-    """The level above: each node hashes its children in offset order."""
-    child = F.array_sort(F.collect_list(F.struct("node", "offset", "length", "digest")))
-    grouped = nodes.groupBy("archive", F.expr(f"node div {fanout}").alias("node")).agg(child.alias("c"))
+def parents(nodes: DataFrame, fanout: int, place: str = "node") -> DataFrame:
+    """The level above: each node hashes what lies in its range of ``place``, in order of place and offset."""
+    child = F.array_sort(F.collect_list(F.struct(place, "offset", "length", "digest")))
+    grouped = nodes.groupBy("archive", F.expr(f"{place} div {fanout}").alias("node")).agg(child.alias("c"))
     part = F.transform("c", lambda x: F.concat_ws(":", x["length"].cast("string"), x["digest"]))
     return grouped.select(
         "archive",
@@ -75,53 +84,68 @@ def parents(nodes: DataFrame, fanout: int = FANOUT) -> DataFrame:
 
 
 def tree(pages: DataFrame, span: int = SPAN, fanout: int = FANOUT) -> list[DataFrame]:
-    """Levels from the leaves to one root per archive, each stored once."""
+    """Levels from the records to one root per archive, each stored once."""
     levels = [stored(leaves(pages, span), "leaves")]
-    top = levels[0].agg(F.max("node")).first()[0] or 0
-    while top > 0:
-        levels.append(stored(parents(levels[-1], fanout), "nodes"))
-        top //= fanout
+    slots, place = span, "slot"
+    while slots > 1:
+        levels.append(stored(parents(levels[-1], fanout, place), "nodes"))
+        slots, place = -(-slots // fanout), "node"
     return levels
 
 
 def audit(left: list[DataFrame], right: list[DataFrame], fanout: int = FANOUT) -> DataFrame:
-    """Records that differ between two replicas' trees.
+    """Records that differ between two replicas' trees of equal span and fanout.
 
-    A record that one replica lacks has nulls on that side. Replicas of unequal height
-    are compared from the lower root's level on. Only children of mismatching nodes are
+    A record that one replica lacks has nulls on that side. Only children of mismatching nodes are
     read below each level.
     """
     suspects = None
-    for level in range(min(len(left), len(right)) - 1, -1, -1):
+    for level in range(len(left) - 1, 0, -1):
         sides = []
         for name, levels in (("", left), ("replica_", right)):
-            rows = levels[level].select(
-                "archive", "node", *(F.col(c).alias(name + c) for c in levels[level].columns if c not in ("archive", "node"))
-            )
-            if suspects is not None:
-                rows = rows.withColumn("parent", F.expr(f"node div {fanout}")).join(
-                    suspects, ["archive", "parent"], "left_semi"
-                )
-            sides.append(rows.drop("parent"))
+            rows = below(levels[level], suspects, "node", fanout)
+            sides.append(rows.select("archive", "node", F.col("length").alias(name + "length"), F.col("digest").alias(name + "digest")))
         both = sides[0].join(sides[1], ["archive", "node"], "full_outer")
         found = both.where(
             ~F.col("digest").eqNullSafe(F.col("replica_digest")) | ~F.col("length").eqNullSafe(F.col("replica_length"))
         )
-        if level:
-            suspects = stored(found.select("archive", F.col("node").alias("parent")), "suspects")
-    return found.select(
+        suspects = stored(found.select("archive", F.col("node").alias("parent")), "suspects")
+    records = [below(levels[0], suspects, "slot", fanout) for levels in (left, right)]
+    return aligned(*records)
+
+
+def below(nodes: DataFrame, suspects: DataFrame | None, place: str, fanout: int) -> DataFrame:
+    """The children of mismatching nodes; all of the roots' level."""
+    if suspects is None:
+        return nodes
+    return nodes.withColumn("parent", F.expr(f"{place} div {fanout}")).join(suspects, ["archive", "parent"], "left_semi")
+
+
+def aligned(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Records of one side that the other lacks or holds otherwise, paired by page_id and url."""
+    name = ["archive", "page_id", "url"]
+    both = left.withColumn("side", F.lit(0)).unionByName(right.withColumn("side", F.lit(1)))
+    numbered = both.withColumn("copy", F.row_number().over(Window.partitionBy(*name, "digest", "side").orderBy("node")))
+    held = Window.partitionBy(*name, "digest", "copy")
+    rest = numbered.withColumn("sides", F.count("*").over(held)).where("sides = 1")
+    ranked = rest.withColumn("k", F.row_number().over(Window.partitionBy(*name, "side").orderBy("digest", "copy")))
+    fields = ["node", "offset", "length", "digest"]
+    pairs = ranked.groupBy(*name, "k").agg(
+        *(F.max(F.when(F.col("side") == side, F.struct(*fields))).alias(label) for side, label in ((0, "own"), (1, "other")))
+    )
+    return pairs.select(
         "archive",
-        F.col("node").alias("record_no"),
-        F.coalesce("page_id", "replica_page_id").alias("page_id"),
-        "offset",
-        "length",
-        "digest",
-        "replica_offset",
-        "replica_length",
-        "replica_digest",
-        F.when(F.col("digest").isNull(), "extra")
-        .when(F.col("replica_digest").isNull(), "missing")
-        .when(F.col("length") > F.col("replica_length"), "truncated")
+        F.coalesce("own.node", "other.node").alias("record_no"),
+        "page_id",
+        "own.offset",
+        "own.length",
+        "own.digest",
+        F.col("other.offset").alias("replica_offset"),
+        F.col("other.length").alias("replica_length"),
+        F.col("other.digest").alias("replica_digest"),
+        F.when(F.col("own").isNull(), "extra")
+        .when(F.col("other").isNull(), "missing")
+        .when(F.col("own.length") > F.col("other.length"), "truncated")
         .otherwise("changed")
         .alias("kind"),
     )

@@ -1,6 +1,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 import corpus_pipeline
@@ -74,10 +75,10 @@ def test_signed_changes_and_replays(spark, tmp_path):
     first = batch((1, "insert", "a", "en", "v1", 10), (2, "insert", "a", None, "v1", 5), (None, "insert", "b", "en", "v1", None))
     assert store.commit("1", first) and not store.commit("1", first)
     assert totals(store) == {("a", "en", "v1"): (10, 1), ("a", None, "v1"): (5, 1), ("b", "en", "v1"): (0, 1)}
-    # 1 moves to another source, 2 goes, 9 was never there, 3 comes twice
+    # 1 moves to another source, 2 goes, 9 was never there, two documents have the id 3
     store.commit("2", batch((1, "revise", "c", "en", "v1", 7), (2, "delete", None, None, "v1", 0), (9, "delete", None, None, "v1", 0),
                             (3, "insert", "a", "en", "v2", 4), (3, "insert", "a", "en", "v2", 6)))
-    assert totals(store) == {("c", "en", "v1"): (7, 1), ("b", "en", "v1"): (0, 1), ("a", "en", "v2"): (6, 1)}
+    assert totals(store) == {("c", "en", "v1"): (7, 1), ("b", "en", "v1"): (0, 1), ("a", "en", "v2"): (10, 2)}
     store.commit("3", batch((None, "delete", None, None, "v1", 0), (3, "insert", "a", "en", "v2", 8)))
     assert totals(store) == {("c", "en", "v1"): (7, 1), ("a", "en", "v2"): (8, 1)}
     assert store.commit("4", spark.createDataFrame([], CHANGES))
@@ -86,6 +87,43 @@ def test_signed_changes_and_replays(spark, tmp_path):
         store.commit("a/b", first)
 
 
+def test_rows_without_an_id_or_with_a_repeated_one_all_count(spark, tmp_path):
+    store = rollups.RollupStore(spark, f"file://{tmp_path}/store")
+
+    def batch(*rows):
+        return spark.createDataFrame([(*r, "x") for r in rows], CHANGES)
+
+    store.commit("1", batch(*[(i, "insert", "a", "en", "v", n) for i, n in ((None, 10), (None, 20), (7, 5), (7, 6))]))
+    assert totals(store) == {("a", "en", "v"): (41, 4)}
+    # rows without an id are always new; 7 is revised as a whole, and a revision beats an insert of the same batch
+    store.commit("2", batch((None, "insert", "a", "en", "v", 1), (7, "revise", "a", "en", "v", 2), (7, "insert", "a", "en", "v", 90)))
+    assert totals(store) == {("a", "en", "v"): (33, 4)}
+    # an insert beats a deletion of the same batch
+    store.commit("3", batch((7, "delete", None, None, "v", 0), (7, "insert", "b", "en", "v", 3), (None, "delete", None, None, "v", 0)))
+    assert totals(store) == {("b", "en", "v"): (3, 1)}
+
+
+def test_a_commit_reads_only_the_buckets_it_touches(spark, tmp_path):
+    store = rollups.RollupStore(spark, f"file://{tmp_path}/store")
+    rows = [(i, "insert", "a", "en", "v", 1, "x") for i in range(300)]
+    store.commit("1", spark.createDataFrame(rows, CHANGES))
+    bucket = spark.range(1).select(rollups.bucket_of(F.lit(5).cast("bigint"))).first()[0]
+    read = store.standing([bucket])
+    assert 0 < len(read.inputFiles()) < len(store.standing().inputFiles()) or read.count() < 300
+    assert {r.doc_id for r in read.collect()} == {
+        r.id for r in spark.range(300).where(rollups.bucket_of(F.col("id")) == bucket).collect()
+    }
+    store.commit("2", spark.createDataFrame([(5, "delete", None, None, "v", 0, "x")], CHANGES))
+    assert totals(store) == {("a", "en", "v"): (299, 299)}
+
+
+def test_of_two_commits_of_one_batch_one_wins(spark, tmp_path):
+    first, second = (rollups.RollupStore(spark, f"file://{tmp_path}/store") for _ in range(2))
+    rows = spark.createDataFrame([(1, "insert", "a", "en", "v", 3, "x")], CHANGES)
+    assert first.commit("1", rows) and not second._mark("1", "late") and not second.commit("1", rows)
+    assert totals(second) == {("a", "en", "v"): (3, 1)}
+
+
 def test_a_batch_without_marker_is_written_anew(spark, tmp_path):
     store = rollups.RollupStore(spark, f"file://{tmp_path}/store")
     rows = spark.createDataFrame([(1, "insert", "a", "en", "v", 3, "x")], CHANGES)
@@ -135,6 +173,23 @@ def test_missing_records_and_empty_replicas(spark):
     assert {r.kind for r in warc.audit(empty, warc.tree(fewer)).collect()} == {"extra"}
 
 
+def test_a_lost_record_is_one_finding(spark):
+    pages = spark.createDataFrame(page_rows(100), PAGES)
+    left = warc.tree(pages, span=40, fanout=4)
+    for lost in (0, 41, 57):
+        found = warc.audit(left, warc.tree(pages.where(f"page_id is null or page_id <> {lost}"), span=40, fanout=4), fanout=4).collect()
+        assert [(r.page_id, r.kind, r.replica_digest) for r in found] == [(lost, "missing", None)]
+    # of three records with one id one goes, and another is cut: one finding each
+    rows = page_rows(30) + [(8, "http://h/8", text, "n", "o", "d") for text in ("first", "second")]
+    other = page_rows(30) + [(8, "http://h/8", "secon", "n", "o", "d")]
+    left, right = (warc.tree(spark.createDataFrame(x, PAGES), span=40, fanout=4) for x in (rows, other))
+    kinds = Counter((r.page_id, r.kind) for r in warc.audit(left, right, fanout=4).collect())
+    assert sum(kinds.values()) == 2 and set(kinds) <= {(8, "missing"), (8, "truncated"), (8, "changed")}
+    # rows without an id and url do not meet in one archive
+    orphans = spark.createDataFrame([(None, None, f"<p>{k}", "n", "o", "d") for k in range(200)], PAGES)
+    assert warc.leaves(orphans).select("archive").distinct().count() > 100
+
+
 # --- pipeline -----------------------------------------------------------------------
 
 
