@@ -11,9 +11,24 @@ from millrace.operators.quantiles import column_quantiles
 from millrace.session import require_columns
 
 
-def source_profile(df: DataFrame, required: Sequence[str] = ()) -> DataFrame:
-    """Column names, their number and the row count."""
-    require_columns(df, required)
+def source_profile(
+    df: DataFrame, required: Sequence[str] = (), sample: int = 0, order: Sequence[str] = ()
+) -> DataFrame:
+    """Column names, their number and the row count; with ``sample`` that many first rows by ``order``.
+
+    The rows are one JSON text each, in ``first_rows``.
+    """
+    require_columns(df, [*required, *order])
+    profile = _profile(df)
+    if not sample:
+        return profile
+    first = df.orderBy(*order).limit(sample)
+    keyed = F.array_sort(F.collect_list(F.struct(*order, F.to_json(F.struct(*df.columns)).alias("_row"))))
+    rows = first.agg(F.transform(keyed, lambda x: x["_row"]).alias("r")).scalar()
+    return profile.withColumn("first_rows", F.array_join(rows, "\n"))
+
+
+def _profile(df: DataFrame) -> DataFrame:
     return df.agg(
         F.lit(",".join(df.columns)).alias("columns"),
         F.lit(len(df.columns)).cast("long").alias("n_columns"),

@@ -25,6 +25,8 @@ CHURN_TYPES = {
     "payment_method": "string", "num_services": "int", "churn": "int",
 }
 NUMBERS = ("int", "bigint", "double")
+# text forms of times with all their digits
+TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
@@ -132,7 +134,10 @@ def number_rows(df: DataFrame, name: str = "row_no") -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).csv(path, header=True, quote='"', escape='"')
+    """Blanks at the ends of texts stay; a missing value is an empty field, an empty text a quoted one."""
+    df.write.mode(mode).options(**TIMES).csv(
+        path, header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -140,7 +145,7 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None
 
 
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).json(path)
+    df.write.mode(mode).options(**TIMES).json(path)
 
 
 def write_verified(df: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:

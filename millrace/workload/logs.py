@@ -101,7 +101,12 @@ def result_diff(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def source_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return profiling.source_profile(v.table(spark, sf, "events"), ["event_id", "user_id", "event_type", "ts"])
+    """Shape of the events, and their first five rows."""
+    events = v.table(spark, sf, "events")
+    flat = events.select("event_id", "user_id", "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "props")
+    required = ["event_id", "user_id", "event_type", "ts"]
+    first = profiling.source_profile(flat, required, 5, ["event_id"]).select("first_rows").scalar()
+    return profiling.source_profile(events, required).withColumn("first_rows", first)
 
 
 def parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -176,7 +181,10 @@ COUNTER_ORACLES = {
             WHERE event_type IN ('purchase', 'signup') AND value > 0 GROUP BY 1""",
     ),
     "source_profile": """SELECT 'event_id,ts,user_id,event_type,value,props' AS columns,
-        CAST(6 AS BIGINT) AS n_columns, count(*) AS n_rows FROM events""",
+        CAST(6 AS BIGINT) AS n_columns, count(*) AS n_rows,
+        (SELECT string_agg('{"event_id":' || event_id || ',"user_id":' || user_id || ',"event_type":"' || event_type || '","ts":"'
+            || strftime(ts, '%Y-%m-%d %H:%M:%S') || '","props":' || to_json(props) || '}', chr(10) ORDER BY event_id)
+         FROM (SELECT * FROM events ORDER BY event_id LIMIT 5)) AS first_rows FROM events""",
     "parquet_roundtrip": v.log_sql(
         """SELECT count(*) AS n_rows, CAST(sum(bytes) AS BIGINT) AS bytes, count(DISTINCT path) AS paths
         FROM web_logs"""
