@@ -1,41 +1,14 @@
-"""Fetch products, validate them, store the valid ones, count everything."""
+"""Validate records, store the valid and the invalid ones, count everything."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.contracts import PRODUCT
 from millrace.operators.validation import Contract
-from millrace.session import materialize
-from millrace.sources import fetch
 from millrace.sources.tables import write_csv, write_json, write_parquet
 
 
-def load_products(
-    ids: DataFrame,
-    fetcher: Callable[[int, int], dict],
-    folder: str,
-    options: fetch.FetchOptions = fetch.FetchOptions(),
-) -> DataFrame:
-    """Run the job; returns ``total``, ``valid``, ``invalid``, ``rows_saved``.
-
-    ``total`` counts fetched rows. The outcome of the requests is written first, so
-    no id is requested again for a second output.
-    """
-    log = materialize(fetch.fetch_log(ids, fetcher, options), "fetch")
-    tagged = fetch.products_tagged(log.where("ok").select("position", "payload"))
-    products = PRODUCT.valid(tagged)
-    write_csv(products, f"{folder}/products_csv")
-    write_parquet(products, f"{folder}/products")
-    write_json(PRODUCT.invalid(tagged, "position", F.col("payload")), f"{folder}/invalid")
-    write_json(fetch.dead_letters(log), f"{folder}/dead_letters")
-    saved = ids.sparkSession.read.schema(products.schema).parquet(f"{folder}/products")
-    return etl_summary(tagged, saved)
-
-
 def etl_summary(tagged: DataFrame, saved: DataFrame) -> DataFrame:
     bad = F.size("errors") > 0
     return tagged.agg(

@@ -1,85 +1,12 @@
 import json
 import random
-import time
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.testing import assertDataFrameEqual
 
 from millrace.operators.contracts import WEB_LOG_TEXTS
-from millrace.plans.product_load import load_products
-from millrace.sources import fetch, split_text, tables
-
-QUICK = fetch.FetchOptions(max_concurrent=2, backoff_base=0.0)
-
-
-def ids(spark, *values):
-    return spark.createDataFrame(list(zip(values, range(len(values)))), "id long, position long")
-
-
-def make_service():
-    # a local function is sent to the workers by value
-    def service(item, attempt):
-        if item == 55:
-            raise ConnectionError("gone for good")
-        if item in (7, 13) and attempt == 0:
-            raise ConnectionError("gone once")
-        if item == 42:
-            raise RuntimeError("unexpected")
-        category = (" FOOD ", "TECH", "Home")[item % 3]
-        return {"id": item, "name": f"Product {item}", "category": category, "price": (item + 1) * 10.0}
-
-    return service
-
-
-service = make_service()
-
-
-def test_retries_and_dead_letters(spark):
-    log = fetch.fetch_log(ids(spark, *range(60)).where("id <> 42"), service, QUICK).cache()
-    assert tuple(fetch.fetch_summary(log).first()) == (58, 1, 3)
-    assert [tuple(r) for r in fetch.dead_letters(log).collect()] == [(55, "gone for good", 3)]
-    attempts = {r["id"]: r["attempts"] for r in log.collect()}
-    assert (attempts[7], attempts[13], attempts[0]) == (2, 2, 1)
-
-
-def test_an_unexpected_fault_ends_one_id_only(spark):
-    rows = {r["id"]: r for r in fetch.fetch_log(ids(spark, 41, 42, 43), service, QUICK).collect()}
-    assert (rows[42]["ok"], rows[42]["error_type"], rows[42]["attempts"]) == (False, "RuntimeError", 1)
-    assert rows[41]["ok"] and rows[43]["ok"]
-
-
-def test_order_is_kept_and_failures_are_dropped(spark):
-    got = fetch.fetched(fetch.fetch_log(ids(spark, 4, 2, 55, 3, 1), service, QUICK))
-    assert [r["id"] for r in got.collect()] == [4, 2, 3, 1]
-    assert json.loads(got.first()["payload"])["name"] == "Product 4"
-
-
-def test_a_slow_request_times_out(spark):
-    def slow(item, attempt):
-        if item == 1:
-            time.sleep(0.8)
-        return {"id": item}
-
-    options = fetch.FetchOptions(max_concurrent=1, max_retries=2, backoff_base=0.0, timeout=0.2)
-    rows = {r["id"]: r for r in fetch.fetch_log(ids(spark, 1, 2), slow, options).collect()}
-    assert (rows[1]["ok"], rows[1]["attempts"], rows[1]["error_type"]) == (False, 2, "TimeoutError")
-    assert rows[2]["ok"]
-
-
-@pytest.mark.parametrize("wrong", [{"max_retries": 0}, {"max_concurrent": 0}, {"timeout": 0}, {"backoff_base": -1}])
-def test_fetch_options(wrong):
-    with pytest.raises(ValueError):
-        fetch.FetchOptions(**wrong)
-
-
-def test_load_products(spark, tmp_path):
-    summary = load_products(ids(spark, *range(60)).where("id NOT IN (42, 55)"), service, str(tmp_path / "out"), QUICK)
-    assert tuple(summary.first()) == (58, 58, 0, 58)
-    back = spark.read.csv(str(tmp_path / "out" / "products_csv"), header=True)
-    assert back.count() == 58 and set(back.columns) == {"id", "name", "category", "price"}
-    assert {r[0] for r in back.select("category").distinct().collect()} == {"food", "tech", "home"}
-
+from millrace.sources import split_text, tables
 
 def test_parquet_round_trip(spark, tmp_path):
     rows = spark.createDataFrame([(1, 10.5), (2, 20.0)], "id long, price double")
