@@ -8,7 +8,7 @@ import corpus_pipeline
 from millrace.llm import licenses, rollups, warc
 from millrace.llm.registry import ORACLES, QUERIES
 
-from .conftest import SCHEMA, awkward
+from .conftest import SCHEMA, awkward, prose
 
 
 def test_every_operator_is_registered_once():
@@ -53,7 +53,73 @@ def test_dice_counts_repeated_bigrams(spark):
 
 def test_too_many_template_words_are_refused(spark):
     with pytest.raises(ValueError):
-        licenses.template_table(spark, (("T", "w " * 5000),))
+        licenses.template_table(spark, (("T", "w " * 500_000),))
+
+
+def wrapped(text, width):
+    import textwrap
+
+    return "\n".join(textwrap.wrap(text, width))
+
+
+def test_full_texts_wrapped_inside_longer_documents(spark):
+    texts = dict(licenses.TEMPLATES)  # the last, longest text of each licence
+    rows = []
+    for k, (name, text) in enumerate(sorted(texts.items())):
+        around = prose(k, 150)
+        rows.append((k, f"{around}\n# {wrapped(text, 72)}\n{around}", name))
+        rows.append((100 + k, f"{around} {text} {around}", name))  # prose on the same line
+        words = text.split()
+        changed = [w for i, w in enumerate(words) if i % 23 != 11] if len(words) > 40 else words
+        rows.append((200 + k, f"{around}\n\n{wrapped(' '.join(changed), 70)} {around}", name))
+    rows += [(300, prose(9, 3000), None), (301, "this software is provided to the public by the author " * 5, None)]
+    got = licenses.scan(spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")).collect()
+    found = {}
+    for r in got:
+        found.setdefault(r.doc_id, {})[r.license] = r
+    for doc_id, text, name in rows:
+        assert name is None and doc_id not in found or name in found[doc_id], (doc_id, name, found.get(doc_id))
+    # the notice begins after the prose
+    assert all(r.word_no is None or 149 <= r.word_no <= 151 for r in got if r.doc_id < 200)
+
+
+def passages_by_hand(text, templates, threshold):
+    words = licenses.words_in(text)
+    grams = list(zip(words, words[1:]))
+    best = {}
+    for name, t in templates:
+        own = licenses.words_in(t)
+        bag = Counter(zip(own, own[1:]))
+        m = len(own) - 1
+        for s in range(len(grams)):
+            part = grams[s : s + m]
+            score = 2 * (Counter(part) & bag).total() / (len(part) + m)
+            if score >= threshold:
+                best[name] = max(best.get(name, (0, 0)), (score, -s))
+    return best
+
+
+def test_best_passage_equals_brute_force_over_all_places(spark):
+    templates = (("A", "the quick brown fox jumps over the lazy dog again"), ("B", "x y x y x y z"))
+    draw = __import__("random").Random(3)
+    rows = []
+    for k in range(40):
+        name, text = templates[k % 2]
+        words = text.split()
+        if k % 3 == 0:
+            words[draw.randrange(len(words))] = "other"
+        rows.append((k, f"{prose(k, draw.randint(0, 9))} {' '.join(words)} {prose(k + 50, draw.randint(3, 9))}"))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    listed = licenses.stored(licenses.template_table(spark, templates), "t")
+    rich = licenses.candidates(frame, listed, 0.7)
+    got = {}
+    for r in licenses.passages(frame, rich, listed, 0.7).collect():
+        got.setdefault(r.doc_id, {})
+        got[r.doc_id][r.license] = max(got[r.doc_id].get(r.license, (0, 0)), (r.dice, -r.word_no))
+    want = {k: passages_by_hand(t, templates, 0.7) for k, t in rows}
+    assert {k: {n: round(v[0], 9) for n, v in x.items()} for k, x in got.items()} == {
+        k: {n: round(v[0], 9) for n, v in x.items()} for k, x in want.items() if x
+    }
 
 
 # --- rollups ---------------------------------------------------------------------
