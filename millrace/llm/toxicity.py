@@ -6,8 +6,11 @@ beside the mean of hashed character n-gram vectors. Two gated recurrent layers r
 document's logit is the largest of all its windows, ``STRIDE`` words apart, to the end of
 the text; a fitted slope and offset turn it into a score.
 
-Trained in numpy on at most ``TRAIN_DOCUMENTS`` labelled rows of each class with texts of up to
-``TRAIN_LONGEST`` bytes, together ``TRAIN_CHARS`` bytes a class (a bound on the driver's memory; scoring has none), in order of a hash of doc_id, from rows outside the held-out fifth. As labels hold for
+Trained in numpy on at most ``TRAIN_DOCUMENTS`` labelled rows of each class, together ``TRAIN_CHARS`` bytes a class (a
+bound on the driver's memory; scoring has none), from rows outside the held-out fifth: texts of up to ``TRAIN_LONGEST``
+bytes in order of a hash of doc_id, and where these are fewer than ``TRAIN_LEAST`` also longer ones, the
+shorter first. A text that alone is longer than the bound gives ``TRAIN_CHARS`` / 8 characters from a place
+drawn by a hash of its id. As labels hold for
 documents and not for windows, training goes on with the window that scores highest in
 its document, looked up anew every other pass. Every fifth of these rows is kept from the training and fits the slope and offset.
 Labels, lang, source and doc_id are no inputs of a score.
@@ -31,7 +34,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import WordIds, free_name, mix, slices, table, utf8
 
 WINDOW, STRIDE = 24, 12
-TRAIN_DOCUMENTS, TRAIN_CHARS, TRAIN_LONGEST = {0: 3000, 1: 2000}, 5_000_000, 6_000
+TRAIN_DOCUMENTS, TRAIN_CHARS, TRAIN_LONGEST, TRAIN_LEAST = {0: 3000, 1: 2000}, 5_000_000, 6_000, 200
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 6, 6
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 14, 1 << 16
 NGRAMS = (3, 4, 5, 6)
@@ -362,21 +365,34 @@ def training_rows(documents: DataFrame, labels: DataFrame) -> tuple[list[bytes],
     per_doc = sized.groupBy("doc_id", "toxic").agg(F.max("size").alias("size"))
     chosen: list[tuple[int, int]] = []
     for label in (0, 1):
-        fitting = per_doc.where((F.col("toxic") == label) & (F.col("size") <= TRAIN_LONGEST))
-        order = fitting.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCUMENTS[label])
+        own = per_doc.where(F.col("toxic") == label)
+        short = own.where(F.col("size") <= TRAIN_LONGEST).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCUMENTS[label])
+        candidates = short.collect()
+        if len(candidates) < TRAIN_LEAST:
+            longer = own.where(F.col("size") > TRAIN_LONGEST).orderBy("size", F.xxhash64("doc_id"), "doc_id")
+            candidates += longer.limit(TRAIN_LEAST - len(candidates)).collect()
         held = 0
-        for row in order.collect():
-            if held + row["size"] <= TRAIN_CHARS:
-                held += row["size"]
+        for row in candidates:
+            size = min(row["size"], TRAIN_CHARS // 2)
+            if held + size <= TRAIN_CHARS:
+                held += size
                 chosen.append((row["doc_id"], label))
     if not chosen:
         return [], []
     keys = documents.sparkSession.createDataFrame(chosen, "doc_id bigint, toxic int")
-    rows = documents.select("doc_id", utf8().alias("body")).join(F.broadcast(keys), "doc_id")
+    rows = documents.select("doc_id", excerpt().alias("body")).join(F.broadcast(keys), "doc_id")
     rows = rows.groupBy("doc_id", "toxic").agg(F.max("body").alias("body")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
     return [bytes(r["body"]) for r in rows], [r["toxic"] for r in rows]
 
 
+def excerpt() -> Column:
+    """The whole text as bytes; of one beyond the bound a piece from a drawn place."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    length = TRAIN_CHARS // 8
+    start = F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(1), F.char_length(text) - length)).cast("int") + 1
+    return F.when(F.octet_length(text) <= TRAIN_CHARS // 2, text).otherwise(F.substring(text, start, F.lit(length))).cast("binary")
+
+
 def fitted(documents: DataFrame, labels: DataFrame) -> dict[str, np.ndarray]:
     return train(*training_rows(documents, labels))
 
