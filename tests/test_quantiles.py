@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators.quantiles import column_quantiles, quantile_columns, quantiles
+from millrace.operators.quantiles import Request, column_quantiles, nearest_rank, quantile_columns, quantile_requests, quantiles
 
 PROBS = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 0.999, 1.0]
 
@@ -96,3 +96,31 @@ def test_arguments(spark):
         quantiles(spark.range(3), "id", [1.5])
     with pytest.raises(ValueError):
         quantiles(spark.range(3), "id", [0.5], how="lower")
+
+
+def test_several_requests_share_one_search(spark):
+    data = skewed().assign(w=lambda d: np.arange(len(d)) % 97, h=lambda d: np.where(np.arange(len(d)) % 5 == 0, None, "x"))
+    rows = spark.createDataFrame(data, "g string, v double, w bigint, h string").repartition(4)
+    requests = [Request("a", "v", (0.5, 0.95), ("g",)), Request("b", "w", (0.25, 0.75)), Request("c", "v", (0.5,), ("h", "g")), Request("none", "v", (0.1,), ("h",))]
+    found = quantile_requests(rows, requests, accuracy=200)
+    for r in found["a"].collect():
+        part = data[data.g == r["g"]].v
+        assert (r["n"], r["q0"], r["q1"]) == (len(part), pytest.approx(np.quantile(part, 0.5)), pytest.approx(np.quantile(part, 0.95)))
+    whole = found["b"].first()
+    assert found["b"].columns == ["n", "q0", "q1"] and (whole["q0"], whole["q1"]) == (np.quantile(data.w, 0.25), np.quantile(data.w, 0.75))
+    keyed = data[data.h == "x"]
+    assert {(r["h"], r["g"]): r["q0"] for r in found["c"].collect()} == {
+        ("x", g): pytest.approx(np.quantile(part.v, 0.5)) for g, part in keyed.groupby("g")
+    }
+    assert found["none"].first()["q0"] == pytest.approx(np.quantile(keyed.v, 0.1)) and found["none"].count() == 1
+
+
+def test_nearest_rank_of_counted_values(spark):
+    rng = np.random.default_rng(2)
+    rows = [(g, int(x)) for g, top, n in (("a", 10**6, 500), ("b", 5, 300), ("c", 10**12, 1)) for x in rng.integers(0, top, n)]
+    counted = spark.createDataFrame(rows, "g string, x bigint").groupBy("g", "x").agg(F.count("*").alias("n"))
+    for p in (0.0, 0.5, 0.95, 1.0):
+        got = {r["g"]: r["value"] for r in nearest_rank(counted, "x", "n", p, ["g"]).collect()}
+        for g in "abc":
+            values = sorted(x for k, x in rows if k == g)
+            assert got[g] == values[int(np.floor((len(values) - 1) * p + 0.5))]

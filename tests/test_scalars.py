@@ -80,3 +80,29 @@ def test_flag_and_labels(spark):
 def test_significance_is_strict(spark):
     assert one(spark, scalars.significance(F.col("x")), "double", 0.05) == "not significant"
     assert one(spark, scalars.significance(F.col("x")), "double", 0.0499) == "significant"
+
+
+@pytest.mark.parametrize(
+    "inputs, expected",
+    [((100_000, 0.00004, 0.0), 4.0), ((10, 2.005, 0.12345), 17.57), ((3, 1e-12, 0.0), 0.0), ((10**15, 1e-12, 0.5), 500.0),
+     ((1, 1e17, 0.0), 1e17), ((None, 1.0, 0.0), None), ((2, 0.105, 0.0), 0.21), ((1, 0.125, 0.0), 0.13)],
+)
+def test_amounts_keep_every_digit_until_the_end(spark, inputs, expected):
+    row = spark.createDataFrame([inputs], "q bigint, p double, d double")
+    assert row.select(scalars.discounted_amount(F.col("q"), F.col("p"), F.col("d"))).first()[0] == expected
+
+
+@pytest.mark.parametrize(
+    "values, expected",
+    [([1e-15, 3e-15], 2e-15), ([1e17, 3e17], 2e17), ([0.1, 0.2, None], 0.15), ([None], None), ([1.5, 1e17, 1e-13], (1.5 + 1e17) / 3)],
+)
+def test_means_of_very_small_and_very_large_values(spark, values, expected):
+    rows = spark.createDataFrame([(x,) for x in values], "x double")
+    found = rows.agg(scalars.steady_mean(F.col("x"))).first()[0]
+    assert found == (None if expected is None else pytest.approx(expected, rel=1e-12))
+    assert rows.limit(0).agg(scalars.steady_mean(F.col("x"))).first()[0] is None
+
+
+def test_sums_of_money_with_more_than_two_decimals(spark):
+    rows = spark.createDataFrame([(0.00123,)] * 1000, "x double")
+    assert float(rows.agg(scalars.exact_sum(F.col("x"))).first()[0]) == 1.23

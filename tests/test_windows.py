@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.models.forest import IsolationForest, fit_forest
+from millrace.models.forest import IsolationForest, fit_forest, forest_sql
 from millrace.operators import incidents as inc
 from millrace.operators import windows as win
 from millrace.plans import detection
@@ -215,3 +215,62 @@ def test_whole_job_finds_the_injected_incident(spark):
     assert spark.read.json(f"{folder}/incidents").count() == result.incidents.count()
     head = detection.report_head(result).first()
     assert head["invalid_logs"] == 3 and head["incident_count"] == result.incidents.count()
+
+
+@pytest.mark.parametrize("span", [1, 2, 3, 50])
+def test_incidents_stitched_over_ranges_equal_one_scan(spark, monkeypatch, span):
+    monkeypatch.setattr(inc, "RANGE", span)
+    rng = np.random.default_rng(span)
+    flags = rng.random(120) < 0.7
+    flags[20:60] = True  # an incident over many ranges
+    rows = [(minute(5 * i), bool(f)) for i, f in enumerate(flags) if f or rng.random() < 0.5]
+    detected = spark.createDataFrame(rows, "timestamp timestamp_ntz, is_anomaly boolean").repartition(4)
+    start, want, last = None, {}, None
+    for t, flag in rows:
+        if flag:
+            start = t if last is None or t - last > timedelta(minutes=5) else start
+            want[t] = start
+            last = t
+    windows = inc.incident_windows(detected)
+    assert {r["timestamp"]: r["incident_start"] for r in windows.collect()} == want
+    plan = windows._jdf.queryExecution().toString()
+    assert "SinglePartition" not in plan
+
+
+def test_covering_intervals_equal_brute_force(spark):
+    rng = np.random.default_rng(8)
+    spans = []
+    for i in range(60):
+        low = START + timedelta(microseconds=int(rng.integers(0, 4 * 10**9)))
+        spans.append((low, low + timedelta(microseconds=int(10 ** rng.uniform(0, 9.5))), i))
+    spans += [(START, START, 100), (minute(9), minute(1), 101), (None, minute(3), 102), (START, None, 103)]
+    points = [(k, START + timedelta(microseconds=int(rng.integers(0, 5 * 10**9)))) for k in range(400)]
+    points += [(1000 + i, low) for low, _, i in spans[:60]] + [(2000 + i, high) for _, high, i in spans[:60]] + [(5000, None), (5000, START)]
+    got = inc.covering(
+        spark.createDataFrame(points, "k long, timestamp timestamp_ntz"), spark.createDataFrame(spans, "start timestamp_ntz, end timestamp_ntz, i long")
+    )
+    want = []
+    for k, t in points:
+        hits = [i for low, high, i in spans if t is not None and low is not None and high is not None and low <= t < high]
+        want += [(k, i) for i in hits] or [(k, None)]
+    key = lambda x: (x[0], -1 if x[1] is None else x[1])
+    assert sorted(((r["k"], r["i"]) for r in got.collect()), key=key) == sorted(want, key=key)
+    none = inc.covering(spark.createDataFrame(points, "k long, timestamp timestamp_ntz"), spark.createDataFrame([], "start timestamp_ntz, end timestamp_ntz, i long"))
+    assert none.count() == len(points) and none.where("i is not null").count() == 0
+
+
+def test_forest_equals_its_sql_statement(spark):
+    import duckdb
+
+    features = feature_rows(spark, 400)
+    names = list(win.FEATURES)
+    baseline = features.where(F.col("timestamp") < F.lit(START))
+    for size, trees in ((64, 7), (256, 3)):  # 400 rows: every tree draws its sample
+        forest = fit_forest(baseline, names, "timestamp", trees=trees, sample_size=size, seed=5)
+        got = {r["timestamp"]: r["anomaly_score"] for r in forest.score(features).collect()}
+        con = duckdb.connect()
+        con.register("rows", features.toPandas())
+        sql = forest_sql("features", f"timestamp < TIMESTAMP '{START}'", names, "timestamp", trees, size, 5)
+        found = con.execute(f"WITH features AS (SELECT * FROM rows), {sql} SELECT timestamp, anomaly_score FROM scored").fetchall()
+        assert len(found) == len(got) == 403
+        assert all(score == pytest.approx(got[t], abs=1e-12) for t, score in found)
