@@ -51,6 +51,11 @@ def quantiles(
         return kept.groupBy(*keys).agg(F.count("*").alias("n"), sketch.alias("quantiles"))
 
     counted = _count_in_brackets(_with_brackets(kept, keys, probs, accuracy), keys, len(probs))
+    return _picked(counted, keys, probs, how)
+
+
+def _picked(counted: DataFrame, keys: list[str], probs: Sequence[float], how: str) -> DataFrame:
+    """Quantiles from rows per (gap, chunk, value)."""
     ranks = [rank for i, p in enumerate(probs) for rank in _ranks(i, p, how)]
     wanted = _locate(counted, keys, ranks)
     place = [*keys, "_gap", "_chunk"]
@@ -206,26 +211,25 @@ def quantile_requests(rows: DataFrame, requests: Sequence[Request], approx: bool
     return {r.name: answer(r) for r in requests}
 
 
-def nearest_rank(counted: DataFrame, value: str, n: str, prob: float, by: Sequence[str]) -> DataFrame:
-    """Value at rank ``round((total - 1) * prob)`` per group, from counted distinct values: ``by``, ``value``.
+def counted_quantiles(
+    counted: DataFrame, value: str, n: str, probs: Sequence[float], by: Sequence[str] = (), how: str = "linear"
+) -> DataFrame:
+    """Quantiles from counted distinct values: columns ``by``, ``n`` and ``quantiles``. Store the counts first.
 
-    Two levels: counts per chunk of ``CHUNK_WIDTH`` whole values place the rank in a chunk, and only that chunk's
+    Two levels: counts per chunk of ``CHUNK_WIDTH`` place a rank in a chunk, and only that chunk's
     values are put in order. A task holds a group's chunks or one chunk's values, however many rows they count.
     """
     keys = list(by)
-    rows = counted.select(*keys, F.col(value).alias("value"), F.col(n).alias("_c")).withColumn(
-        "_chunk", F.floor(F.col("value") / CHUNK_WIDTH)
-    )
-    group = Window.partitionBy(*keys)
-    running = group.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    chunks = rows.groupBy(*keys, "_chunk").agg(F.sum("_c").alias("_t"))
-    rank = F.floor((F.sum("_t").over(group) - 1) * F.lit(float(prob)) + 0.5)
-    placed = chunks.withColumn("_local", rank - (F.sum("_t").over(running) - F.col("_t")))
-    wanted = placed.where((F.col("_local") >= 0) & (F.col("_local") < F.col("_t"))).select(*keys, "_chunk", "_local")
-    inside = Window.partitionBy(*keys, "_chunk").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ended = rows.join(wanted, [*keys, "_chunk"]).withColumn("_end", F.sum("_c").over(inside))
-    hit = (F.col("_local") >= F.col("_end") - F.col("_c")) & (F.col("_local") < F.col("_end"))
-    return ended.where(hit).select(*keys, "value")
+    known = counted.select(*keys, F.col(value).cast("double").alias("_mid"), F.col(n).alias("_c")).dropna(subset=["_mid", *keys])
+    chunk = F.floor(F.col("_mid") / CHUNK_WIDTH) + (1 << 40)  # never negative
+    placed = known.groupBy(*keys, F.lit(0).alias("_gap"), chunk.alias("_chunk"), "_mid").agg(F.sum("_c").alias("_c"))
+    return _picked(placed, keys, probs, how)
+
+
+def nearest_rank(counted: DataFrame, value: str, n: str, prob: float, by: Sequence[str]) -> DataFrame:
+    """Value at rank ``round((total - 1) * prob)`` per group, from counted distinct values: ``by``, ``value``."""
+    found = counted_quantiles(counted, value, n, [prob], by, "nearest")
+    return found.select(*by, F.get("quantiles", F.lit(0)).alias("value"))
 
 
 def quantile_columns(

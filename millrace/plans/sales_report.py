@@ -34,6 +34,12 @@ def clean_sales(sales: DataFrame, approx: bool = False) -> DataFrame:
     return cleaned_with_medians(sales, approx)[0]
 
 
+def priced_sales(sales: DataFrame) -> DataFrame:
+    """Typed sales whose prices are above 0 or missing."""
+    typed = cleaning.coerce(sales, {"unit_price": "double", "quantity": "double", "discount": "double"})
+    return cleaning.null_where(typed, "unit_price", F.col("unit_price") <= 0)
+
+
 def cleaned_with_medians(sales: DataFrame, approx: bool = False) -> tuple[DataFrame, DataFrame]:
     """The cleaned sales, and the median price of each category (``_median``), stored.
 
@@ -42,8 +48,7 @@ def cleaned_with_medians(sales: DataFrame, approx: bool = False) -> tuple[DataFr
     """
     require_columns(sales, REQUIRED)
     require_rows(sales, "the sales table")
-    typed = cleaning.coerce(sales, {"unit_price": "double", "quantity": "double", "discount": "double"})
-    priced = cleaning.null_where(typed, "unit_price", F.col("unit_price") <= 0)
+    priced = priced_sales(sales)
     answers = quantile_requests(
         priced, [Request("price", "unit_price", (0.5,), ("category",)), Request("quantity", "quantity", (0.25, 0.75))], approx
     )
@@ -69,11 +74,16 @@ def report_rows(cleaned: DataFrame, top_n: int = 10) -> DataFrame:
     of the report both follow from them.
     """
     require_columns(cleaned, ["category", "amount"])
-    if top_n < 1:
-        raise ValueError("top_n must be at least 1")
     totals = cleaned.groupBy("category").agg(
         exact_sum(F.col("amount")).alias("amount"), F.count("amount").alias("n"), F.count("*").alias("rows")
     )
+    return report_of_totals(totals, top_n)
+
+
+def report_of_totals(totals: DataFrame, top_n: int = 10) -> DataFrame:
+    """The report from ``category``, ``amount``, ``n`` (sales with an amount) and ``rows``."""
+    if top_n < 1:
+        raise ValueError("top_n must be at least 1")
     totals = materialize(totals, "category-totals")
     sums = totals.agg(
         F.sum("amount").cast("double").alias("amount"), F.sum("n").alias("n"), F.sum("rows").alias("rows")

@@ -156,12 +156,3 @@ def run_to_table(stream: DataFrame, label: str, mode: str = "append") -> DataFra
 
     each_batch(stream, store, f"{folder}/checkpoint", mode).awaitTermination()
     return spark.read.schema(schema).parquet(f"{folder}/rows").select(*schema.names)
-
-
-def append_to_table(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Add all available rows to a stored table; each batch has a partition, so a replayed one replaces itself."""
-
-    def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    each_batch(stream, store, checkpoint).awaitTermination()

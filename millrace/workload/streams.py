@@ -9,7 +9,7 @@ from millrace.models.forest import forest_sql
 from millrace.operators.contracts import WEB_LOG
 from millrace.operators.windows import FEATURES
 from millrace.plans import detection
-from millrace.plans.sales_report import clean_sales, report_rows
+from millrace.plans.sales_state import SalesState
 from millrace.session import materialize, scratch_path
 from millrace.streaming import logs as stream
 from millrace.workload import views as v
@@ -61,12 +61,13 @@ def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_report(spark: SparkSession, sf: str, per_trigger: int = 100) -> DataFrame:
-    """A recurring sales report: a run adds what has arrived to the stored sales and reports on all of them."""
+    """A recurring sales report: a run adds what has arrived to the state of the report and reports on all sales."""
     folder = scratch_path(spark, "report")
     sales = v.sales_table(spark, sf)
     arriving = stream.read_stream(spark, sales.inputFiles()[0].rsplit("/", 1)[0], sales.schema, "*.parquet", per_trigger)
-    stream.append_to_table(arriving, f"{folder}/sales", f"{folder}/checkpoint")
-    return report_rows(clean_sales(spark.read.schema(sales.schema).parquet(f"{folder}/sales").select(*sales.columns)))
+    state = SalesState(spark, f"{folder}/state")
+    stream.each_batch(arriving, state.add, f"{folder}/checkpoint").awaitTermination()
+    return state.report()
 
 
 # --- the detection job -----------------------------------------------------

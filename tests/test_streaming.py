@@ -3,6 +3,8 @@ from pyspark.sql import functions as F
 
 from millrace.operators import counting, windows
 from millrace.operators.contracts import WEB_LOG
+from millrace.plans.sales_report import sales_report
+from millrace.plans.sales_state import SalesState
 from millrace.session import scratch_path
 from millrace.streaming import logs as stream
 from millrace.workload import views as v
@@ -116,3 +118,41 @@ def test_a_stream_without_input_gives_an_empty_table(spark, tmp_path):
     (tmp_path / "none").mkdir()
     arriving = stream.read_stream(spark, str(tmp_path / "none"), spark.range(0).schema)
     assert stream.run_to_table(arriving, "none").count() == 0
+
+
+def test_incremental_report_equals_the_report_over_all_sales(spark, sf, tmp_path):
+    sales = v.sales_table(spark, sf).select("category", "quantity", "unit_price", "discount")
+    parts = [sales.where(F.abs(F.xxhash64("unit_price", "quantity", F.col("discount"))) % 3 == k) for k in range(3)]
+    folder = scratch_path(spark, "report-test")
+    state = SalesState(spark, f"{folder}/state")
+    with pytest.raises(Exception):
+        state.report()
+    seen = parts[0].limit(0)
+    for k, part in enumerate(parts):
+        part.coalesce(1).write.parquet(f"{folder}/in/{k}")
+        arriving = stream.read_stream(spark, f"{folder}/in/*", sales.schema, "*.parquet", per_trigger=1)
+        query = stream.each_batch(arriving, state.add, f"{folder}/checkpoint")
+        query.awaitTermination()
+        # a run reads what has arrived since the last one, and nothing before it
+        assert sum(p["numInputRows"] for p in query.recentProgress) == part.count()
+        seen = seen.union(part)
+        want = [tuple(r) for r in sales_report(seen).orderBy("rank").collect()]
+        assert [tuple(r) for r in state.report().orderBy("rank").collect()] == want
+    # a batch that comes again counts once; one without its line in the manifest is not seen
+    state.add(parts[2], 2)
+    assert [tuple(r) for r in state.report().orderBy("rank").collect()] == want
+    parts[0].groupBy("quantity").agg(F.count("*").alias("n")).write.parquet(f"{folder}/state/quantities/batch=9")
+    assert [tuple(r) for r in state.report().orderBy("rank").collect()] == want
+
+
+def test_sales_without_what_the_report_needs_end_their_batch(spark):
+    state = SalesState(spark, scratch_path(spark, "report-bad"))
+    schema = "category string, quantity bigint, unit_price double, discount double"
+    with pytest.raises(Exception, match="missing after cleaning"):
+        state.add(spark.createDataFrame([("a", None, 1.0, 0.0)], schema), 0)
+    state.add(spark.createDataFrame([("a", 1, None, 0.0), ("b", 2, 5.0, 0.0), ("b", 2, 5.0, 0.0)], schema), 0)
+    with pytest.raises(Exception, match="group median"):
+        state.report().collect()
+    state.add(spark.createDataFrame([("a", 3, 7.0, 0.5), ("a", 1, -4.0, 0.0)], schema), 1)
+    rows = {r["category"]: r["amount"] for r in state.report().collect()}
+    assert rows == {"total": 44.5, "a": 24.5, "b": 20.0}

@@ -21,13 +21,13 @@ def changed(**fields):
 
 
 def test_demo_rows_are_quarantined_with_their_first_field(spark):
-    rows = logs(spark, GOOD, changed(ip="999.1.1.1"), changed(status="999"), changed(bytes="-1"))
+    rows = logs(spark, GOOD, changed(ip="10.20.300.41"), changed(status="612"), changed(bytes="-20"))
     tagged = WEB_LOG.tag(rows, "n")
     assert tuple(v.split_counts(tagged).first()) == (4, 1, 3)
     invalid = WEB_LOG.invalid(tagged, "n").orderBy("row_no").collect()
     assert [r["errors"][0]["loc"] for r in invalid] == ["ip", "status", "bytes"]
     assert [r["errors"][0]["type"] for r in invalid] == ["ip_any_address", "less_than_equal", "greater_than_equal"]
-    assert json.loads(invalid[0]["data"])["ip"] == "999.1.1.1"
+    assert json.loads(invalid[0]["data"])["ip"] == "10.20.300.41"
     assert set(json.loads(invalid[0]["data"])) == set(WEB_LOG_TEXTS.names)
 
 
@@ -85,20 +85,21 @@ def user(i, **fields):
     return {k: x for k, x in (base | fields).items() if x is not ...}
 
 
-def test_nested_users_split_36_to_4(spark):
-    users = [user(i) for i in range(1, 41)]
-    users[6], users[12] = user(7, age=-5), user(13, email="not-an-email")
-    users[20], users[28] = user(21, email=...), user(29, profile={"country": "KR", "tier": "gold", "score": 150.0})
-    document = json.dumps({"status": "success", "count": 40, "results": users})
+def test_nested_users_with_planted_faults(spark):
+    users = [user(i) for i in range(1, 26)]
+    users[2], users[9], users[16] = user(3, age=131), user(10, email="nobody.example"), user(17, signup_date="01/02/2024")
+    users[11], users[24] = user(12, username=...), user(25, profile={"country": "PT", "tier": "basic", "score": 100.5})
+    document = json.dumps({"status": "done", "count": 25, "results": users})
     parsed = spark.createDataFrame([(document,)], "d string").select(F.from_json("d", API_RESPONSE_TEXTS).alias("d"))
     tagged = API_USER.tag(explode_results(parsed.select("d.results")), "position")
-    assert tuple(v.split_counts(tagged).first()) == (40, 36, 4)
+    assert tuple(v.split_counts(tagged).first()) == (25, 20, 5)
     listing = v.error_listing(API_USER.invalid(tagged, "position")).orderBy("row_number").collect()
     assert [(r["row_number"], r["id"], r["field"], r["type"]) for r in listing] == [
-        (7, "7", "age", "greater_than_equal"),
-        (13, "13", "email", "value_error"),
-        (21, "21", "email", "missing"),
-        (29, "29", "profile.score", "less_than_equal"),
+        (3, "3", "age", "less_than_equal"),
+        (10, "10", "email", "value_error"),
+        (12, "12", "username", "missing"),
+        (17, "17", "signup_date", "date_parsing"),
+        (25, "25", "profile.score", "less_than_equal"),
     ]
 
 
