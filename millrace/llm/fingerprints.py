@@ -12,8 +12,11 @@ what bands still hold of different components. The chance that a pair at the
 threshold shares no band is ``(1 - t^BAND_ROWS)^(PERMUTATIONS // BAND_ROWS)``, 5e-5. A
 component is named by its smallest doc_id (a null one only without others); ``n_links`` counts a row's verified links.
 
+Texts are shuffled compressed, once, to find the next document; only fingerprints are stored. The texts of rows
+that share a band are read again from the documents, past a Bloom filter of these rows.
+
 A null text is empty; texts without words have one fingerprint of their own. Documents
-are ordered by (doc_id, text), null ids first, so ties and repeated rows have a defined
+are ordered by (doc_id, hash of the text), null ids first, so ties and repeated rows have a defined
 next document. A single document is its own next. An empty table gives an empty result.
 Extra columns are ignored. No text is cut.
 """
@@ -29,10 +32,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from millrace.llm.common import (
     WordHashes,
+    binaries,
     hashed_words,
+    mark,
     minhash,
     parallelism,
     permutations,
@@ -44,12 +50,14 @@ from millrace.llm.common import (
     utf8,
 )
 from millrace.llm.near_dedup import beside, firsts, membership, search
+from millrace.llm.url_filter import bits_of, block_of, bloom
 
 PERMUTATIONS = 128
 SHINGLE = 5
 SEED = 20240501
 SIMILARITY = 0.8
 BAND_ROWS = 5
+MOST_FILTERED = 8_000_000  # rows the filter is sized for: 18 MB at most; with more of them it lets more texts pass
 
 
 class Fingerprinter:
@@ -79,8 +87,11 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
+_PACKED = "block int, place int, doc_id bigint, mark bigint, body binary"
+
+
 def with_blocks(documents: DataFrame) -> tuple[DataFrame, int]:
-    """Documents dealt to ranges of doc_id, each followed by a copy of the next range's first row.
+    """Documents dealt to ranges of doc_id, each followed by a copy of the next range's first row; texts compressed.
 
     The range bounds come from one pass over the ids and number at most eight per task
     slot; nothing else reaches the driver. ``place`` orders a block: own rows, then the
@@ -91,56 +102,86 @@ def with_blocks(documents: DataFrame) -> tuple[DataFrame, int]:
     cuts = documents.agg(F.percentile_approx("doc_id", [i / wanted for i in range(1, wanted)], 20_000)).first()[0] or []
     bounds = np.unique(np.array(cuts, dtype=np.int64))
 
-    @F.pandas_udf("int")
-    def block_of(ids: pd.Series) -> pd.Series:
+    def blocks(ids: pd.Series) -> np.ndarray:
         known = ids.notna().to_numpy()
         out = np.zeros(len(ids), dtype=np.int32)
         out[known] = np.searchsorted(bounds, ids[known].astype("int64").to_numpy(), side="right") + 1
-        return pd.Series(out)
+        return out
+
+    @F.pandas_udf("int")
+    def block_of(ids: pd.Series) -> pd.Series:
+        return pd.Series(blocks(ids))
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
 
-    rows = documents.select("doc_id", "text")
+        pack = zstandard.ZstdCompressor(level=3)
+        for batch in slices(batches, "body"):
+            ids = batch.column("doc_id")
+            bodies = binaries([pack.compress(x) for x in batch.column("body").to_pylist()])
+            block = pa.array(blocks(ids.to_pandas(integer_object_nulls=True)))
+            yield pa.RecordBatch.from_arrays(
+                [block, pa.array(np.zeros(len(ids), np.int32)), ids, batch.column("mark"), bodies],
+                names=["block", "place", "doc_id", "mark", "body"],
+            )
+
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), mark().alias("mark"), utf8().alias("body"))
     heads = rows.select("doc_id", block_of("doc_id").alias("block")).groupBy("block").agg(F.min("doc_id").alias("doc_id")).collect()
     heads = sorted((h["block"], h["doc_id"]) for h in heads)  # at most one row per range
-    own = rows.select(block_of("doc_id").alias("block"), F.lit(0).alias("place"), "doc_id", "text")
+    own = rows.mapInArrow(packed, _PACKED)
     copies = []
     for (block, _), (_, first) in zip(heads, heads[1:] + heads[:1]):
         copies.append((block, first))
     if not copies:
         return own, wanted
-    lookup = spark.createDataFrame(copies, "block int, first bigint")
-    moved = rows.join(F.broadcast(lookup), F.col("doc_id").eqNullSafe(F.col("first"))).groupBy("block").agg(
-        F.first("doc_id").alias("doc_id"), F.min("text").alias("text")
-    )
-    return own.unionByName(moved.select("block", F.lit(1).alias("place"), "doc_id", "text")), wanted
+    lookup = spark.createDataFrame(copies, "owner int, first bigint")
+    first = F.struct("mark", "place", "doc_id", "body")
+    found = rows.join(F.broadcast(lookup), F.col("doc_id").eqNullSafe(F.col("first")))
+    moved = found.select("owner", F.lit(1).alias("place"), "doc_id", "mark", "body").groupBy("owner").agg(F.min(first).alias("f"))
+    zipped = moved.select("f.doc_id", "f.mark", "f.body", "owner")
+    return own.unionByName(zipped.mapInArrow(_repacked, _PACKED)), wanted
+
+
+def _repacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The copied rows of the ranges, compressed."""
+    import zstandard
+
+    pack = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        bodies = binaries([pack.compress(x) for x in batch.column("body").to_pylist()])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("owner"), pa.array(np.ones(batch.num_rows, np.int32)), batch.column("doc_id"), batch.column("mark"), bodies],
+            names=["block", "place", "doc_id", "mark", "body"],
+        )
 
 
 _PRINTS = (
-    "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string,"
-    " near_edited double, near_next double"
+    "doc_id bigint, n_chars bigint, edited binary, signature binary, edited_signature binary, near_edited double, near_next double"
 )
-_SEARCHED = ", row bigint, n_shingles bigint, digest binary, signature binary, body binary"
-_KINDS = {"bigint": pa.int64(), "string": pa.string(), "double": pa.float64(), "binary": pa.binary()}
+_SEARCHED = ", mark bigint, row bigint, n_shingles bigint, digest binary"
+_KINDS = {"bigint": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
 
 
-def fingerprints(documents: DataFrame, searched: bool = False) -> DataFrame:
-    """Fingerprint of every document, of its edited text, and both likenesses. One shuffle of the texts.
+def signatures(documents: DataFrame, searched: bool = False) -> DataFrame:
+    """Signature of every document, of its edited text, and both likenesses. One shuffle of the compressed texts.
 
     With ``searched`` also what ``near_dedup.search`` reads; store it, as row numbers belong to one evaluation.
     """
     rows, wanted = with_blocks(documents)
-    dealt = rows.repartition(wanted, "block").sortWithinPartitions("block", "place", "doc_id", "text")
+    dealt = rows.repartition(wanted, "block").sortWithinPartitions("block", "place", "doc_id", "mark")
     schema = _PRINTS + (_SEARCHED if searched else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        sign, pack = Fingerprinter(), zstandard.ZstdCompressor(level=3)
+        sign, unpack = Fingerprinter(), zstandard.ZstdDecompressor()
         names, kinds = zip(*(x.split() for x in schema.split(", ")))
         row = TaskContext.get().partitionId() << 40
         waiting = None  # (block, doc_id, text, signature, what the search reads) of the row whose successor comes next
-        for batch in slices(batches, "body"):
+        for batch in slices(batches, "body", 2 << 20):
             out = []
-            for block, place, doc_id, body in zip(*(batch.column(c).to_pylist() for c in ("block", "place", "doc_id", "body"))):
+            for block, place, doc_id, mark_, packed in zip(*(batch.column(c).to_pylist() for c in ("block", "place", "doc_id", "mark", "body"))):
+                body = unpack.decompress(packed)
                 items = sign.items(body)
                 text, signature = body.decode("utf-8"), sign.signature(items)
                 if waiting is not None and waiting[0] == block:
@@ -148,21 +189,68 @@ def fingerprints(documents: DataFrame, searched: bool = False) -> DataFrame:
                     other = sign(changed)
                     out.append(
                         (
-                            waiting[1], len(waiting[2]), hashlib.sha256(changed).hexdigest(), waiting[3].tobytes().hex(),
-                            other.tobytes().hex(), likeness(waiting[3], other), likeness(waiting[3], signature), *waiting[4],
+                            waiting[1], len(waiting[2]), hashlib.sha256(changed).digest(), waiting[3].tobytes(),
+                            other.tobytes(), likeness(waiting[3], other), likeness(waiting[3], signature), *waiting[4],
                         )
                     )
                 extra = ()
                 if searched and place == 0:
-                    digest = hashlib.blake2b(items.tobytes(), digest_size=16).digest()
-                    extra = (row, len(items), digest, signature.tobytes(), pack.compress(body))
+                    extra = (mark_, row, len(items), hashlib.blake2b(items.tobytes(), digest_size=16).digest())
                     row += 1
                 waiting = (block, doc_id, text, signature, extra) if place == 0 else None
             if out:
                 columns = [pa.array(c, type=_KINDS[kind]) for c, kind in zip(zip(*out), kinds)]
                 yield pa.RecordBatch.from_arrays(columns, names=list(names))
 
-    return dealt.select("block", "place", "doc_id", utf8().alias("body")).mapInArrow(run, schema)
+    return dealt.mapInArrow(run, schema)
+
+
+def shown(rows: DataFrame, *more: str) -> DataFrame:
+    """Fingerprints in hexadecimal."""
+    def text(column: str) -> Column:
+        return F.lower(F.hex(column))
+
+    return rows.select(
+        "doc_id", "n_chars", text("edited").alias("edited_sha256"), text("signature").alias("fingerprint"),
+        text("edited_signature").alias("edited_fingerprint"), "near_edited", "near_next", *more,
+    )
+
+
+def fingerprints(documents: DataFrame) -> DataFrame:
+    """Fingerprint of every document, of its edited text, and both likenesses."""
+    return shown(signatures(documents))
+
+
+def texts_of(documents: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(row, body) of the wanted rows, bodies compressed, read from the documents again.
+
+    A Bloom filter of the wanted rows, with a bounded number of blocks, keeps most other texts out of the shuffle; the
+    join on id and hash of the text is exact.
+    """
+    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("mark").cast("string"))
+    keys = beside(rows.select("row", "doc_id", "mark"), wanted, "row", "left_semi").select("row", name.alias("listed"))
+    keys = stored(keys, "wanted")
+    words, blocks = bloom(keys, min(keys.count(), MOST_FILTERED))
+    words = F.broadcast(stored(words, "bloom"))
+    own = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), mark().alias("mark"), utf8().alias("body"))
+    named = own.select(name.alias("listed"), "body").withColumn("block", block_of(F.col("listed"), blocks))
+    held = F.lit(True)
+    for k, bit in enumerate(bits_of(F.col("listed"))):
+        held = held & (F.col(f"w{k}").bitwiseAND(bit) != 0)
+    passed = named.join(words, "block").where(held).select("listed", "body")
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=3)
+        for batch in slices(batches, "body"):
+            bodies = binaries([pack.compress(x) for x in batch.column("body").to_pylist()])
+            yield pa.RecordBatch.from_arrays([batch.column("listed"), bodies], names=["listed", "body"])
+
+    joined = beside(passed.mapInArrow(packed, "listed string, body binary"), keys, "listed")
+    # repeated rows of a document have one text
+    first = Window.partitionBy("listed").orderBy("row")
+    return joined.withColumn("k", F.row_number().over(first)).where("k = 1").select("row", "body")
 
 
 def linked_fingerprints(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -172,8 +260,10 @@ def linked_fingerprints(documents: DataFrame, similarity: float = SIMILARITY) ->
     all pairs of it: rows of equal sets have one to the first of them, and it one to each. 0: no near duplicate.
     """
     percent = round(100 * similarity)
-    rows = stored(fingerprints(documents, searched=True), "fingerprints")
-    classes, links, labels = search(rows, SHINGLE, percent, PERMUTATIONS, BAND_ROWS)
+    rows = stored(signatures(documents, searched=True), "signatures")
+    classes, links, labels = search(
+        rows, SHINGLE, percent, PERMUTATIONS, BAND_ROWS, texts=lambda wanted: texts_of(documents, rows, wanted)
+    )
     joined = membership(rows.select("doc_id", "row", "n_shingles", "digest"), classes, labels)
     ends = links.select(F.col("a").alias("row")).union(links.select(F.col("b").alias("row"))).groupBy("row").agg(F.count("*").alias("n"))
     equal = F.when(F.col("row") == F.col("node"), F.col("members") - 1).otherwise(1)
@@ -183,52 +273,7 @@ def linked_fingerprints(documents: DataFrame, similarity: float = SIMILARITY) ->
     counted = beside(placed, ends, "row", "left").select(
         "row", "component_id", (F.col("equal") + F.coalesce("n", F.lit(0))).alias("n_links")
     )
-    names = [x.split()[0] for x in _PRINTS.split(", ")]
-    return beside(rows.select("row", *names), counted, "row").drop("row")
-
-
-def band_keys(fingerprint: Column, rows: int = BAND_ROWS, count: int = PERMUTATIONS) -> Column:
-    """One 64-bit key per band of ``rows`` places."""
-    bands = count // rows
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(bands - 1)),
-        lambda i: F.xxhash64(i, F.substring(fingerprint, i * (4 * rows) + 1, F.lit(4 * rows))),
-    )
-
-
-def similar_pairs(documents: DataFrame, prints: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Verified near duplicates: (doc_id, other_id, jaccard) from each document to its bands' leaders only.
-
-    Whole components are in ``linked_fingerprints``.
-
-    Equal fingerprints form a class led by the smallest id; leaders with a band in common
-    are paired with the smallest id in that band, so no bucket emits all its pairs. Every
-    pair is verified on full shingle sets. ``doc_id`` must be a key.
-    """
-    known = prints.where(F.col("doc_id").isNotNull()).select("doc_id", "fingerprint")
-    classes = known.groupBy("fingerprint").agg(F.min("doc_id").alias("leader"))
-    keyed = classes.select(F.col("leader").alias("doc_id"), F.explode(band_keys(F.col("fingerprint"))).alias("band"))
-    first = keyed.groupBy("band").agg(F.min("doc_id").alias("other_id"), F.count("*").alias("n")).where("n > 1")
-    across = keyed.join(first.select("band", "other_id"), "band").select("doc_id", "other_id")
-    within = known.join(classes, "fingerprint").select("doc_id", F.col("leader").alias("other_id"))
-    pairs = across.union(within).where("doc_id <> other_id").distinct()
-    body = documents.where(F.col("doc_id").isNotNull()).select("doc_id", utf8().alias("body"))
-    joined = pairs.join(body, "doc_id").join(
-        body.select(F.col("doc_id").alias("other_id"), F.col("body").alias("other_body")), "other_id"
-    )
-
-    @F.pandas_udf("double")
-    def jaccard(left: pd.Series, right: pd.Series) -> pd.Series:
-        sign = Fingerprinter()
-        out = []
-        for a, b in zip(left, right):
-            x, y = sign.items(bytes(a)), sign.items(bytes(b))
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(common / (len(x) + len(y) - common) if len(x) and len(y) else 0.0)
-        return pd.Series(out)
-
-    scored = joined.select("doc_id", "other_id", jaccard("body", "other_body").alias("jaccard"))
-    return scored.where(F.col("jaccard") >= similarity)
+    return shown(beside(rows, counted, "row"), "component_id", "n_links")
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -251,11 +251,17 @@ def across(members: DataFrame, size: int, percent: int, places: int = PLACES, pe
 
 
 def search(
-    rows: DataFrame, size: int, percent: int, places: int = PLACES, per_band: int = ROWS
+    rows: DataFrame,
+    size: int,
+    percent: int,
+    places: int = PLACES,
+    per_band: int = ROWS,
+    texts: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Classes of equal sets (digest, node, members), links between nodes (a, b) and their components (node, label).
 
-    ``rows`` is stored and has row, n_shingles, digest, signature and body as ``shingled`` gives them.
+    ``rows`` is stored and has row, n_shingles, digest, signature and body as ``shingled`` gives them; without bodies
+    ``texts`` finds (row, body) of the given rows.
     """
     similarity = percent / 100
     filled = rows.where("n_shingles > 0")
@@ -267,7 +273,9 @@ def search(
     bands = nodes.select("row", F.posexplode(band_keys(F.col("signature"), places, per_band)).alias("number", "band"))
     shared = bands.groupBy("band").agg(F.min("row").alias("leader"), F.count("*").alias("n")).where("n > 1")
     held = stored(beside(bands, shared, "band"), "held")  # rows of bands that several rows share
-    texts = stored(beside(rows.select("row", "body"), held.select("row").distinct(), "row", "left_semi"), "texts")
+    wanted = held.select("row").distinct()
+    found = beside(rows.select("row", "body"), wanted, "row", "left_semi") if texts is None else texts(wanted)
+    texts = stored(found, "texts")
     star = held.where("row <> leader").select(F.col("row").alias("a"), F.col("leader").alias("b")).distinct()
     links = stored(linked(plausible(star, nodes, similarity, places), texts, size, percent), "links")
 

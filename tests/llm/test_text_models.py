@@ -65,13 +65,6 @@ def test_long_unrelated_texts_are_unlike():
     assert abs(fingerprints.likeness(sign(a), sign(half)) - len(x & y) / len(x | y)) < 0.15
 
 
-def test_similar_pairs_are_verified(documents):
-    keyed = documents.where("doc_id is not null").dropDuplicates(["doc_id"])
-    pairs = fingerprints.similar_pairs(keyed, fingerprints.fingerprints(keyed)).collect()
-    assert {(r.doc_id, r.other_id) for r in pairs} >= {(2, 1), (3, 1), (4, 1), (16, 10)}
-    assert all(r.jaccard >= 0.8 for r in pairs)
-
-
 def test_query_links_what_the_leaders_miss(spark, documents, nothing):
     """Copies that drift step by step: links that do not touch a band's leader join components, too."""
     draw = np.random.default_rng(3)
@@ -298,6 +291,20 @@ def test_held_out_rows_teach_nothing(spark):
     assert ids == {k for k in range(200) if zlib.crc32(str(k).encode()) % 5}
 
 
+def test_long_labelled_rows_train_where_short_ones_are_few(spark):
+    draw = np.random.default_rng(0)
+    clean = [" ".join(draw.choice(["kara", "miso", "tulo", "vena"], 900)) for _ in range(40)]
+    toxic = [" ".join([*t.split()[:450], "gruk", "blarg", *t.split()[450:]]) for t in clean]
+    rows = [(k, t) for k, t in enumerate(clean + toxic)] + [(900, "kara " * 1_200_000)]
+    labels = [(k, 1, int(k >= 40)) for k in range(80)] + [(900, 1, 0)]
+    assert min(len(t) for _, t in rows) > 4000
+    documents = spark.createDataFrame([(k, t + " miso" * 500) for k, t in rows], "doc_id bigint, text string")
+    marks = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    bodies, targets = toxicity.training_rows(documents, marks)
+    assert min(map(len, bodies)) > toxicity.TRAIN_LONGEST and set(targets) == {0, 1}
+    assert max(map(len, bodies)) <= toxicity.TRAIN_CHARS // 2 and sum(map(len, bodies)) <= 2 * toxicity.TRAIN_CHARS
+
+
 # --- mixing ---------------------------------------------------------------------------
 
 
