@@ -116,7 +116,8 @@ class RollupStore:
         attempt = uuid.uuid4().hex
         ledger = f"{self.path}/ledger/batch={batch_id}/attempt={attempt}"
         entries = new.unionByName(undone).withColumn("bucket", bucket_of(F.col("doc_id")))
-        entries.write.partitionBy("bucket").parquet(ledger)
+        # few files a bucket, and a crowded bucket (rows without an id) over many tasks
+        entries.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(ledger)
         self.spark.read.schema(LEDGER).parquet(ledger).groupBy(*KEYS).agg(
             F.sum("tokens").alias("tokens"), F.sum("documents").alias("documents")
         ).write.parquet(f"{self.path}/rollup/batch={batch_id}/attempt={attempt}")
