@@ -66,7 +66,7 @@ def _inputs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         rolling, grams, owners = np.zeros(len(data), dtype=np.uint64), [], []
         for n in range(1, max(NGRAMS) + 1):
             shifted = np.zeros(len(data), dtype=np.uint64)
-            shifted[: len(data) - n + 1] = data[n - 1 :]
+            shifted[: max(len(data) - n + 1, 0)] = data[n - 1 :]
             rolling = rolling * np.uint64(0x100000001B3) + shifted + np.uint64(1)
             if n in NGRAMS:
                 fits = np.flatnonzero(room >= n)

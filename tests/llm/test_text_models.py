@@ -291,6 +291,25 @@ def test_held_out_rows_teach_nothing(spark):
     assert ids == {k for k in range(200) if zlib.crc32(str(k).encode()) % 5}
 
 
+def test_score_is_that_of_the_best_window_scored_alone():
+    model = toxicity.train(*toxic_corpus(120))
+    texts, _ = toxic_corpus(12, seed=5)
+    texts = [*texts, b"", b"one", b" ".join(texts[:6])]
+    network, (slope, offset) = toxicity.Network(model), model["scale"]
+    for text, score in zip(texts, toxicity.score_texts(model, texts)):
+        words = toxicity.words_of(text)
+        best = -np.inf
+        for start in toxicity.window_starts(len(words)):
+            own = words[start : start + toxicity.WINDOW] or [b"\x00"]
+            ids = np.array([[*range(len(own)), *[len(own)] * (toxicity.WINDOW - len(own))]])
+            if not words:
+                ids[:] = len(own)
+            best = max(best, float(network.run(network.project(network.embed(toxicity.inputs_of(own))), ids, len(own))[0]))
+        assert score == pytest.approx(toxicity.sigmoid(slope * best + offset), abs=1e-4)
+    # a table whose only word is shorter than the n-grams
+    assert toxicity.score_texts(model, [b"a"])[0] == pytest.approx(toxicity.score_texts(model, [b"a", texts[0]])[0], abs=1e-5)
+
+
 def test_long_labelled_rows_train_where_short_ones_are_few(spark):
     draw = np.random.default_rng(0)
     clean = [" ".join(draw.choice(["kara", "miso", "tulo", "vena"], 900)) for _ in range(40)]
@@ -323,6 +342,37 @@ def test_rates_reach_targets(spark):
         mixing.fit_rates(members, {"clean": -1, "junk": 1, "toxic": 1})
 
 
+def test_rates_equal_an_independent_solver(spark):
+    """The optimum in the dual: a document's rate follows from one price per domain, found by Newton steps."""
+    draw = np.random.default_rng(4)
+    p, tokens = draw.dirichlet([3.0, 1.0, 1.0], 80), draw.integers(5, 400, 80).astype(float)
+    rows = [(k, int(tokens[k]), *map(float, p[k])) for k in range(80)]
+    members = spark.createDataFrame(rows, "doc_id bigint, n_tokens bigint, p_clean double, p_junk double, p_toxic double")
+    fitted, fit = mixing.fit_rates(members, {"clean": 0.7, "junk": 0.2, "toxic": 0.1})
+    targets, error = fit["targets"], np.zeros(3)
+    for _ in range(200):  # rate = max(0, 1 - p @ e / RIDGE) with e = (S(rate) - T) / T, a fixed point in e
+        rate = np.maximum(0, 1 - p @ error / mixing.RIDGE)
+        free = rate > 0
+        gap = ((rate * tokens) @ p - targets) / targets - error
+        slope = -(p[free] * tokens[free, None]).T @ p[free] / mixing.RIDGE / targets[:, None] - np.eye(3)
+        error = error - np.linalg.solve(slope, gap) * 0.5
+    assert np.abs(gap).max() < 1e-9
+    got = {r.doc_id: r.rate for r in fitted.collect()}
+    cost = lambda x: (((x * tokens) @ p - targets) ** 2 / (2 * targets)).sum() + mixing.RIDGE / 2 * (tokens * (x - 1) ** 2).sum()
+    found = np.array([got[k] for k in range(80)])
+    assert cost(found) <= cost(rate) * 1.05 + 1e-4 * targets.sum() * mixing.TOLERANCE
+    assert np.allclose((found * tokens) @ p, (rate * tokens) @ p, rtol=2e-3)
+
+
+def test_a_fit_that_cannot_meet_its_targets_says_so(spark):
+    # junk comes only inside clean text, in fixed parts
+    rows = [(k, 100, 0.9, 0.1, 0.0) for k in range(20)]
+    members = spark.createDataFrame(rows, "doc_id bigint, n_tokens bigint, p_clean double, p_junk double, p_toxic double")
+    with pytest.warns(UserWarning, match="off its target"):
+        _, fit = mixing.fit_rates(members, {"clean": 0.2, "junk": 0.8, "toxic": 0.0})
+    assert fit["off"] > 0.01 and fit["steps"] == mixing.STEPS
+
+
 def test_mixing_rows(spark, documents, nothing):
     labels = spark.createDataFrame([(i, int(i != 5), int(i == 6)) for i in range(1, 17)], "doc_id bigint, quality int, toxic int")
     rows, _ = mixing.mixed(documents, labels)
