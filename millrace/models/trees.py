@@ -2,8 +2,9 @@
 
 Cutting every tree of a forest at a depth gives a forest of that depth, since an inner node keeps the class
 counts of its training rows. MLlib draws the features of a node in the order in which nodes are split, so a
-forest grown deeper and cut is another draw of the same kind than one grown to that depth; where nothing is
-drawn (all features, no bootstrap) the two are equal.
+forest grown deeper and cut is another draw of the same kind than one grown to that depth. MLlib also merges sibling
+leaves that predict one class, so a forest grown to a depth is somewhat coarser there than a cut one. Where nothing
+is drawn (all features, no bootstrap) the two predict the same classes.
 
 A forest has at most ``trees * 2^(depth + 1)`` nodes, whatever it was trained on: that bounds what is
 collected and broadcast.
