@@ -29,6 +29,9 @@ DEPTHS = (6, 8, 10)
 LEAVES = (5, 10, 20)
 TARGET_RECALL = 0.60
 
+# Rows of a task that grows trees: fewer are not worth a task, more do not fit it beside their bootstrap counts and nodes.
+LEAST_ROWS, MOST_ROWS = 4096, 250_000
+
 
 @dataclass(frozen=True)
 class ChurnOptions:
@@ -75,6 +78,8 @@ def forest(options: ChurnOptions, depth: int, leaf: int) -> RandomForestClassifi
         maxDepth=depth,
         minInstancesPerNode=leaf,
         maxMemoryInMB=1024,  # whole levels of all trees are split in one pass
+        cacheNodeIds=True,  # a level starts at the nodes that rows have reached, not at the roots
+        checkpointInterval=-1,  # the stored rows are near enough
         featureSubsetStrategy="sqrt",
         seed=options.seed,
     )
@@ -89,6 +94,21 @@ def with_score(predicted: DataFrame, options: ChurnOptions) -> DataFrame:
     )
 
 
+def growing_tasks(n_rows: int, slots: int) -> int:
+    """Tasks that grow a forest: all slots once a task has rows enough, whole waves of them for more rows than fit.
+
+    The rows are few bytes and the work on each is large, so the tasks that Spark cuts by bytes are too few.
+    """
+    if n_rows <= slots * MOST_ROWS:
+        return max(1, min(slots, -(-n_rows // LEAST_ROWS)))
+    return slots * -(-n_rows // (slots * MOST_ROWS))
+
+
+def dealt(rows: DataFrame, tasks: int, label: str) -> DataFrame:
+    """The rows stored in as many equal files as tasks shall read them."""
+    return materialize(rows.repartition(tasks), label)
+
+
 def side_by_side(spark: SparkSession, work: Callable, items: Sequence, parallelism: int) -> list:
     """Jobs of a few candidates at a time; Spark schedules their tasks."""
     with ThreadPool(parallelism) as pool:
@@ -100,17 +120,18 @@ def prepared_folds(train: DataFrame, options: ChurnOptions) -> tuple[dict[int, D
 
     ``train`` is stored by fold, so what is prepared for a fold's held-out rows reads that fold only.
     """
+    tasks = growing_tasks(train.count(), train.sparkSession.sparkContext.defaultParallelism)
 
     def one(fold: int) -> tuple[int, DataFrame, DataFrame]:
         seen, held = train.where(F.col("fold") != fold), train.where(F.col("fold") == fold)
         prepared = preparation(options.numeric, options.categorical).fit(seen)
-        fit_rows = materialize(prepared.transform(seen).select("features", options.label), "fold-fit")
+        fit_rows = dealt(prepared.transform(seen).select("features", options.label), tasks, "fold-fit")
         return fold, fit_rows, prepared.transform(held).select(options.key, options.label, "features", "fold")
 
     parts = side_by_side(train.sparkSession, one, range(options.folds), options.parallelism)
     held = reduce(DataFrame.unionByName, [p[2] for p in parts])
-    return {fold: rows for fold, rows, _ in parts}, materialize(
-        held.withColumn("features", vector_to_array("features")), "held"
+    return {fold: rows for fold, rows, _ in parts}, dealt(
+        held.withColumn("features", vector_to_array("features")), tasks, "held"
     )
 
 
@@ -120,15 +141,18 @@ def nested_scores(
     """Each training row scored by the forests that did not see its fold: key, label, fold, max_depth, min_leaf, score.
 
     One forest per (fold, leaf size) is grown to the largest depth and cut at the others, see ``trees``. All
-    rows are scored in one pass, each by the forests of its fold.
+    rows are scored in one pass, each by the forests of its fold. Forests are grown side by side as far as one leaves slots idle,
+    and one more to fill its pauses; where a forest takes several waves of tasks it is grown alone.
     """
     fit_rows, held = prepared_folds(train, options)
+    slots = train.sparkSession.sparkContext.defaultParallelism
+    at_once = min(options.parallelism, 1 + slots // max(1, held.rdd.getNumPartitions()))
     points = [(fold, leaf) for fold in range(options.folds) for leaf in leaves]
 
     def grown(point: tuple[int, int]) -> NodeTable:
         return node_table(forest(options, max(depths), point[1]).fit(fit_rows[point[0]]))
 
-    tables = dict(zip(points, side_by_side(train.sparkSession, grown, points, options.parallelism)))
+    tables = dict(zip(points, side_by_side(train.sparkSession, grown, points, at_once)))
     forests = {fold: [tables[fold, leaf] for leaf in leaves] for fold in range(options.folds)}
     names = F.array(*(F.struct(F.lit(d).alias("max_depth"), F.lit(n).alias("min_leaf")) for n in leaves for d in depths))
     scored = held.select(
@@ -160,7 +184,8 @@ def best_point(search: DataFrame) -> tuple[int, int, float]:
 def fit_churn(train: DataFrame, depth: int, leaf: int, options: ChurnOptions = ChurnOptions()) -> PipelineModel:
     """Preprocessing and forest fitted on the same rows, as one pipeline model."""
     prepared = preparation(options.numeric, options.categorical).fit(train)
-    rows = prepared.transform(train).select("features", options.label)
+    tasks = growing_tasks(train.count(), train.sparkSession.sparkContext.defaultParallelism)
+    rows = dealt(prepared.transform(train).select("features", options.label), tasks, "fit")
     model = forest(options, depth, leaf).fit(rows)
     return PipelineModel(stages=[*prepared.stages, model])
 

@@ -186,6 +186,16 @@ def test_churn_study(spark, customers):
     assert change["n_rows"] == test.count() and change["max_change"] == 0.0
 
 
+def test_forests_grow_on_all_slots(spark, customers, monkeypatch):
+    assert [churn.growing_tasks(n, 12) for n in (0, 480, 576_000, 3_000_000, 3_456_000)] == [1, 1, 12, 12, 24]
+    monkeypatch.setattr(churn, "LEAST_ROWS", 20)
+    slots = spark.sparkContext.defaultParallelism
+    train, _ = churn.split_and_fold(churn.model_rows(customers.coalesce(1), OPTIONS), OPTIONS)
+    fit_rows, held = churn.prepared_folds(train, OPTIONS)
+    assert {f.rdd.getNumPartitions() for f in fit_rows.values()} == {held.rdd.getNumPartitions()} == {min(slots, -(-train.count() // 20))}
+    assert held.count() == train.count() and fit_rows[0].count() == train.where("fold <> 0").count()
+
+
 def test_labels_are_checked(customers):
     with pytest.raises(ValueError, match="0 or 1"):
         churn.model_rows(customers.withColumn("churn", F.lit(2)), OPTIONS)
