@@ -90,7 +90,7 @@ def edited(text: str, following: str) -> str:
 _PACKED = "block int, place int, doc_id bigint, mark bigint, body binary"
 
 
-def with_blocks(documents: DataFrame) -> tuple[DataFrame, int]:
+def with_blocks(documents: DataFrame) -> DataFrame:
     """Documents dealt to ranges of doc_id, each followed by a copy of the next range's first row; texts compressed.
 
     The range bounds come from one pass over the ids and number at most eight per task
@@ -133,13 +133,13 @@ def with_blocks(documents: DataFrame) -> tuple[DataFrame, int]:
     for (block, _), (_, first) in zip(heads, heads[1:] + heads[:1]):
         copies.append((block, first))
     if not copies:
-        return own, wanted
+        return own
     lookup = spark.createDataFrame(copies, "owner int, first bigint")
     first = F.struct("mark", "place", "doc_id", "body")
     found = rows.join(F.broadcast(lookup), F.col("doc_id").eqNullSafe(F.col("first")))
     moved = found.select("owner", F.lit(1).alias("place"), "doc_id", "mark", "body").groupBy("owner").agg(F.min(first).alias("f"))
     zipped = moved.select("f.doc_id", "f.mark", "f.body", "owner")
-    return own.unionByName(zipped.mapInArrow(_repacked, _PACKED)), wanted
+    return own.unionByName(zipped.mapInArrow(_repacked, _PACKED))
 
 
 def _repacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,10 +165,10 @@ _KINDS = {"bigint": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
 def signatures(documents: DataFrame, searched: bool = False) -> DataFrame:
     """Signature of every document, of its edited text, and both likenesses. One shuffle of the compressed texts.
 
-    With ``searched`` also what ``near_dedup.search`` reads; store it, as row numbers belong to one evaluation.
+    A task of that shuffle takes several ranges, so that tasks and stored files do not outnumber the task slots eightfold. With ``searched`` also what ``near_dedup.search`` reads; store it, as row numbers belong to one evaluation.
     """
-    rows, wanted = with_blocks(documents)
-    dealt = rows.repartition(wanted, "block").sortWithinPartitions("block", "place", "doc_id", "mark")
+    rows = with_blocks(documents)
+    dealt = rows.repartition(parallelism(documents.sparkSession), "block").sortWithinPartitions("block", "place", "doc_id", "mark")
     schema = _PRINTS + (_SEARCHED if searched else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from millrace.llm import fingerprints, lm_scores, mixing, sentencepiece, toxicity
+from millrace.llm.common import parallelism
 
 from .conftest import awkward
 from .test_dedup import components_by_hand
@@ -41,6 +42,12 @@ def test_fingerprints_equal_plain_python(documents):
     assert Counter(tuple(r[n] for n in names) for r in got) == want
 
 
+def test_fingerprint_tasks_do_not_outnumber_the_slots(spark):
+    rows = [(i, f"text {i} of many words {i % 7}") for i in range(400)]
+    dealt = fingerprints.signatures(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert dealt.rdd.getNumPartitions() == parallelism(spark) and dealt.count() == 400
+
+
 def test_fingerprints_of_one_and_none(spark, nothing):
     one = spark.createDataFrame([(3, "a b c d e f g")], "doc_id bigint, text string")
     assert fingerprints.fingerprints(one).first().near_next == 1.0
