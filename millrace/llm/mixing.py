@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import free_name, mark, slices, stored, table, utf8
+from millrace.llm.common import mark, slices, stored, table, utf8
 from millrace.llm.toxicity import words_of
 
 DOMAINS = ("clean", "junk", "toxic")
@@ -282,7 +282,8 @@ def resampled(documents: DataFrame, labels: DataFrame, weights: dict[str, float]
     """The documents kept with the probability of ``fit_thinning``, by a hash of doc_id and text, with their own columns.
 
     No document is repeated, so that a stage before this one that removed copies stays
-    true. Rates are replayed beside the texts: nothing is joined or shuffled.
+    true. Rates are replayed beside the texts: nothing is joined or shuffled. A task sends each text once and gets
+    a flag back; rows and their other columns stay with Spark.
     """
     classifier, seen = train_counted(documents, labels)
     fit = fit_thinning(stored(posteriors(documents, classifier), "posteriors"), weights, seen > 0)
@@ -290,17 +291,17 @@ def resampled(documents: DataFrame, labels: DataFrame, weights: dict[str, float]
         return documents
     shared = documents.sparkSession.sparkContext.broadcast((classifier, fit["errors"], fit["step"], fit["thinned"]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("boolean")
+    def kept(body: pa.Array, draw: pa.Array) -> pa.Array:
         (tells, w), errors, step, thinned = shared.value
-        for batch in slices(batches, body):
-            p = scored(batch.column(body), tells, w)[0]
-            keep = batch.column(draw).to_numpy() < replayed(p, errors, step, thinned=thinned)
-            yield batch.select(own).filter(pa.array(keep))
+        keep = [np.zeros(0, dtype=bool)]
+        for part in slices([pa.RecordBatch.from_arrays([body, draw], names=["body", "draw"])], "body"):
+            p = scored(part.column("body"), tells, w)[0]
+            keep.append(part.column("draw").to_numpy() < replayed(p, errors, step, thinned=thinned))
+        return pa.array(np.concatenate(keep))
 
-    own, body, draw = documents.columns, free_name(documents, "__body"), free_name(documents, "__draw")
     uniform = F.pmod(F.xxhash64("doc_id", mark()), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields)
-    return documents.select("*", utf8().alias(body), uniform.alias(draw)).mapInArrow(run, schema)
+    return documents.where(kept(utf8(), uniform))
 
 
 def mixed(documents: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHTS, headroom: float = HEADROOM) -> tuple[DataFrame, dict]:

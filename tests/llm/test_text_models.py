@@ -419,6 +419,16 @@ def test_clean_rows_stay_however_scarce_junk_is(spark, junk):
     assert len(kept - clean) == junk if junk <= 20 else 20 <= len(kept - clean) <= 70
 
 
+def test_thinning_gets_flags_back_and_no_texts(spark):
+    rows, labels = thinning_corpus(600, 200)
+    docs = spark.createDataFrame([(*r, float(r[0])) for r in rows], "doc_id bigint, text string, weight double")
+    thinned = mixing.resampled(docs, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"), corpus_pipeline.MIX)
+    assert thinned.columns == docs.columns and 400 <= thinned.count() < 600
+    assert thinned.exceptAll(docs).isEmpty()
+    plan = thinned._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "MapInArrow" not in plan
+
+
 def test_labels_that_tell_nothing_drop_nothing(spark):
     rows, labels = thinning_corpus(300, 60)
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
