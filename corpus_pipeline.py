@@ -3,6 +3,10 @@
 Stages take (spark, docs, sf_dir), with docs in the shape of ``documents`` and the other
 tables below sf_dir, and return a DataFrame. All but the last return the columns of their
 input. The toxicity and mixing models are fitted on labelled rows that are still there.
+
+Rows are whole texts, so the job lowers the rows of an Arrow batch to ``BATCH_ROWS``: Spark's default of 10,000 makes batches
+of tens of MB, which each task slot holds in the executor and again in Python. No result depends on it; a smaller
+setting stays.
 """
 
 from __future__ import annotations
@@ -14,25 +18,38 @@ from millrace.llm.common import stored, table
 
 # token shares of clean and poor text; toxic text was removed before and gets no share of its own
 MIX = {"clean": 0.95, "junk": 0.05, "toxic": 0.0}
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(name))
+    if not 0 < rows <= BATCH_ROWS:  # 0 or less: no limit
+        spark.conf.set(name, str(BATCH_ROWS))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return toxicity.accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return exact_dedup.deduplicated(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return near_dedup.deduplicated(docs, size=5, percent=80)
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return mixing.resampled(docs, table(spark, sf_dir, "labels"), weights=MIX)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return sentencepiece.encoded(docs)
 
 

@@ -71,6 +71,21 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BY
             yield batch.slice(begin, end - begin)
 
 
+def with_bytes(batches: Iterable[pa.RecordBatch], limit: int = SLICE_BYTES, column: str = "text") -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Runs of rows as ``slices`` cuts them, each with its texts as UTF-8 bytes, null as empty.
+
+    The bytes are those of the column itself, so a text that is also handed on goes to Python once.
+    """
+    for batch in batches:
+        text = batch.column(next(n for n in batch.schema.names if n.lower() == column))
+        kind = pa.large_binary() if pa.types.is_large_string(text.type) else pa.binary()
+        body = text.cast(kind).fill_null(b"")
+        names = [str(k) for k in range(batch.num_columns)]
+        joined = pa.RecordBatch.from_arrays([*batch.columns, body], names=[*names, "body"])
+        for part in slices([joined], "body", limit):
+            yield pa.RecordBatch.from_arrays(part.columns[:-1], names=batch.schema.names), part.column("body")
+
+
 def offsets_of(array: pa.Array) -> np.ndarray:
     """Byte offsets of a binary column's values, relative to its buffer."""
     kind = np.int64 if pa.types.is_large_binary(array.type) or pa.types.is_large_string(array.type) else np.int32

@@ -28,13 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WordIds, free_name, ragged, slices, table, utf8
+from millrace.llm.common import WordIds, ragged, table, with_bytes
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁".encode()
 UNKNOWN_PENALTY = 10.0
 LONGEST = 64  # bytes of a word searched side by side with others; longer ones go one by one
 WIDTHS = (6, 9, 12, 16, 24, 36, LONGEST)
+SIDE_BY_SIDE = 1 << 13  # words whose tables a task holds at once, 10 MB at the largest width
 
 # Kinds of pieces in the public model format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -142,8 +143,8 @@ class Codec:
         parts, owners = [], []
         for k, width in enumerate(WIDTHS):
             members = np.flatnonzero(group == k)
-            for i in range(0, len(members), 1 << 15):
-                some = members[i : i + (1 << 15)]
+            for i in range(0, len(members), SIDE_BY_SIDE):
+                some = members[i : i + SIDE_BY_SIDE]
                 ids, counts = self._side_by_side([words[j] for j in some], sizes[some], width)
                 parts.append(ids)
                 owners.append(np.repeat(some, counts))
@@ -275,7 +276,7 @@ class Codec:
         numbers = np.concatenate(numbers)
         starts = np.cumsum(counts) - counts
         per_word = counts[numbers]
-        flat = ids[_runs(starts[numbers], per_word)]
+        flat = _gathered(ids, starts[numbers], per_word)
         ends = np.concatenate([[0], np.cumsum(per_word)])
         bounds = ends[np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)]
         return flat, np.diff(bounds)
@@ -283,7 +284,7 @@ class Codec:
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """Texts of consecutive runs of ids; bytes that are no UTF-8 become U+FFFD."""
         sizes = self.surface_sizes[ids]
-        data = self.surface[_runs(self.surface_starts[ids], sizes)].tobytes()
+        data = _gathered(self.surface, self.surface_starts[ids], sizes).tobytes()
         ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)].tolist()
         out = []
         for begin, end in zip(ends, ends[1:]):
@@ -304,6 +305,12 @@ def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
 
 
+def _gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, step: int = 1 << 16) -> np.ndarray:
+    """Runs of values laid end to end; the indices, eight bytes each, of ``step`` runs at a time."""
+    parts = [values[_runs(starts[i : i + step], sizes[i : i + step])] for i in range(0, len(sizes), step)]
+    return np.concatenate(parts) if parts else values[:0]
+
+
 def split_words(text: bytes) -> list[bytes]:
     """Parts that each stand for a leading blank and what follows up to the next blank that ends a word."""
     if not text:
@@ -317,16 +324,15 @@ def encoded(documents: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
     """The documents' columns with ``piece_ids`` and ``round_trip``: whether decoding gives the text back."""
     # plain arrays, so that executors need no importable copy of this package to read them
     shared = documents.sparkSession.sparkContext.broadcast(vars(Codec(read_model(model_path))))
-    body = free_name(documents, "__body")
     own = [f for f in documents.schema.fields if f.name.lower() not in ("piece_ids", "round_trip")]
-    frame = documents.select(*(F.col(f"`{f.name}`") for f in own), utf8().alias(body))
+    frame = documents.select(*(F.col(f"`{f.name}`") for f in own))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own) + ", piece_ids array<int>, round_trip boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.__new__(Codec)
         vars(codec).update(shared.value)
-        for batch in slices(batches, body, 4 << 20):
-            texts = batch.column(body).to_pylist()
+        for batch, bodies in with_bytes(batches, 4 << 20):
+            texts = bodies.to_pylist()
             ids, counts = codec.encode(texts)
             same = [a == b for a, b in zip(codec.decode(ids, counts), texts)]
             yield pa.RecordBatch.from_arrays(

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WordIds, free_name, mix, slices, table, utf8
+from millrace.llm.common import WordIds, free_name, mix, table, with_bytes
 
 WINDOW, STRIDE = 24, 12
 TRAIN_DOCUMENTS, TRAIN_CHARS, TRAIN_LONGEST, TRAIN_LEAST = {0: 3000, 1: 2000}, 5_000_000, 6_000, 200
@@ -402,14 +402,13 @@ def scored(documents: DataFrame, parameters: dict[str, np.ndarray], name: str =
     if name.lower() in (c.lower() for c in documents.columns):
         raise ValueError(f"the documents have a column {name}")
     shared = documents.sparkSession.sparkContext.broadcast(parameters)
-    body = free_name(documents, "__body")
     own = documents.schema.fields
-    frame = documents.select(*(F.col(f"`{f.name}`") for f in own), utf8().alias(body))
+    frame = documents.select(*(F.col(f"`{f.name}`") for f in own))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own) + f", {name} double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, body, 4 << 20):
-            scores = score_texts(shared.value, batch.column(body).to_pylist())
+        for batch, bodies in with_bytes(batches, 4 << 20):
+            scores = score_texts(shared.value, bodies.to_pylist())
             columns = [batch.column(f.name) for f in own]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(scores, type=pa.float64())], names=[*(f.name for f in own), name])
 

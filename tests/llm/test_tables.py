@@ -282,3 +282,21 @@ def test_pipeline_on_a_table(spark, sf):
     assert 0 < len(rows) < len(source)
     assert all(r.text == source[r.doc_id] and r.round_trip for r in rows)
     assert len({"".join(r.text.encode().decode().split()) for r in rows}) == len(rows)
+
+
+def test_pipeline_sends_texts_to_python_once_and_in_small_batches(spark, documents):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for given, held in (("10000", "2000"), ("0", "2000"), ("500", "500")):
+            spark.conf.set(name, given)
+            rows = corpus_pipeline.encode_pieces(spark, documents, "")
+            assert spark.conf.get(name) == held
+        plan = rows._jdf.queryExecution().analyzed().toString()
+        assert "MapInArrow" in plan and "as binary" not in plan
+        found = {(r.doc_id, r.text): r for r in rows.collect()}
+        assert len(found) == len({(x[0], x[1]) for x in awkward()})
+        assert all(r.round_trip or r.doc_id == 12 for r in found.values())  # 12 has a marker of its own
+        assert found[7, None].piece_ids == found[8, ""].piece_ids == []
+    finally:
+        spark.conf.set(name, before)

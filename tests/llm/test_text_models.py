@@ -446,3 +446,17 @@ def test_classifier_on_held_out_labels(spark):
     rows = mixing.posteriors(documents, model).join(marked, "doc_id").collect()
     right = [(r.p_junk > r.p_clean) == (r.domain == 1) for r in rows]
     assert len(right) > 80 and np.mean(right) > 0.9
+
+
+def test_runs_are_gathered_with_few_indices_at_once():
+    import tracemalloc
+
+    values, n = np.arange(256, dtype=np.uint8), 400_000
+    starts, sizes = np.arange(n) % 200, np.arange(n) % 11
+    tracemalloc.start()
+    got = sentencepiece._gathered(values, starts, sizes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.tobytes() == b"".join(values[a : a + k].tobytes() for a, k in zip(starts.tolist(), sizes.tolist()))
+    assert peak < 8 * len(got)  # not even one index for each
+    assert len(sentencepiece._gathered(values, starts[:0], sizes[:0])) == 0
