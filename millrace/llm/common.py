@@ -14,6 +14,8 @@ from millrace.session import materialize
 
 # rows that one step inside a task holds at once, counted in bytes of text
 SLICE_BYTES = 8 << 20
+# rows that are worth a task of their own, see ``fewer``
+TASK_ROWS = 2000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +58,15 @@ def parallelism(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
+def fewer(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in no more tasks than one per ``TASK_ROWS`` of the given rows, and one per task slot.
+
+    A small table in a session of many shuffle partitions else costs a task, a Python worker's round and a file for every few
+    rows wherever the adaptive planner merges none. Tables with more rows than that keep their partitions.
+    """
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS)))
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut into runs of rows with at most ``limit`` bytes in ``column``.
 

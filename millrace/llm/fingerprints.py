@@ -35,8 +35,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.llm.common import (
+    TASK_ROWS,
     WordHashes,
     binaries,
+    fewer,
     hashed_words,
     mark,
     minhash,
@@ -90,17 +92,20 @@ def edited(text: str, following: str) -> str:
 _PACKED = "block int, place int, doc_id bigint, mark bigint, body binary"
 
 
-def with_blocks(documents: DataFrame) -> DataFrame:
-    """Documents dealt to ranges of doc_id, each followed by a copy of the next range's first row; texts compressed.
+def with_blocks(documents: DataFrame) -> tuple[DataFrame, int]:
+    """Documents dealt to ranges of doc_id, each followed by a copy of the next range's first row, texts compressed; and how many they are.
 
-    The range bounds come from one pass over the ids and number at most eight per task
-    slot; nothing else reaches the driver. ``place`` orders a block: own rows, then the
+    The range bounds come from one pass over the ids and number at most eight per shuffle partition, or four per
+    ``TASK_ROWS`` rows where these are fewer; nothing else reaches the driver. ``place`` orders a block: own rows, then the
     copied one.
     """
     spark = documents.sparkSession
     wanted = 8 * parallelism(spark)
-    cuts = documents.agg(F.percentile_approx("doc_id", [i / wanted for i in range(1, wanted)], 20_000)).first()[0] or []
-    bounds = np.unique(np.array(cuts, dtype=np.int64))
+    shares = [i / wanted for i in range(1, wanted)]
+    cuts, count = documents.agg(F.percentile_approx("doc_id", shares, 20_000), F.count("*")).first()
+    bounds = np.unique(np.array(cuts or [], dtype=np.int64))
+    most = max(8 * spark.sparkContext.defaultParallelism, 4 * -(-count // TASK_ROWS))
+    bounds = bounds[:: -(-len(bounds) // most) or 1]
 
     def blocks(ids: pd.Series) -> np.ndarray:
         known = ids.notna().to_numpy()
@@ -133,13 +138,13 @@ def with_blocks(documents: DataFrame) -> DataFrame:
     for (block, _), (_, first) in zip(heads, heads[1:] + heads[:1]):
         copies.append((block, first))
     if not copies:
-        return own
+        return own, count
     lookup = spark.createDataFrame(copies, "owner int, first bigint")
     first = F.struct("mark", "place", "doc_id", "body")
     found = rows.join(F.broadcast(lookup), F.col("doc_id").eqNullSafe(F.col("first")))
     moved = found.select("owner", F.lit(1).alias("place"), "doc_id", "mark", "body").groupBy("owner").agg(F.min(first).alias("f"))
-    zipped = moved.select("f.doc_id", "f.mark", "f.body", "owner")
-    return own.unionByName(zipped.mapInArrow(_repacked, _PACKED))
+    zipped = fewer(moved.select("f.doc_id", "f.mark", "f.body", "owner"), len(copies))
+    return own.unionByName(zipped.mapInArrow(_repacked, _PACKED)), count
 
 
 def _repacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,8 +172,8 @@ def signatures(documents: DataFrame, searched: bool = False) -> DataFrame:
 
     A task of that shuffle takes several ranges, so that tasks and stored files do not outnumber the task slots eightfold. With ``searched`` also what ``near_dedup.search`` reads; store it, as row numbers belong to one evaluation.
     """
-    rows = with_blocks(documents)
-    dealt = rows.repartition(parallelism(documents.sparkSession), "block").sortWithinPartitions("block", "place", "doc_id", "mark")
+    rows, count = with_blocks(documents)
+    dealt = fewer(rows.repartition(parallelism(documents.sparkSession), "block"), count).sortWithinPartitions("block", "place", "doc_id", "mark")
     schema = _PRINTS + (_SEARCHED if searched else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,9 +234,11 @@ def texts_of(documents: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFr
     """
     name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("mark").cast("string"))
     keys = beside(rows.select("row", "doc_id", "mark"), wanted, "row", "left_semi").select("row", name.alias("listed"))
-    keys = stored(keys, "wanted")
-    words, blocks = bloom(keys, min(keys.count(), MOST_FILTERED))
-    words = F.broadcast(stored(words, "bloom"))
+    count = rows.count()
+    keys = stored(fewer(keys, count), "wanted")
+    listed = keys.count()
+    words, blocks = bloom(keys, min(listed, MOST_FILTERED))
+    words = F.broadcast(stored(fewer(words, listed), "bloom"))
     own = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), mark().alias("mark"), utf8().alias("body"))
     named = own.select(name.alias("listed"), "body").withColumn("block", block_of(F.col("listed"), blocks))
     held = F.lit(True)
@@ -267,13 +274,14 @@ def linked_fingerprints(documents: DataFrame, similarity: float = SIMILARITY) ->
     joined = membership(rows.select("doc_id", "row", "n_shingles", "digest"), classes, labels)
     ends = links.select(F.col("a").alias("row")).union(links.select(F.col("b").alias("row"))).groupBy("row").agg(F.count("*").alias("n"))
     equal = F.when(F.col("row") == F.col("node"), F.col("members") - 1).otherwise(1)
-    placed = beside(joined, firsts(joined), "label").select(
+    count = rows.count()
+    placed = fewer(beside(joined, firsts(joined), "label"), count).select(
         "row", F.col("f.doc_id").alias("component_id"), equal.alias("equal")
     )
     counted = beside(placed, ends, "row", "left").select(
         "row", "component_id", (F.col("equal") + F.coalesce("n", F.lit(0))).alias("n_links")
     )
-    return shown(beside(rows, counted, "row"), "component_id", "n_links")
+    return shown(fewer(beside(rows, counted, "row"), count), "component_id", "n_links")
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import (
     WordHashes,
+    fewer,
     hashed_words,
     keep_rows,
     mark,
@@ -151,11 +152,16 @@ def beside(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> Da
     return left.join(right.hint("merge"), on, how)
 
 
-def plausible(pairs: DataFrame, signatures: DataFrame, similarity: float, places: int = PLACES) -> DataFrame:
+def with_both(pairs: DataFrame, rows: DataFrame, column: str, count: int) -> DataFrame:
+    """The pairs (a, b) with ``left`` and ``right``, the column of their rows; ``count`` rows are searched in all."""
+    joined = fewer(beside(pairs, rows.select(F.col("row").alias("a"), F.col(column).alias("left")), "a"), count)
+    return fewer(beside(joined, rows.select(F.col("row").alias("b"), F.col(column).alias("right")), "b"), count)
+
+
+def plausible(pairs: DataFrame, signatures: DataFrame, similarity: float, count: int, places: int = PLACES) -> DataFrame:
     """The pairs (a, b) whose signatures pass the Bayesian bounds."""
     bounds = least_agreements(similarity, places=places)
-    joined = beside(pairs, signatures.select(F.col("row").alias("a"), F.col("signature").alias("left")), "a")
-    joined = beside(joined, signatures.select(F.col("row").alias("b"), F.col("signature").alias("right")), "b")
+    joined = with_both(pairs, signatures, "signature", count)
 
     @F.pandas_udf("boolean")
     def passes(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -168,10 +174,9 @@ def plausible(pairs: DataFrame, signatures: DataFrame, similarity: float, places
     return joined.where(passes("left", "right")).select("a", "b")
 
 
-def linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int, count: int) -> DataFrame:
     """The pairs with 100 * common >= percent * union on full sets."""
-    joined = beside(pairs, texts.select(F.col("row").alias("a"), F.col("body").alias("left")), "a")
-    joined = beside(joined, texts.select(F.col("row").alias("b"), F.col("body").alias("right")), "b")
+    joined = with_both(pairs, texts, "body", count)
 
     @F.pandas_udf("boolean")
     def similar(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -263,29 +268,30 @@ def search(
     ``rows`` is stored and has row, n_shingles, digest, signature and body as ``shingled`` gives them; without bodies
     ``texts`` finds (row, body) of the given rows.
     """
-    similarity = percent / 100
-    filled = rows.where("n_shingles > 0")
-    classes = filled.groupBy("digest").agg(F.min("row").alias("node"), F.count("*").alias("members"))
-    nodes = stored(
-        beside(filled.select("row", "signature"), classes.select(F.col("node").alias("row")), "row", "left_semi"), "nodes"
-    )
+    similarity, count = percent / 100, rows.count()
+    # equal sets have equal signatures
+    grouped = rows.where("n_shingles > 0").groupBy("digest", "signature").agg(F.min("row").alias("row"), F.count("*").alias("members"))
+    standing = stored(fewer(grouped, count), "nodes")
+    classes, nodes = standing.select("digest", F.col("row").alias("node"), "members"), standing.select("row", "signature")
 
     bands = nodes.select("row", F.posexplode(band_keys(F.col("signature"), places, per_band)).alias("number", "band"))
     shared = bands.groupBy("band").agg(F.min("row").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    held = stored(beside(bands, shared, "band"), "held")  # rows of bands that several rows share
+    held = stored(fewer(beside(bands, shared, "band"), count), "held")  # rows of bands that several rows share
     wanted = held.select("row").distinct()
     found = beside(rows.select("row", "body"), wanted, "row", "left_semi") if texts is None else texts(wanted)
-    texts = stored(found, "texts")
-    star = held.where("row <> leader").select(F.col("row").alias("a"), F.col("leader").alias("b")).distinct()
-    links = stored(linked(plausible(star, nodes, similarity, places), texts, size, percent), "links")
+    texts = stored(fewer(found, count), "texts")
+    star = fewer(held.where("row <> leader").select(F.col("row").alias("a"), F.col("leader").alias("b")).distinct(), count)
+    alike = plausible(star, nodes, similarity, count, places)
+    links = stored(linked(alike, texts, size, percent, count), "links")
 
     labels = components(links)
     labelled = beside(held, labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
     # of two rows the star has checked the only pair
-    mixed = labelled.where("n > 2").groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    labelled = fewer(labelled.where("n > 2"), count)
+    mixed = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     members = beside(labelled.select("band", "number", "n", "row", "label"), mixed.where("low <> high").select("band"), "band")
-    members = beside(beside(members, nodes, "row"), texts, "row")
-    fresh = stored(across(members, size, percent, places, per_band).distinct(), "across")
+    members = fewer(beside(beside(fewer(members, count), nodes, "row"), texts, "row"), count)
+    fresh = stored(fewer(across(members, size, percent, places, per_band).distinct(), count), "across")
     if not fresh.isEmpty():
         links = links.union(fresh)
         labels = components(links)
@@ -298,7 +304,7 @@ def membership(placed: DataFrame, classes: DataFrame, labels: DataFrame) -> Data
     by_class = beside(placed.where("n_shingles > 0"), classes, "digest").select(*own, "node", "members")
     alone = placed.where("n_shingles = 0").select(*own, F.col("row").alias("node"), F.lit(1).cast("bigint").alias("members"))
     joined = beside(by_class.unionByName(alone), labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    return stored(joined, "membership")
+    return stored(fewer(joined, placed.count()), "membership")
 
 
 def firsts(joined: DataFrame) -> DataFrame:

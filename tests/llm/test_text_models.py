@@ -99,6 +99,24 @@ def test_query_has_components(spark):
     assert {"component_id", "n_links"} <= set(fingerprints.op4_fingerprints(spark, "/root/testdata/sf0.001").columns)
 
 
+def test_small_tables_take_few_tasks_whatever_the_shuffle_partitions(spark, documents):
+    settings = {"spark.sql.shuffle.partitions": "211", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    order = ("doc_id", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "component_id")
+    expected = fingerprints.linked_fingerprints(documents).select(*order).orderBy(*order).collect()
+    before = {k: spark.conf.get(k) for k in settings}
+    slots = spark.sparkContext.defaultParallelism
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        assert fingerprints.signatures(documents).rdd.getNumPartitions() <= slots
+        found = fingerprints.linked_fingerprints(documents)
+        assert found.rdd.getNumPartitions() <= slots
+        assert found.select(*order).orderBy(*order).collect() == expected
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 # --- language model ------------------------------------------------------------
 
 
