@@ -1,5 +1,6 @@
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -300,3 +301,26 @@ def test_pipeline_sends_texts_to_python_once_and_in_small_batches(spark, documen
         assert found[7, None].piece_ids == found[8, ""].piece_ids == []
     finally:
         spark.conf.set(name, before)
+
+
+def test_pipeline_limits_the_bytes_of_a_batch(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = {k: spark.conf.get(k) for k in (name, "spark.sql.execution.arrow.maxRecordsPerBatch")}
+    sizes = [corpus_pipeline.bytes_of(x) for x in ("7", "7b", "64m", "2KB", "1g", "-1")]
+    assert sizes == [7, 7, 64 << 20, 2048, 1 << 30, -1]
+
+    def seen(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    try:
+        for given, held in (("64m", 1 << 20), ("100k", 100 << 10)):
+            spark.conf.set(name, given)
+            corpus_pipeline.small_batches(spark)
+            assert corpus_pipeline.bytes_of(spark.conf.get(name)) == held
+            texts = spark.range(0, 1500, 1, 1).select(F.repeat(F.lit("ab "), 2000).alias("text"))
+            found = texts.mapInArrow(seen, "n bigint, size bigint").collect()
+            assert sum(r.n for r in found) == 1500 and max(r["size"] for r in found) < held + 20_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
