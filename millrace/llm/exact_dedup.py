@@ -32,7 +32,6 @@ from millrace.llm.common import keep_rows, mark, parallelism, slices, stored, ta
 
 BLANKS = b" \t\n\x0b\x0c\r"
 TABLE_BYTES = 48 << 20  # contents that one table may hold before it is emptied or split
-SENT_BYTES = 1 << 20  # contents that a task sends back at once, which the executor holds beside its heap
 FANOUT = 16  # spill files of one split
 
 
@@ -121,19 +120,6 @@ def _rank(n_chars: int, doc_id: int | None, row: int) -> tuple:
     return (-n_chars, doc_id is None, doc_id or 0, row)
 
 
-def parts(entries: list[Entry], limit: int = SENT_BYTES) -> Iterator[list[Entry]]:
-    """The entries in runs that end with the one whose content exceeds ``limit`` bytes in all."""
-    some, held = [], 0
-    for x in entries:
-        some.append(x)
-        held += len(x.content)
-        if held > limit:
-            yield some
-            some, held = [], 0
-    if some:
-        yield some
-
-
 _LOCAL = "doc_id bigint, mark bigint, row bigint, n_chars bigint, text_sha256 string, key bigint, hash bigint, size bigint, content binary"
 
 
@@ -151,11 +137,15 @@ def local_groups(documents: DataFrame, limit: int = TABLE_BYTES) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows), kinds)], names=names)
 
         def standing() -> Iterator[pa.RecordBatch]:
-            for some in parts(found.entries):
-                rows = []
-                for x in some:
-                    n_chars, no_id, doc_id, best = x.best
-                    rows.append((None if no_id else doc_id, None, best, -n_chars, None, x.keys[0], x.hash - (1 << 63), x.size, x.content))
+            rows, held = [], 0
+            for x in found.entries:
+                n_chars, no_id, doc_id, best = x.best
+                rows.append((None if no_id else doc_id, None, best, -n_chars, None, x.keys[0], x.hash - (1 << 63), x.size, x.content))
+                held += len(x.content)
+                if held > 8 << 20:
+                    yield made(rows)
+                    rows, held = [], 0
+            if rows:
                 yield made(rows)
 
         for batch in slices(batches, "body"):
