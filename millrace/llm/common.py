@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.session import materialize
+from millrace.session import delete_stored, materialize
 
 # rows that one step inside a task holds at once, counted in bytes of text
 SLICE_BYTES = 8 << 20
@@ -27,6 +27,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, label)
 
 
+def discarded(*copies: DataFrame) -> None:
+    """Give back the disk of the ``stored`` tables behind these frames; nothing may read them any more."""
+    for df in copies:
+        delete_stored(df)
+
+
 def utf8(column: str = "text") -> Column:
     """The text as UTF-8 bytes, null as empty."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
@@ -46,12 +52,21 @@ def free_name(df: DataFrame, wanted: str) -> str:
 
 
 def keep_rows(documents: DataFrame, keys: DataFrame) -> DataFrame:
-    """For each distinct (doc_id, mark) of ``keys`` one row of the documents, with their columns."""
-    a, b, n = (free_name(documents, x) for x in ("__keep_id", "__keep_mark", "__keep_no"))
-    wanted = keys.select(F.col("doc_id").alias(a), F.col("mark").alias(b)).distinct()
-    marked = documents.join(wanted, F.col("doc_id").eqNullSafe(F.col(a)) & (mark() == F.col(b)))
-    first = Window.partitionBy(a, b).orderBy(F.lit(0))
-    return marked.withColumn(n, F.row_number().over(first)).where(F.col(n) == 1).drop(a, b, n)
+    """For each distinct (doc_id, mark) of ``keys`` one row of the documents, with their columns.
+
+    Texts are shuffled once: repeated rows are dropped and keys joined on the same columns, a null id being told apart by
+    ``none``. Of repeated rows each task hands on one.
+    """
+    a, none, b, n = (free_name(documents, x) for x in ("__keep_id", "__keep_none", "__keep_mark", "__keep_no"))
+
+    def keyed(df: DataFrame, mark: Column) -> DataFrame:
+        id = F.col("doc_id").cast("bigint")
+        return df.withColumns({a: F.coalesce(id, F.lit(0)), none: id.isNull(), b: mark})
+
+    wanted = keyed(keys, F.col("mark")).select(a, none, b).distinct()
+    first = Window.partitionBy(a, none, b).orderBy(F.lit(0))
+    single = keyed(documents, mark()).withColumn(n, F.row_number().over(first)).where(F.col(n) == 1)
+    return single.join(wanted, [a, none, b]).drop(a, none, b, n)
 
 
 def parallelism(spark: SparkSession) -> int:

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import keep_rows, mark, parallelism, slices, stored, table, utf8
+from millrace.llm.common import discarded, keep_rows, mark, parallelism, slices, stored, table, utf8
 
 BLANKS = b" \t\n\x0b\x0c\r"
 TABLE_BYTES = 48 << 20  # contents that one table may hold before it is emptied or split
@@ -212,7 +212,11 @@ def classes(texts: DataFrame, limit: int = TABLE_BYTES) -> DataFrame:
 
 def grouped(documents: DataFrame, limit: int = TABLE_BYTES) -> DataFrame:
     """Every row with its group: doc_id, mark, keep_id, group_size, kept, text_sha256."""
-    local = stored(local_groups(documents, limit), "exact")
+    return joined(stored(local_groups(documents, limit), "exact"), limit)
+
+
+def joined(local: DataFrame, limit: int) -> DataFrame:
+    """The rows of ``local_groups`` with the class of the text that stands for them."""
     texts = local.where(F.col("content").isNotNull()).drop("text_sha256")
     rows = local.where(F.col("content").isNull()).select("doc_id", "mark", "row", "text_sha256", "key")
     return rows.join(classes(texts, limit), "key").select(
@@ -221,8 +225,11 @@ def grouped(documents: DataFrame, limit: int = TABLE_BYTES) -> DataFrame:
 
 
 def deduplicated(documents: DataFrame, limit: int = TABLE_BYTES) -> DataFrame:
-    """The documents with one row of each group of equal texts."""
-    return keep_rows(documents, grouped(documents, limit).where("kept"))
+    """The documents with one row of each group of equal texts; the stored texts are gone before these are read again."""
+    local = stored(local_groups(documents, limit), "exact")
+    keys = stored(joined(local, limit).where("kept").select("doc_id", "mark"), "kept")
+    discarded(local)
+    return keep_rows(documents, keys)
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

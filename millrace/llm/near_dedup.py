@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import (
     WordHashes,
+    discarded,
     fewer,
     hashed_words,
     keep_rows,
@@ -295,6 +296,7 @@ def search(
     if not fresh.isEmpty():
         links = links.union(fresh)
         labels = components(links)
+    discarded(held, texts)
     return classes, links, labels
 
 
@@ -318,6 +320,7 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
     rows = stored(shingled(documents, size), "shingled")
     classes, _, labels = search(rows, size, percent)
     joined = membership(rows.select("doc_id", "mark", "row", "n_shingles", "digest"), classes, labels)
+    discarded(rows, classes)
     return beside(joined, firsts(joined), "label").select(
         "doc_id", "mark", "n_shingles", F.col("f.doc_id").alias("component_id"), (F.col("row") == F.col("f.row")).alias("first")
     )

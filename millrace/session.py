@@ -65,6 +65,17 @@ def attach(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "
     return rows.join(materialize(lookup, "lookup"), list(keys), how)
 
 
+def delete_stored(df: DataFrame) -> None:
+    """Delete the tables of ``materialize`` that ``df`` reads; whatever still reads them fails."""
+    spark = df.sparkSession
+    jvm, own = spark.sparkContext._jvm, _own_folder(spark, "") + "/"
+    for folder in {f[: f.find("/", f.find(own) + len(own))] if own in f else "" for f in df.inputFiles()}:
+        if not folder:
+            raise ValueError("only what this application has stored is deleted")
+        place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what this application has stored; results that read it are gone with it."""
     base = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_FOLDERS.pop(spark.sparkContext.applicationId, None)

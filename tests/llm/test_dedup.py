@@ -2,13 +2,16 @@ import hashlib
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from millrace.llm import exact_dedup, near_dedup
+from millrace.llm.common import keep_rows, mark, stored
 from millrace.llm.components import components
 from millrace.llm.exact_dedup import ContentTable, Entry, grace
+from millrace.session import delete_stored, materialize, scratch_path
 
 from .conftest import awkward
 
@@ -170,3 +173,42 @@ def test_components_of_long_path(spark):
     got = {r.node: r.label for r in components(links).collect()}
     assert got == {**{k: 0 for k in range(41)}, 100: 100, 101: 100}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+@pytest.mark.parametrize("dedup", [exact_dedup, near_dedup])
+def test_stage_gives_back_its_copies_of_texts(spark, documents, dedup):
+    folder = Path(scratch_path(spark, "x")).parent
+    before = set(folder.glob("*")) if folder.exists() else set()
+    kept = dedup.deduplicated(documents)
+    left = {x.name.split("-")[0] for x in set(folder.glob("*")) - before}
+    assert left and not left & {"exact", "shingled", "nodes", "texts", "held"}
+    assert 0 < kept.count() < documents.count()
+
+
+def test_kept_rows_are_shuffled_once(spark, documents):
+    wanted = documents.where("doc_id is null or doc_id < 9")
+    keys = stored(wanted.select("doc_id", mark().alias("mark")), "keys")
+    joins = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(joins)
+    spark.conf.set(joins, "-1")
+    try:
+        kept = keep_rows(documents, keys)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        rows = kept.collect()
+    finally:
+        spark.conf.set(joins, before)
+    assert plan.count("Exchange hashpartitioning") == 2  # the texts, the keys
+    assert kept.columns == documents.columns
+    expected = {(r.doc_id, r.text or "") for r in wanted.collect()}
+    assert len(rows) == len(expected) and {(r.doc_id, r.text or "") for r in rows} == expected
+
+
+def test_only_stored_tables_are_deleted(spark, documents, tmp_path):
+    copy, other = materialize(documents, "copy"), materialize(documents, "copy")
+    delete_stored(copy.where("doc_id > 3"))
+    assert other.count() == documents.count() and not Path(scratch_path(spark, "x")).parent.joinpath(
+        copy.inputFiles()[0].split("/")[-2]
+    ).exists()
+    documents.write.parquet(f"{tmp_path}/own")
+    with pytest.raises(ValueError):
+        delete_stored(spark.read.parquet(f"{tmp_path}/own"))
