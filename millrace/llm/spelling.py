@@ -63,12 +63,13 @@ def neighbourhood(word: Column, symbols: int = SYMBOLS) -> Column:
 def near_pairs(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
     """Ordered pairs (word, near_word, near_n) at distance one, from stored, distinct (word, n, reduced).
 
-    Reduced words travel as 64-bit hashes; what the join brings together is verified.
+    Reduced words travel as 64-bit hashes; what the join brings together is verified. The planner takes the exploded
+    neighbourhoods for no larger than the words and would broadcast them: the hint keeps to a shuffle.
     """
     asked = words.select("word", F.explode(neighbourhood(F.col("reduced"), symbols)).alias("k")).select("word", F.xxhash64("k").alias("k"))
     known = words.select(F.col("word").alias("near_word"), F.col("n").alias("near_n"), F.xxhash64("reduced").alias("k"))
     return (
-        asked.join(known, "k")
+        asked.join(known.hint("merge"), "k")
         .where(F.levenshtein("word", "near_word", 1) == 1)
         .select("word", "near_word", "near_n")
     )

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import spelling
+from millrace.session import materialize
 
 
 def one_edit(a: str, b: str) -> bool:
@@ -104,6 +105,15 @@ def test_neighbourhood_is_full(spark):
     assert len(row.k) == len(set(row.k)) and set(row.k) == want
 
 
+def test_neighbourhoods_are_not_broadcast(spark):
+    # a table far below the limit of a broadcast, whose neighbourhoods are not
+    words = spark.createDataFrame([("kettle", 5), ("kettla", 25)], "word string, n bigint").withColumn("reduced", spelling.reduced(F.col("word")))
+    pairs = spelling.near_pairs(materialize(words, "few"))
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert sorted((r.word, r.near_word, r.near_n) for r in pairs.collect()) == [("kettla", "kettle", 5), ("kettle", "kettla", 25)]
+
+
 def test_refused_parameters(spark):
     words = spark.createDataFrame([], "word string, n bigint")
     for bad in ({"ratio": 1}, {"symbols": 1}):
