@@ -14,6 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.models.growing import MOST_CELLS, FoldRows
 from millrace.models.preparation import preparation
 from millrace.models.scoring import pick_threshold, pr_curve, roc_auc, roc_auc_by
 from millrace.models.trees import NodeTable, cut_scores, node_table
@@ -135,24 +136,39 @@ def prepared_folds(train: DataFrame, options: ChurnOptions) -> tuple[dict[int, D
     )
 
 
+def grown_by_mllib(
+    fit_rows: dict[int, DataFrame], depth: int, leaves: Sequence[int], options: ChurnOptions
+) -> dict[tuple[int, int], NodeTable]:
+    """A forest for each fold and leaf size.
+
+    Forests are grown side by side as far as one leaves slots idle, and one more to fill its pauses; where a forest takes several
+    waves of tasks it is grown alone.
+    """
+    spark = fit_rows[0].sparkSession
+    at_once = min(options.parallelism, 1 + spark.sparkContext.defaultParallelism // max(1, fit_rows[0].rdd.getNumPartitions()))
+    points = [(fold, leaf) for fold in fit_rows for leaf in leaves]
+
+    def grown(point: tuple[int, int]) -> NodeTable:
+        return node_table(forest(options, depth, point[1]).fit(fit_rows[point[0]]))
+
+    return dict(zip(points, side_by_side(spark, grown, points, at_once)))
+
+
 def nested_scores(
     train: DataFrame, depths: Sequence[int], leaves: Sequence[int], options: ChurnOptions = ChurnOptions()
 ) -> DataFrame:
     """Each training row scored by the forests that did not see its fold: key, label, fold, max_depth, min_leaf, score.
 
     One forest per (fold, leaf size) is grown to the largest depth and cut at the others, see ``trees``. All
-    rows are scored in one pass, each by the forests of its fold. Forests are grown side by side as far as one leaves slots idle,
-    and one more to fill its pauses; where a forest takes several waves of tasks it is grown alone.
+    rows are scored in one pass, each by the forests of its fold. Tasks that hold a fold's rows grow its trees, see ``growing``;
+    MLlib grows them where a fold is too large for that.
     """
     fit_rows, held = prepared_folds(train, options)
-    slots = train.sparkSession.sparkContext.defaultParallelism
-    at_once = min(options.parallelism, 1 + slots // max(1, held.rdd.getNumPartitions()))
-    points = [(fold, leaf) for fold in range(options.folds) for leaf in leaves]
-
-    def grown(point: tuple[int, int]) -> NodeTable:
-        return node_table(forest(options, max(depths), point[1]).fit(fit_rows[point[0]]))
-
-    tables = dict(zip(points, side_by_side(train.sparkSession, grown, points, at_once)))
+    folds = FoldRows(fit_rows, options.label)
+    if folds.cells <= MOST_CELLS:
+        tables = folds.forests(leaves, max(depths), options.trees, options.seed)
+    else:
+        tables = grown_by_mllib(fit_rows, max(depths), leaves, options)
     forests = {fold: [tables[fold, leaf] for leaf in leaves] for fold in range(options.folds)}
     names = F.array(*(F.struct(F.lit(d).alias("max_depth"), F.lit(n).alias("min_leaf")) for n in leaves for d in depths))
     scored = held.select(

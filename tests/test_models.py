@@ -11,7 +11,7 @@ from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import functions as F
 
 from millrace.functions.pvalues import chi_square_tail, regularized_beta, t_two_sided
-from millrace.models import churn, preparation, scoring, trees
+from millrace.models import churn, growing, preparation, scoring, trees
 from millrace.operators import hypothesis
 from millrace.session import scratch_path
 
@@ -254,3 +254,121 @@ def test_auc_by_group_equals_the_evaluator(spark):
         part = grouped.where(F.col("g") == g)
         assert found[g] == (pytest.approx(scoring.roc_auc(part).first()[0], abs=1e-12), part.count())
     assert found[9] == (None, 2)
+
+
+def grown_by_hand(points, labels, weights, splits, leaf, depth, n_drawn, key, number=1):
+    """(feature, split, left, right) or the share of class 1: one split after the other, on the values themselves."""
+    n, ones = weights.sum(), weights[labels == 1].sum()
+
+    def impurity(w, y):
+        p = w[y == 1].sum() / w.sum()
+        return 2 * p * (1 - p) * w.sum()
+
+    best = (1e-9 * n, None)
+    if depth and 0 < ones < n:
+        for f in growing.drawn(np.array([number], dtype=np.uint64), len(splits), n_drawn, key)[0]:
+            for cut in splits[f]:
+                left = points[:, f] <= cut
+                if weights[left].sum() >= leaf and weights[~left].sum() >= leaf:
+                    sides = sum(impurity(weights[side], labels[side]) for side in (left, ~left))
+                    gain = impurity(weights, labels) - sides
+                    if gain > best[0] + 1e-9:
+                        best = (gain, (f, cut, left))
+    if best[1] is None:
+        return ones / n
+    f, cut, left = best[1]
+    ends = [
+        grown_by_hand(points[side], labels[side], weights[side], splits, leaf, depth - 1, n_drawn, key, 2 * number + k)
+        for k, side in enumerate((left, ~left))
+    ]
+    return (f, cut, *ends)
+
+
+def as_pairs(tree, place=0):
+    if tree.left[place] == place:
+        return tree.share[place]
+    return (tree.feature[place], tree.split[place], as_pairs(tree, tree.left[place]), as_pairs(tree, tree.right[place]))
+
+
+def flat(tree):
+    return [x for part in tree for x in flat(part)] if isinstance(tree, tuple) else [float(tree)]
+
+
+def some_points(n=700):
+    draw = np.random.default_rng(9)
+    points = np.stack([draw.normal(size=n), draw.integers(0, 2, n), draw.integers(0, 6, n), draw.integers(0, 90, n), draw.integers(0, 2, n)], 1).astype(float)
+    labels = (points[:, 0] + points[:, 1] - 0.3 * points[:, 2] + draw.normal(size=n) > 0.5).astype(int)
+    splits = [growing.thresholds(*growing.points_of(points[:, f])) for f in range(points.shape[1])]
+    return points, labels, growing._COUNTS[draw.integers(0, 65_536, n)], splits
+
+
+def test_trees_grown_in_tasks_equal_those_by_hand():
+    points, labels, counts, splits = some_points()
+    codes, leaves = growing.coded(points, labels, splits), (3, 8, 30)
+    together = growing.grow(codes, counts, splits, leaves, 6, 3, 77)
+    inside = counts > 0
+    for leaf, tree in zip(leaves, together):
+        hand = grown_by_hand(points[inside], labels[inside], counts[inside].astype(float), splits, leaf, 6, 3, 77)
+        assert flat(as_pairs(tree)) == pytest.approx(flat(hand))
+        assert as_pairs(tree) == as_pairs(growing.grow(codes, counts, splits, [leaf], 6, 3, 77)[0])
+    assert len({len(t.share) for t in together}) == 3 and 5 < len(together[2].share) < len(together[0].share)
+    # an empty sample, one class only, no levels
+    for n, y in ((counts * 0, labels), (counts, labels * 0)):
+        (tree,) = growing.grow(growing.coded(points, y, splits), n, splits, [3], 6, 3, 77)
+        assert tree.share == [pytest.approx(y.mean())] and tree.left == [0]
+    assert len(growing.grow(codes, counts, splits, [3], 0, 3, 77)[0].share) == 1
+
+
+def test_trees_grown_in_tasks_predict_as_mllib_where_nothing_is_drawn(spark):
+    rows = fitted_rows(spark).withColumn("a", F.round("a")).drop("features")
+    rows = VectorAssembler(inputCols=["a", "bi", "c"], outputCol="features").transform(rows)
+    model = RandomForestClassifier(
+        labelCol="churn", numTrees=1, maxDepth=4, featureSubsetStrategy="all", bootstrap=False, minInstancesPerNode=7, seed=1
+    ).fit(rows)
+    points, labels = np.array([r["features"].toArray() for r in rows.collect()]), np.array([r["churn"] for r in rows.collect()])
+    splits = [growing.thresholds(*growing.points_of(points[:, f])) for f in range(3)]
+    own = growing.grow(growing.coded(points, labels, splits), np.ones(len(points), dtype=np.uint8), splits, [7], 4, 3, 0)
+    found = trees.NodeTable(**growing.table_of(own)).scores(points, [4])[:, 0]
+    wanted = trees.node_table(model).scores(points, [4])[:, 0]
+    assert np.array_equal(found > 0.5, wanted > 0.5) and 0 < (found > 0.5).mean() < 1
+    assert (np.abs(found - wanted) < 1e-12).any()
+
+
+def test_bins_hold_about_as_many_rows():
+    values = np.random.default_rng(1).normal(size=60_000)
+    parts = [growing.points_of(part) for part in np.split(values, 3)]
+    splits = growing.thresholds(*(np.concatenate(side) for side in zip(*parts)))
+    assert len(splits) == growing.BINS - 1 and all(len(p[0]) == growing.POINTS for p in parts)
+    sizes = np.bincount(np.searchsorted(splits, values))
+    assert len(sizes) == growing.BINS and sizes.min() > 1600 and sizes.max() < 2150
+    assert growing.thresholds(np.array([3.0, 1.0, 3.0]), np.array([1, 1, 5])).tolist() == [2.0]
+    assert growing.thresholds(np.array([4.0]), np.array([9])).tolist() == []
+    many, few = np.arange(40.0), np.where(np.arange(40) == 39, 10_000, 1)
+    assert growing.thresholds(many, few).tolist() == [38.5]
+
+
+def test_no_jobs_are_added_by_more_forests(spark, customers):
+    # one customer alone has a category, so the rows that its fold's forests grow from lack a feature
+    rare = customers.withColumn("payment_method", F.when(F.col("customer_id") == "C00007", "cheque").otherwise(F.col("payment_method")))
+    train, _ = churn.split_and_fold(churn.model_rows(rare, OPTIONS), OPTIONS)
+    track, taken = spark.sparkContext.statusTracker(), {}
+    for leaves in ((5,), (5, 10, 20)):
+        spark.sparkContext.setJobGroup(f"forests {leaves}", "")
+        scores = churn.nested_scores(train, OPTIONS.depths, leaves, OPTIONS)
+        found = {(r["max_depth"], r["min_leaf"], r["customer_id"]): r["score"] for r in scores.collect()}
+        assert len(found) == len(leaves) * 2 * train.count() == scores.count() and all(0 <= s <= 1 for s in found.values())
+        taken[leaves] = len(track.getJobIdsForGroup(f"forests {leaves}")), {k: s for k, s in found.items() if k[1] == 5}
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # preparing the folds takes as many jobs either way, growing ten times as many forests a few; the same forest comes out
+    assert abs(taken[5, 10, 20][0] - taken[(5,)][0]) <= 5 and taken[5, 10, 20][1] == pytest.approx(taken[(5,)][1])
+
+
+def test_folds_too_large_for_a_task_grow_by_mllib(spark, customers, monkeypatch):
+    train, _ = churn.split_and_fold(churn.model_rows(customers, OPTIONS), OPTIONS)
+    found = {}
+    for cells in (growing.MOST_CELLS, 0):
+        monkeypatch.setattr(churn, "MOST_CELLS", cells)
+        found[cells] = {(r["max_depth"], r["min_leaf"]): (r["mean_auc"], r["folds"], r["n_scored"]) for r in churn.grid_search(train, OPTIONS).collect()}
+    own, other = found.values()
+    assert own.keys() == other.keys() and len(own) == 4
+    assert all(own[k] == (pytest.approx(other[k][0], abs=0.05), *other[k][1:]) for k in own)
