@@ -33,6 +33,8 @@ MOST_CELLS = 128 << 20
 # values that a task hands on to choose the bins of a feature: its share of each is off by this part at most
 POINTS = 2048
 BLOCK_ROWS = 65_536
+# nodes whose histograms a task holds at once
+MOST_NODES = 1024
 LEAST_GAIN = 1e-12
 
 # Poisson(1) by 16 random bits
@@ -118,54 +120,56 @@ def grow(
         open_nodes = [node for node in open_nodes if node[2]]
         if not open_nodes:
             break
-        numbers = np.array([node[0] for node in open_nodes], dtype=np.uint64)
-        features = drawn(numbers, len(codes), n_drawn, key)
-        seen = np.empty((len(open_nodes), n_drawn, width))
-        for s, (_, rows, _) in enumerate(open_nodes):
-            times = shift.take(rows, mode="clip")
-            for k, f in enumerate(features[s].tolist()):
-                seen[s, k] = np.bincount(codes[f].take(rows, mode="clip") + times, minlength=width)
-        seen = np.einsum("skwc,w->skc", seen.reshape(len(open_nodes), n_drawn, -1, 2 * BINS), steps)
-        below = seen.reshape(len(open_nodes), n_drawn, BINS, 2).cumsum(axis=2)
-        above = below[:, :, -1:] - below
-        n_below, n_above = below.sum(axis=3), above.sum(axis=3)
-        total = below[:, :1, -1]
-        n_total = total.sum(axis=2)[:, :, None]
-        pure = (below**2).sum(axis=3) / np.maximum(n_below, 1) + (above**2).sum(axis=3) / np.maximum(n_above, 1)
-        gain = (pure - (total**2).sum(axis=2)[:, :, None] / n_total) / n_total
-        gain[gain <= LEAST_GAIN] = 0.0
-        best = []
-        for leaf in leaves:
-            allowed = np.where((n_below >= leaf) & (n_above >= leaf), gain, 0.0).reshape(len(open_nodes), -1)
-            at = allowed.argmax(axis=1)
-            best.append(np.where(allowed[np.arange(len(at)), at] > 0, at, -1).tolist())
         further = []
-        for s, (number, rows, places) in enumerate(open_nodes):
-            ways: dict[int, list[int]] = {}
-            for v in places:
-                if best[v][s] >= 0:
-                    ways.setdefault(best[v][s], []).append(v)
-            for way, those in ways.items():
-                k, cut = divmod(way, BINS)
-                f = int(features[s, k])
-                sides = []
-                for side in (below, above):
-                    zero, one = side[s, k, cut].tolist()
-                    sides.append((one / (zero + one), zero + one if zero and one else 0.0))
-                children: tuple[dict, dict] = ({}, {})
-                for v in those:
-                    t, p = trees[v], places[v]
-                    t.feature[p], t.split[p] = f, float(splits[f][cut])
-                    t.left[p], t.right[p] = ends = t.add(sides[0][0]), t.add(sides[1][0])
-                    for child, end, (_, mixed) in zip(children, ends, sides):
-                        if mixed >= 2 * leaves[v]:
-                            child[v] = end
-                if level + 1 < depth and (children[0] or children[1]):
-                    left = codes[f].take(rows, mode="clip") < 2 * cut + 2
-                    if children[0]:
-                        further.append((2 * number, rows.compress(left), children[0]))
-                    if children[1]:
-                        further.append((2 * number + 1, rows.compress(~left), children[1]))
+        for begin in range(0, len(open_nodes), MOST_NODES):
+            some = open_nodes[begin : begin + MOST_NODES]
+            numbers = np.array([node[0] for node in some], dtype=np.uint64)
+            features = drawn(numbers, len(codes), n_drawn, key)
+            seen = np.empty((len(some), n_drawn, width))
+            for s, (_, rows, _) in enumerate(some):
+                times = shift.take(rows, mode="clip")
+                for k, f in enumerate(features[s].tolist()):
+                    seen[s, k] = np.bincount(codes[f].take(rows, mode="clip") + times, minlength=width)
+            seen = np.einsum("skwc,w->skc", seen.reshape(len(some), n_drawn, -1, 2 * BINS), steps)
+            below = seen.reshape(len(some), n_drawn, BINS, 2).cumsum(axis=2)
+            above = below[:, :, -1:] - below
+            n_below, n_above = below.sum(axis=3), above.sum(axis=3)
+            total = below[:, :1, -1]
+            n_total = total.sum(axis=2)[:, :, None]
+            pure = (below**2).sum(axis=3) / np.maximum(n_below, 1) + (above**2).sum(axis=3) / np.maximum(n_above, 1)
+            gain = (pure - (total**2).sum(axis=2)[:, :, None] / n_total) / n_total
+            gain[gain <= LEAST_GAIN] = 0.0
+            best = []
+            for leaf in leaves:
+                allowed = np.where((n_below >= leaf) & (n_above >= leaf), gain, 0.0).reshape(len(some), -1)
+                at = allowed.argmax(axis=1)
+                best.append(np.where(allowed[np.arange(len(at)), at] > 0, at, -1).tolist())
+            for s, (number, rows, places) in enumerate(some):
+                ways: dict[int, list[int]] = {}
+                for v in places:
+                    if best[v][s] >= 0:
+                        ways.setdefault(best[v][s], []).append(v)
+                for way, those in ways.items():
+                    k, cut = divmod(way, BINS)
+                    f = int(features[s, k])
+                    sides = []
+                    for side in (below, above):
+                        zero, one = side[s, k, cut].tolist()
+                        sides.append((one / (zero + one), zero + one if zero and one else 0.0))
+                    children: tuple[dict, dict] = ({}, {})
+                    for v in those:
+                        t, p = trees[v], places[v]
+                        t.feature[p], t.split[p] = f, float(splits[f][cut])
+                        t.left[p], t.right[p] = ends = t.add(sides[0][0]), t.add(sides[1][0])
+                        for child, end, (_, mixed) in zip(children, ends, sides):
+                            if mixed >= 2 * leaves[v]:
+                                child[v] = end
+                    if level + 1 < depth and (children[0] or children[1]):
+                        left = codes[f].take(rows, mode="clip") < 2 * cut + 2
+                        if children[0]:
+                            further.append((2 * number, rows.compress(left), children[0]))
+                        if children[1]:
+                            further.append((2 * number + 1, rows.compress(~left), children[1]))
         open_nodes = further
     return trees
 
@@ -288,7 +292,7 @@ class FoldRows:
             codes = np.concatenate([parts.pop(k) for k in sorted(parts)], axis=1)
             found: list[list[Nodes]] = [[] for _ in leaves]
             for tree in range(group, trees, groups):
-                draw = np.random.default_rng([seed, fold, tree])
+                draw = np.random.default_rng([seed % 2**64, fold, tree])
                 counts = _COUNTS[draw.integers(0, 65_536, codes.shape[1], dtype=np.uint16)]
                 for own, t in zip(found, grow(codes, counts, splits[fold], leaves, depth, n_drawn, int(draw.integers(0, 2**62)))):
                     own.append(t)

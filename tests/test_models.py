@@ -302,7 +302,9 @@ def some_points(n=700):
     return points, labels, growing._COUNTS[draw.integers(0, 65_536, n)], splits
 
 
-def test_trees_grown_in_tasks_equal_those_by_hand():
+@pytest.mark.parametrize("at_once", [growing.MOST_NODES, 3])
+def test_trees_grown_in_tasks_equal_those_by_hand(monkeypatch, at_once):
+    monkeypatch.setattr(growing, "MOST_NODES", at_once)
     points, labels, counts, splits = some_points()
     codes, leaves = growing.coded(points, labels, splits), (3, 8, 30)
     together = growing.grow(codes, counts, splits, leaves, 6, 3, 77)
